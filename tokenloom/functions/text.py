@@ -73,9 +73,8 @@ def normalize_text(text) -> Column:
 
 
 def wide_chars(text) -> Column:
-    """Distinct characters with a code point >= 256, in first-seen order."""
-    chars = F.split(col_of(text), "", -1)
-    return F.array_distinct(F.filter(chars, lambda ch: (F.length(ch) > 0) & (F.unicode_cp(ch) >= 256)))
+    """Distinct characters with a code point >= 256, in code-point order."""
+    return F.array_sort(F.array_distinct(F.regexp_extract_all(col_of(text), F.lit(r"[^\x{00}-\x{FF}]"), 0)))
 
 
 def artifact_path(base, kind: str, key) -> Column:

@@ -30,4 +30,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from tokenloom.plans import queries_core  # noqa: F401
+    from tokenloom.plans import queries_core, queries_text  # noqa: F401
