@@ -182,7 +182,8 @@ def pad_rows(rows, width, value: int = 0) -> Column:
 
 def prefix_mask(length, width) -> Column:
     """``i < length`` for i in 0..width-1."""
-    return F.transform(F.sequence(F.lit(0), _lit(width) - 1), lambda i: i < col_of(length))
+    w = col_of(width) if isinstance(width, str) else _lit(width)
+    return F.transform(F.sequence(F.lit(0), w - 1), lambda i: i < col_of(length))
 
 
 def overlay(pred, orig, mask) -> Column:
@@ -209,7 +210,12 @@ def gather(values, index) -> Column:
 
 
 def mask_after_marker(tokens, marker: int) -> Column:
-    """True from the first ``marker`` onwards (marker included)."""
+    """True from the first ``marker`` onwards (marker included).
+
+    Built from two ``array_repeat`` runs, so the marker position is found once per row.
+    """
     t = col_of(tokens)
-    p = F.array_position(t, marker)
-    return F.transform(t, lambda x, i: (p > 0) & (i + 1 >= p))
+    p = F.array_position(t, marker).cast("int")
+    n = F.size(t)
+    return F.when(p > 0, F.concat(F.array_repeat(F.lit(False), p - 1), F.array_repeat(F.lit(True), n - p + 1))
+                  ).otherwise(F.array_repeat(F.lit(False), n))
