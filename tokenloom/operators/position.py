@@ -3,25 +3,26 @@
 Dense global positions are the one operator every shard, split and batch depends on,
 so they are computed without a single-partition window:
 
-1. ``repartitionByRange(n, order)`` -- Spark samples the order key and cuts ``n``
-   equal ranges; because the order ends in a unique column, a value that holds a
-   third of the rows is still spread over many ranges;
-2. each range is sorted locally; ``monotonically_increasing_id`` then encodes
-   (range index, index inside the range);
-3. per-range row counts (``n`` rows, bounded by the chosen range count) give prefix
-   offsets that are broadcast back.
-
-Both branches read the same range exchange, which Spark reuses.
+1. a bounded sample of the order key (about ``SAMPLE_PER_BUCKET`` rows per bucket) is
+   collected and cut into ``b`` ranges; the boundaries become literals in a bucket
+   expression, so every evaluation of the plan (retries, reused branches) assigns the
+   same bucket to a row;
+2. because the order ends in a unique column, a key value that holds a third of the
+   rows is still split over many buckets;
+3. per-bucket row counts (``b`` numbers) give prefix offsets, also literals;
+4. ``row_number`` runs in a window partitioned by bucket.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOW_BITS = 33  # monotonically_increasing_id: partition index << 33 | record index
+SAMPLE_PER_BUCKET = 64
+ROWS_PER_BUCKET = 200_000
+MAX_BUCKETS = 2048
 
 
 def _cols(order) -> list[Column]:
@@ -36,34 +37,52 @@ def default_ranges(df: DataFrame) -> int:
     return max(parts, spark.sparkContext.defaultParallelism)
 
 
-def with_position(df: DataFrame, order, out: str = "pos", n_ranges: int | None = None) -> DataFrame:
+def _less_than(keys: list[str], bound: tuple) -> Column:
+    """Lexicographic ``(keys) < bound``."""
+    cond = None
+    for k, b in reversed(list(zip(keys, bound))):
+        c = F.col(k)
+        cond = (c < F.lit(b)) if cond is None else ((c < F.lit(b)) | ((c == F.lit(b)) & cond))
+    return cond
+
+
+def _bucket_of(keys: list[str], bounds: list[tuple]) -> Column:
+    """Balanced comparison tree: bucket i holds ``bounds[i-1] <= keys < bounds[i]``."""
+    def build(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(_less_than(keys, bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
+    return build(0, len(bounds))
+
+
+def with_position(df: DataFrame, order, out: str = "pos", n_buckets: int | None = None) -> DataFrame:
     """O1: add a dense 0-based position ``out`` following ``order``.
 
-    ``order`` must be total (end it with a unique column such as ``pos`` or ``key``).
+    ``order`` must be total and non-null (end it with a unique column such as ``pos``).
+    Runs three small driver actions (row count, bounded sample, per-bucket counts).
     """
     keys = _cols(order)
-    n = n_ranges or default_ranges(df)
-    ranged = (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_tl_mid", F.monotonically_increasing_id())
-        .withColumn("_tl_range", F.shiftright("_tl_mid", _LOW_BITS))
-    )
-    counts = ranged.groupBy("_tl_range").agg(F.count(F.lit(1)).alias("_tl_n"))
-    # n rows at most: one per range
-    offsets = counts.select(
-        "_tl_range",
-        F.coalesce(
-            F.sum("_tl_n").over(Window.orderBy("_tl_range").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_tl_offset"),
-    )
-    local = F.col("_tl_mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
-    return (
-        ranged.join(F.broadcast(offsets), "_tl_range")
-        .withColumn(out, (F.col("_tl_offset") + local).cast("long"))
-        .drop("_tl_mid", "_tl_range", "_tl_offset")
-    )
+    names = [f"_tl_k{i}" for i in range(len(keys))]
+    tagged = df.select("*", *[k.alias(n) for k, n in zip(keys, names)])
+    n_rows = tagged.count()
+    if n_buckets is None:
+        n_buckets = max(1, min(MAX_BUCKETS, math.ceil(n_rows / ROWS_PER_BUCKET), 4 * default_ranges(df)))
+    bounds: list[tuple] = []
+    if n_buckets > 1 and n_rows > 0:
+        frac = min(1.0, SAMPLE_PER_BUCKET * n_buckets / n_rows)
+        sample = sorted(tuple(r) for r in tagged.select(*names).sample(fraction=frac, seed=17).collect())
+        step = len(sample) / n_buckets
+        bounds = sorted({sample[int(step * (i + 1))] for i in range(n_buckets - 1) if int(step * (i + 1)) < len(sample)})
+    bucketed = tagged.withColumn("_tl_b", _bucket_of(names, bounds) if bounds else F.lit(0))
+    counts = dict(bucketed.groupBy("_tl_b").count().collect())
+    offsets, run = [], 0
+    for b in range(len(bounds) + 1):
+        offsets.append(run)
+        run += counts.get(b, 0)
+    w = Window.partitionBy("_tl_b").orderBy(*[F.col(n) for n in names])
+    offset = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col("_tl_b") + 1) if len(offsets) > 1 else F.lit(0)
+    return bucketed.withColumn(out, (offset + F.row_number().over(w) - 1).cast("long")).drop("_tl_b", *names)
 
 
 def shard_of(pos, n_rows: int, n_shards: int) -> Column:
@@ -108,7 +127,8 @@ def split_bounds(n_rows: int, val_size: int = 500, mode: str = "disjoint") -> di
         train = (0, _norm(n - 2 * v, n))
     else:
         raise ValueError(f"unknown split mode {mode!r}")
-    return {"train": train, "val": (_norm(n - 2 * v, n), _norm(n - v, n)), "test": (_norm(n - v, n), n)}
+    raw = {"train": train, "val": (_norm(n - 2 * v, n), _norm(n - v, n)), "test": (_norm(n - v, n), n)}
+    return {k: (lo, max(lo, hi)) for k, (lo, hi) in raw.items()}
 
 
 def tail_split(df: DataFrame, val_size: int = 500, mode: str = "disjoint", pos: str = "pos",

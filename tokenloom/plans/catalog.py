@@ -30,4 +30,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from tokenloom.plans import queries_core, queries_order, queries_text, queries_tokens  # noqa: F401
+    from tokenloom.plans import (  # noqa: F401
+        queries_core, queries_dist, queries_order, queries_text, queries_tokens, queries_vectors)

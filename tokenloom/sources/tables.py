@@ -117,9 +117,10 @@ def partial_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def losses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-rank loss log ``(rank, batch_id, name, value)`` from ``events``."""
+    """Per-rank loss log ``(rank, batch_id, step, name, value)`` from ``events``."""
     ev = table(spark, sf_dir, "events")
     return ev.select(
+        F.col("event_id").alias("step"),
         F.pmod(F.col("event_id"), F.lit(4)).cast("int").alias("rank"),
         F.floor(F.col("event_id") / 32).cast("long").alias("batch_id"),
         F.col("event_type").alias("name"),
