@@ -40,12 +40,15 @@ CHAR_SUBSTITUTIONS: dict[int, str] = {
     8246: '"',
 }
 
-# The characters Python's str.isspace() accepts, as a regex class.
-# Spark's trim() only strips U+0020 and Java's \s is ASCII-only, so the class is explicit.
-WHITESPACE_CLASS = (
-    r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+# The code points Python's str.isspace() accepts. Spark's one-argument
+# trim() only strips U+0020 and Java's \s is ASCII-only, so the set is explicit.
+WHITESPACE_CODEPOINTS = (
+    [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680]
+    + list(range(0x2000, 0x200B))
+    + [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 )
+WHITESPACE_CHARS = "".join(chr(c) for c in WHITESPACE_CODEPOINTS)
+WHITESPACE_CLASS = "[" + "".join(f"\\x{{{c:X}}}" for c in WHITESPACE_CODEPOINTS) + "]"
 
 # Characters turned into a space before stripping (tab, newline, asterisk).
 SPACE_CHARS = "\t\n*"
@@ -68,7 +71,7 @@ def normalize_text(text) -> Column:
     c = F.translate(c, src + SPACE_CHARS, dst + " " * len(SPACE_CHARS))
     for s, r in one_to_many():
         c = F.replace(c, F.lit(s), F.lit(r))
-    c = F.regexp_replace(c, f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$", "")
+    c = F.btrim(c, F.lit(WHITESPACE_CHARS))  # strip: set-based, no regex scan
     return F.regexp_replace(c, f"{WHITESPACE_CLASS}{{2,}}", " ")
 
 

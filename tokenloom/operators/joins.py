@@ -25,9 +25,11 @@ def assemble_samples(manifest: DataFrame, text: DataFrame, embedding: DataFrame,
     sharing that partitioning. ``strict=True`` fails when any manifest row lacks an
     artifact (as a missing file would); otherwise such rows are left out (see J7).
     """
-    t = text.select(key, F.col("tokens").alias("text_tokens"))
-    e = embedding.select(key, "embedding")
-    c = codes.select(key, "codes")
+    # artifact payloads are large computed arrays whose size Spark cannot estimate from
+    # file statistics: never broadcast them, join by key with a sort-merge join
+    t = text.select(key, F.col("tokens").alias("text_tokens")).hint("merge")
+    e = embedding.select(key, "embedding").hint("merge")
+    c = codes.select(key, "codes").hint("merge")
     how = "left" if strict else "inner"
     out = manifest.join(t, key, how).join(e, key, how).join(c, key, how)
     if strict:

@@ -13,17 +13,30 @@ from tokenloom.sources import tables
 def training_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 over the derived artifact tables; rows lacking an artifact are left out."""
     return assemble_samples(
-        tables.manifest(spark, sf_dir),
-        tables.text_token_artifact(spark, sf_dir),
+        tables.manifest(spark, sf_dir).select("key", "pos"),
+        tables.text_token_artifact(spark, sf_dir, by_key=True),
         tables.embedding_artifact(spark, sf_dir),
-        tables.code_artifact(spark, sf_dir),
+        tables.code_artifact(spark, sf_dir, by_key=True),
     )
 
 
 def training_batches(spark: SparkSession, sf_dir: str, batch_size: int = 16, max_len: int | None = 2048,
                      ) -> DataFrame:
-    """Flagship: J1 -> O1 (dense row numbers) -> O4 -> T5 with L2 cut at ``max_len``."""
-    samples = with_position(training_samples(spark, sf_dir), ["pos"], out="row")
-    batched = fixed_batches(samples, batch_size, pos="row")
-    return collate(batched.drop("text"), max_len=max_len).select(
+    """Flagship: J1 -> O1 (dense row numbers) -> O4 -> T5 with L2 cut at ``max_len``.
+
+    Row numbers and batch ids are computed on a narrow ``(key, pos)`` projection of the
+    rows that have all three artifacts (key-only semi joins); the wide artifacts are then
+    joined once on ``key`` (every side hash-partitioned on it) and shuffled once more by
+    batch id for collation: two shuffles of wide rows in total.
+    """
+    man = tables.manifest(spark, sf_dir).select("key", "pos")
+    txt = tables.text_token_artifact(spark, sf_dir, by_key=True)
+    emb = tables.embedding_artifact(spark, sf_dir)
+    tok = tables.code_artifact(spark, sf_dir, by_key=True)
+    present = man
+    for art in (txt, emb, tok):
+        present = present.join(art.select("key"), "key", "left_semi")
+    rows = fixed_batches(with_position(present, ["pos"], out="row"), batch_size, pos="row")
+    wide = assemble_samples(rows, txt, emb, tok)
+    return collate(wide, max_len=max_len).select(
         "batch_id", "row", "pos", "key", "text", "embedding", "codes", "input", "target")

@@ -20,6 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Hash-spread rows before CPU-heavy per-row work when the scan yields fewer splits
+    than there are cores (a single-row-group file). Large inputs already have enough
+    splits and are left alone, so no shuffle is added at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *[F.col(c) for c in cols]) if cols else df.repartition(cores)
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest rows ``(key, text, pos)``: key = source/doc_id, pos = doc_id."""
     d = table(spark, sf_dir, "documents")
@@ -45,18 +55,28 @@ def codes_of(doc_id, n_codebooks: int = N_CODEBOOKS) -> F.Column:
     )
 
 
-def code_artifact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``tok`` artifact: ``(key, codes array<array<int>>)``."""
-    d = table(spark, sf_dir, "documents")
-    return d.select(
-        F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("key"),
-        codes_of("doc_id").alias("codes"),
-    )
+def code_artifact(spark: SparkSession, sf_dir: str, by_key: bool = False) -> DataFrame:
+    """``tok`` artifact: ``(key, codes array<array<int>>)``.
+
+    ``by_key=True`` hash-partitions on ``key`` first, so a following key join ships
+    only ids through the shuffle and builds the code matrices afterwards.
+    """
+    d = table(spark, sf_dir, "documents").select(
+        F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("key"), "doc_id")
+    if by_key:
+        d = d.repartition("key")
+    return d.select("key", codes_of("doc_id").alias("codes"))
+
 
+def text_token_artifact(spark: SparkSession, sf_dir: str, layout: TokenLayout = STAGE1,
+                        by_key: bool = False) -> DataFrame:
+    """``txt`` artifact: byte tokens of the whole normalised text, ``(key, tokens array<int>)``.
 
-def text_token_artifact(spark: SparkSession, sf_dir: str, layout: TokenLayout = STAGE1) -> DataFrame:
-    """``txt`` artifact: byte tokens of the whole normalised text, ``(key, tokens array<int>)``."""
-    m = manifest(spark, sf_dir)
+    ``by_key=True`` hash-partitions the raw text on ``key`` before tokenising: the shuffle
+    a key join needs anyway then carries text (1 byte per token) instead of int arrays.
+    """
+    m = manifest(spark, sf_dir).select("key", "text")
+    m = m.repartition("key") if by_key else spread(m)
     return m.select("key", byte_tokens(normalize_text("text"), layout).alias("tokens"))
 
 
@@ -75,7 +95,7 @@ def generated_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     then ``doc_id % 3`` extra band-0 values so the two bands differ in length."""
     from tokenloom.functions.tokens import interleave, repeat
 
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     txt = byte_tokens(normalize_text("text"), STAGE1)
     extra = repeat(F.pmod(F.col("doc_id"), F.lit(1024)).cast("int"), F.pmod(F.col("doc_id"), F.lit(3)).cast("int"))
     return d.select(
@@ -87,7 +107,7 @@ def generated_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tilted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second-stage hierarchy rows ``(pos, rows)``: row 0 = text ++ c0 ++ [1024], row b = c_b ++ [1024];
     row 1 is shortened by ``doc_id % 4`` so hierarchies differ in length."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     txt = byte_tokens(normalize_text("text"), STAGE2)
     c = codes_of("doc_id")
     short = F.pmod(F.col("doc_id"), F.lit(4)).cast("int")
