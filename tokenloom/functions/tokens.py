@@ -38,14 +38,18 @@ def shift_ids(arr, offset) -> Column:
     return F.when(off.isNull(), a).otherwise(F.transform(a, lambda x: x + off))
 
 
+def utf8_bytes(text) -> Column:
+    """UTF-8 byte values (0..255) of a string: ``encode`` -> ``hex`` -> 2-digit groups -> ``conv``."""
+    hexed = F.hex(F.encode(col_of(text), "UTF-8"))
+    return F.transform(F.regexp_extract_all(hexed, F.lit(".."), 0), lambda h: F.conv(h, 16, 10).cast("int"))
+
+
 def byte_tokens(text, layout: TokenLayout = STAGE1) -> Column:
     """U1 (byte vocabulary): UTF-8 bytes of ``text`` + end-of-text, shifted by the text offset.
 
-    Pure SQL: ``encode`` -> ``hex`` -> 2-digit groups -> ``conv``; no Python worker.
+    Pure SQL, no Python worker.
     """
-    hexed = F.hex(F.encode(col_of(text), "UTF-8"))
-    ids = F.transform(F.regexp_extract_all(hexed, F.lit(".."), 0), lambda h: F.conv(h, 16, 10).cast("int"))
-    return shift_ids(F.concat(ids, F.array(F.lit(BYTE_EOT))), layout.text_offset)
+    return shift_ids(F.concat(utf8_bytes(text), F.array(F.lit(BYTE_EOT))), layout.text_offset)
 
 
 def byte_decode(tokens, layout: TokenLayout = STAGE1) -> Column:
