@@ -124,3 +124,59 @@ h AS (SELECT head, avg(nll) AS loss FROM p GROUP BY head)
 SELECT head, round(loss, 6) AS loss FROM h UNION ALL SELECT NULL, round(avg(loss), 6) FROM h""")
 def q_masked_nll(spark, sf):
     return masked_nll_mean(TB.token_logits(spark, sf)).select("head", _r6("loss"))
+
+
+# ---------------------------------------------------------------- array form (no shuffle)
+
+from tokenloom.operators import vocab as VA  # noqa: E402
+
+_ARR = "SELECT vec_id AS grp, list_transform(embedding, lambda x: x::DOUBLE) AS logits FROM embeddings"
+
+
+def _arrays(spark, sf):
+    e = TB.table(spark, sf, "embeddings")
+    return e.select(F.col("vec_id").alias("grp"), F.transform("embedding", lambda x: x.cast("double")).alias("logits"))
+
+
+def _regroup(sql_long: str, val: str, default: str = "0.0") -> str:
+    """Long (grp, item, val) back to one 64-wide array per group (missing items -> default)."""
+    return f"""SELECT a.grp, list_transform(range(64), lambda i: coalesce(list_extract(
+    list_filter(a.vals, lambda s: s.item = i), 1).v, {default})) AS {val}
+  FROM (SELECT grp, list({{'item': item, 'v': {val}}}) AS vals FROM ({sql_long}) GROUP BY grp) a"""
+
+
+def _r6a(c: str):
+    return F.transform(c, lambda x: F.round(x, 6)).alias(c)
+
+
+@register("softmax_arrays", "SELECT grp, list_transform(prob, lambda x: round(x, 6)) AS probs FROM ({})".format(
+    _regroup(_sm2(_SCORES), "prob")))
+def q_softmax_arrays(spark, sf):
+    return VA.softmax(_arrays(spark, sf), "logits").select("grp", _r6a("probs"))
+
+
+@register("top_k_arrays", "SELECT grp, logit AS logits FROM ({})".format(
+    _regroup(f"""SELECT grp, item, logit FROM (SELECT *, rank() OVER (PARTITION BY grp ORDER BY logit DESC) AS r
+      FROM ({_SCORES})) WHERE r <= 5""", "logit", "'-inf'::DOUBLE")))
+def q_top_k_arrays(spark, sf):
+    return VA.top_k(_arrays(spark, sf), "logits", 5).select("grp", "logits")
+
+
+@register("top_p_arrays", "SELECT grp, list_transform(prob, lambda x: round(x, 6)) AS probs FROM ({})".format(
+    _regroup(_top_p_a_sql(_sm2(_SCORES), 0.5), "prob")))
+def q_top_p_arrays(spark, sf):
+    d = VA.top_p(VA.softmax(_arrays(spark, sf), "logits"), "probs", 0.5)
+    return d.select("grp", _r6a("probs"))
+
+
+@register("drawn_arrays", _draw_sql(_sm2(_SCORES), 1))
+def q_drawn_arrays(spark, sf):
+    d = VA.draw(VA.softmax(_arrays(spark, sf), "logits"), "probs", 1, "grp")
+    return d.select("grp", F.col("drawn").cast("int").alias("drawn"))
+
+
+@register("sampled_arrays", _draw_sql(_top_p_a_sql(_sm2(f"SELECT grp, item, logit / 0.7 AS logit FROM ({_SCORES})"), 0.9), 13))
+def q_sampled_arrays(spark, sf):
+    d = VA.scale(_arrays(spark, sf), "logits", 0.7)
+    d = VA.draw(VA.top_p(VA.softmax(d, "logits"), "probs", 0.9), "probs", 13, "grp")
+    return d.select("grp", F.col("drawn").cast("int").alias("drawn"))

@@ -221,3 +221,10 @@ def q_stream_text_tokens(spark, sf):
     FS.write_jsonl(m, os.path.join(src, "drop1"))
     incremental.stream_text_tokens(spark, os.path.join(src, "*"), store, ckpt)
     return FS.read_artifact(spark, store, "txt")
+
+
+@register("mel_frames", f"""SELECT {D.key()} AS key, (1 + strlen(text) // 160)::INTEGER AS n_frames, 40 AS n_mels FROM documents""")
+def q_mel_frames(spark, sf):
+    w = AU.resample_audio(_audio(spark, sf), 16000, "mean")
+    m = AU.mel_spectrogram(w.select("key", "wave"))
+    return m.select("key", "n_frames", "n_mels")

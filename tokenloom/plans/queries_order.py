@@ -204,3 +204,10 @@ def q_zip_results(spark, sf):
     d = TB.table(spark, sf, "documents").select(F.col("doc_id").alias("pos"), "text")
     lab = TB.table(spark, sf, "labels").select(F.col("doc_id").alias("pos"), "toxic")
     return J.zip_results(d, lab, "pos", "toxic")
+
+
+@register("fixed_batches", f"""SELECT key, pos, row, row // {BATCH} AS batch_id FROM (
+  SELECT key, pos, row_number() OVER (ORDER BY pos) - 1 AS row FROM ({D.MANIFEST}))""")
+def q_fixed_batches(spark, sf):
+    m = TB.manifest(spark, sf).select("key", "pos")
+    return P.fixed_batches(P.with_position(m, ["pos"], out="row"), BATCH, pos="row")

@@ -254,3 +254,20 @@ def key_from_path(path_col: str, root: str) -> F.Column:
     prefix = "file:" + root.rstrip("/") + "/"
     c = F.regexp_replace(F.col(path_col), "^file:/+", "file:/")
     return F.regexp_replace(F.substring(c, len(prefix) + 1, 1 << 20), r"\.wav$", "")
+
+
+def mel_spectrogram(df: DataFrame, wave_col: str = "wave", key: str = "key") -> DataFrame:
+    """U5 on whole waveforms: ``(key, n_frames, n_mels, mels[frame][band])``."""
+    schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("n_frames", T.IntegerType()),
+                           T.StructField("n_mels", T.IntegerType()),
+                           T.StructField("mels", T.ArrayType(T.ArrayType(T.FloatType())))])
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for k, x in zip(pdf[key], pdf[wave_col]):
+                m = mel_frames(np.asarray(x if x is not None else [], dtype=np.float32))
+                rows.append((k, int(m.shape[0]), int(m.shape[1]), m.tolist()))
+            yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
+
+    return df.mapInPandas(run, schema)
