@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions import tokens as T
+from tokenloom.functions.text import normalize_text
 from tokenloom.layout import STAGE1, STAGE2
 from tokenloom.operators.aggregates import hierarchy_lengths
 from tokenloom.operators.collate import collate
@@ -112,12 +113,11 @@ _S2 = f"""SELECT doc_id AS pos, [{_fit('txt || c[1] || [1024]')}, {_fit(D.rep('1
 
 
 def _stage2(spark, sf):
-    d = TB.table(spark, sf, "documents")
-    txt = T.byte_tokens(F.col("text_norm"), STAGE2)
-    return d.select(F.col("doc_id").alias("pos"), TB.codes_of("doc_id").alias("c"),
-                    F.col("text").alias("text_raw")).withColumn("text_norm", __import__(
-                        "tokenloom.functions.text", fromlist=["normalize_text"]).normalize_text("text_raw")).select(
-        "pos", "c", T.stage2_input(txt, "c", CTX).alias("rows"))
+    d = TB.spread(TB.table(spark, sf, "documents").select("doc_id", "text"))
+    # tokens in their own projection: the row builder below refers to them several times
+    toks = d.select(F.col("doc_id").alias("pos"), TB.codes_of("doc_id").alias("c"),
+                    T.byte_tokens(normalize_text("text"), STAGE2).alias("t"))
+    return toks.select("pos", "c", T.stage2_input("t", "c", CTX).alias("rows"))
 
 
 @register("stage2_inputs", f"SELECT pos, rows FROM ({_S2})")
