@@ -119,7 +119,21 @@ def q_archive_members(spark, sf):
 
 # ---------------------------------------------------------------- S5, U3-U6
 
+_WAV_ROOTS: dict[tuple[str, str], str] = {}
+
+
 def _wav_root(spark, sf):
+    """Write the derived WAV files once per (input, shared folder) and reuse them."""
+    cache_key = (sf, spark.conf.get("spark.checkpoint.dir", ""))
+    root = _WAV_ROOTS.get(cache_key)
+    if root and os.path.isdir(root):
+        return root
+    root = _write_wavs(spark, sf)
+    _WAV_ROOTS[cache_key] = root
+    return root
+
+
+def _write_wavs(spark, sf):
     d = TB.spread(TB.manifest(spark, sf).select("key", "text"))
     rows = d.select("key", F.transform(utf8_bytes("text"), lambda x: ((x - 128) / 128.0).cast("float")).alias("pcm"),
                     F.lit(16000).alias("sample_rate"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import requests as R
 from tokenloom.functions.text import normalize_text
+from tokenloom.operators.joins import resolve_preset
 from tokenloom.sources.requests import PRESET_NAMES
 
 REQUEST_FILE_SCHEMA = "conv_id long, turn long, payload string"
@@ -27,8 +28,7 @@ def prepare_requests(df: DataFrame, presets: DataFrame) -> DataFrame:
     parsed = df.select("conv_id", "turn", R.parse_request("payload").alias("r")).select("conv_id", "turn", "r.*")
     preset = F.element_at(F.array(*[F.lit(n) for n in PRESET_NAMES]), (F.pmod("conv_id", F.lit(4)) + 1).cast("int"))
     tagged = parsed.withColumn("preset", preset)
-    # four-row dictionary: broadcast is bounded by construction
-    joined = tagged.join(F.broadcast(presets.select(F.col("name").alias("preset"), "url")), "preset", "left")
+    joined = resolve_preset(tagged, presets)
     return joined.select(
         "conv_id", "turn",
         normalize_text(R.cut_text("text")).alias("text"),
