@@ -20,7 +20,7 @@ def _lit(v) -> Column:
 
 def repeat(value, count) -> Column:
     """``array_repeat`` that treats negative counts as zero."""
-    return F.array_repeat(_lit(value), F.greatest(_lit(count), F.lit(0)))
+    return F.array_repeat(_lit(value), F.greatest(_lit(count), F.lit(0)).cast("int"))
 
 
 def pad_right(arr, width, value) -> Column:

@@ -12,7 +12,7 @@ from tokenloom.layout import STAGE1, TokenLayout
 def batch_shape(samples: DataFrame, batch: str = "batch_id", text: str = "text_tokens",
                 codes: str = "codes") -> DataFrame:
     """A3: per batch the longest text, the most frames and the longest ``text + 2T``."""
-    t, c = F.size(text), F.size(F.col(codes)[0])
+    t, c = F.size(text).cast("long"), F.size(F.col(codes)[0]).cast("long")
     return samples.groupBy(batch).agg(
         F.max(t).alias("max_text"), F.max(c).alias("max_frames"), F.max(t + 2 * c).alias("max_seq"),
         F.count(F.lit(1)).alias("n_rows"))

@@ -111,7 +111,8 @@ def double_batch(df: DataFrame, embedding: str = "embedding", out: str = "copy")
 def embedding_dropout(df: DataFrame, p: float, seed: int, key: str = "key", embedding: str = "embedding") -> DataFrame:
     """Zero the embedding of rows whose md5-uniform draw is below ``p``."""
     u = hash_unit(key, F.lit(str(seed)))
-    return df.withColumn(embedding, F.when(u < p, F.transform(embedding, lambda x: x * 0.0)).otherwise(F.col(embedding)))
+    zero = F.lit(0.0).cast("float")
+    return df.withColumn(embedding, F.when(u < p, F.transform(embedding, lambda x: x * zero)).otherwise(F.col(embedding)))
 
 
 def logsumexp_col(values) -> Column:

@@ -100,7 +100,7 @@ _LEN_SQL = f"""SELECT key, pos, length, sorted_pos, sorted_pos // {BATCH} AS bat
 
 def _length_batches(spark, sf):
     m = TB.manifest(spark, sf).select("key", "pos")
-    t = TB.text_token_artifact(spark, sf).select("key", F.size("tokens").alias("length"))
+    t = TB.text_token_artifact(spark, sf).select("key", F.size("tokens").cast("long").alias("length"))
     return P.length_sorted_batches(m.join(t, "key"), BATCH, "length")
 
 

@@ -203,9 +203,9 @@ def q_durations(spark, sf):
         (F.col("duration_s") >= 30).alias("long_enough"))
 
 
-@register("embedding_dims", """SELECT count(*) AS n_rows, sum(CASE WHEN len(embedding) <> 64 THEN 1 ELSE 0 END) AS n_bad_width,
-  sum(CASE WHEN embedding IS NULL THEN 1 ELSE 0 END) AS n_null, min(len(embedding)) AS min_width,
-  max(len(embedding)) AS max_width FROM embeddings""")
+@register("embedding_dims", """SELECT count(*) AS n_rows, sum(CASE WHEN len(embedding) <> 64 THEN 1 ELSE 0 END)::BIGINT AS n_bad_width,
+  sum(CASE WHEN embedding IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_null, min(len(embedding))::INTEGER AS min_width,
+  max(len(embedding))::INTEGER AS max_width FROM embeddings""")
 def q_embedding_dims(spark, sf):
     return check_embedding_dims(TB.table(spark, sf, "embeddings"), 64)
 

@@ -67,7 +67,7 @@ FROM w""")
 def q_collate_full(spark, sf):
     s = fixed_batches(with_position(training_samples(spark, sf), ["pos"], out="row"), BATCH, pos="row")
     c = collate(s.drop("text"), max_len=None)
-    return c.select("batch_id", "key", F.size("input").alias("width"), "input", "target")
+    return c.select("batch_id", "key", F.size("input").cast("long").alias("width"), "input", "target")
 
 
 @register("deinterleaved", _DEINT)
@@ -93,7 +93,8 @@ def q_untilted(spark, sf):
 def q_hierarchy_lengths(spark, sf):
     t = TB.tilted_rows(spark, sf)
     d, lo, hi = hierarchy_lengths("rows")
-    return t.select("pos", d.alias("lengths"), lo.alias("min_len"), hi.alias("max_len"))
+    return t.select("pos", d.cast("array<bigint>").alias("lengths"), lo.cast("long").alias("min_len"),
+                    hi.cast("long").alias("max_len"))
 
 
 @register("filled_codebooks", f"""SELECT pos, codes || {D.rep(D.rep('0', 'len(codes[1])'), '8 - len(codes)')} AS codes
@@ -139,7 +140,7 @@ _PROMPTS = f"""SELECT key, pos, length, batch_id, max(length) OVER (PARTITION BY
 
 def _prompts(spark, sf):
     m = TB.manifest(spark, sf).select("key", "pos")
-    t = TB.text_token_artifact(spark, sf).withColumn("length", F.size("tokens"))
+    t = TB.text_token_artifact(spark, sf).withColumn("length", F.size("tokens").cast("long"))
     b = length_sorted_batches(m.join(t, "key"), BATCH, "length")
     return b.withColumn("width", F.max("length").over(Window.partitionBy("batch_id")))
 
@@ -186,7 +187,7 @@ FROM ({_GEN}) g JOIN (SELECT doc_id AS pos, {D.byte_tokens(D.normalize('text'))}
 def q_take_until_eoa(spark, sf):
     g = TB.generated_tokens(spark, sf)
     m = TB.manifest(spark, sf).select("key", "pos")
-    t = TB.text_token_artifact(spark, sf).join(m, "key").select("pos", F.size("tokens").alias("prompt_len"))
+    t = TB.text_token_artifact(spark, sf).join(m, "key").select("pos", F.size("tokens").cast("long").alias("prompt_len"))
     return g.join(t, "pos").select("pos", T.take_until("tokens", STAGE1.eoa).alias("tokens"),
                                    T.generation_budget("prompt_len", MAX_NEW, CTX).alias("budget"))
 
