@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import os
 import tarfile
+import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -64,12 +65,14 @@ def write_archives(df: DataFrame, out_dir: str, archive: str, member: str, conte
         name = str(pdf[archive].iloc[0])
         p = os.path.join(out_dir, f"{name}.tar")
         os.makedirs(out_dir, exist_ok=True)
-        with tarfile.open(p, "w") as tf:
+        tmp = f"{p}.{uuid.uuid4().hex}.part"  # renamed into place when complete
+        with tarfile.open(tmp, "w") as tf:
             for m, c in zip(pdf[member], pdf[content]):
                 data = bytes(c) if c is not None else b""
                 info = tarfile.TarInfo(name=str(m))
                 info.size = len(data)
                 tf.addfile(info, io.BytesIO(data))
+        os.replace(tmp, p)
         return pd.DataFrame({"archive": [name], "path": ["file:" + p], "n_members": [len(pdf)]})
 
     return df.select(archive, member, content).groupBy(archive).applyInPandas(write, schema)

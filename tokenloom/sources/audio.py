@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import io
 import os
+import uuid
 import wave
 from collections.abc import Iterator
 
@@ -87,11 +88,15 @@ def write_wavs(df: DataFrame, out_dir: str, key: str = "key", pcm: str = "pcm",
                 p = os.path.join(out_dir, f"{k}.wav")
                 os.makedirs(os.path.dirname(p), exist_ok=True)
                 a = np.clip(np.asarray(x if x is not None else [], dtype=np.float64), -1.0, 1.0)
-                with wave.open(p, "wb") as w:
+                # write under a task-unique name, then rename: a retried or speculative
+                # task never leaves a half-written file behind
+                tmp = f"{p}.{uuid.uuid4().hex}.part"
+                with wave.open(tmp, "wb") as w:
                     w.setnchannels(1)
                     w.setsampwidth(2)
                     w.setframerate(int(r))
                     w.writeframes((np.round(a * 32767.0)).astype("<i2").tobytes())
+                os.replace(tmp, p)
                 paths.append("file:" + p)
             yield pd.DataFrame({key: pdf[key], "path": paths})
 
