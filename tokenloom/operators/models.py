@@ -10,6 +10,7 @@ import hashlib
 import pickle
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -66,8 +67,8 @@ def bpe_encode(df: DataFrame, text: str = "text", ranks: dict[bytes, int] | None
                     errs.append("null text")
                     continue
                 try:
-                    ids = enc.encode(s) + [eot]
-                    toks.append([i + off for i in ids])
+                    ids = np.asarray(enc.encode(s), dtype=np.int64)
+                    toks.append(np.append(ids, eot).astype(np.int32) + off)
                     errs.append(None)
                 except ValueError:
                     toks.append(None)

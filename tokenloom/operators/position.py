@@ -75,7 +75,8 @@ def with_position(df: DataFrame, order, out: str = "pos", n_buckets: int | None
         step = len(sample) / n_buckets
         bounds = sorted({sample[int(step * (i + 1))] for i in range(n_buckets - 1) if int(step * (i + 1)) < len(sample)})
     bucketed = tagged.withColumn("_tl_b", _bucket_of(names, bounds) if bounds else F.lit(0))
-    counts = dict(bucketed.groupBy("_tl_b").count().collect())
+    # one bucket (small input): offsets are trivially [0], no counting pass needed
+    counts = dict(bucketed.groupBy("_tl_b").count().collect()) if bounds else {0: n_rows}
     offsets, run = [], 0
     for b in range(len(bounds) + 1):
         offsets.append(run)
