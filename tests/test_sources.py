@@ -99,3 +99,25 @@ def test_resample_keeps_channel_zero_or_mean(spark, tmp_path):
     assert len(first.wave) == 2400
     x = np.asarray(mean.wave)
     assert len(x) == 1600 and np.allclose(x, (np.asarray(a.first().pcm[0]) + np.asarray(a.first().pcm[1])) / 2, atol=1e-6)
+
+
+def test_bucketed_artifacts_join_without_shuffle(spark, tmp_path):
+    from tokenloom.operators.joins import assemble_samples
+    from tokenloom.sources import tables as TB
+    from conftest import SF001
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        FS.write_bucketed_artifact(TB.text_token_artifact(spark, SF001), "t_txt", str(tmp_path / "txt"), 8)
+        FS.write_bucketed_artifact(TB.code_artifact(spark, SF001), "t_tok", str(tmp_path / "tok"), 8)
+        FS.write_bucketed_artifact(TB.embedding_artifact(spark, SF001), "t_emb", str(tmp_path / "emb"), 8)
+        FS.write_bucketed_artifact(TB.manifest(spark, SF001).select("key", "pos"), "t_man", str(tmp_path / "man"), 8)
+        joined = assemble_samples(spark.table("t_man"), spark.table("t_txt"), spark.table("t_emb"), spark.table("t_tok"))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        assert joined.count() == assemble_samples(TB.manifest(spark, SF001).select("key", "pos"),
+                                                  TB.text_token_artifact(spark, SF001),
+                                                  TB.embedding_artifact(spark, SF001),
+                                                  TB.code_artifact(spark, SF001)).count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

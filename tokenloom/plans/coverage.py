@@ -11,7 +11,8 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     "S3": ("sources.files.write_jsonl", ["manifest_jsonl"]),
     "S4": ("sources.archives.unpack_archives (+ write_archives)", ["archive_members"]),
     "S5": ("sources.audio.read_audio (+ write_wavs sink)", ["audio_files"]),
-    "S6": ("sources.files.write_artifact / read_artifact", ["artifact_store", "stream_text_tokens"]),
+    "S6": ("sources.files.write_artifact / read_artifact, write_bucketed_artifact",
+           ["artifact_store", "stream_text_tokens", "training_samples_bucketed"]),
     "S7": ("sources.requests.sidecar_json", ["sidecars"]),
     "S8": ("functions.requests.parse_request, streaming.requests", ["parse_requests", "stream_requests"]),
     "S9": ("operators.aggregates.distinct_dirs + URL projection", ["archive_list"]),
@@ -35,7 +36,7 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     "P17": ("operators.vectors.check_embedding_dims", ["embedding_dims"]),
     "P18": ("operators.metrics.metric_names + stack()", ["metric_keys"]),
     # joins
-    "J1": ("operators.joins.assemble_samples", ["training_samples", "training_batches"]),
+    "J1": ("operators.joins.assemble_samples", ["training_samples", "training_batches", "training_samples_bucketed"]),
     "J2": ("operators.joins.pending", ["pending_embeddings", "artifact_store"]),
     "J3": ("operators.joins.memoize", ["memoized_quality"]),
     "J4": ("operators.joins.zip_results", ["zip_results"]),

@@ -242,3 +242,22 @@ def q_mel_frames(spark, sf):
     w = AU.resample_audio(_audio(spark, sf), 16000, "mean")
     m = AU.mel_spectrogram(w.select("key", "wave"))
     return m.select("key", "n_frames", "n_mels")
+
+
+@register("training_samples_bucketed", f"""WITH m AS ({D.MANIFEST}), t AS ({D.TEXT_ART}), e AS ({D.EMB_ART}), c AS ({D.CODE_ART})
+SELECT m.key, m.pos, t.tokens AS text_tokens, e.embedding, c.codes
+FROM m JOIN t USING (key) JOIN e USING (key) JOIN c USING (key)""")
+def q_training_samples_bucketed(spark, sf):
+    """J1 over artifact tables stored bucketed by key (S6 co-located form): the joins
+    read matching buckets side by side, with no shuffle."""
+    from tokenloom.operators.joins import assemble_samples
+
+    base = FS.work_dir(spark, "bucketed")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    suffix = os.path.basename(base).replace("-", "_")
+    arts = {"man": TB.manifest(spark, sf).select("key", "pos"), "txt": TB.text_token_artifact(spark, sf),
+            "emb": TB.embedding_artifact(spark, sf), "tok": TB.code_artifact(spark, sf)}
+    for kind, df in arts.items():
+        FS.write_bucketed_artifact(df, f"{kind}_{suffix}", os.path.join(base, kind), n)
+    t = {k: FS.read_bucketed_artifact(spark, f"{k}_{suffix}") for k in arts}
+    return assemble_samples(t["man"], t["txt"], t["emb"], t["tok"]).select("key", "pos", "text_tokens", "embedding", "codes")

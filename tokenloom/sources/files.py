@@ -81,3 +81,18 @@ def write_artifact(df: DataFrame, base: str, kind: str, key: str = "key") -> Dat
 def read_artifact(spark: SparkSession, base: str, kind: str) -> DataFrame:
     """The stored ``kind`` table."""
     return spark.read.parquet(os.path.join(base, kind))
+
+
+def write_bucketed_artifact(df: DataFrame, table_name: str, path: str, buckets: int, key: str = "key") -> None:
+    """S6, co-located form: store an artifact hash-bucketed and sorted by ``key``.
+
+    Tables written with the same bucket count join on ``key`` without any shuffle (the
+    scan reports its bucketing to the planner). The table is registered in the session
+    catalog over files in ``path`` (a shared folder).
+    """
+    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table_name))
+
+
+def read_bucketed_artifact(spark: SparkSession, table_name: str) -> DataFrame:
+    return spark.table(table_name)
