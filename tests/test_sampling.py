@@ -98,3 +98,19 @@ def test_masked_nll_matches_python(spark):
     for h, v in means.items():
         assert abs(got[h] - v) < 1e-9
     assert abs(got[None] - sum(means.values()) / 2) < 1e-9
+
+
+def test_map_model_isolates_failing_rows(spark):
+    from pyspark.sql import types as T
+
+    from tokenloom.operators.models import map_model
+
+    df = spark.createDataFrame([(i, [float(i)] if i % 4 else None) for i in range(12)], "id long, e array<double>")
+
+    def fn(model, pdf):
+        return [model * sum(e) for e in pdf["e"]]  # None -> TypeError
+
+    out = map_model(df, lambda: 2.0, fn, "y", T.DoubleType(), batch_rows=5).collect()
+    got = {r.id: (r.y, r.y_error is None) for r in out}
+    assert all(got[i] == (None, False) for i in range(0, 12, 4))
+    assert all(got[i] == (2.0 * i, True) for i in range(12) if i % 4)

@@ -102,18 +102,25 @@ def map_model(df: DataFrame, loader: Callable[[], object], fn: Callable[[object,
     """Run a user model over Arrow batches.
 
     ``loader()`` runs once per Python worker (the result is cached); ``fn(model, batch)``
-    returns one value per row. A failing batch is retried row by row so one bad row gives
-    a null result with its reason in ``<out>_error`` instead of failing the job.
+    returns one value per row, called on at most ``batch_rows`` rows at a time. A failing
+    batch is retried row by row so one bad row gives a null result with its reason in
+    ``<out>_error`` instead of failing the job.
     """
     key = f"model-{id(loader)}-{hashlib.sha1(pickle.dumps(loader.__qualname__)).hexdigest()}"
     schema = T.StructType(df.schema.fields + [T.StructField(out, out_type), T.StructField(f"{out}_error", T.StringType())])
 
+    def chunks(batches):
+        for pdf in batches:
+            step = batch_rows or max(len(pdf), 1)
+            for i in range(0, len(pdf), step):
+                yield pdf.iloc[i:i + step]
+
     def run(batches):
         model = _CACHE.get(key)
         if model is None:
             model = loader()
             _CACHE[key] = model
-        for pdf in batches:
+        for pdf in chunks(batches):
             try:
                 vals = list(fn(model, pdf))
                 errs = [None] * len(pdf)
@@ -128,6 +135,4 @@ def map_model(df: DataFrame, loader: Callable[[], object], fn: Callable[[object,
                         errs.append(f"{type(ex).__name__}: {ex}"[:200])
             yield pdf.assign(**{out: vals, f"{out}_error": errs})
 
-    if batch_rows:
-        df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     return df.mapInPandas(run, schema)

@@ -123,12 +123,15 @@ def split_bounds(n_rows: int, val_size: int = 500, mode: str = "disjoint") -> di
     """
     n, v = n_rows, val_size
     if mode == "overlap":
-        train = (0, _norm(n - v, n))
+        # Python slice rules, negative bounds wrap around: parity with the original
+        raw = {"train": (0, _norm(n - v, n)), "val": (_norm(n - 2 * v, n), _norm(n - v, n)),
+               "test": (_norm(n - v, n), n)}
     elif mode == "disjoint":
-        train = (0, _norm(n - 2 * v, n))
+        # bounds clamp at 0, so the three ranges always partition the rows
+        a, b = max(n - 2 * v, 0), max(n - v, 0)
+        raw = {"train": (0, a), "val": (a, b), "test": (b, n)}
     else:
         raise ValueError(f"unknown split mode {mode!r}")
-    raw = {"train": train, "val": (_norm(n - 2 * v, n), _norm(n - v, n)), "test": (_norm(n - v, n), n)}
     return {k: (lo, max(lo, hi)) for k, (lo, hi) in raw.items()}
 
 

@@ -47,9 +47,12 @@ def q_shards(spark, sf):
 
 
 def _split_sql(mode: str) -> str:
-    # bounds follow Python slice rules; N is read from the table
+    # overlap: Python slice rules (negative bounds wrap); disjoint: bounds clamp at 0
     train_end = "n - 500" if mode == "overlap" else "n - 1000"
-    norm = lambda e: f"(CASE WHEN ({e}) < 0 THEN greatest(({e}) + n, 0) ELSE least({e}, n) END)"
+    if mode == "overlap":
+        norm = lambda e: f"(CASE WHEN ({e}) < 0 THEN greatest(({e}) + n, 0) ELSE least({e}, n) END)"
+    else:
+        norm = lambda e: f"greatest({e}, 0)"
     return f"""WITH m AS ({D.MANIFEST}), c AS (SELECT count(*) AS n FROM m),
 b AS (SELECT 0 AS tr0, {norm(train_end)} AS tr1, {norm('n - 1000')} AS v0, {norm('n - 500')} AS v1,
              {norm('n - 500')} AS t0, n AS t1 FROM c)
