@@ -95,3 +95,25 @@ def test_prompt_rows_and_null_pad(spark):
                   T.null_pad_tokens(F.array(F.lit(1), F.lit(-1))).alias("n")).first()
     assert r.x == [[5, 6, 0, 0], [1024, 1024, 0, 0]]
     assert r.n == [1, None]
+
+
+def test_bpe_special_token_is_an_error_row_and_matches_bytes(spark):
+    from tokenloom.operators.models import EOT_STRING, SPECIAL_TOKEN_ERROR, bpe_decode, bpe_encode
+
+    df = spark.createDataFrame([("hé llo",), (f"a {EOT_STRING} b",), (None,)], "text string")
+    out = bpe_encode(df, "text").orderBy("text").collect()
+    by = {r.text: r for r in out}
+    assert by["hé llo"].tokens == [x + 2049 for x in list("hé llo".encode()) + [256]]
+    assert by[f"a {EOT_STRING} b"].tokens is None and by[f"a {EOT_STRING} b"].error == SPECIAL_TOKEN_ERROR
+    assert by[None].error == "null text"
+    dec = bpe_decode(bpe_encode(df, "text").filter("error is null"), "tokens").first()
+    assert dec.decoded == "hé llo" + EOT_STRING
+
+
+def test_prompt_rows_prefix_equals_encoded_text(spark):
+    df = spark.createDataFrame([([5, 6, 7],), ([9],)], "t array<int>")
+    rows = df.select("t", T.pad_rows(T.prompt_rows("t", 3), F.lit(4), 0).alias("x")).collect()
+    for r in rows:
+        assert r.x[0][: len(r.t)] == r.t
+        assert all(set(row[: len(r.t)]) == {1024} for row in r.x[1:])
+        assert all(len(row) == 4 for row in r.x)
