@@ -69,7 +69,7 @@ def test_cache_key_and_suffix(spark):
 
 def test_parse_request_absent_vs_null(spark):
     payloads = ['{"text": "hi"}', '{"text": "hi", "guidance": null}', '{"text": "hi", "top_k": 5, "top_p": 0.5}',
-                '{"guidance": 2}', '{"text": "a", "extra": 1}', "not json"]
+                '{"guidance": 2}', '{"text": "a", "extra": 1}', "not json", '{"text": "a", "guidance": "loud"}']
     df = spark.createDataFrame([(p,) for p in payloads], "p string")
     rows = df.select(R.parse_request("p").alias("r")).select("r.*").collect()
     assert (rows[0].guidance, rows[0].top_p, rows[0].top_k) == (3.0, 0.95, None)
@@ -78,6 +78,7 @@ def test_parse_request_absent_vs_null(spark):
     assert rows[3].error == "missing field: text"
     assert rows[4].error == "unknown field: extra"
     assert rows[5].error == "malformed payload"
+    assert rows[6].error == "invalid value for field: guidance" and rows[6].guidance is None
 
 
 def test_ui_knobs(spark):

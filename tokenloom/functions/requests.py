@@ -32,7 +32,11 @@ def parse_request(payload) -> Column:
     def field(name: str, typ: str, default):
         present = F.map_contains_key(m, name)
         dflt = F.lit(default).cast(typ)
-        return F.when(present, m[name].cast(typ)).otherwise(dflt)
+        # try_cast: a malformed value becomes an error row, not a failed job (ANSI mode)
+        return F.when(present, m[name].try_cast(typ)).otherwise(dflt)
+
+    def invalid(name: str, typ: str):
+        return F.map_contains_key(m, name) & m[name].isNotNull() & m[name].try_cast(typ).isNull()
 
     unknown = F.array_except(F.map_keys(m), F.array(*[F.lit(f) for f in REQUEST_FIELDS]))
     error = (
@@ -40,6 +44,8 @@ def parse_request(payload) -> Column:
         .when(~F.map_contains_key(m, "text"), F.lit("missing field: text"))
         .when(F.size(unknown) > 0, F.concat(F.lit("unknown field: "), F.array_join(F.array_sort(unknown), ",")))
     )
+    for name, typ in (("guidance", "double"), ("top_p", "double"), ("top_k", "int")):
+        error = error.when(invalid(name, typ), F.lit(f"invalid value for field: {name}"))
     ok = error.isNull()
     return F.struct(
         F.when(ok, m["text"]).alias("text"),

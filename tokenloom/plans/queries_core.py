@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tokenloom.plans import duck as D
 from tokenloom.plans.catalog import register
 from tokenloom.plans.training import training_batches
