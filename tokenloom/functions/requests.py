@@ -97,6 +97,15 @@ def choose_reference(choice, preset_url, upload_path, record_path) -> Column:
             .when(c == VOICE_CHOICES[2], col_of(record_path)))
 
 
+# Synthesised audio shorter than 400 ms at 24 kHz is rejected.
+MIN_SYNTH_SAMPLES = 9600
+
+
+def synthesis_error(n_samples, min_samples: int = MIN_SYNTH_SAMPLES) -> Column:
+    """Reason a synthesised waveform is rejected (shorter than 400 ms at 24 kHz), or null."""
+    return F.when(col_of(n_samples) < min_samples, F.lit("wav predicted is shorter than 400ms!"))
+
+
 def cap_samples(n_samples, sample_rate, seconds: int = MAX_REFERENCE_SECONDS) -> Column:
     """Keep at most the first ``seconds`` of an upload (in samples)."""
     return F.least(col_of(n_samples), col_of(sample_rate) * seconds)

@@ -130,6 +130,11 @@ def generation_budget(prompt_len, max_new: int, block: int) -> Column:
     return F.least(t + max_new, F.lit(block)) - t
 
 
+def budget_error(budget) -> Column:
+    """L4: a prompt that leaves no room to generate is an error."""
+    return F.when(col_of(budget) <= 0, F.lit("Prompt is too long to generate more tokens"))
+
+
 def deinterleave(tokens, eoa: int = STAGE2.eoa) -> tuple[Column, Column]:
     """Split a flat sequence by value into (text, [band0, band1]).
 

@@ -30,7 +30,7 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     "P11": ("functions.requests.validation_error / cut_text", ["validate_requests"]),
     "P12": ("functions.requests.is_long_text", ["validate_requests"]),
     "P13": ("functions.requests.choose_reference", ["choose_reference"]),
-    "P14": ("duration projection + filter", ["durations"]),
+    "P14": ("duration projection + filter, functions.requests.synthesis_error", ["durations", "resampled_audio"]),
     "P15": ("functions.requests.cap_samples", ["durations"]),
     "P16": ("functions.text.infer_format", ["infer_format"]),
     "P17": ("operators.vectors.check_embedding_dims", ["embedding_dims"]),

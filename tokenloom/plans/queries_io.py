@@ -154,10 +154,15 @@ def q_audio_files(spark, sf):
     return _audio(spark, sf).select("key", "sample_rate", "channels", "n_samples")
 
 
-@register("resampled_audio", f"SELECT {D.key()} AS key, (strlen(text) * 3 + 1) // 2 AS n_samples FROM documents")
+@register("resampled_audio", f"""SELECT {D.key()} AS key, (strlen(text) * 3 + 1) // 2 AS n_samples,
+  CASE WHEN (strlen(text) * 3 + 1) // 2 < 9600 THEN 'wav predicted is shorter than 400ms!' END AS error
+FROM documents""")
 def q_resampled_audio(spark, sf):
+    from tokenloom.functions.requests import synthesis_error
+
     r = AU.resample_audio(_audio(spark, sf), 24000, "first")
-    return r.select("key", F.size("wave").cast("long").alias("n_samples"))
+    n = F.size("wave").cast("long")
+    return r.select("key", n.alias("n_samples"), synthesis_error(n).alias("error"))
 
 
 @register("trimmed_audio")

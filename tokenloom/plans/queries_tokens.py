@@ -182,14 +182,17 @@ def q_cropped_context(spark, sf):
 
 @register("take_until_eoa", f"""SELECT g.pos, CASE WHEN list_position(g.tokens, 2048) IS NOT NULL
     THEN g.tokens[1:list_position(g.tokens, 2048)] ELSE g.tokens END AS tokens,
-  least(len(t.tokens) + {MAX_NEW}, {CTX}) - len(t.tokens) AS budget
+  least(len(t.tokens) + {MAX_NEW}, {CTX}) - len(t.tokens) AS budget,
+  CASE WHEN least(len(t.tokens) + {MAX_NEW}, {CTX}) - len(t.tokens) <= 0
+       THEN 'Prompt is too long to generate more tokens' END AS budget_error
 FROM ({_GEN}) g JOIN (SELECT doc_id AS pos, {D.byte_tokens(D.normalize('text'))} AS tokens FROM documents) t USING (pos)""")
 def q_take_until_eoa(spark, sf):
     g = TB.generated_tokens(spark, sf)
     m = TB.manifest(spark, sf).select("key", "pos")
     t = TB.text_token_artifact(spark, sf).join(m, "key").select("pos", F.size("tokens").cast("long").alias("prompt_len"))
-    return g.join(t, "pos").select("pos", T.take_until("tokens", STAGE1.eoa).alias("tokens"),
-                                   T.generation_budget("prompt_len", MAX_NEW, CTX).alias("budget"))
+    budget = T.generation_budget("prompt_len", MAX_NEW, CTX)
+    return g.join(t, "pos").select("pos", T.take_until("tokens", STAGE1.eoa).alias("tokens"), budget.alias("budget"),
+                                   T.budget_error(budget).alias("budget_error"))
 
 
 @register("marker_masks", f"""SELECT pos, list_transform(range(1, len(tokens) + 1), lambda i:
