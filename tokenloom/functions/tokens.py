@@ -74,13 +74,16 @@ def n_frames(codes) -> Column:
     return F.size(col_of(codes)[0])
 
 
-def stage1_input(text, codes, width, layout: TokenLayout = STAGE1, max_len: int | None = None) -> Column:
+def stage1_input(text, codes, width, layout: TokenLayout = STAGE1, max_len: int | None = None,
+                 interleaved=None) -> Column:
     """``text ++ interleaved`` right-padded with end-of-audio to ``width``.
 
     With ``max_len`` (L2) only the first ``max_len`` columns are built: every part is cut
     before concatenation, so work per row is bounded by ``max_len`` whatever the text length.
+    ``interleaved`` may name a column already holding T1 of ``codes``.
     """
-    t, inter = col_of(text), interleave(codes, 2, layout.codebook_size)
+    t = col_of(text)
+    inter = col_of(interleaved) if interleaved is not None else interleave(codes, 2, layout.codebook_size)
     pad = _lit(width) - F.size(t) - 2 * n_frames(codes)
     if max_len is None:
         return F.concat(t, inter, repeat(layout.eoa, pad))
@@ -88,9 +91,11 @@ def stage1_input(text, codes, width, layout: TokenLayout = STAGE1, max_len: int
     return F.slice(F.concat(F.slice(t, 1, L), F.slice(inter, 1, L), repeat(layout.eoa, F.least(pad, L))), 1, L)
 
 
-def stage1_target(text, codes, width, layout: TokenLayout = STAGE1, max_len: int | None = None) -> Column:
+def stage1_target(text, codes, width, layout: TokenLayout = STAGE1, max_len: int | None = None,
+                  interleaved=None) -> Column:
     """Next-token targets ``-1*(len(text)-1) ++ interleaved ++ [eoa] ++ -1...`` to ``width``."""
-    t, inter = col_of(text), interleave(codes, 2, layout.codebook_size)
+    t = col_of(text)
+    inter = col_of(interleaved) if interleaved is not None else interleave(codes, 2, layout.codebook_size)
     ign = layout.loss_ignore
     lead = F.size(t) - 1
     pad = _lit(width) - F.size(t) - 2 * n_frames(codes)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.functions.tokens import pad_codes, pad_right, stage1_input, stage1_target
+from tokenloom.functions.tokens import interleave, pad_codes, pad_right, stage1_input, stage1_target
 from tokenloom.layout import STAGE1, TokenLayout
 
 
@@ -35,12 +35,13 @@ def collate(samples: DataFrame, batch: str = "batch_id", layout: TokenLayout = S
         .withColumn("_tl_max_frames", F.max(c).over(w))
         .withColumn("_tl_max_seq", F.max(t + 2 * c).over(w))
         .withColumn("_tl_max_emb", F.max(F.size(embedding)).over(w))
+        .withColumn("_tl_inter", interleave(codes, 2, layout.codebook_size))  # shared by input and target
     )
     return shaped.select(
         *[x for x in samples.columns if x not in (text, codes, embedding)],
         pad_right(text, F.col("_tl_max_text"), 0).alias("text"),
         pad_right(embedding, F.col("_tl_max_emb"), F.lit(0.0).cast("float")).alias("embedding"),
         pad_codes(codes, F.col("_tl_max_frames"), layout.codebook_size).alias("codes"),
-        stage1_input(text, codes, F.col("_tl_max_seq"), layout, max_len).alias("input"),
-        stage1_target(text, codes, F.col("_tl_max_seq"), layout, max_len).alias("target"),
+        stage1_input(text, codes, F.col("_tl_max_seq"), layout, max_len, "_tl_inter").alias("input"),
+        stage1_target(text, codes, F.col("_tl_max_seq"), layout, max_len, "_tl_inter").alias("target"),
     )
