@@ -43,9 +43,21 @@ def test_every_substitution(spark):
 
 
 def test_parent_dirs(spark):
-    df = spark.createDataFrame([("data/wav/a.wav",), ("/x/y/z",), ("a",)], "p string")
+    import os
+
+    def walk(p):  # independent statement: repeated dirname until '/' or ''
+        out = []
+        while True:
+            p = os.path.dirname(p)
+            if p == "/" or not p:
+                return out
+            out.append(p)
+
+    cases = ["data/wav/a.wav", "/x/y/z", "a", "a//b/c", "a/b/", "src3/17"]
+    df = spark.createDataFrame([(c,) for c in cases], "p string")
     got = [r.d for r in df.select(X.parent_dirs("p").alias("d")).collect()]
-    assert got == [["data/wav", "data"], ["/x/y", "/x"], []]
+    assert got[:3] == [["data/wav", "data"], ["/x/y", "/x"], []]
+    assert got == [walk(c) for c in cases]
 
 
 def test_extensions(spark):

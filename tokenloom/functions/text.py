@@ -96,14 +96,18 @@ ARTIFACT_KINDS = {
 
 
 def parent_dirs(path) -> Column:
-    """All ancestor directories, nearest first, excluding '/' and ''."""
-    parts = F.split(col_of(path), "/", -1)
-    n = F.size(parts)
-    prefixes = F.transform(
-        F.sequence(n - 1, F.lit(1), F.lit(-1)),
-        lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"),
+    """All ancestor directories, nearest first, excluding '/' and ''.
+
+    The k-th parent drops the last k slash-separated components (a run of slashes is one
+    separator; slashes inside the kept head stay as they are), like a repeated dirname.
+    """
+    p = col_of(path)
+    runs = F.size(F.split(p, "/+", -1)) - 1
+    parents = F.transform(
+        F.sequence(F.lit(1), F.greatest(runs, F.lit(1))),
+        lambda k: F.regexp_replace(p, F.concat(F.lit("(/+[^/]*){"), k.cast("string"), F.lit("}$")), F.lit("")),
     )
-    return F.when(n < 2, F.array().cast("array<string>")).otherwise(F.filter(prefixes, lambda d: d != ""))
+    return F.when(runs < 1, F.array().cast("array<string>")).otherwise(F.filter(parents, lambda d: d != ""))
 
 
 def result_name(text, ident) -> Column:

@@ -51,10 +51,11 @@ def q_artifact_paths(spark, sf):
                     X.artifact_path(b, "text", "key").alias("text_path"))
 
 
-@register("parent_dirs", f"""SELECT key, CASE WHEN len(parts) < 2 THEN []::VARCHAR[] ELSE
-  list_filter(list_transform(range(len(parts) - 1, 0, -1), lambda i: array_to_string(parts[1:i], '/')),
+@register("parent_dirs", f"""SELECT key, CASE WHEN n < 1 THEN []::VARCHAR[] ELSE
+  list_filter(list_transform(range(1, n + 1), lambda k: regexp_replace(p, '(/+[^/]*){{' || k || '}}$', '')),
               lambda d: d <> '') END AS parents
-FROM (SELECT key, string_split('{BASE}/wav/' || key || '.wav', '/') AS parts FROM ({D.MANIFEST}))""")
+FROM (SELECT key, p, len(regexp_split_to_array(p, '/+')) - 1 AS n
+      FROM (SELECT key, '{BASE}/wav/' || key || '.wav' AS p FROM ({D.MANIFEST})))""")
 def q_parent_dirs(spark, sf):
     m = TB.manifest(spark, sf)
     return m.select("key", X.parent_dirs(F.concat(F.lit(f"{BASE}/wav/"), F.col("key"), F.lit(".wav"))).alias("parents"))
