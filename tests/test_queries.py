@@ -48,3 +48,13 @@ def test_entry_smoke(spark):
 def test_rows_only_queries_run(spark):
     for name in sorted(set(E.queries()) - set(E.oracle_sql())):
         assert E.queries()[name](spark, SF001).count() >= 0
+
+
+@pytest.mark.parametrize("name", ["training_batches", "fixed_batches", "positions_by_length", "shuffled_batches",
+                                  "length_sorted_batches", "merged_rank_lists", "prompt_batches", "batch_shapes"])
+def test_position_queries_with_many_buckets(spark, con, name, monkeypatch):
+    """Force the multi-bucket path of dense positions (normally only above 200k rows)."""
+    from tokenloom.operators import position
+
+    monkeypatch.setattr(position, "ROWS_PER_BUCKET", 37)
+    test_query_matches_oracle(spark, con, name)
