@@ -65,7 +65,7 @@ def read_audio(spark: SparkSession, path: str, glob: str = "*.wav") -> DataFrame
             for p, content in zip(pdf["path"], pdf["content"]):
                 try:
                     rate, ch, x = _decode_wav(bytes(content))
-                    out.append((p, rate, ch, x.shape[1], [row.tolist() for row in x], None))
+                    out.append((p, rate, ch, x.shape[1], list(x), None))  # numpy rows: Arrow converts in bulk
                 except Exception as ex:  # noqa: BLE001
                     out.append((p, None, None, None, None, f"{type(ex).__name__}: {ex}"[:200]))
             yield pd.DataFrame(out, columns=[f.name for f in AUDIO_SCHEMA.fields])
@@ -200,9 +200,9 @@ def resample_audio(df: DataFrame, target_rate: int, channel_mode: str = "first",
                 if chans is None or r is None:
                     res.append(None)
                     continue
-                arr = np.asarray([np.asarray(c, dtype=np.float32) for c in chans])
+                arr = np.stack([np.asarray(c, dtype=np.float32) for c in chans])
                 mono = arr[0] if channel_mode == "first" else arr.mean(axis=0)
-                res.append(resample(mono, int(r), target_rate).tolist())
+                res.append(resample(mono, int(r), target_rate))
             yield pdf.assign(**{out: res})
 
     return df.mapInPandas(run, schema)
@@ -220,7 +220,7 @@ def trim_audio(df: DataFrame, wave_col: str = "wave", top_db: float = 20.0) -> D
             for x in pdf[wave_col]:
                 a = np.asarray(x if x is not None else [], dtype=np.float32)
                 lo, hi = trim_silence(a, top_db)
-                waves.append(a[lo:hi].tolist())
+                waves.append(a[lo:hi])
                 s0.append(lo)
                 s1.append(hi)
             rest = pdf.drop(columns=[wave_col])
@@ -248,7 +248,7 @@ def partial_mels(df: DataFrame, wave_col: str = "wave", key: str = "key", rate:
                     a = np.pad(a, (0, stop - len(a)))
                 mel = mel_frames(a)
                 for i, s in enumerate(starts):
-                    rows.append((k, i, int(mel.shape[0]), len(a), mel[s:s + PARTIAL_FRAMES].tolist()))
+                    rows.append((k, i, int(mel.shape[0]), len(a), list(mel[s:s + PARTIAL_FRAMES])))
             yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
 
     return df.mapInPandas(run, schema)
@@ -272,7 +272,7 @@ def mel_spectrogram(df: DataFrame, wave_col: str = "wave", key: str = "key") ->
             rows = []
             for k, x in zip(pdf[key], pdf[wave_col]):
                 m = mel_frames(np.asarray(x if x is not None else [], dtype=np.float32))
-                rows.append((k, int(m.shape[0]), int(m.shape[1]), m.tolist()))
+                rows.append((k, int(m.shape[0]), int(m.shape[1]), list(m)))
             yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
 
     return df.mapInPandas(run, schema)
