@@ -69,3 +69,20 @@ def test_length_sorted_batches_tie_break_by_pos(spark):
     got = P.length_sorted_batches(df, 2, "length").orderBy("sorted_pos").collect()
     assert [r.pos for r in got] == [3, 1, 4, 0, 2]
     assert [r.batch_id for r in got] == [0, 0, 1, 1, 2]
+
+
+def test_bucket_search_equals_tree(spark):
+    rows = [(i % 50, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "v long, id long")
+    bounds = sorted({(r[0], r[1]) for r in random.Random(4).sample(rows, 300)})
+    got = df.select("v", "id", P._bucket_tree(["v", "id"], bounds).alias("t"),
+                    P._bucket_search(["v", "id"], bounds).alias("s")).collect()
+    assert all(r.t == r.s for r in got)
+    import bisect
+    assert all(r.s == bisect.bisect_right(bounds, (r.v, r.id)) for r in got)
+
+
+def test_with_position_beyond_tree_size(spark):
+    df = spark.range(0, 20000).select(((F.col("id") * 7919) % 20000).alias("k"))
+    pos = P.with_position(df, ["k"], out="p", n_buckets=600)
+    assert {r.k: r.p for r in pos.collect()} == {k: k for k in range(20000)}

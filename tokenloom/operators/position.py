@@ -3,10 +3,11 @@
 Dense global positions are the one operator every shard, split and batch depends on,
 so they are computed without a single-partition window:
 
-1. a bounded sample of the order key (about ``SAMPLE_PER_BUCKET`` rows per bucket) is
-   collected and cut into ``b`` ranges; the boundaries become literals in a bucket
-   expression, so every evaluation of the plan (retries, reused branches) assigns the
-   same bucket to a row;
+1. a bounded sample of the order key (up to ``SAMPLE_PER_BUCKET`` rows per bucket, at
+   most ``MAX_SAMPLE_ROWS``) is collected and cut into ``b`` ranges; the boundaries become
+   literals in a bucket expression (a compiled comparison tree up to 256 buckets, a
+   binary search over literal arrays beyond), so every evaluation of the plan (retries,
+   reused branches) assigns the same bucket to a row;
 2. because the order ends in a unique column, a key value that holds a third of the
    rows is still split over many buckets;
 3. per-bucket row counts (``b`` numbers) give prefix offsets, also literals;
@@ -21,8 +22,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_PER_BUCKET = 64
+MAX_SAMPLE_ROWS = 1_000_000  # bound on the sample collected to the driver
 ROWS_PER_BUCKET = 200_000
-MAX_BUCKETS = 2048
+MAX_BUCKETS = 16384
+TREE_MAX_BUCKETS = 256  # larger comparison trees no longer compile into generated code
 
 
 def _cols(order) -> list[Column]:
@@ -46,8 +49,11 @@ def _less_than(keys: list[str], bound: tuple) -> Column:
     return cond
 
 
-def _bucket_of(keys: list[str], bounds: list[tuple]) -> Column:
-    """Balanced comparison tree: bucket i holds ``bounds[i-1] <= keys < bounds[i]``."""
+def _bucket_tree(keys: list[str], bounds: list[tuple]) -> Column:
+    """Balanced comparison tree: bucket i holds ``bounds[i-1] <= keys < bounds[i]``.
+
+    Compiled by whole-stage codegen; used up to ``TREE_MAX_BUCKETS`` buckets.
+    """
     def build(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
@@ -56,6 +62,35 @@ def _bucket_of(keys: list[str], bounds: list[tuple]) -> Column:
     return build(0, len(bounds))
 
 
+def _bucket_search(keys: list[str], bounds: list[tuple]) -> Column:
+    """Same bucket as :func:`_bucket_tree` by binary search over literal boundary arrays:
+    ``log2(b)`` steps of an ``aggregate``, so the plan stays small for thousands of buckets."""
+    nb = len(bounds)
+    cols = [F.array(*[F.lit(b[j]) for b in bounds]) for j in range(len(keys))]
+
+    def less(mid: Column) -> Column:
+        cond = None
+        for j in reversed(range(len(keys))):
+            bj, c = F.element_at(cols[j], mid + 1), F.col(keys[j])
+            cond = (c < bj) if cond is None else ((c < bj) | ((c == bj) & cond))
+        return cond
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        return F.when(lo >= hi, acc).otherwise(
+            F.when(less(mid), F.struct(lo.alias("lo"), mid.alias("hi")))
+            .otherwise(F.struct((mid + 1).alias("lo"), hi.alias("hi"))))
+
+    init = F.struct(F.lit(0).alias("lo"), F.lit(nb).alias("hi"))
+    steps = max(1, math.ceil(math.log2(nb + 1)))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+
+
+def _bucket_of(keys: list[str], bounds: list[tuple]) -> Column:
+    return _bucket_tree(keys, bounds) if len(bounds) < TREE_MAX_BUCKETS else _bucket_search(keys, bounds)
+
+
 def with_position(df: DataFrame, order, out: str = "pos", n_buckets: int | None = None) -> DataFrame:
     """O1: add a dense 0-based position ``out`` following ``order``.
 
@@ -70,7 +105,8 @@ def with_position(df: DataFrame, order, out: str = "pos", n_buckets: int | None
         n_buckets = max(1, min(MAX_BUCKETS, math.ceil(n_rows / ROWS_PER_BUCKET), 4 * default_ranges(df)))
     bounds: list[tuple] = []
     if n_buckets > 1 and n_rows > 0:
-        frac = min(1.0, SAMPLE_PER_BUCKET * n_buckets / n_rows)
+        per_bucket = max(8, min(SAMPLE_PER_BUCKET, MAX_SAMPLE_ROWS // n_buckets))
+        frac = min(1.0, per_bucket * n_buckets / n_rows)
         sample = sorted(tuple(r) for r in tagged.select(*names).sample(fraction=frac, seed=17).collect())
         step = len(sample) / n_buckets
         bounds = sorted({sample[int(step * (i + 1))] for i in range(n_buckets - 1) if int(step * (i + 1)) < len(sample)})
