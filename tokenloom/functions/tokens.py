@@ -39,9 +39,16 @@ def shift_ids(arr, offset) -> Column:
 
 
 def utf8_bytes(text) -> Column:
-    """UTF-8 byte values (0..255) of a string: ``encode`` -> ``hex`` -> 2-digit groups -> ``conv``."""
-    hexed = F.hex(F.encode(col_of(text), "UTF-8"))
-    return F.transform(F.regexp_extract_all(hexed, F.lit(".."), 0), lambda h: F.conv(h, 16, 10).cast("int"))
+    """UTF-8 byte values (0..255) of a string.
+
+    The UTF-8 bytes are decoded as ISO-8859-1, which maps every byte to the one character
+    with that code point; ``split(.., '')`` then yields one character per byte and
+    ``ascii`` its code point. Measured 2x faster than hex digits + ``conv``.
+    """
+    latin1 = F.decode(F.encode(col_of(text), "UTF-8"), "ISO-8859-1")
+    chars = F.split(latin1, "", -1)
+    return F.when(F.length(latin1) == 0, F.array().cast("array<int>")).otherwise(
+        F.transform(chars, lambda ch: F.ascii(ch)))
 
 
 def byte_tokens(text, layout: TokenLayout = STAGE1) -> Column:
