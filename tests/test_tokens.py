@@ -117,3 +117,10 @@ def test_prompt_rows_prefix_equals_encoded_text(spark):
         assert r.x[0][: len(r.t)] == r.t
         assert all(set(row[: len(r.t)]) == {1024} for row in r.x[1:])
         assert all(len(row) == 4 for row in r.x)
+
+
+def test_utf8_bytes_all_planes(spark):
+    cases = ["", "a", "\x00\x7f", "é€", "a😀b", "\U0010FFFF", "日本語テキスト"]
+    df = spark.createDataFrame([(c,) for c in cases], "s string")
+    got = [r.b for r in df.select(T.utf8_bytes("s").alias("b")).collect()]
+    assert got == [list(c.encode("utf-8")) for c in cases]
