@@ -69,6 +69,12 @@ def test_extensions(spark):
     assert got2 == ["./enhanced/a.b_e.wav", "./enhanced/.hidden_e", "./enhanced/b_e."]
 
 
+def test_result_name_fallback(spark):
+    df = spark.createDataFrame([("hello big world of speech synthesis", "7"), (None, "8")], "t string, i string")
+    got = [r.n for r in df.select(X.result_name("t", "i").alias("n")).collect()]
+    assert got == ["synth_hello_big_world_of_speech_7", "synth_8"]
+
+
 def test_cache_key_and_suffix(spark):
     import hashlib
     df = spark.createDataFrame([("http://h/v.flac",), ("local/p.wav",), (None,)], "u string")

@@ -111,11 +111,12 @@ def parent_dirs(path) -> Column:
 
 
 def result_name(text, ident) -> Column:
-    """P5: ``synth_`` + first 25 chars of text (spaces -> '_') + '_' + id."""
-    return F.concat(
-        F.lit("synth_"), F.substring(F.replace(col_of(text), F.lit(" "), F.lit("_")), 1, 25), F.lit("_"),
-        col_of(ident).cast("string"),
-    )
+    """P5: ``synth_`` + first 25 chars of text (spaces -> '_') + '_' + id; ``synth_<id>`` when
+    there is no text to use."""
+    i = col_of(ident).cast("string")
+    with_text = F.concat(F.lit("synth_"), F.substring(F.replace(col_of(text), F.lit(" "), F.lit("_")), 1, 25),
+                         F.lit("_"), i)
+    return F.coalesce(with_text, F.concat(F.lit("synth_"), i))
 
 
 def file_extension(path) -> Column:
