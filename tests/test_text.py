@@ -105,3 +105,17 @@ def test_ui_knobs(spark):
     assert got == [round(0.9 + s / 100, 2) for s in range(11)]
     g = spark.range(1, 6).select(R.denormalise_guidance("id").alias("g")).collect()
     assert [r.g for r in g] == [1 + ((s - 1) * 2) / 4 for s in range(1, 6)]
+
+
+def test_sidecar_matches_python_json(spark):
+    import json
+
+    from tokenloom.sources.requests import json_string, sidecar_json
+
+    cases = ['a😀é"\\\n\x1f\x7f\b\f\r\t', "", None, "plain", "日本語", "\U0010FFFF"]
+    df = spark.createDataFrame([(c, c) for c in cases], "s string, t string")
+    got = [r.j for r in df.select(json_string("s").alias("j")).collect()]
+    assert got == [json.dumps(c) for c in cases]
+    side = [r.j for r in df.select(sidecar_json("s", "t").alias("j")).collect()]
+    assert side == [json.dumps({"speaker": c, "text": c}) for c in cases]
+    assert df.select(sidecar_json("s", "t", enabled=False).alias("j")).first().j is None

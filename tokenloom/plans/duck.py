@@ -63,3 +63,18 @@ EMB_ART = (f"SELECT {key('d.source', 'd.doc_id')} AS key, e.embedding FROM embed
 def unit(expr: str) -> str:
     """Uniform [0,1) from md5, matching ``hash_unit`` on the Spark side."""
     return f"(('0x' || substr(md5({expr}), 1, 13))::BIGINT::DOUBLE / {float(16 ** 13)!r})"
+
+
+# Python json.dumps (ensure_ascii) escaping of one character ``ch``
+_JSON_ESC = r"""CASE WHEN ch = '"' THEN '\"' WHEN ch = '\' THEN '\\' WHEN ch = chr(10) THEN '\n'
+  WHEN ch = chr(13) THEN '\r' WHEN ch = chr(9) THEN '\t' WHEN ch = chr(8) THEN '\b' WHEN ch = chr(12) THEN '\f'
+  WHEN unicode(ch) BETWEEN 32 AND 126 THEN ch
+  WHEN unicode(ch) < 65536 THEN '\u' || lpad(lower(printf('%x', unicode(ch))), 4, '0')
+  ELSE '\u' || lower(printf('%04x', 55296 + ((unicode(ch) - 65536) >> 10)))
+       || '\u' || lower(printf('%04x', 56320 + ((unicode(ch) - 65536) & 1023))) END"""
+
+
+def json_string(expr: str) -> str:
+    """Python ``json.dumps`` (ensure_ascii) of a string expression."""
+    body = f"array_to_string(list_transform(string_split({expr}, ''), lambda ch: {_JSON_ESC}), '')"
+    return f"""(CASE WHEN ({expr}) IS NULL THEN 'null' WHEN ({expr}) = '' THEN '""' ELSE '"' || {body} || '"' END)"""

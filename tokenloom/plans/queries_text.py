@@ -176,7 +176,8 @@ def q_choose_reference(spark, sf):
                          R.choose_reference("choice", "url", upload, record).alias("reference"))
 
 
-@register("sidecars", """SELECT conv_id, turn, CAST(json_object('speaker', role, 'text', text) AS VARCHAR) AS sidecar
+@register("sidecars", f"""SELECT conv_id, turn,
+  '{{"speaker": ' || {D.json_string('role')} || ', "text": ' || {D.json_string('text')} || '}}' AS sidecar
 FROM conversations""")
 def q_sidecars(spark, sf):
     c = TB.table(spark, sf, "conversations")

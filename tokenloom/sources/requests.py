@@ -47,8 +47,35 @@ def request_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("conv_id", "turn", payload.alias("payload"))
 
 
-def sidecar_json(speaker, text) -> F.Column:
-    """``{"speaker": ..., "text": ...}`` beside each result; null when either part is null."""
-    s = F.col(speaker) if isinstance(speaker, str) else speaker
-    t = F.col(text) if isinstance(text, str) else text
-    return F.when(s.isNotNull() & t.isNotNull(), F.to_json(F.struct(s.alias("speaker"), t.alias("text"))))
+def json_string(c) -> F.Column:
+    """A string as a JSON literal the way Python's ``json.dumps`` writes it by default
+    (``ensure_ascii``): quote, backslash and control characters escaped, every character
+    outside printable ASCII as ``\\uXXXX`` (surrogate pairs above U+FFFF); null -> ``null``."""
+    col = F.col(c) if isinstance(c, str) else c
+
+    def hex4(v):
+        return F.lpad(F.lower(F.hex(v)), 4, "0")
+
+    def esc(ch):
+        cp = F.ascii(ch)
+        off = cp - 0x10000
+        return (F.when(ch == '"', F.lit('\\"')).when(ch == "\\", F.lit("\\\\"))
+                .when(ch == "\n", F.lit("\\n")).when(ch == "\r", F.lit("\\r")).when(ch == "\t", F.lit("\\t"))
+                .when(ch == "\b", F.lit("\\b")).when(ch == "\f", F.lit("\\f"))
+                .when((cp >= 0x20) & (cp <= 0x7E), ch)
+                .when(cp < 0x10000, F.concat(F.lit("\\u"), hex4(cp)))
+                .otherwise(F.concat(F.lit("\\u"), hex4(F.lit(0xD800) + F.shiftright(off, 10)),
+                                    F.lit("\\u"), hex4(F.lit(0xDC00) + off.bitwiseAND(F.lit(0x3FF))))))
+
+    body = F.array_join(F.transform(F.split(col, "", -1), esc), "")
+    return (F.when(col.isNull(), F.lit("null")).when(F.length(col) == 0, F.lit('""'))
+            .otherwise(F.concat(F.lit('"'), body, F.lit('"'))))
+
+
+def sidecar_json(speaker, text, enabled: bool = True) -> F.Column:
+    """``{"speaker": ..., "text": ...}`` written beside each result, formatted as Python's
+    ``json.dump`` writes it (``", "`` / ``": "`` separators, ASCII-only escapes, nulls kept).
+    ``enabled=False`` (a model checkpoint path is missing) writes no sidecar (null)."""
+    if not enabled:
+        return F.lit(None).cast("string")
+    return F.concat(F.lit('{"speaker": '), json_string(speaker), F.lit(', "text": '), json_string(text), F.lit("}"))
