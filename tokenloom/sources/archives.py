@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import io
-import os
 import tarfile
-import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tokenloom.sources.fsio import open_input, write_atomic
+
 MEMBER_SCHEMA = T.StructType([
     T.StructField("archive", T.StringType()),
     T.StructField("member", T.StringType()),
@@ -39,10 +39,10 @@ def unpack_archives(spark: SparkSession, paths: DataFrame, path: str = "path", d
         for pdf in batches:
             rows = []
             for p in pdf[path]:
-                local = p[5:] if p.startswith("file:") else p
-                name = os.path.basename(local)[:-4] if local.endswith(".tar") else os.path.basename(local)
+                base = p.rstrip("/").rsplit("/", 1)[-1]
+                name = base[:-4] if base.endswith(".tar") else base
                 try:
-                    with tarfile.open(local, mode="r|*") as tf:
+                    with open_input(p) as stream, tarfile.open(fileobj=stream, mode="r|*") as tf:
                         for m in tf:
                             if not m.isfile():
                                 continue
@@ -63,16 +63,15 @@ def write_archives(df: DataFrame, out_dir: str, archive: str, member: str, conte
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
         name = str(pdf[archive].iloc[0])
-        p = os.path.join(out_dir, f"{name}.tar")
-        os.makedirs(out_dir, exist_ok=True)
-        tmp = f"{p}.{uuid.uuid4().hex}.part"  # renamed into place when complete
-        with tarfile.open(tmp, "w") as tf:
+        p = f"{out_dir.rstrip('/')}/{name}.tar"
+        buf = io.BytesIO()
+        with tarfile.open(fileobj=buf, mode="w") as tf:
             for m, c in zip(pdf[member], pdf[content]):
                 data = bytes(c) if c is not None else b""
                 info = tarfile.TarInfo(name=str(m))
                 info.size = len(data)
                 tf.addfile(info, io.BytesIO(data))
-        os.replace(tmp, p)
-        return pd.DataFrame({"archive": [name], "path": ["file:" + p], "n_members": [len(pdf)]})
+        write_atomic(p, buf.getvalue())  # moved into place when complete
+        return pd.DataFrame({"archive": [name], "path": [p if "://" in p else "file:" + p], "n_members": [len(pdf)]})
 
     return df.select(archive, member, content).groupBy(archive).applyInPandas(write, schema)

@@ -7,8 +7,6 @@ and rows. Only PCM WAV is decoded (stdlib ``wave``); other codecs are out of sco
 from __future__ import annotations
 
 import io
-import os
-import uuid
 import wave
 from collections.abc import Iterator
 
@@ -19,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tokenloom.operators.segments import PARTIAL_FRAMES, SAMPLES_PER_FRAME, frame_step
+from tokenloom.sources.fsio import write_atomic
 
 # Fixed values of the speaker-encoder front end: 40 mel bands, 25 ms window, 10 ms hop.
 MEL_BANDS = 40
@@ -77,7 +76,8 @@ def write_wavs(df: DataFrame, out_dir: str, key: str = "key", pcm: str = "pcm",
     """Sink: one 16-bit mono WAV per row at ``out_dir/<key>.wav``; returns ``(key, path)``.
 
     Runs as a distributed ``mapInPandas`` (each task writes its own rows) and is forced
-    by the caller's action; the files live in a shared folder.
+    by the caller's action. ``out_dir`` may be a local/NFS path or a remote URI
+    (``pyarrow.fs``); files are moved into place only when complete.
     """
     schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("path", T.StringType())])
 
@@ -85,19 +85,16 @@ def write_wavs(df: DataFrame, out_dir: str, key: str = "key", pcm: str = "pcm",
         for pdf in batches:
             paths = []
             for k, x, r in zip(pdf[key], pdf[pcm], pdf[rate]):
-                p = os.path.join(out_dir, f"{k}.wav")
-                os.makedirs(os.path.dirname(p), exist_ok=True)
+                p = f"{out_dir.rstrip('/')}/{k}.wav"
                 a = np.clip(np.asarray(x if x is not None else [], dtype=np.float64), -1.0, 1.0)
-                # write under a task-unique name, then rename: a retried or speculative
-                # task never leaves a half-written file behind
-                tmp = f"{p}.{uuid.uuid4().hex}.part"
-                with wave.open(tmp, "wb") as w:
+                buf = io.BytesIO()
+                with wave.open(buf, "wb") as w:
                     w.setnchannels(1)
                     w.setsampwidth(2)
                     w.setframerate(int(r))
                     w.writeframes((np.round(a * 32767.0)).astype("<i2").tobytes())
-                os.replace(tmp, p)
-                paths.append("file:" + p)
+                write_atomic(p, buf.getvalue())  # unique temp name, then move into place
+                paths.append(p if "://" in p else "file:" + p)
             yield pd.DataFrame({key: pdf[key], "path": paths})
 
     return df.select(key, pcm, rate).mapInPandas(run, schema)
@@ -255,10 +252,12 @@ def partial_mels(df: DataFrame, wave_col: str = "wave", key: str = "key", rate:
 
 
 def key_from_path(path_col: str, root: str) -> F.Column:
-    """``<root>/<key>.wav`` -> ``key``."""
-    prefix = "file:" + root.rstrip("/") + "/"
-    c = F.regexp_replace(F.col(path_col), "^file:/+", "file:/")
-    return F.regexp_replace(F.substring(c, len(prefix) + 1, 1 << 20), r"\.wav$", "")
+    """``<root>/<key>.wav`` -> ``key``, whatever scheme the listed path carries."""
+    tail = root.split("://", 1)[-1]
+    tail = tail.split("/", 1)[1] if "://" in root else tail  # drop the authority of a URI
+    tail = tail[5:] if tail.startswith("file:") else tail
+    tail = tail.strip("/")
+    return F.regexp_extract(F.col(path_col), r"\Q" + tail + r"\E/(.+)\.wav$", 1)
 
 
 def mel_spectrogram(df: DataFrame, wave_col: str = "wave", key: str = "key") -> DataFrame:
