@@ -43,3 +43,15 @@ def test_incremental_tokens_once_per_key(spark, tmp_path):
     got = read_artifact(spark, store, "txt")
     assert got.count() == m.count() == got.select("key").distinct().count()
     assert got.exceptAll(text_token_artifact(spark, SF001)).count() == 0
+
+
+def test_incremental_tokens_state_dedupe(spark, tmp_path):
+    m = manifest(spark, SF001)
+    src, store, ckpt = str(tmp_path / "in"), str(tmp_path / "store"), str(tmp_path / "ck")
+    write_jsonl(m.filter("pos < 80"), os.path.join(src, "a"))
+    incremental.stream_text_tokens(spark, os.path.join(src, "*"), store, ckpt, dedupe="state")
+    write_jsonl(m, os.path.join(src, "b"))
+    incremental.stream_text_tokens(spark, os.path.join(src, "*"), store, ckpt, dedupe="state")
+    got = read_artifact(spark, store, "txt")
+    assert got.count() == m.count() == got.select("key").distinct().count()
+    assert got.exceptAll(text_token_artifact(spark, SF001)).count() == 0

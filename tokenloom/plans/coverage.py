@@ -112,5 +112,6 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     # streaming
     "R1": ("streaming.requests.prepare_requests / stream_prepare_requests", ["stream_requests"]),
     "R2": ("streaming.requests.split_dead_letters", ["stream_dead_letters"]),
-    "R3": ("streaming.incremental.stream_text_tokens", ["stream_text_tokens"]),
+    "R3": ("streaming.incremental.stream_text_tokens (table or state dedupe)",
+           ["stream_text_tokens", "stream_text_tokens_state"]),
 }

@@ -266,3 +266,16 @@ def q_training_samples_bucketed(spark, sf):
         FS.write_bucketed_artifact(df, f"{kind}_{suffix}", os.path.join(base, kind), n)
     t = {k: FS.read_bucketed_artifact(spark, f"{k}_{suffix}") for k in arts}
     return assemble_samples(t["man"], t["txt"], t["emb"], t["tok"]).select("key", "pos", "text_tokens", "embedding", "codes")
+
+
+@register("stream_text_tokens_state", f"SELECT key, tokens FROM ({D.TEXT_ART})")
+def q_stream_text_tokens_state(spark, sf):
+    """R3 with keys deduplicated in the streaming state store instead of a store scan."""
+    work = FS.work_dir(spark, "incremental-state")
+    src, store, ckpt = os.path.join(work, "in"), os.path.join(work, "store"), os.path.join(work, "ckpt")
+    m = TB.manifest(spark, sf)
+    FS.write_jsonl(m.filter(F.pmod("pos", F.lit(2)) == 0), os.path.join(src, "drop0"))
+    incremental.stream_text_tokens(spark, os.path.join(src, "*"), store, ckpt, dedupe="state")
+    FS.write_jsonl(m, os.path.join(src, "drop1"))
+    incremental.stream_text_tokens(spark, os.path.join(src, "*"), store, ckpt, dedupe="state")
+    return FS.read_artifact(spark, store, "txt")

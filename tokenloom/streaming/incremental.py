@@ -17,10 +17,29 @@ def tokenise_batch(batch: DataFrame, store: str) -> None:
     write_artifact(tokens, store, "txt")
 
 
-def stream_text_tokens(spark: SparkSession, manifest_dir: str, store: str, checkpoint: str) -> None:
+def append_tokens(batch: DataFrame, store: str) -> None:
+    """``foreachBatch`` body for state-deduplicated input: tokenise and append."""
+    tokens = batch.select("key", byte_tokens(normalize_text("text")).alias("tokens"))
+    tokens.write.mode("append").parquet(f"{store.rstrip('/')}/txt")
+
+
+def stream_text_tokens(spark: SparkSession, manifest_dir: str, store: str, checkpoint: str,
+                       dedupe: str = "table") -> None:
     """Tokenise manifest JSON-lines files as they arrive; each file once (checkpoint),
-    each key once (anti join against the stored artifact table)."""
+    each key once.
+
+    ``dedupe="table"``: per micro-batch, first row per key by ``pos``, then an anti join
+    against the stored keys (reads only the key column of the store).
+    ``dedupe="state"``: keys seen so far live in the streaming state store
+    (``dropDuplicates``), so a batch never rescans the store; within one micro-batch the
+    kept duplicate is not chosen by ``pos``.
+    """
     stream = spark.readStream.schema(MANIFEST_SCHEMA).json(manifest_dir)
-    q = (stream.writeStream.foreachBatch(lambda b, i: tokenise_batch(b, store))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    if dedupe == "state":
+        w = stream.dropDuplicates(["key"]).writeStream.foreachBatch(lambda b, i: append_tokens(b, store))
+    elif dedupe == "table":
+        w = stream.writeStream.foreachBatch(lambda b, i: tokenise_batch(b, store))
+    else:
+        raise ValueError(f"unknown dedupe mode {dedupe!r}")
+    q = w.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
