@@ -121,3 +121,25 @@ def test_bucketed_artifacts_join_without_shuffle(spark, tmp_path):
                                                   TB.code_artifact(spark, SF001)).count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_file_order_positions_across_files_and_splits(spark, tmp_path):
+    import json
+
+    d = tmp_path / "m"
+    d.mkdir()
+    expected = []
+    for f in range(3):
+        lines = [json.dumps({"key": f"f{f}/{i}", "text": "x" * (i % 37)}) for i in range(4000)]
+        (d / f"part{f}.json").write_text("\n".join(lines) + "\n", encoding="utf-8")
+        expected += [f"f{f}/{i}" for i in range(4000)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32768")  # many splits per file
+    try:
+        df = FS.read_jsonl(spark, str(d), schema="key string, text string", corrupt=False)
+        assert df.rdd.getNumPartitions() > 6
+        got = FS.with_file_order(df).select("key", "pos").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    by_pos = sorted(got, key=lambda r: r.pos)
+    assert [r.pos for r in by_pos] == list(range(len(expected)))
+    assert [r.key for r in by_pos] == expected

@@ -7,7 +7,8 @@ appears here.
 COVERAGE: dict[str, tuple[str, list[str]]] = {
     # sources and sinks
     "S1": ("sources.files.read_tsv_manifest", ["manifest_from_tsv"]),
-    "S2": ("sources.files.read_jsonl", ["manifest_jsonl", "stream_text_tokens"]),
+    "S2": ("sources.files.read_jsonl (+ with_file_order when no position is stored)",
+           ["manifest_jsonl", "stream_text_tokens"]),
     "S3": ("sources.files.write_jsonl", ["manifest_jsonl"]),
     "S4": ("sources.archives.unpack_archives (+ write_archives)", ["archive_members"]),
     "S5": ("sources.audio.read_audio (+ write_wavs sink)", ["audio_files"]),

@@ -57,6 +57,23 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = MANIFEST_SCHEMA, co
     return r.schema(schema).json(path)
 
 
+def with_file_order(df: DataFrame, out: str = "pos") -> DataFrame:
+    """S2 without a stored position: O1 over file order.
+
+    Rows are ordered by (file path, start of the split they were read from, read order
+    inside the task). File splits are packed into partitions out of offset order, but each
+    split is read front to back, so this triple is the line order of the files. The read
+    order comes from ``monotonically_increasing_id``, which is stable as long as the file
+    listing is; O1 turns the triple into dense positions.
+    """
+    from tokenloom.operators.position import with_position
+
+    tagged = df.select("*", F.col("_metadata.file_path").alias("_tl_file"),
+                       F.col("_metadata.file_block_start").alias("_tl_block"),
+                       F.monotonically_increasing_id().alias("_tl_seq"))
+    return with_position(tagged, ["_tl_file", "_tl_block", "_tl_seq"], out=out).drop("_tl_file", "_tl_block", "_tl_seq")
+
+
 def write_artifact(df: DataFrame, base: str, kind: str, key: str = "key") -> DataFrame:
     """Append the rows whose key is not stored yet to the ``kind`` table (idempotent).
 
