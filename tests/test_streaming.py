@@ -55,3 +55,14 @@ def test_incremental_tokens_state_dedupe(spark, tmp_path):
     got = read_artifact(spark, store, "txt")
     assert got.count() == m.count() == got.select("key").distinct().count()
     assert got.exceptAll(text_token_artifact(spark, SF001)).count() == 0
+
+
+def test_dead_letter_batch_replay_is_idempotent(spark, tmp_path):
+    req = request_payloads(spark, SF001)
+    batch = SR.prepare_requests(req, presets(spark))
+    out = str(tmp_path / "out")
+    SR.split_dead_letters(batch, 3, out)
+    SR.split_dead_letters(batch, 3, out)  # the same micro-batch replayed after a failure
+    ok, err = SR.read_outputs(spark, out, "ok"), SR.read_outputs(spark, out, "err")
+    assert ok.count() + err.count() == batch.count()
+    assert err.filter(F.col("error").isNull()).count() == 0 and ok.filter(F.col("error").isNotNull()).count() == 0
