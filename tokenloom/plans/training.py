@@ -33,9 +33,12 @@ def training_batches(spark: SparkSession, sf_dir: str, batch_size: int = 16, max
     txt = tables.text_token_artifact(spark, sf_dir, by_key=True)
     emb = tables.embedding_artifact(spark, sf_dir)
     tok = tables.code_artifact(spark, sf_dir, by_key=True)
+    # presence is decided on key-only projections; they are taken from the artifact forms
+    # without the key repartition (that exchange only pays off for the wide join)
     present = man
-    for art in (txt, emb, tok):
-        present = present.join(art.select("key"), "key", "left_semi")
+    for keys in (tables.text_token_artifact(spark, sf_dir, spread_rows=False).select("key"), emb.select("key"),
+                 tables.code_artifact(spark, sf_dir).select("key")):
+        present = present.join(keys, "key", "left_semi")
     rows = fixed_batches(with_position(present, ["pos"], out="row"), batch_size, pos="row")
     wide = assemble_samples(rows, txt, emb, tok)
     return collate(wide, max_len=max_len).select(

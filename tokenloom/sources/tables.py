@@ -69,14 +69,19 @@ def code_artifact(spark: SparkSession, sf_dir: str, by_key: bool = False) -> Dat
 
 
 def text_token_artifact(spark: SparkSession, sf_dir: str, layout: TokenLayout = STAGE1,
-                        by_key: bool = False) -> DataFrame:
+                        by_key: bool = False, spread_rows: bool = True) -> DataFrame:
     """``txt`` artifact: byte tokens of the whole normalised text, ``(key, tokens array<int>)``.
 
     ``by_key=True`` hash-partitions the raw text on ``key`` before tokenising: the shuffle
     a key join needs anyway then carries text (1 byte per token) instead of int arrays.
+    ``spread_rows=False`` skips :func:`spread` (for key-only uses, where there is no
+    per-row work to parallelise).
     """
     m = manifest(spark, sf_dir).select("key", "text")
-    m = m.repartition("key") if by_key else spread(m)
+    if by_key:
+        m = m.repartition("key")
+    elif spread_rows:
+        m = spread(m)
     return m.select("key", byte_tokens(normalize_text("text"), layout).alias("tokens"))
 
 
