@@ -10,11 +10,11 @@ from tokenloom.functions.text import normalize_text
 from tokenloom.layout import STAGE1, STAGE2
 from tokenloom.operators.aggregates import hierarchy_lengths
 from tokenloom.operators.collate import collate
-from tokenloom.operators.position import fixed_batches, length_sorted_batches, with_position
+from tokenloom.operators.position import length_sorted_batches
 from tokenloom.operators.sampling import double_batch, embedding_dropout
 from tokenloom.plans import duck as D
 from tokenloom.plans.catalog import register
-from tokenloom.plans.training import training_samples
+from tokenloom.plans.training import batched_samples
 from tokenloom.sources import tables as TB
 
 E2 = STAGE2.eoa  # the decode adapters split at 1024
@@ -65,8 +65,7 @@ SELECT batch_id, key, len(text_tokens || {D.interleave('codes')} || {D.rep('2048
     || {D.rep('-1', 'ms - len(text_tokens) - 2 * len(codes[1])')} AS target
 FROM w""")
 def q_collate_full(spark, sf):
-    s = fixed_batches(with_position(training_samples(spark, sf), ["pos"], out="row"), BATCH, pos="row")
-    c = collate(s.drop("text"), max_len=None)
+    c = collate(batched_samples(spark, sf, BATCH), max_len=None)
     return c.select("batch_id", "key", F.size("input").cast("long").alias("width"), "input", "target")
 
 

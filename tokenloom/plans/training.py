@@ -20,14 +20,12 @@ def training_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def training_batches(spark: SparkSession, sf_dir: str, batch_size: int = 16, max_len: int | None = 2048,
-                     ) -> DataFrame:
-    """Flagship: J1 -> O1 (dense row numbers) -> O4 -> T5 with L2 cut at ``max_len``.
+def batched_samples(spark: SparkSession, sf_dir: str, batch_size: int = 16) -> DataFrame:
+    """J1 samples with dense row numbers (O1) and fixed batch ids.
 
     Row numbers and batch ids are computed on a narrow ``(key, pos)`` projection of the
     rows that have all three artifacts (key-only semi joins); the wide artifacts are then
-    joined once on ``key`` (every side hash-partitioned on it) and shuffled once more by
-    batch id for collation: two shuffles of wide rows in total.
+    joined once on ``key``, every side hash-partitioned on it.
     """
     man = tables.manifest(spark, sf_dir).select("key", "pos")
     txt = tables.text_token_artifact(spark, sf_dir, by_key=True)
@@ -40,6 +38,15 @@ def training_batches(spark: SparkSession, sf_dir: str, batch_size: int = 16, max
                  tables.code_artifact(spark, sf_dir).select("key")):
         present = present.join(keys, "key", "left_semi")
     rows = fixed_batches(with_position(present, ["pos"], out="row"), batch_size, pos="row")
-    wide = assemble_samples(rows, txt, emb, tok)
-    return collate(wide, max_len=max_len).select(
+    return assemble_samples(rows, txt, emb, tok)
+
+
+def training_batches(spark: SparkSession, sf_dir: str, batch_size: int = 16, max_len: int | None = 2048,
+                     ) -> DataFrame:
+    """Flagship: J1 -> O1 (dense row numbers) -> O4 -> T5 with L2 cut at ``max_len``.
+
+    See :func:`batched_samples` for the join layout; one more shuffle by batch id feeds
+    collation, so wide rows cross the network twice.
+    """
+    return collate(batched_samples(spark, sf_dir, batch_size), max_len=max_len).select(
         "batch_id", "row", "pos", "key", "text", "embedding", "codes", "input", "target")
