@@ -86,3 +86,16 @@ def test_with_position_beyond_tree_size(spark):
     df = spark.range(0, 20000).select(((F.col("id") * 7919) % 20000).alias("k"))
     pos = P.with_position(df, ["k"], out="p", n_buckets=600)
     assert {r.k: r.p for r in pos.collect()} == {k: k for k in range(20000)}
+
+
+def test_with_position_null_keys_sort_first(spark):
+    rows = [(i, None if i % 5 == 0 else (i * 37) % 11) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, v long")
+    expect = {id_: p for p, (id_, _) in enumerate(sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0])))}
+    for nb in (1, 7, 300):
+        got = P.with_position(df, ["v", "id"], out="p", n_buckets=nb).collect()
+        assert {r.id: r.p for r in got} == expect, nb
+    s = spark.createDataFrame([(i, None if i % 4 == 0 else f"k{i % 9}") for i in range(100)], "id long, s string")
+    got = {r.id: r.p for r in P.with_position(s, ["s", "id"], out="p", n_buckets=5).collect()}
+    exp = {r.id: i for i, r in enumerate(s.orderBy(F.col("s").asc_nulls_first(), "id").collect())}
+    assert got == exp

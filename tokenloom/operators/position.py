@@ -94,12 +94,22 @@ def _bucket_of(keys: list[str], bounds: list[tuple]) -> Column:
 def with_position(df: DataFrame, order, out: str = "pos", n_buckets: int | None = None) -> DataFrame:
     """O1: add a dense 0-based position ``out`` following ``order``.
 
-    ``order`` must be total and non-null (end it with a unique column such as ``pos``).
+    ``order`` must be total (end it with a unique column such as ``pos``); null keys sort
+    first, as in an ascending Spark sort. Numeric and string keys are supported.
     Runs three small driver actions (row count, bounded sample, per-bucket counts).
     """
     keys = _cols(order)
-    names = [f"_tl_k{i}" for i in range(len(keys))]
-    tagged = df.select("*", *[k.alias(n) for k, n in zip(keys, names)])
+    raw = [f"_tl_r{i}" for i in range(len(keys))]
+    tagged = df.select("*", *[k.alias(n) for k, n in zip(keys, raw)])
+    # nulls sort first (ascending): each key becomes (not-null flag, value or a typed default)
+    names = []
+    for i, n in enumerate(raw):
+        dtype = tagged.schema[n].dataType
+        default = F.lit("").cast(dtype) if dtype.typeName() == "string" else F.lit(0).cast(dtype)
+        tagged = tagged.withColumn(f"_tl_k{2 * i}", F.col(n).isNotNull().cast("int")) \
+                       .withColumn(f"_tl_k{2 * i + 1}", F.coalesce(F.col(n), default))
+        names += [f"_tl_k{2 * i}", f"_tl_k{2 * i + 1}"]
+    tagged = tagged.drop(*raw)
     n_rows = tagged.count()
     if n_buckets is None:
         n_buckets = max(1, min(MAX_BUCKETS, math.ceil(n_rows / ROWS_PER_BUCKET), 4 * default_ranges(df)))
