@@ -196,8 +196,9 @@ def _probe(key, old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
     f.insert(k1[~seen], k2[~seen])
     # a hit may be a false positive: the exact table decides, and only then is the key put in
     out = new.assign(seen=seen, chain=None)
-    return pd.concat([out, pd.DataFrame({"shard": [key[0]], "chain": [f.dump()]})], ignore_index=True)[
-        ["shard", "k1", "k2", "docs", "lines", "keeper", "seen", "chain"]]
+    row = {"shard": [key[0]], "k1": [0], "k2": [0], "docs": [0], "lines": [0], "keeper": [0], "seen": [False],
+           "chain": [f.dump()]}  # whole numbers: a missing one would turn the key columns into floats
+    return pd.concat([out[list(row)], pd.DataFrame(row)], ignore_index=True) if len(out) else pd.DataFrame(row)
 
 
 def _adjust(key, old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
