@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 import numpy as np
@@ -103,3 +104,30 @@ def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> D
         raise RuntimeError("components did not settle")
     return cur.select(F.col("hi").alias("node"), F.col("lo").alias("comp")).unionAll(
         cur.select(F.col("lo").alias("node"), F.col("lo").alias("comp")).distinct())
+
+
+class WordHashes(dict):
+    """64-bit hash of a word (bytes), kept for the words seen last."""
+
+    MOST = 400_000
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.MOST:
+            self.clear()
+        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return h
+
+    def of(self, words: list) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
+    """64-bit hash of every run of ``k`` word hashes."""
+    n = len(words) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out = np.full(n, k, np.uint64)
+    for i in range(k):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + words[i:i + n]
+        out ^= out >> np.uint64(29)
+    return mix64(out)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import line_dedup, mixing, url_filter
+from tokenloom.llm import jaccard_join, language_id, line_dedup, mixing, packing, url_filter
 from tokenloom.llm.common import table
 
 QUERIES: dict = {}
@@ -95,3 +95,19 @@ FROM q LEFT JOIN f USING (page_id)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+@_register("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(spark, docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@_register("op8_best_fit_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_register("op9_jaccard_join")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
