@@ -6,7 +6,9 @@ import hashlib
 import uuid
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,3 +133,40 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
         out = out * np.uint64(0x9E3779B97F4A7C15) + words[i:i + n]
         out ^= out >> np.uint64(29)
     return mix64(out)
+
+
+def dense_counts(docs: DataFrame, size: int, count, segments: int = 64) -> np.ndarray:
+    """Sum over all texts of a count array of fixed ``size``; ``count(list of UTF-8 texts, array)`` adds a batch.
+
+    ``docs`` has the text in its first column. Each task sends its array in segments, which meet in
+    groups of 256 tasks, then of 256 groups; the driver receives ``size`` numbers whatever the input.
+    """
+    width = -(-size // segments)
+
+    def run(batches):
+        total = np.zeros(size, np.int64)
+        for b in batches:
+            count(texts_of(b.column(0)), total)
+        rows = np.pad(total, (0, width * segments - size)).reshape(segments, width)
+        part = TaskContext.get().partitionId() // 256
+        small = np.int32 if rows.max(initial=0) < 1 << 31 else np.int64
+        for i, r in enumerate(rows):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i], pa.int32()), pa.array([part], pa.int32()), pa.array([np.dtype(small).itemsize], pa.int32()),
+                 pa.array([r.astype(small).tobytes()], pa.binary())], names=["segment", "part", "width", "counts"])
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(width, np.int64)
+        for w, blob in zip(pdf["width"], pdf["counts"]):
+            total += np.frombuffer(blob, np.int32 if w == 4 else np.int64)
+        return pd.DataFrame({"segment": pdf["segment"].iloc[:1], "part": pdf["part"].iloc[:1] // 256,
+                             "width": [8], "counts": [total.tobytes()]})
+
+    kind = "segment int, part int, width int, counts binary"
+    d = docs.mapInArrow(run, kind)
+    for _ in range(2):
+        d = d.groupBy("segment", "part").applyInPandas(add, kind)
+    total = np.zeros((segments, width), np.int64)
+    for r in d.collect():
+        total[r["segment"]] += np.frombuffer(r["counts"], np.int64)
+    return total.ravel()[:size]

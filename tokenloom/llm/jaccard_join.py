@@ -17,18 +17,16 @@ The sketch has ``SKETCH`` counters whatever the corpus; a poor estimate costs ca
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import WordHashes, components, gram_hashes, id_of, mix64, stage, texts_of
+from tokenloom.llm.common import WordHashes, components, dense_counts, gram_hashes, id_of, mix64, stage, texts_of
 
 #: Production parameters: words in a shingle, and the threshold as a fraction.
 SHINGLE = 3
 SIMILARITY = (90, 100)
 SKETCH = 1 << 18
-SEGMENTS = 64
 HUBS = 2
 HUB_GROWTH = 8
 
@@ -47,37 +45,15 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def frequency_levels(docs: DataFrame, k: int) -> np.ndarray:
     """Binary logarithm of the number of documents per hash bucket, over all documents; SKETCH small integers."""
-    width = SKETCH // SEGMENTS
+    hashes = WordHashes()
 
-    def sketch(batches):
-        from pyspark import TaskContext
+    def count(texts, total):
+        for text in texts:
+            # the set's hashes are distinct but their buckets needn't be
+            np.add.at(total, (shingle_set(text, hashes, k) % np.uint64(SKETCH)).astype(np.int64), 1)
 
-        hashes, counts = WordHashes(), np.zeros(SKETCH, np.int64)
-        for b in batches:
-            for text in texts_of(b.column(1)):
-                # the set's hashes are distinct but their buckets needn't be
-                np.add.at(counts, (shingle_set(text, hashes, k) % np.uint64(SKETCH)).astype(np.int64), 1)
-        part = TaskContext.get().partitionId()
-        rows = counts.reshape(SEGMENTS, width)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(SEGMENTS), pa.int32()), pa.array([part // 256] * SEGMENTS, pa.int32()),
-             pa.array([r.tobytes() for r in rows], pa.binary())], names=["segment", "part", "counts"])
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(width, np.int64)
-        for blob in pdf["counts"]:
-            total += np.frombuffer(blob, np.int64)
-        return pd.DataFrame({"segment": pdf["segment"].iloc[:1], "part": pdf["part"].iloc[:1] // 256,
-                             "counts": [total.tobytes()]})
-
-    kind = "segment int, part int, counts binary"
-    d = _texts(docs).mapInArrow(sketch, kind)
-    for _ in range(2):
-        d = d.groupBy("segment", "part").applyInPandas(add, kind)
-    total = np.zeros((SEGMENTS, width), np.int64)
-    for r in d.collect():
-        total[r["segment"]] += np.frombuffer(r["counts"], np.int64)
-    return np.floor(np.log2(total.ravel() + 1)).astype(np.uint8)
+    total = dense_counts(docs.select(F.col("text").cast("string")), SKETCH, count)
+    return np.floor(np.log2(total + 1)).astype(np.uint8)
 
 
 def _signed(a: np.ndarray) -> pa.Array:

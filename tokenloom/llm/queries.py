@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import jaccard_join, language_id, line_dedup, mixing, packing, url_filter
+from tokenloom.llm import (
+    embedding_dedup, fingerprints, jaccard_join, language_id, line_dedup, lm_scoring, mixing, packing,
+    substring_dedup, url_filter)
 from tokenloom.llm.common import table
 
 QUERIES: dict = {}
@@ -111,3 +113,41 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op9_jaccard_join")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_register("op10_embedding_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_classes(spark, table(spark, sf_dir, "embeddings"))
+
+
+_SUBSTRING_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(ws) - 33)) AS i, ws FROM w WHERE len(ws) >= 35),
+k AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h FROM p),
+r AS (SELECT h FROM k GROUP BY h HAVING count(*) > 1),
+c AS (SELECT DISTINCT doc_id, i + o AS j FROM k JOIN r USING (h), range(0, 35) t(o)),
+g AS (SELECT doc_id, list(j) AS js FROM c GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(js), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN js IS NULL THEN ws ELSE
+    [ws[x] FOR x IN range(1, len(ws) + 1) IF NOT list_contains(js, x)] END, ' ')) AS kept_sha256
+FROM w LEFT JOIN g USING (doc_id)
+"""
+
+
+@_register("op2_substring_dedup", _SUBSTRING_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(spark, docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@_register("op4_fingerprints")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edits(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_register("op5_lm_scoring")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return lm_scoring.score_by_labels(spark, docs.select("doc_id", "text"), labels).select(
+        "doc_id", "n_tokens", "target_loss", "background_loss", "score")
