@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import re
 import uuid
 
 import numpy as np
@@ -123,6 +125,54 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+#: Bytes hashed at once; longer texts are taken in portions that end at white space.
+_PORTION = 1 << 18
+_BASE = 0x9E3779B97F4A7C15
+_SPACE = np.zeros(256, bool)
+_SPACE[list(WS.encode())] = True
+
+
+@functools.cache
+def _powers(n: int, base: int) -> np.ndarray:
+    """``base ** i`` modulo 2**64."""
+    return np.cumprod(np.r_[np.uint64(1), np.full(n, base, np.uint64)])
+
+
+def powers(n: int) -> tuple:
+    """Powers of the base and of its inverse, of at least ``n`` steps."""
+    size = max(_PORTION, 1 << n.bit_length())
+    return _powers(size, _BASE), _powers(size, pow(_BASE, -1, 1 << 64))
+
+
+def word_hashes(text: bytes | None) -> np.ndarray:
+    """64-bit hash of every word (run of bytes other than ASCII white space) of a UTF-8 text, in order."""
+    parts, at = [], 0
+    text = text or b""
+    while at < len(text):
+        end = at + _PORTION
+        if end < len(text):
+            m = _WHITE.search(text, end)
+            end = m.start() if m else len(text)
+        parts.append(_portion_hashes(np.frombuffer(text[at:end], np.uint8)))
+        at = end
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+_WHITE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _portion_hashes(b: np.ndarray) -> np.ndarray:
+    n = len(b)
+    edge = np.zeros(n + 2, np.int8)
+    edge[1:-1] = ~_SPACE[b]
+    change = np.diff(edge)
+    start, end = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+    up, down = powers(n)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
+    return mix64((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """64-bit hash of every run of ``k`` word hashes."""
     n = len(words) - k + 1

@@ -200,13 +200,8 @@ _OUT = T.StructType().add("lang_pred", "string").add("score", "double").add(
     "spans", T.ArrayType(T.StructType().add("first", "integer").add("words", "integer").add("lang", "string")))
 
 
-def predict(spark: SparkSession, docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``docs`` plus ``lang_pred``, ``score`` and ``spans`` (first word, number of words, language).
-
-    ``score`` is the share of the text's letters in ``lang_pred``; ties go to the language that is
-    first in code-point order. Null texts, texts without a letter, and any text under a model without languages are
-    ``und`` with score 0. Columns of the added names are replaced.
-    """
+def labeller(spark: SparkSession, model: LanguageModel):
+    """A function from a text column to a struct of ``lang_pred``, ``score`` and ``spans``."""
     held = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf(_OUT)
@@ -225,7 +220,17 @@ def predict(spark: SparkSession, docs: DataFrame, model: LanguageModel) -> DataF
             ("lang_pred", pa.string()), ("score", pa.float64()),
             ("spans", pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32()), ("lang", pa.string())])))]))
 
-    return (docs.withColumn("__l", run(F.col("text").cast("string")))
+    return lambda col: run(F.col(col).cast("string"))
+
+
+def predict(spark: SparkSession, docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """``docs`` plus ``lang_pred``, ``score`` and ``spans`` (first word, number of words, language).
+
+    ``score`` is the share of the text's letters in ``lang_pred``; ties go to the language that is
+    first in code-point order. Null texts, texts without a letter, and any text under a model without languages are
+    ``und`` with score 0. Columns of the added names are replaced.
+    """
+    return (docs.withColumn("__l", labeller(spark, model)("text"))
             .withColumns({c: F.col(f"__l.{c}") for c in ("lang_pred", "score", "spans")}).drop("__l"))
 
 
@@ -250,3 +255,11 @@ def _judge(m: LanguageModel, texts: list) -> list:
 def identify(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Train on the documents' own labels, predict all of them; adds ``held_out`` too."""
     return predict(spark, docs.withColumn("held_out", is_held_out(F.col("doc_id"))), train(spark, docs))
+
+
+def keep_identified(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose language can't be told; its columns, no others."""
+    model = train(spark, docs)
+    if not model.langs:  # nothing was learnt, so nothing is rejected but texts without a letter
+        model = LanguageModel(["any"], np.zeros((1, BUCKETS), np.float32), {})
+    return (docs.withColumn("__l", labeller(spark, model)("text")["lang_pred"]).where(F.col("__l") != UND).drop("__l"))

@@ -274,14 +274,16 @@ class LineIndex:
         return (self.postings.join(shared, ["k1", "k2"]).where("id <> keeper")
                 .groupBy("id").agg(F.collect_set(F.struct("k1", "k2")).alias("keys")))
 
-    def apply(self, docs: DataFrame) -> DataFrame:
-        """``docs`` plus ``n_lines``, ``n_dropped`` and ``kept_text``; columns of these names are replaced."""
+    def cut(self, docs: DataFrame) -> DataFrame:
+        """``docs`` plus a column ``__cut`` of ``n_lines``, ``n_dropped`` and ``kept_text``."""
         drops = self.drops().select(F.col("id").alias("__id"), F.col("keys").alias("__keys"))
         d = docs.withColumn("__id", id_of()).join(drops, "__id", "left")
-        done = _cut(F.col("text").cast("string"), F.col("__keys"))
-        return (d.withColumn("__cut", done).withColumns({
-            "n_lines": F.col("__cut.n_lines"), "n_dropped": F.col("__cut.n_dropped"),
-            "kept_text": F.col("__cut.kept_text")}).drop("__cut", "__keys", "__id"))
+        return d.withColumn("__cut", _cut(F.col("text").cast("string"), F.col("__keys"))).drop("__keys", "__id")
+
+    def apply(self, docs: DataFrame) -> DataFrame:
+        """``docs`` plus ``n_lines``, ``n_dropped`` and ``kept_text``; columns of these names are replaced."""
+        names = ("n_lines", "n_dropped", "kept_text")
+        return self.cut(docs).withColumns({n: F.col(f"__cut.{n}") for n in names}).drop("__cut")
 
 
 @F.arrow_udf(T.StructType().add("n_lines", "long").add("n_dropped", "long").add("kept_text", "string"))
@@ -313,3 +315,11 @@ def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     not take lines from each other; null ids are one document after all others. Other columns pass through.
     """
     return LineIndex.of(spark, docs).apply(docs)
+
+
+def rewrite_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with the kept lines as ``text`` (and ``n_chars`` to match); its columns, no others."""
+    d = LineIndex.of(spark, docs).cut(docs).withColumn("text", F.col("__cut.kept_text"))
+    if "n_chars" in docs.columns:
+        d = d.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return d.select(*docs.columns)

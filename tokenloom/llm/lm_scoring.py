@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenloom.llm.common import WordHashes, dense_counts, mix64, texts_of
+from tokenloom.llm.common import dense_counts, mix64, texts_of, word_hashes
 
 #: Production parameters.
 WORDS = 1 << 17
@@ -28,9 +28,9 @@ ALPHA = 0.5
 _START = np.uint64(0x51A27)
 
 
-def classes(text: bytes | None, hashes: WordHashes) -> tuple:
+def classes(text: bytes | None) -> tuple:
     """Word class, class of the word before, and pair class of each token."""
-    h = hashes.of((text or b"").lower().split())
+    h = word_hashes((text or b"").lower())
     before = np.empty_like(h)
     before[1:], before[:1] = h[:-1], _START
     pair = mix64(before * np.uint64(0x9E3779B97F4A7C15) ^ h) % np.uint64(PAIRS)
@@ -47,11 +47,9 @@ class BigramModel:
 
     @classmethod
     def train(cls, docs: DataFrame) -> BigramModel:
-        hashes = WordHashes()
-
         def count(texts, total):
             for text in texts:
-                word, left, pair = classes(text, hashes)
+                word, left, pair = classes(text)
                 for place, at in ((0, word), (WORDS, left), (2 * WORDS, pair)):
                     np.add.at(total, place + at, 1)
 
@@ -77,13 +75,11 @@ def score(spark: SparkSession, docs: DataFrame, target: DataFrame, background: D
     Columns of the added names are replaced.
     """
     models = spark.sparkContext.broadcast((BigramModel.train(target), BigramModel.train(background)))
-    hashes = WordHashes()
-
     @F.arrow_udf(_OUT)
     def run(text: pa.Array) -> pa.Array:
         n, losses = [], ([], [])
         for t in texts_of(text):
-            at = classes(t, hashes)
+            at = classes(t)
             n.append(len(at[0]))
             for m, out in zip(models.value, losses):
                 out.append(float(m.losses(*at).mean(dtype=np.float64)) if n[-1] else 0.0)

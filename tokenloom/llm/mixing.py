@@ -95,16 +95,17 @@ def apply_mix(spark: SparkSession, docs: DataFrame, seed: str = SEED) -> DataFra
 
     Rows that agree in id, source and size are interchangeable; of a set of them some may be taken and others not.
     """
-    size = n_words(F.col("text").cast("string"))
-    same = Window.partitionBy("__id", "__source", "__size")
-    d = docs.withColumns({"__id": id_of(), "__source": F.col("source"), "__size": size})
-    d = d.withColumn("__n", F.row_number().over(same.orderBy(F.xxhash64("text"))))
-    m = mix(spark, docs, seed).select(id_of().alias("__id"), F.col("source").alias("__source"),
-                                      F.col("size").alias("__size"), "taken")
-    m = m.withColumn("__n", F.row_number().over(same.orderBy(F.desc("taken")))).where("taken > 0").withColumnRenamed("taken", "__taken")
-    on = [d["__id"] == m["__id"], d["__source"].eqNullSafe(m["__source"]), d["__size"] == m["__size"], d["__n"] == m["__n"]]
+    keys = ["__id", "__source", "__none", "__size"]
+    named = lambda d: d.withColumns({"__id": id_of(), "__source": F.coalesce("source", F.lit("")),
+                                     "__none": F.col("source").isNull()})
+    taken = named(mix(spark, docs, seed)).groupBy("__id", "__source", "__none", F.col("size").alias("__size")).agg(
+        F.sort_array(F.collect_list("taken"), asc=False).alias("__all"))
+    d = named(docs).withColumn("__size", n_words(F.col("text").cast("string"))).join(taken, keys)
+    # rows that agree in id, source and size share their amounts out
+    d = d.withColumn("__taken", F.element_at("__all", F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("text")))))
+    d = d.where("__taken > 0")
     names = docs.columns
-    d = d.join(m, on).select(*[d[c] for c in names], d["__size"], "__taken")
+    d = d.select(*names, "__size", "__taken")
     times = F.floor(F.col("__taken") / F.col("__size")).cast("int")
     rest = (F.col("__taken") - times * F.col("__size")).cast("int")
     copies = F.concat(F.array_repeat(F.lit(0), times), F.array_repeat(rest, (rest > 0).cast("int")))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenloom.llm.common import WordHashes, gram_hashes, id_of, mix64, stage, texts_of, unstage
+from tokenloom.llm.common import gram_hashes, id_of, mix64, powers, stage, texts_of, unstage, word_hashes
 
 #: Production parameters.
 WINDOW = 35
@@ -32,9 +32,6 @@ GRAM = 8
 SUBTREE = 256
 ROWS_AT_ONCE = 8192
 
-_ODD = 0x9E3779B97F4A7C15
-_ODD_INVERSE = pow(_ODD, -1, 1 << 64)
-
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every run of ``width`` values."""
@@ -57,9 +54,8 @@ def spans(words: np.ndarray, window: int, gram: int) -> tuple:
     at = (_sliding_min(packed, window - gram + 1) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
     count = np.diff(np.append(first, n))
-    power = np.cumprod(np.r_[np.uint64(1), np.full(len(words), _ODD, np.uint64)])
-    back = np.cumprod(np.r_[np.uint64(1), np.full(len(words), _ODD_INVERSE, np.uint64)])
-    total = np.r_[np.uint64(0), np.cumsum(words * power[:-1])]
+    up, back = powers(len(words))
+    total = np.r_[np.uint64(0), np.cumsum(words * up[:len(words)])]
     length = count + window - 1
     span = mix64((total[first + length] - total[first]) * back[first] + length.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
                  + (at[first] - first).astype(np.uint64))
@@ -76,11 +72,10 @@ def all_spans(rows: DataFrame, window: int, gram: int) -> DataFrame:
     """``(run, span, rid, first int, count int)`` of every text."""
 
     def run(batches):
-        hashes = WordHashes()
         for b in batches:
             out: tuple = ([], [], [], [], [])
             for rid, text in zip(b.column(0).to_pylist(), texts_of(b.column(1))):
-                g, first, count, span = spans(hashes.of(text.split()), window, gram)
+                g, first, count, span = spans(word_hashes(text), window, gram)
                 if len(g):
                     for col, v in zip(out, (g.view(np.int64), span.view(np.int64), np.full(len(g), rid), first, count)):
                         col.append(v)
@@ -98,11 +93,10 @@ def _span_words(rows: DataFrame, reps: DataFrame, window: int) -> DataFrame:
     wanted = reps.groupBy("rid").agg(F.collect_list(F.struct("run", "span", "first", "count", "large", "alone")).alias("wanted"))
 
     def run(batches):
-        hashes = WordHashes()
         for b in batches:
             out = []
             for rid, text, wanted in zip(b.column(0).to_pylist(), texts_of(b.column(1)), b.column(2).to_pylist()):
-                words = hashes.of(text.split())
+                words = word_hashes(text)
                 for w in wanted:
                     w["rid"], w["words"] = rid, words[w["first"]:w["first"] + w["count"] + window - 1].tobytes()
                     out.append(w)
