@@ -1,21 +1,31 @@
-"""Training corpus pipeline: stages over ``documents``, each written as Parquet and read again."""
+"""Training corpus pipeline: stages over ``documents``, each written as Parquet and read again.
+
+Language ID drops texts whose language can't be told; line dedup keeps a long line in its first document only;
+the n-gram Jaccard join (five words, 0.8) keeps the first document of each class of near copies; mixing takes each source's
+share, some documents twice, some not; packing returns the pieces of all that is left.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tokenloom.llm import line_dedup, mixing
+from tokenloom.llm import jaccard_join, language_id, line_dedup, mixing, packing
 from tokenloom.llm.common import stage, table
 
 
+def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language."""
+    return language_id.keep_identified(spark, docs)
+
+
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document holds go; ``n_chars`` follows the text."""
-    out = line_dedup.dedup_lines(spark, docs)
-    kept = {"text": F.col("kept_text")}
-    if "n_chars" in docs.columns:
-        kept["n_chars"] = F.length("kept_text").cast("long")
-    return out.withColumns(kept).select(*docs.columns)
+    """Documents without the long lines that an earlier document holds; ``n_chars`` follows the text."""
+    return line_dedup.rewrite_texts(spark, docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each class of near copies."""
+    return jaccard_join.keep_one(spark, docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,9 +33,20 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.apply_mix(spark, docs)
 
 
-STAGES = [("line_dedup", dedup_lines), ("mix_sources", mix_sources)]
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces with their sequence and place."""
+    return packing.pack(spark, docs)
+
+
+STAGES = [
+    ("language_id", identify_languages),
+    ("line_dedup", dedup_lines),
+    ("jaccard_join", drop_near_copies),
+    ("mix_sources", mix_sources),
+    ("best_fit_packing", pack_sequences),
+]
 
-#: Language ID and similarity components aren't SQL-expressible.
+#: A trained model, similarity classes and a linear program aren't SQL-expressible.
 ORACLE_SQL = None
 
 
