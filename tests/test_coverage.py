@@ -1,9 +1,12 @@
 import __spark_entry__ as E
+from tokenloom.plans.catalog import QUERIES, load_all
 from tokenloom.plans.coverage import COVERAGE
 
 
 def test_every_covered_query_is_registered():
-    qs = set(E.queries())
+    load_all()
+    qs = set(QUERIES)
+    assert qs <= set(E.queries())
     named = {q for _, names in COVERAGE.values() for q in names}
     assert named <= qs, named - qs
     assert qs <= named, qs - named

@@ -17,6 +17,7 @@ def _plan(spark, name):
 
 
 @pytest.mark.parametrize("name", ["softmax_arrays", "top_k_arrays", "top_p_arrays", "drawn_arrays", "sampled_arrays",
+                                  "guided_arrays", "top_p_b_arrays", "sampled_arrays_a", "sampled_arrays_b",
                                   "scaled_logits", "artifact_paths", "parse_requests", "segment_windows",
                                   "gathered_embeddings", "interleaved_codes", "padded_lengths"])
 def test_projection_queries_do_not_shuffle(spark, name):
@@ -40,6 +41,16 @@ def test_flagship_shape(spark):
     assert "ReadSchema: struct<doc_id:bigint,source:string>" in plan
 
 
-def test_first_wins_is_a_partial_aggregate(spark):
+def test_first_wins_aggregates_narrow_rows(spark):
     plan = _plan(spark, "first_turns")
-    assert "partial_min_by" in plan and "Window" not in plan
+    assert "partial_min(turn" in plan and "LeftSemi" in plan and "Window" not in plan and "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("name", ["normalize_text", "text_tokens", "stage2_inputs", "untilted", "deinterleaved"])
+def test_text_queries_do_not_reshuffle_rows(spark, name):
+    assert "RoundRobin" not in _plan(spark, name)
+
+
+@pytest.mark.parametrize("name", ["utterance_embeddings", "speaker_embeddings"])
+def test_vector_means_do_not_explode(spark, name):
+    assert "Generate" not in _plan(spark, name)

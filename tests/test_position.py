@@ -2,41 +2,71 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tokenloom.operators import position as P
 
 
-def test_with_position_many_buckets_with_hot_key(spark):
+@pytest.fixture(params=[1_000_000, 300])
+def ranges(request, monkeypatch):
+    monkeypatch.setattr(P, "ROWS_PER_RANGE", request.param)
+
+
+def test_with_position_with_hot_key(spark, ranges):
     # a third of the rows share one order value; the unique tie-break spreads them out
     rows = [(i, 5 if i % 3 == 0 else random.Random(i).randint(0, 1000)) for i in range(3000)]
     df = spark.createDataFrame(rows, "id long, v long")
-    got = P.with_position(df, ["v", "id"], out="p", n_buckets=9).select("id", "p").collect()
     expect = {id_: p for p, (id_, _) in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
+    got = P.with_position(df, ["v", "id"], out="p").collect()
     assert {r.id: r.p for r in got} == expect
-    # the hot value is split over several buckets
-    tagged = P.with_position(df, ["v", "id"], out="p", n_buckets=9)
-    assert tagged.count() == 3000
+    wide = df.withColumn("payload", F.lit("x"))
+    joined = P.with_position(wide, ["v", "id"], out="p", key="id").collect()
+    assert {r.id: r.p for r in joined} == expect and all(r.payload == "x" for r in joined)
+
+
+def test_with_position_has_one_path(spark):
+    df = spark.range(5).withColumnRenamed("id", "k")
+    out = P.with_position(df, ["k"], out="p")
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+    assert P.with_position(df.limit(0), ["k"], out="p").collect() == []
+
+
+def test_with_position_reads_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(0, 1000, 1, 4).mapInArrow(touch, "id long")
+    assert P.with_position(df, ["id"], out="p").count() == 1000
+    assert seen.value == 1000
 
 
-def test_with_position_reused_twice_is_consistent(spark):
+def test_with_position_reused_twice_is_consistent(spark, ranges):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k"))
-    pos = P.with_position(df, ["k"], out="p", n_buckets=5)
+    pos = P.with_position(df, ["k"], out="p")
     joined = pos.alias("a").join(pos.alias("b"), "k").filter(F.col("a.p") != F.col("b.p"))
     assert joined.count() == 0
     assert sorted(r.p for r in pos.collect()) == list(range(5000))
 
 
-def test_shard_ranges_match_reference_arithmetic(spark):
+def test_shards_are_contiguous_and_balanced(spark):
     # 10 rows in 4 shards -> 3, 3, 2, 2
     df = spark.range(10).withColumnRenamed("id", "pos")
-    got = P.assign_shard(df, 4).groupBy("shard").count().orderBy("shard").collect()
-    assert [r["count"] for r in got] == [3, 3, 2, 2]
-    for n in range(1, 40):
-        for s in range(1, 12):
-            ranges = [P.shard_range(n, s, i) for i in range(s)]
-            assert ranges[0][0] == 0 and ranges[-1][1] == n
-            assert all(a[1] == b[0] for a, b in zip(ranges, ranges[1:]))
+    got = P.assign_shard(df, 4).groupBy("shard").agg(F.count("*").alias("n"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
+    assert [(r.n, r.lo, r.hi) for r in got.orderBy("shard").collect()] == [(3, 0, 2), (3, 3, 5), (2, 6, 7), (2, 8, 9)]
+
+
+@pytest.mark.parametrize("ids", [[1, 2, 3], [0, 1, 3], [0, 0, 2], [0, 1, None], [0, 2, 2, 2]])
+def test_positions_that_are_not_dense_fail(spark, ids):
+    df = spark.createDataFrame([(i,) for i in ids], "pos long")
+    with pytest.raises(ValueError, match="dense"):
+        P.assign_shard(df, 2)
+    with pytest.raises(ValueError, match="dense"):
+        P.tail_split(df, 1)
 
 
 def test_split_sizes_overlap():
@@ -71,31 +101,13 @@ def test_length_sorted_batches_tie_break_by_pos(spark):
     assert [r.batch_id for r in got] == [0, 0, 1, 1, 2]
 
 
-def test_bucket_search_equals_tree(spark):
-    rows = [(i % 50, i) for i in range(2000)]
-    df = spark.createDataFrame(rows, "v long, id long")
-    bounds = sorted({(r[0], r[1]) for r in random.Random(4).sample(rows, 300)})
-    got = df.select("v", "id", P._bucket_tree(["v", "id"], bounds).alias("t"),
-                    P._bucket_search(["v", "id"], bounds).alias("s")).collect()
-    assert all(r.t == r.s for r in got)
-    import bisect
-    assert all(r.s == bisect.bisect_right(bounds, (r.v, r.id)) for r in got)
-
-
-def test_with_position_beyond_tree_size(spark):
-    df = spark.range(0, 20000).select(((F.col("id") * 7919) % 20000).alias("k"))
-    pos = P.with_position(df, ["k"], out="p", n_buckets=600)
-    assert {r.k: r.p for r in pos.collect()} == {k: k for k in range(20000)}
-
-
-def test_with_position_null_keys_sort_first(spark):
+def test_with_position_null_keys_sort_first(spark, ranges):
     rows = [(i, None if i % 5 == 0 else (i * 37) % 11) for i in range(300)]
     df = spark.createDataFrame(rows, "id long, v long")
     expect = {id_: p for p, (id_, _) in enumerate(sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0])))}
-    for nb in (1, 7, 300):
-        got = P.with_position(df, ["v", "id"], out="p", n_buckets=nb).collect()
-        assert {r.id: r.p for r in got} == expect, nb
+    got = P.with_position(df, ["v", "id"], out="p").collect()
+    assert {r.id: r.p for r in got} == expect
     s = spark.createDataFrame([(i, None if i % 4 == 0 else f"k{i % 9}") for i in range(100)], "id long, s string")
-    got = {r.id: r.p for r in P.with_position(s, ["s", "id"], out="p", n_buckets=5).collect()}
+    got = {r.id: r.p for r in P.with_position(s, ["s", "id"], out="p").collect()}
     exp = {r.id: i for i, r in enumerate(s.orderBy(F.col("s").asc_nulls_first(), "id").collect())}
     assert got == exp

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tokenloom.functions import tokens as T
-from tokenloom.operators.position import shard_range, split_bounds
+from tokenloom.operators.position import assign_shard, split_bounds
 
 seqs = st.lists(st.tuples(st.lists(st.integers(2049, 2560), min_size=1, max_size=6),
                           st.integers(1, 6)), min_size=1, max_size=25)
@@ -33,11 +33,13 @@ def test_shift_ids_inverse(spark, arrays, off):
     assert all(r.a == r.b for r in got)
 
 
-@given(st.integers(0, 5000), st.integers(1, 50))
-def test_shards_cover_all_rows(n, s):
-    ranges = [shard_range(n, s, i) for i in range(s)]
-    assert sum(hi - lo for lo, hi in ranges) == n
-    sizes = [hi - lo for lo, hi in ranges]
+@settings(max_examples=5, deadline=None)
+@given(st.integers(1, 500), st.integers(1, 50))
+def test_shards_cover_all_rows(spark, n, s):
+    got = assign_shard(spark.range(n).withColumnRenamed("id", "pos"), s).groupBy("shard").agg(
+        F.count("*").alias("n"), (F.max("pos") - F.min("pos") + 1).alias("span")).collect()
+    assert sum(r.n for r in got) == n and all(r.n == r.span for r in got)
+    sizes = [r.n for r in got] + [0] * (s - len(got))
     assert max(sizes) - min(sizes) <= 1
 
 

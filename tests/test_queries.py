@@ -50,11 +50,21 @@ def test_rows_only_queries_run(spark):
         assert E.queries()[name](spark, SF001).count() >= 0
 
 
-@pytest.mark.parametrize("name", ["training_batches", "fixed_batches", "positions_by_length", "shuffled_batches",
-                                  "length_sorted_batches", "merged_rank_lists", "prompt_batches", "batch_shapes"])
-def test_position_queries_with_many_buckets(spark, con, name, monkeypatch):
-    """Force the multi-bucket path of dense positions (normally only above 200k rows)."""
+POSITIONED = ["training_batches", "fixed_batches", "positions_by_length", "shuffled_batches", "length_sorted_batches",
+              "merged_rank_lists", "prompt_batches", "batch_shapes", "collate_full", "restored_order", "batch_token_len",
+              "length_guard", "prefix_masks", "overlays"]
+
+
+@pytest.mark.parametrize("name", POSITIONED)
+def test_position_queries_with_many_ranges(spark, con, name, monkeypatch):
     from tokenloom.operators import position
 
-    monkeypatch.setattr(position, "ROWS_PER_BUCKET", 37)
+    monkeypatch.setattr(position, "ROWS_PER_RANGE", 37)
     test_query_matches_oracle(spark, con, name)
+
+
+@pytest.mark.parametrize("name", POSITIONED)
+def test_position_queries_have_no_single_task_window(spark, name):
+    plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    windows = plan.split("Window ")[1:]
+    assert not any("SinglePartition" in w.split("Exchange", 2)[1] for w in windows if w.count("Exchange"))

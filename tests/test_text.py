@@ -101,9 +101,9 @@ def test_parse_request_absent_vs_null(spark):
 
 def test_ui_knobs(spark):
     df = spark.range(11).select(F.col("id").alias("s"))
-    got = [r.p for r in df.select(R.denormalise_top_p("s").alias("p")).orderBy("p").collect()]
+    got = [r.p for r in df.select(R.slider_value("s", **R.TOP_P_SLIDER).alias("p")).orderBy("p").collect()]
     assert got == [round(0.9 + s / 100, 2) for s in range(11)]
-    g = spark.range(1, 6).select(R.denormalise_guidance("id").alias("g")).collect()
+    g = spark.range(1, 6).select(R.slider_value("id", **R.GUIDANCE_SLIDER).alias("g")).collect()
     assert [r.g for r in g] == [1 + ((s - 1) * 2) / 4 for s in range(1, 6)]
 
 

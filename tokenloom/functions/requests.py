@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.util import col_of
@@ -57,25 +57,27 @@ def parse_request(payload) -> Column:
     )
 
 
-def denormalise_top_p(slider) -> Column:
-    """P10: UI slider (0..10) -> top_p in [0.9, 1.0], rounded to 2 places half-even."""
-    return F.bround(F.lit(0.9) + col_of(slider) / 100.0, 2)
+def slider_value(slider, ends: tuple[float, float], lo: float, hi: float, places: int | None = None) -> Column:
+    """P10: linear map of a slider with end marks ``ends`` to ``[lo, hi]``, rounded half-even if asked for."""
+    share = (col_of(slider) - F.lit(ends[0])) / F.lit(float(ends[1] - ends[0]))
+    value = F.lit(float(lo)) + share * F.lit(hi - lo)
+    return value if places is None else F.bround(value, places)
 
 
-def denormalise_guidance(slider) -> Column:
-    """P10: UI slider (1..5) -> guidance in [1, 3]."""
-    return F.lit(1.0) + ((col_of(slider) - 1) * (3 - 1)) / (5 - 1)
+# Slider marks and the range each stands for.
+TOP_P_SLIDER = {"ends": (0, 10), "lo": 0.9, "hi": 1.0, "places": 2}
+GUIDANCE_SLIDER = {"ends": (1, 5), "lo": 1.0, "hi": 3.0}
 
 
 def validation_error(text, upload_bytes=None) -> Column:
-    """Reason a UI request is rejected, or null."""
+    """Reason a UI request is rejected, or null: ``empty text``, or ``upload too large`` with the
+    size in whole MB (half-even) and the limit."""
     t = col_of(text)
-    err = F.when(t.isNull() | (t == ""), F.lit("Please provide text to synthesise"))
+    err = F.when(t.isNull() | (t == ""), F.lit("empty text"))
     if upload_bytes is not None:
         mb = col_of(upload_bytes) / 1024 / 1024
         err = err.when(mb >= MAX_UPLOAD_MB, F.concat(
-            F.lit("Please upload a sample less than 20MB for voice cloning. Provided: "),
-            F.round(mb).cast("long").cast("string"), F.lit(" MB")))
+            F.lit("upload too large: "), F.bround(mb).cast("long").cast("string"), F.lit(f" MB of at most {MAX_UPLOAD_MB}")))
     return err
 
 
@@ -103,7 +105,22 @@ MIN_SYNTH_SAMPLES = 9600
 
 def synthesis_error(n_samples, min_samples: int = MIN_SYNTH_SAMPLES) -> Column:
     """Reason a synthesised waveform is rejected (shorter than 400 ms at 24 kHz), or null."""
-    return F.when(col_of(n_samples) < min_samples, F.lit("wav predicted is shorter than 400ms!"))
+    return F.when(col_of(n_samples) < min_samples, F.lit("audio shorter than 400 ms"))
+
+
+# Fixed value: utterances shorter than this many seconds aren't used for training.
+MIN_SECONDS = 2.0
+
+
+def duration_filter(df: DataFrame, n_samples: str = "n_samples", sample_rate: str = "sample_rate",
+                    min_seconds: float = MIN_SECONDS, out: str = "seconds") -> DataFrame:
+    """Add the duration and keep rows of at least ``min_seconds``."""
+    return df.withColumn(out, F.col(n_samples) / F.col(sample_rate)).where(F.col(out) >= min_seconds)
+
+
+def cap_waveform(pcm, sample_rate, seconds: int = MAX_REFERENCE_SECONDS) -> Column:
+    """The first ``seconds`` of a waveform."""
+    return F.slice(col_of(pcm), F.lit(1), (col_of(sample_rate) * seconds).cast("int"))
 
 
 def cap_samples(n_samples, sample_rate, seconds: int = MAX_REFERENCE_SECONDS) -> Column:

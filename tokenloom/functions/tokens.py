@@ -59,6 +59,11 @@ def byte_tokens(text, layout: TokenLayout = STAGE1) -> Column:
     return shift_ids(F.concat(utf8_bytes(text), F.array(F.lit(BYTE_EOT))), layout.text_offset)
 
 
+def token_count(text) -> Column:
+    """Number of :func:`byte_tokens` of a text: its UTF-8 bytes and end-of-text."""
+    return (F.octet_length(col_of(text)) + 1).cast("long")
+
+
 def byte_decode(tokens, layout: TokenLayout = STAGE1) -> Column:
     """Inverse of :func:`byte_tokens`: drop the offset and end-of-text, decode UTF-8."""
     raw = F.filter(shift_ids(tokens, -layout.text_offset), lambda x: (x >= 0) & (x < BYTE_EOT))
@@ -118,11 +123,6 @@ def pad_codes(codes, width, value: int = STAGE1.codebook_size) -> Column:
     return F.transform(col_of(codes), lambda row: pad_right(row, width, value))
 
 
-def truncate(arr, max_len: int = 2048) -> Column:
-    """L2: first ``max_len`` elements."""
-    return F.slice(col_of(arr), 1, max_len)
-
-
 def crop_context(arr, block: int) -> Column:
     """L3: keep the last ``block`` elements."""
     a = col_of(arr)

@@ -29,9 +29,8 @@ def hierarchy_lengths(rows) -> tuple[F.Column, F.Column, F.Column]:
     return F.array_sort(F.array_distinct(sizes)), F.array_min(sizes), F.array_max(sizes)
 
 
-def length_guard(df: DataFrame, max_new: int, block: int, length: str = "length") -> DataFrame:
-    """``max(len) + max_new >= block`` is an error naming the largest legal max_new."""
+def length_guard(df: DataFrame, max_new: int, block: int, length: str = "length", by: str | None = None) -> DataFrame:
+    """``max(len) + max_new >= block`` is an error naming the largest legal max_new; per ``by`` if given."""
     mx = F.max(length)
-    return df.agg(mx.alias("max_len"), F.when(mx + max_new >= block, F.concat(
-        F.lit(f"max_new_tokens {max_new} too large! Choose "), (F.lit(block) - mx - 1).cast("string"),
-        F.lit(" instead."))).alias("error"))
+    return df.groupBy(*([by] if by else [])).agg(mx.alias("max_len"), F.when(mx + max_new >= block, F.concat(
+        F.lit("at most "), (F.lit(block) - mx - 1).cast("string"), F.lit(f" new tokens fit, not {max_new}"))).alias("error"))

@@ -28,12 +28,20 @@ def merge_rank_lists(metrics: DataFrame, name: str = "name", rank: str = "rank",
                      value: str = "value", out: str = "idx") -> DataFrame:
     """Per-rank metric lists concatenated rank after rank, kept in long form.
 
-    ``idx`` is the position in the merged list of its name (rank-major, then ``order``).
-    Long form keeps a metric with many values spread over tasks instead of one array.
+    ``idx`` is the position in the merged list of its name (rank-major, then ``order``):
+    the dense position (O1) in (name, rank, order) less the number of rows of earlier names. Row counts per
+    name are a small partial aggregate; the log itself is never joined on a name.
     """
     ranked = with_position(metrics.select(name, rank, order, value), [name, rank, order], out="_tl_g")
-    first = ranked.groupBy(name).agg(F.min("_tl_g").alias("_tl_first"))
-    return ranked.join(first, name).select(name, rank, order, value, (F.col("_tl_g") - F.col("_tl_first")).alias(out))
+    sizes = sorted(((r[0] is not None, r[0] or ""), r[0], r[1]) for r in metrics.groupBy(name).count().collect())
+    before, start = [], 0
+    for _, n, size in sizes:
+        before.append((n, start))
+        start += size
+    first = F.lit(0)
+    for n, at in before:
+        first = F.when(F.col(name).eqNullSafe(F.lit(n)), at).otherwise(first)
+    return ranked.select(name, rank, order, value, (F.col("_tl_g") - first).cast("long").alias(out))
 
 
 def reduce_metrics(metrics: DataFrame, world_size: int, keys=("name", "batch_id"), value: str = "value",
@@ -60,11 +68,15 @@ def masked_nll(logits: DataFrame, position=("row", "head", "t"), item: str = "it
 
 def masked_nll_mean(logits: DataFrame, head: str = "head", **kw) -> DataFrame:
     """A9 (reduced): mean NLL per head over non-ignored positions; ``head = null`` row holds
-    the mean over heads."""
+    the mean over heads. A scored position whose target isn't among its items is an error."""
     per_pos = masked_nll(logits, **kw)
-    per_head = per_pos.groupBy(head).agg(F.avg("nll").alias("loss"))
-    overall = per_head.agg(F.avg("loss").alias("loss")).select(F.lit(None).cast("int").alias(head), "loss")
-    return per_head.unionByName(overall)
+    known = F.when(F.col("nll").isNull(), F.raise_error(F.lit("target outside the logits")).cast("double")).otherwise(F.col("nll"))
+    # per-head means and their mean in one evaluation: heads are few after the first aggregate
+    per_head = per_pos.groupBy(head).agg(F.avg(known).alias("loss"))
+    both = per_head.select(F.explode(F.array(F.struct(F.col(head).alias("h"), F.lit(False).alias("all"), "loss"),
+                                             F.struct(F.lit(None).cast(per_head.schema[head].dataType).alias("h"),
+                                                      F.lit(True).alias("all"), "loss"))).alias("x")).select("x.*")
+    return both.groupBy("h", "all").agg(F.avg("loss").alias("loss")).select(F.col("h").alias(head), "loss")
 
 
 def throughput_metrics(run_log: DataFrame) -> DataFrame:
@@ -79,5 +91,5 @@ def throughput_metrics(run_log: DataFrame) -> DataFrame:
 
 
 def metric_names(metrics: DataFrame, split: str, name: str = "name", step: str = "step") -> DataFrame:
-    """Tracker metric keys ``split/name`` tagged with the step."""
-    return metrics.withColumn("metric", F.concat_ws("/", F.lit(split), F.col(name)))
+    """Tracker metric keys ``split/name`` with the step they belong to, as ``metric`` and ``at_step``."""
+    return metrics.withColumns({"metric": F.concat_ws("/", F.lit(split), F.col(name)), "at_step": F.col(step)})

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -97,16 +98,25 @@ def bpe_decode(df: DataFrame, tokens: str = "tokens", ranks: dict[bytes, int] |
     return df.mapInPandas(run, schema)
 
 
+def cached_model(key: str, spec: bytes):
+    """The model of a pickled loader. A function of the module, so every task of a worker shares its cache."""
+    if key not in _CACHE:
+        _CACHE[key] = pickle.loads(spec)()
+    return _CACHE[key]
+
+
 def map_model(df: DataFrame, loader: Callable[[], object], fn: Callable[[object, pd.DataFrame], pd.Series],
-              out: str, out_type: T.DataType, batch_rows: int | None = None) -> DataFrame:
+              out: str, out_type: T.DataType, batch_rows: int | None = None, name: str = "model") -> DataFrame:
     """Run a user model over Arrow batches.
 
-    ``loader()`` runs once per Python worker (the result is cached); ``fn(model, batch)``
+    ``loader()`` runs once per Python worker and model (cached under ``name`` and a hash of the
+    pickled loader); ``fn(model, batch)``
     returns one value per row, called on at most ``batch_rows`` rows at a time. A failing
     batch is retried row by row so one bad row gives a null result with its reason in
     ``<out>_error`` instead of failing the job.
     """
-    key = f"model-{id(loader)}-{hashlib.sha1(pickle.dumps(loader.__qualname__)).hexdigest()}"
+    spec = cloudpickle.dumps(loader)
+    key = f"{name}-{hashlib.sha1(spec).hexdigest()}"
     schema = T.StructType(df.schema.fields + [T.StructField(out, out_type), T.StructField(f"{out}_error", T.StringType())])
 
     def chunks(batches):
@@ -116,10 +126,7 @@ def map_model(df: DataFrame, loader: Callable[[], object], fn: Callable[[object,
                 yield pdf.iloc[i:i + step]
 
     def run(batches):
-        model = _CACHE.get(key)
-        if model is None:
-            model = loader()
-            _CACHE[key] = model
+        model = cached_model(key, spec)
         for pdf in chunks(batches):
             try:
                 vals = list(fn(model, pdf))
@@ -132,7 +139,7 @@ def map_model(df: DataFrame, loader: Callable[[], object], fn: Callable[[object,
                         errs.append(None)
                     except Exception as ex:  # noqa: BLE001
                         vals.append(None)
-                        errs.append(f"{type(ex).__name__}: {ex}"[:200])
+                        errs.append(f"{type(ex).__name__}: {ex}")
             yield pdf.assign(**{out: vals, f"{out}_error": errs})
 
     return df.mapInPandas(run, schema)

@@ -1,31 +1,27 @@
 """Manifest order: dense positions, shards, splits, batches, first-wins.
 
-Dense global positions are the one operator every shard, split and batch depends on,
-so they are computed without a single-partition window:
-
-1. a bounded sample of the order key (up to ``SAMPLE_PER_BUCKET`` rows per bucket, at
-   most ``MAX_SAMPLE_ROWS``) is collected and cut into ``b`` ranges; the boundaries become
-   literals in a bucket expression (a compiled comparison tree up to 256 buckets, a
-   binary search over literal arrays beyond), so every evaluation of the plan (retries,
-   reused branches) assigns the same bucket to a row;
-2. because the order ends in a unique column, a key value that holds a third of the
-   rows is still split over many buckets;
-3. per-bucket row counts (``b`` numbers) give prefix offsets, also literals;
-4. ``row_number`` runs in a window partitioned by bucket.
+Dense global positions are the one operator every shard, split and batch depends on.
+They take the same path at every size, with no single-partition window:
+
+1. the rows to number (keys and a payload key, or rows that are narrow anyway) are written
+   once to the shared folder, so the input is evaluated once;
+2. that table is range-partitioned on the order into ranges of about ``ROWS_PER_RANGE``
+   rows and written again with its range number; as the order ends in a unique column,
+   a key value that holds a third of the rows is still split over many ranges;
+3. the stored ranges are counted (one number per range) and prefix offsets follow;
+4. ``row_number`` runs within each range; a wide payload is joined back on its key.
 """
 
 from __future__ import annotations
 
-import math
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_PER_BUCKET = 64
-MAX_SAMPLE_ROWS = 1_000_000  # bound on the sample collected to the driver
-ROWS_PER_BUCKET = 200_000
-MAX_BUCKETS = 16384
-TREE_MAX_BUCKETS = 256  # larger comparison trees no longer compile into generated code
+from tokenloom.sources.files import stage
+
+ROWS_PER_RANGE = 1_000_000
 
 
 def _cols(order) -> list[Column]:
@@ -34,102 +30,46 @@ def _cols(order) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def default_ranges(df: DataFrame) -> int:
+def _number(df: DataFrame, names: list[str], out: str) -> DataFrame:
+    """Positions of rows by the (null-first ascending) columns ``names``; drops these columns."""
     spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(parts, spark.sparkContext.defaultParallelism)
-
-
-def _less_than(keys: list[str], bound: tuple) -> Column:
-    """Lexicographic ``(keys) < bound``."""
-    cond = None
-    for k, b in reversed(list(zip(keys, bound))):
-        c = F.col(k)
-        cond = (c < F.lit(b)) if cond is None else ((c < F.lit(b)) | ((c == F.lit(b)) & cond))
-    return cond
-
-
-def _bucket_tree(keys: list[str], bounds: list[tuple]) -> Column:
-    """Balanced comparison tree: bucket i holds ``bounds[i-1] <= keys < bounds[i]``.
-
-    Compiled by whole-stage codegen; used up to ``TREE_MAX_BUCKETS`` buckets.
-    """
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_less_than(keys, bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-    return build(0, len(bounds))
-
-
-def _bucket_search(keys: list[str], bounds: list[tuple]) -> Column:
-    """Same bucket as :func:`_bucket_tree` by binary search over literal boundary arrays:
-    ``log2(b)`` steps of an ``aggregate``, so the plan stays small for thousands of buckets."""
-    nb = len(bounds)
-    cols = [F.array(*[F.lit(b[j]) for b in bounds]) for j in range(len(keys))]
-
-    def less(mid: Column) -> Column:
-        cond = None
-        for j in reversed(range(len(keys))):
-            bj, c = F.element_at(cols[j], mid + 1), F.col(keys[j])
-            cond = (c < bj) if cond is None else ((c < bj) | ((c == bj) & cond))
-        return cond
-
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.floor((lo + hi) / 2).cast("int")
-        return F.when(lo >= hi, acc).otherwise(
-            F.when(less(mid), F.struct(lo.alias("lo"), mid.alias("hi")))
-            .otherwise(F.struct((mid + 1).alias("lo"), hi.alias("hi"))))
-
-    init = F.struct(F.lit(0).alias("lo"), F.lit(nb).alias("hi"))
-    steps = max(1, math.ceil(math.log2(nb + 1)))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
-
-
-def _bucket_of(keys: list[str], bounds: list[tuple]) -> Column:
-    return _bucket_tree(keys, bounds) if len(bounds) < TREE_MAX_BUCKETS else _bucket_search(keys, bounds)
-
-
-def with_position(df: DataFrame, order, out: str = "pos", n_buckets: int | None = None) -> DataFrame:
+    rows = stage(df, "order")
+    n_ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS_PER_RANGE))
+    ranged = rows.repartitionByRange(n_ranges, *names).sortWithinPartitions(*names)
+    ranged = stage(ranged.withColumn("_tl_range", F.spark_partition_id()), "ranges")
+    counts = sorted(map(tuple, ranged.groupBy("_tl_range").count().collect()))
+    starts = [0, *accumulate(n for _, n in counts)]
+    offsets = spark.createDataFrame([(r, o) for (r, _), o in zip(counts, starts)], "_tl_range int, _tl_start long")
+    w = Window.partitionBy("_tl_range").orderBy(*names)
+    return (ranged.withColumn("_tl_row", F.row_number().over(w)).join(F.broadcast(offsets), "_tl_range")
+            .withColumn(out, F.col("_tl_start") + F.col("_tl_row") - 1)
+            .drop("_tl_range", "_tl_row", "_tl_start", *names))
+
+
+def with_position(df: DataFrame, order, out: str = "pos", key: str | None = None) -> DataFrame:
     """O1: add a dense 0-based position ``out`` following ``order``.
 
     ``order`` must be total (end it with a unique column such as ``pos``); null keys sort
-    first, as in an ascending Spark sort. Numeric and string keys are supported.
-    Runs three small driver actions (row count, bounded sample, per-bucket counts).
+    first, as in an ascending Spark sort. ``key`` names a unique column: only it and
+    the order go through the numbering, and the rest of the row is joined back on it. Without ``key``
+    whole rows go through, which suits narrow tables. The driver sees one count per range.
     """
     keys = _cols(order)
-    raw = [f"_tl_r{i}" for i in range(len(keys))]
-    tagged = df.select("*", *[k.alias(n) for k, n in zip(keys, raw)])
-    # nulls sort first (ascending): each key becomes (not-null flag, value or a typed default)
-    names = []
-    for i, n in enumerate(raw):
-        dtype = tagged.schema[n].dataType
-        default = F.lit("").cast(dtype) if dtype.typeName() == "string" else F.lit(0).cast(dtype)
-        tagged = tagged.withColumn(f"_tl_k{2 * i}", F.col(n).isNotNull().cast("int")) \
-                       .withColumn(f"_tl_k{2 * i + 1}", F.coalesce(F.col(n), default))
-        names += [f"_tl_k{2 * i}", f"_tl_k{2 * i + 1}"]
-    tagged = tagged.drop(*raw)
-    n_rows = tagged.count()
-    if n_buckets is None:
-        n_buckets = max(1, min(MAX_BUCKETS, math.ceil(n_rows / ROWS_PER_BUCKET), 4 * default_ranges(df)))
-    bounds: list[tuple] = []
-    if n_buckets > 1 and n_rows > 0:
-        per_bucket = max(8, min(SAMPLE_PER_BUCKET, MAX_SAMPLE_ROWS // n_buckets))
-        frac = min(1.0, per_bucket * n_buckets / n_rows)
-        sample = sorted(tuple(r) for r in tagged.select(*names).sample(fraction=frac, seed=17).collect())
-        step = len(sample) / n_buckets
-        bounds = sorted({sample[int(step * (i + 1))] for i in range(n_buckets - 1) if int(step * (i + 1)) < len(sample)})
-    bucketed = tagged.withColumn("_tl_b", _bucket_of(names, bounds) if bounds else F.lit(0))
-    # one bucket (small input): offsets are trivially [0], no counting pass needed
-    counts = dict(bucketed.groupBy("_tl_b").count().collect()) if bounds else {0: n_rows}
-    offsets, run = [], 0
-    for b in range(len(bounds) + 1):
-        offsets.append(run)
-        run += counts.get(b, 0)
-    w = Window.partitionBy("_tl_b").orderBy(*[F.col(n) for n in names])
-    offset = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col("_tl_b") + 1) if len(offsets) > 1 else F.lit(0)
-    return bucketed.withColumn(out, (offset + F.row_number().over(w) - 1).cast("long")).drop("_tl_b", *names)
+    names = [f"_tl_k{i}" for i in range(len(keys))]
+    tagged = [k.alias(n) for k, n in zip(keys, names)]
+    if key is None:
+        return _number(df.select("*", *tagged), names, out)
+    return df.join(_number(df.select(key, *tagged), names, out), key)
+
+
+def dense_count(df: DataFrame, pos: str = "pos") -> int:
+    """Number of rows, after checking in the same pass that ``pos`` is 0..n-1 (run O1 first if not)."""
+    r = df.agg(F.count("*").alias("n"), F.count(pos).alias("have"), F.min(pos).alias("lo"), F.max(pos).alias("hi"),
+               F.sum(F.col(pos).cast("decimal(38,0)")).alias("total")).first()
+    n = r["n"]
+    if n and (r["have"] != n or r["lo"] != 0 or r["hi"] != n - 1 or 2 * int(r["total"]) != n * (n - 1)):
+        raise ValueError(f"column {pos!r} isn't a dense position: {n} rows, {r['lo']}..{r['hi']}; number the rows first")
+    return n
 
 
 def shard_of(pos, n_rows: int, n_shards: int) -> Column:
@@ -143,16 +83,10 @@ def shard_of(pos, n_rows: int, n_shards: int) -> Column:
         F.lit(rem) + F.floor((p - F.lit(head)) / size)).cast("int")
 
 
-def shard_range(n_rows: int, n_shards: int, shard_id: int) -> tuple[int, int]:
-    """O2: ``[start, end)`` of one shard (same arithmetic as :func:`shard_of`)."""
-    size, rem = divmod(n_rows, n_shards)
-    return size * shard_id + min(shard_id, rem), size * (shard_id + 1) + min(shard_id + 1, rem)
-
-
 def assign_shard(df: DataFrame, n_shards: int, pos: str = "pos", out: str = "shard",
                  n_rows: int | None = None) -> DataFrame:
-    """O2 on a DataFrame with dense positions; ``n_rows`` is counted if not given."""
-    n = df.count() if n_rows is None else n_rows
+    """O2 on a DataFrame with dense positions; unless ``n_rows`` is given they are counted and checked."""
+    n = dense_count(df, pos) if n_rows is None else n_rows
     return df.withColumn(out, shard_of(pos, n, n_shards))
 
 
@@ -185,9 +119,10 @@ def tail_split(df: DataFrame, val_size: int = 500, mode: str = "disjoint", pos:
                out: str = "split", n_rows: int | None = None) -> DataFrame:
     """O3: tag each row with its split(s); a row in two splits (overlap mode) appears twice.
 
-    One pass: the matching split names are built as an array and exploded.
+    One pass: the matching split names are built as an array and exploded. Unless ``n_rows``
+    is given, positions are counted and checked to be dense first.
     """
-    n = df.count() if n_rows is None else n_rows
+    n = dense_count(df, pos) if n_rows is None else n_rows
     bounds = split_bounds(n, val_size, mode)
     p = F.col(pos)
     tags = F.array(*[F.when((p >= lo) & (p < hi), F.lit(name)) for name, (lo, hi) in bounds.items()])
@@ -218,25 +153,22 @@ def length_sorted_batches(df: DataFrame, size: int, length, pos: str = "pos", ou
                           order_out: str = "sorted_pos") -> DataFrame:
     """Sort by (length, pos), chunk into batches; ``pos`` restores the input order (L1).
 
-    The position passes only read the order columns (Catalyst prunes the rest). A
-    checkpointed narrow ``(pos, length)`` table joined back was measured slower here:
-    it trades two recomputations of the lengths for a shuffle of the wide rows.
+    Only ``(pos, length)`` is numbered: lengths are computed once and no payload is sorted.
     """
     ln = F.col(length) if isinstance(length, str) else length
-    tagged = df.withColumn("_tl_len", ln)
-    ranked = with_position(tagged, ["_tl_len", pos], out=order_out).drop("_tl_len")
+    ranked = with_position(df, [ln, pos], out=order_out, key=pos)
     return fixed_batches(ranked, size, pos=order_out, out=out)
 
 
 def first_wins(df: DataFrame, key: str = "key", pos: str = "pos") -> DataFrame:
-    """Keep the lowest-position row of each key.
+    """Keep the lowest-position row of each key (positions are unique within a key).
 
-    ``min_by`` is a partial (map-side) aggregate, so a key holding a large share of the
-    rows is reduced before the shuffle instead of being sorted in one task.
+    The lowest position is a partial (map-side) aggregate of ``(key, pos)`` alone; whole
+    rows meet it in a semi join, which can split a key that holds a large share of them.
     """
-    others = [c for c in df.columns if c != key]
-    packed = df.groupBy(key).agg(F.min_by(F.struct(*others), F.col(pos)).alias("_tl_row"))
-    return packed.select(key, *[F.col(f"_tl_row.{c}").alias(c) for c in others])
+    k, p = F.col(key).alias("_tl_key"), F.min(pos).alias("_tl_first")
+    first = df.groupBy(key).agg(p).select(k, "_tl_first")
+    return df.join(first, F.col(key).eqNullSafe(F.col("_tl_key")) & (F.col(pos) == F.col("_tl_first")), "left_semi")
 
 
 def order_restore(df: DataFrame, pos: str = "pos") -> DataFrame:

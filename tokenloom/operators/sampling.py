@@ -88,7 +88,7 @@ def sample_tokens(cond: DataFrame, uncond: DataFrame | None, *, guidance: float
     floors the temperature at 1e-5.
     """
     if variant == "A" and top_k is not None and top_p is not None:
-        raise ValueError("Only one of top_k and top_p can be set")
+        raise ValueError("variant A takes either top_k or top_p")
     df = guide(cond, uncond, guidance, (grp, item)) if guidance is not None else cond
     df = scale_logits(df, temperature, 1e-5 if variant == "B" else None)
     if top_k is not None:
@@ -113,10 +113,3 @@ def embedding_dropout(df: DataFrame, p: float, seed: int, key: str = "key", embe
     u = hash_unit(key, F.lit(str(seed)))
     zero = F.lit(0.0).cast("float")
     return df.withColumn(embedding, F.when(u < p, F.transform(embedding, lambda x: x * zero)).otherwise(F.col(embedding)))
-
-
-def logsumexp_col(values) -> Column:
-    """Max-shifted log-sum-exp of an array<double> column."""
-    v = F.col(values) if isinstance(values, str) else values
-    m = F.array_max(v)
-    return m + F.log(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + F.exp(x - m)))

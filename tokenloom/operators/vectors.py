@@ -1,13 +1,13 @@
 """Vector aggregation: mean embeddings and L2 normalisation.
 
-A mean of ``array<float>`` rows is computed element-wise: ``posexplode`` -> partial
-``avg`` per (group, index) with map-side combine -> one array per group rebuilt from at
-most ``dim`` values. A group with a third of all rows is therefore reduced before the
-shuffle, and no task ever holds more than ``dim`` values of one group.
+Means of ``array<float>`` rows are partial vector aggregates: a group with a third of all rows is
+one vector per task before the shuffle.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +25,13 @@ def l2_normalize(vec) -> Column:
 
 
 def mean_vector(df: DataFrame, group: str | list[str], vec: str, out: str = "mean") -> DataFrame:
-    """Element-wise mean of ``vec`` per group, as ``array<double>`` in index order."""
+    """Element-wise mean of ``vec`` per group, as ``array<double>`` in index order.
+
+    A vector stays one row: Spark's vector summariser adds vectors up within each task before the shuffle.
+    """
     keys = [group] if isinstance(group, str) else list(group)
-    long = df.select(*keys, F.posexplode(vec).alias("_tl_i", "_tl_x"))
-    per_dim = long.groupBy(*keys, "_tl_i").agg(F.avg(F.col("_tl_x").cast("double")).alias("_tl_m"))
-    packed = per_dim.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_tl_i", "_tl_m"))).alias("_tl_s"))
-    return packed.select(*keys, F.transform("_tl_s", lambda s: s["_tl_m"]).alias(out))
+    vector = array_to_vector(F.col(vec).cast("array<double>"))
+    return df.where(F.col(vec).isNotNull()).groupBy(*keys).agg(vector_to_array(Summarizer.mean(vector)).alias(out))
 
 
 def utterance_embedding(partials: DataFrame, key: str = "key", vec: str = "vec", out: str = "embedding") -> DataFrame:

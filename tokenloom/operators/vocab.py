@@ -63,6 +63,52 @@ def top_p(df: DataFrame, probs: str, p: float) -> DataFrame:
     return d.withColumn(probs, F.transform(probs, lambda x: x / F.col("_tl_s"))).drop("_tl_r", "_tl_k", "_tl_last", "_tl_s")
 
 
+def guide(df: DataFrame, cond: str, uncond: str, scale_by: float, out: str = "logits") -> DataFrame:
+    """Classifier-free guidance ``g*cond + (1-g)*uncond`` element by element."""
+    g = F.lit(float(scale_by))
+    return df.withColumn(out, F.zip_with(cond, uncond, lambda c, u: g * c + (F.lit(1.0) - g) * u))
+
+
+def top_p_b(df: DataFrame, logits: str, p: float, out: str = "probs") -> DataFrame:
+    """O10 B on logits: from the smallest up, drop entries while their inclusive mass is <= 1-p (the
+    largest always stays), then softmax of what is left. One sort and one pass per row."""
+    d = softmax(df, logits, "_tl_p")
+    ranked = F.array_sort(F.zip_with(logits, F.transform("_tl_p", lambda x, i: F.struct(x.alias("p"), i.alias("i"))),
+                                     lambda v, q: F.struct((-v).alias("nv"), q["i"].alias("i"), q["p"].alias("p"))))
+    d = d.withColumn("_tl_r", ranked)
+    dropped = F.aggregate(F.reverse("_tl_r"), F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n")),
+                          lambda a, x: F.struct((a["s"] + x["p"]).alias("s"),
+                                                (a["n"] + F.when(a["s"] + x["p"] <= 1 - p, 1).otherwise(0)).alias("n")))["n"]
+    d = d.withColumn("_tl_last", F.element_at("_tl_r", F.greatest(F.size("_tl_r") - dropped, F.lit(1))))
+    d = d.withColumn(logits, F.transform(logits, lambda x, i: F.when(
+        (-x < F.col("_tl_last")["nv"]) | ((-x == F.col("_tl_last")["nv"]) & (i <= F.col("_tl_last")["i"])), x)
+        .otherwise(F.lit(NEG_INF))))
+    return softmax(d.drop("_tl_p", "_tl_r", "_tl_last"), logits, out)
+
+
+def sample(df: DataFrame, cond: str, uncond: str | None, *, guidance: float | None, temperature: float,
+           k: int | None, p: float | None, seed: int, variant: str = "A", grp: str = "grp", out: str = "drawn") -> DataFrame:
+    """T16 on arrays: guidance -> temperature -> top-k -> softmax -> top-p -> draw, a projection throughout.
+
+    Variant A takes either top-k or top-p; variant B applies top-k then top-p and floors the temperature at 1e-5.
+    """
+    if variant not in ("A", "B"):
+        raise ValueError(f"unknown variant {variant!r}")
+    if variant == "A" and k is not None and p is not None:
+        raise ValueError("variant A takes either top_k or top_p")
+    d = guide(df, cond, uncond, guidance, "_tl_l") if guidance is not None else df.withColumn("_tl_l", F.col(cond))
+    d = scale(d, "_tl_l", temperature, 1e-5 if variant == "B" else None)
+    if k is not None:
+        d = top_k(d, "_tl_l", k)
+    if p is not None and variant == "B":
+        d = top_p_b(d, "_tl_l", p, "_tl_q")
+    else:
+        d = softmax(d, "_tl_l", "_tl_q")
+        if p is not None:
+            d = top_p(d, "_tl_q", p)
+    return draw(d, "_tl_q", seed, grp, out).drop("_tl_l", "_tl_q")
+
+
 def draw(df: DataFrame, probs: str, seed: int, grp: str, out: str = "drawn") -> DataFrame:
     """Exponential race per row, ``argmin(-ln(u_i)/p_i)`` with ``u_i`` from
     md5(grp:i:seed) -- the same draw as the long-table form."""

@@ -6,9 +6,9 @@ appears here.
 
 COVERAGE: dict[str, tuple[str, list[str]]] = {
     # sources and sinks
-    "S1": ("sources.files.read_tsv_manifest", ["manifest_from_tsv"]),
+    "S1": ("sources.files.read_tsv_manifest", ["manifest_from_tsv", "manifest_quarantine"]),
     "S2": ("sources.files.read_jsonl (+ with_file_order when no position is stored)",
-           ["manifest_jsonl", "stream_text_tokens"]),
+           ["manifest_jsonl", "stream_text_tokens", "manifest_quarantine", "file_order"]),
     "S3": ("sources.files.write_jsonl", ["manifest_jsonl"]),
     "S4": ("sources.archives.unpack_archives (+ write_archives)", ["archive_members"]),
     "S5": ("sources.audio.read_audio (+ write_wavs sink)", ["audio_files"]),
@@ -27,21 +27,21 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     "P7": ("functions.text.ensure_suffix", ["wav_suffix"]),
     "P8": ("functions.text.cache_key", ["cache_keys"]),
     "P9": ("functions.requests.parse_request", ["parse_requests"]),
-    "P10": ("functions.requests.denormalise_top_p / denormalise_guidance", ["request_knobs"]),
+    "P10": ("functions.requests.slider_value", ["request_knobs"]),
     "P11": ("functions.requests.validation_error / cut_text", ["validate_requests"]),
     "P12": ("functions.requests.is_long_text", ["validate_requests"]),
     "P13": ("functions.requests.choose_reference", ["choose_reference"]),
-    "P14": ("duration projection + filter, functions.requests.synthesis_error", ["durations", "resampled_audio"]),
-    "P15": ("functions.requests.cap_samples", ["durations"]),
+    "P14": ("functions.requests.duration_filter / synthesis_error", ["durations", "resampled_audio"]),
+    "P15": ("functions.requests.cap_samples / cap_waveform", ["durations"]),
     "P16": ("functions.text.infer_format", ["infer_format"]),
     "P17": ("operators.vectors.check_embedding_dims", ["embedding_dims"]),
-    "P18": ("operators.metrics.metric_names + stack()", ["metric_keys"]),
+    "P18": ("operators.metrics.metric_names", ["metric_keys"]),
     # joins
-    "J1": ("operators.joins.assemble_samples", ["training_samples", "training_batches", "training_samples_bucketed"]),
+    "J1": ("operators.joins.assemble_samples / admit", ["sample_admission", "training_samples", "training_batches", "training_samples_bucketed"]),
     "J2": ("operators.joins.pending", ["pending_embeddings", "artifact_store"]),
     "J3": ("operators.joins.memoize", ["memoized_quality"]),
     "J4": ("operators.joins.zip_results", ["zip_results"]),
-    "J5": ("operators.joins.guide", ["guided_scores", "sampled_tokens_a"]),
+    "J5": ("operators.joins.guide, operators.vocab.guide", ["guided_scores", "guided_arrays", "sampled_tokens_a"]),
     "J6": ("operators.joins.resolve_preset", ["choose_reference", "stream_requests"]),
     "J7": ("operators.joins.missing_artifacts", ["missing_artifacts"]),
     # aggregations
@@ -67,13 +67,14 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     "O7": ("operators.position.first_wins", ["first_turns", "stream_text_tokens"]),
     "O8": ("operators.sampling.softmax, operators.vocab.softmax", ["softmax_scores", "softmax_arrays"]),
     "O9": ("operators.sampling.top_k_mask, operators.vocab.top_k", ["top_k_scores", "top_k_arrays"]),
-    "O10": ("operators.sampling.top_p_filter (A, B), operators.vocab.top_p", ["top_p_a", "top_p_b", "top_p_arrays"]),
+    "O10": ("operators.sampling.top_p_filter (A, B), operators.vocab.top_p, top_p_b",
+            ["top_p_a", "top_p_b", "top_p_arrays", "top_p_b_arrays"]),
     "O11": ("operators.sampling.draw_one, operators.vocab.draw", ["drawn_tokens", "drawn_arrays"]),
     "O12": ("operators.segments.segment_windows", ["segment_windows", "partial_mels"]),
     "O13": ("functions.tokens.mask_after_marker", ["marker_masks"]),
     # sorts, limits, sets
     "L1": ("operators.position.order_restore", ["restored_order"]),
-    "L2": ("functions.tokens.truncate / stage1_input(max_len)", ["training_batches"]),
+    "L2": ("functions.tokens.stage1_input / stage1_target (max_len)", ["training_batches"]),
     "L3": ("functions.tokens.crop_context", ["cropped_context"]),
     "L4": ("functions.tokens.take_until / generation_budget", ["take_until_eoa"]),
     "L5": ("operators.aggregates.length_guard", ["length_guard"]),
@@ -96,7 +97,8 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     "T13": ("functions.tokens.stack_hierarchies", ["stacked_hierarchies"]),
     "T14": ("functions.tokens.shift_ids", ["text_tokens", "text_roundtrip"]),
     "T15": ("operators.sampling.scale_logits, operators.vocab.scale", ["scaled_logits", "sampled_arrays"]),
-    "T16": ("operators.sampling.sample_tokens (A, B)", ["sampled_tokens_a", "sampled_tokens_b", "sampled_arrays"]),
+    "T16": ("operators.sampling.sample_tokens (A, B), operators.vocab.sample",
+            ["sampled_tokens_a", "sampled_tokens_b", "sampled_arrays", "sampled_arrays_a", "sampled_arrays_b"]),
     "T17": ("operators.sampling.embedding_dropout", ["embedding_dropout"]),
     "T18": ("functions.tokens.gather", ["gathered_embeddings"]),
     "T19": ("functions.tokens.null_pad_tokens", ["null_pad_targets"]),

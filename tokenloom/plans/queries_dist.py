@@ -138,6 +138,10 @@ def _arrays(spark, sf):
     return e.select(F.col("vec_id").alias("grp"), F.transform("embedding", lambda x: x.cast("double")).alias("logits"))
 
 
+def _both(spark, sf):
+    return _arrays(spark, sf).withColumn("uncond", F.reverse("logits"))
+
+
 def _regroup(sql_long: str, val: str, default: str = "0.0") -> str:
     """Long (grp, item, val) back to one 64-wide array per group (missing items -> default)."""
     return f"""SELECT a.grp, list_transform(range(64), lambda i: coalesce(list_extract(
@@ -180,3 +184,26 @@ def q_sampled_arrays(spark, sf):
     d = VA.scale(_arrays(spark, sf), "logits", 0.7)
     d = VA.draw(VA.top_p(VA.softmax(d, "logits"), "probs", 0.9), "probs", 13, "grp")
     return d.select("grp", F.col("drawn").cast("int").alias("drawn"))
+
+
+@register("guided_arrays", "SELECT grp, list_transform(logit, lambda x: round(x, 6)) AS logits FROM ({})".format(_regroup(_GUIDED, "logit")))
+def q_guided_arrays(spark, sf):
+    return VA.guide(_both(spark, sf), "logits", "uncond", 3.0, "logits").select("grp", _r6a("logits"))
+
+
+@register("top_p_b_arrays", "SELECT grp, list_transform(prob, lambda x: round(x, 6)) AS probs FROM ({})".format(
+    _regroup(_top_p_b_sql(_SCORES, 0.5), "prob")))
+def q_top_p_b_arrays(spark, sf):
+    return VA.top_p_b(_arrays(spark, sf), "logits", 0.5).select("grp", _r6a("probs"))
+
+
+@register("sampled_arrays_a", _draw_sql(_top_p_a_sql(_sm2(_GUIDED), 0.9), 11))
+def q_sampled_arrays_a(spark, sf):
+    d = VA.sample(_both(spark, sf), "logits", "uncond", guidance=3.0, temperature=1.0, k=None, p=0.9, seed=11)
+    return d.select("grp", F.col("drawn").cast("int").alias("drawn"))
+
+
+@register("sampled_arrays_b", _draw_sql(_top_p_b_sql(_B_IN, 0.9), 12))
+def q_sampled_arrays_b(spark, sf):
+    d = VA.sample(_both(spark, sf), "logits", "uncond", guidance=3.0, temperature=0.8, k=20, p=0.9, seed=12, variant="B")
+    return d.select("grp", F.col("drawn").cast("int").alias("drawn"))

@@ -31,19 +31,52 @@ def _force(df) -> None:
 _NA_SQL = ", ".join(D.q(t) for t in FS.NA_TOKENS)
 
 
+_TSV_ROWS = f"""SELECT source, doc_id, CASE doc_id % 7 WHEN 0 THEN 'NA' WHEN 1 THEN '' WHEN 2 THEN 'null'
+  WHEN 3 THEN 'say "x"' || chr(10) || 'and' || chr(9) || {D.normalize('text')} ELSE {D.normalize('text')} END AS t FROM documents"""
+
+
 @register("manifest_from_tsv", f"""SELECT replace(source || '/' || CAST(doc_id AS VARCHAR) || '.flac', '.flac', '') AS key,
   CASE WHEN t IS NULL OR t IN ({_NA_SQL}) THEN NULL ELSE t END AS text
-FROM (SELECT source, doc_id, CASE doc_id % 7 WHEN 0 THEN 'NA' WHEN 1 THEN '' WHEN 2 THEN 'null'
-        ELSE {D.normalize('text')} END AS t FROM documents)""")
+FROM ({_TSV_ROWS})""")
 def q_manifest_from_tsv(spark, sf):
+    return FS.read_tsv_manifest(spark, _tsv_files(spark, sf))
+
+
+def _tsv_files(spark, sf):
     d = TB.table(spark, sf, "documents")
     t = F.when(F.pmod("doc_id", F.lit(7)) == 0, F.lit("NA")).when(F.pmod("doc_id", F.lit(7)) == 1, F.lit("")) \
-        .when(F.pmod("doc_id", F.lit(7)) == 2, F.lit("null")).otherwise(normalize_text("text"))
+        .when(F.pmod("doc_id", F.lit(7)) == 2, F.lit("null")) \
+        .when(F.pmod("doc_id", F.lit(7)) == 3, F.concat(F.lit('say "x"\nand\t'), normalize_text("text"))) \
+        .otherwise(normalize_text("text"))
     rows = d.select(F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".flac")).alias("path"),
                     t.alias("text"))
     path = FS.work_dir(spark, "tsv")
     FS.write_tsv_manifest(rows, path)
-    return FS.read_tsv_manifest(spark, path)
+    return path
+
+
+@register("manifest_quarantine", f"""SELECT key, NULL AS line, 'null text' AS reason FROM (
+  SELECT {D.key()} AS key, t FROM ({_TSV_ROWS})) WHERE t IN ({_NA_SQL})
+UNION ALL SELECT NULL, 'broken ' || CAST(doc_id AS VARCHAR), 'corrupt line' FROM documents WHERE doc_id % 50 = 0
+UNION ALL SELECT {D.key()}, NULL, NULL FROM ({_TSV_ROWS}) WHERE t NOT IN ({_NA_SQL})""")
+def q_manifest_quarantine(spark, sf):
+    """S1 -> S3 -> S2 with broken lines among the files: rows that go on (null reason) and quarantined rows."""
+    path = FS.work_dir(spark, "quarantine")
+    FS.write_jsonl(FS.read_tsv_manifest(spark, _tsv_files(spark, sf)), os.path.join(path, "good"))
+    broken = TB.table(spark, sf, "documents").where("doc_id % 50 = 0").select(F.concat(F.lit("broken "), F.col("doc_id").cast("string")))
+    broken.write.text(os.path.join(path, "bad"))
+    ok, bad = FS.quarantine(FS.read_jsonl(spark, os.path.join(path, "*")))
+    return (ok.select("key", F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("reason"))
+            .unionAll(bad.select("key", F.col("_corrupt_record").alias("line"), "reason")))
+
+
+@register("file_order", f"SELECT {D.key()} AS key, doc_id AS row FROM documents")
+def q_file_order(spark, sf):
+    """S2 without a stored position: rows written in manifest order are numbered in file order."""
+    path = FS.work_dir(spark, "ordered")
+    d = TB.manifest(spark, sf).select("key", "pos")
+    FS.write_jsonl(d.repartitionByRange(4, "pos").sortWithinPartitions("pos").select("key"), path)
+    return FS.with_file_order(FS.read_jsonl(spark, path, "key string", corrupt=False), out="row")
 
 
 @register("manifest_jsonl", f"SELECT key, text, pos FROM ({D.MANIFEST})")
@@ -70,7 +103,7 @@ FROM (SELECT {D.key()} AS key, {D.normalize('text')} AS n FROM documents)"""
 
 
 def _bpe(spark, sf):
-    m = TB.spread(TB.manifest(spark, sf).select("key", normalize_text("text").alias("text")))
+    m = TB.manifest(spark, sf).select("key", normalize_text("text").alias("text"))
     return U.bpe_encode(m, "text")
 
 
@@ -105,7 +138,7 @@ def q_model_scores(spark, sf):
 # ---------------------------------------------------------------- S4
 
 @register("archive_members", """SELECT source || '-' || CAST(doc_id // 100 AS VARCHAR) AS archive,
-  CAST(doc_id AS VARCHAR) || '.txt' AS member, strlen(text) AS size FROM documents""")
+  CAST(doc_id AS VARCHAR) || '.txt' AS member, strlen(text) AS size, md5(text) AS content_md5, NULL::VARCHAR AS error FROM documents""")
 def q_archive_members(spark, sf):
     d = TB.table(spark, sf, "documents")
     rows = d.select(F.concat("source", F.lit("-"), F.floor(F.col("doc_id") / 100).cast("string")).alias("archive"),
@@ -114,27 +147,13 @@ def q_archive_members(spark, sf):
     out = FS.work_dir(spark, "tar")
     _force(AR.write_archives(rows, out, "archive", "member", "content"))
     paths = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").load(out).select("path")
-    return AR.unpack_archives(spark, paths).select("archive", "member", "size")
+    return AR.unpack_archives(spark, paths).select("archive", "member", "size", F.md5("content").alias("content_md5"), "error")
 
 
 # ---------------------------------------------------------------- S5, U3-U6
 
-_WAV_ROOTS: dict[tuple[str, str], str] = {}
-
-
-def _wav_root(spark, sf):
-    """Write the derived WAV files once per (input, shared folder) and reuse them."""
-    cache_key = (sf, spark.conf.get("spark.checkpoint.dir", ""))
-    root = _WAV_ROOTS.get(cache_key)
-    if root and os.path.isdir(root):
-        return root
-    root = _write_wavs(spark, sf)
-    _WAV_ROOTS[cache_key] = root
-    return root
-
-
 def _write_wavs(spark, sf):
-    d = TB.spread(TB.manifest(spark, sf).select("key", "text"))
+    d = TB.manifest(spark, sf).select("key", "text")
     rows = d.select("key", F.transform(utf8_bytes("text"), lambda x: ((x - 128) / 128.0).cast("float")).alias("pcm"),
                     F.lit(16000).alias("sample_rate"))
     out = FS.work_dir(spark, "wav")
@@ -143,19 +162,25 @@ def _write_wavs(spark, sf):
 
 
 def _audio(spark, sf):
-    root = _wav_root(spark, sf)
+    root = _write_wavs(spark, sf)
     a = AU.read_audio(spark, root)
     return a.withColumn("key", AU.key_from_path("path", root))
 
 
-@register("audio_files", f"""SELECT {D.key()} AS key, 16000 AS sample_rate, 1 AS channels, strlen(text) AS n_samples
-FROM documents""")
+# 16-bit sample of each byte as the WAV sink writes it, and the sum of the samples
+_PCM16 = ("list_transform(regexp_extract_all(hex(encode(text)), '..'), "
+          "lambda h: round_even((('0x' || h)::INTEGER - 128) * 32767.0::DOUBLE / 128.0::DOUBLE, 0)::BIGINT)")
+
+
+@register("audio_files", f"""SELECT {D.key()} AS key, 16000 AS sample_rate, 1 AS channels, strlen(text) AS n_samples,
+  coalesce(list_sum({_PCM16}), 0)::BIGINT AS pcm_sum, NULL::VARCHAR AS error FROM documents""")
 def q_audio_files(spark, sf):
-    return _audio(spark, sf).select("key", "sample_rate", "channels", "n_samples")
+    pcm_sum = F.aggregate(F.col("pcm")[0], F.lit(0).cast("long"), lambda a, x: a + (x * 32768).cast("long"))
+    return _audio(spark, sf).select("key", "sample_rate", "channels", "n_samples", pcm_sum.alias("pcm_sum"), "error")
 
 
 @register("resampled_audio", f"""SELECT {D.key()} AS key, (strlen(text) * 3 + 1) // 2 AS n_samples,
-  CASE WHEN (strlen(text) * 3 + 1) // 2 < 9600 THEN 'wav predicted is shorter than 400ms!' END AS error
+  CASE WHEN (strlen(text) * 3 + 1) // 2 < 9600 THEN 'audio shorter than 400 ms' END AS error
 FROM documents""")
 def q_resampled_audio(spark, sf):
     from tokenloom.functions.requests import synthesis_error
@@ -165,7 +190,18 @@ def q_resampled_audio(spark, sf):
     return r.select("key", n.alias("n_samples"), synthesis_error(n).alias("error"))
 
 
-@register("trimmed_audio")
+# frames of 2048 samples every 512, centred: frame f covers samples 512 f - 1024 .. 512 f + 1023
+_TRIM_SQL = f"""WITH a AS (SELECT {D.key()} AS key, strlen(text) AS n,
+    list_transform({_PCM16}, lambda v: (v::DOUBLE / 32768) ** 2) AS sq FROM documents),
+p AS (SELECT key, n, list_transform(range(1 + n // 512), lambda f:
+    greatest(coalesce(list_sum(sq[greatest(512 * f - 1024, 0) + 1:512 * f + 1024]), 0) / 2048, 1e-10)) AS power FROM a),
+l AS (SELECT key, n, list_filter(range(len(power)), lambda f: power[f + 1] / list_max(power) > 0.01) AS loud FROM p)
+SELECT key, CASE WHEN n = 0 THEN 0 ELSE 512 * loud[1] END AS trim_start,
+  CASE WHEN n = 0 THEN 0 ELSE least(n, 512 * (loud[-1] + 1)) END AS trim_end,
+  CASE WHEN n = 0 THEN 0 ELSE least(n, 512 * (loud[-1] + 1)) - 512 * loud[1] END::INTEGER AS n_samples FROM l"""
+
+
+@register("trimmed_audio", _TRIM_SQL)
 def q_trimmed_audio(spark, sf):
     r = AU.trim_audio(AU.resample_audio(_audio(spark, sf), 16000, "mean"))
     return r.select("key", "trim_start", "trim_end", F.size("wave").alias("n_samples"))
@@ -191,9 +227,9 @@ def q_partial_mels(spark, sf):
 
 _PRESETS_SQL = "(VALUES " + ", ".join(
     f"('{n}', 'https://voices.example.org/speakers/{f}')" for n, f in zip(PRESET_NAMES, PRESET_FILES)) + ") AS p(name, url)"
-_STREAM_SQL = f"""SELECT r.conv_id, r.turn, {D.normalize('substring(r.text, 1, 220)')} AS text, r.guidance, r.top_p, r.top_k,
+_STREAM_SQL = f"""SELECT r.conv_id, r.turn, {D.normalize('r.text')} AS text, r.guidance, r.top_p, r.top_k,
   coalesce(r.speaker_ref_path, p.url) AS reference,
-  coalesce(r.error, CASE WHEN r.text IS NULL OR r.text = '' THEN 'Please provide text to synthesise' END) AS error
+  coalesce(r.error, CASE WHEN r.text IS NULL OR r.text = '' THEN 'empty text' END) AS error
 FROM (SELECT *, ['Ava', 'Bria', 'Alex', 'Jacob'][1 + conv_id % 4] AS preset FROM (
   SELECT conv_id, turn,
     CASE WHEN turn % 4 = 3 THEN NULL ELSE text END AS text,
@@ -265,7 +301,9 @@ def q_training_samples_bucketed(spark, sf):
     for kind, df in arts.items():
         FS.write_bucketed_artifact(df, f"{kind}_{suffix}", os.path.join(base, kind), n)
     t = {k: FS.read_bucketed_artifact(spark, f"{k}_{suffix}") for k in arts}
-    return assemble_samples(t["man"], t["txt"], t["emb"], t["tok"]).select("key", "pos", "text_tokens", "embedding", "codes")
+    # half of the manifest has no embedding yet: only admitted rows go on (see sample_admission)
+    return assemble_samples(t["man"], t["txt"], t["emb"], t["tok"], strict=False).select(
+        "key", "pos", "text_tokens", "embedding", "codes")
 
 
 @register("stream_text_tokens_state", f"SELECT key, tokens FROM ({D.TEXT_ART})")

@@ -12,7 +12,7 @@ from tokenloom.operators import sets as G
 from tokenloom.operators.collate import batch_shape
 from tokenloom.plans import duck as D
 from tokenloom.plans.catalog import register
-from tokenloom.plans.training import batched_samples, training_samples
+from tokenloom.plans.training import admission, batched_samples, training_samples
 from tokenloom.sources import tables as TB
 
 N_SHARDS = 7
@@ -102,9 +102,7 @@ _LEN_SQL = f"""SELECT key, pos, length, sorted_pos, sorted_pos // {BATCH} AS bat
 
 
 def _length_batches(spark, sf):
-    m = TB.manifest(spark, sf).select("key", "pos")
-    t = TB.text_token_artifact(spark, sf).select("key", F.size("tokens").cast("long").alias("length"))
-    return P.length_sorted_batches(m.join(t, "key"), BATCH, "length")
+    return P.length_sorted_batches(TB.text_lengths(spark, sf), BATCH, "length")
 
 
 @register("length_sorted_batches", _LEN_SQL)
@@ -123,17 +121,12 @@ def q_batch_token_len(spark, sf):
     return AG.batch_token_len(_length_batches(spark, sf), MAX_NEW)
 
 
-@register("length_guard", f"""SELECT max(length) AS max_len,
-  CASE WHEN max(length) + {MAX_NEW} >= {BLOCK} THEN 'max_new_tokens {MAX_NEW} too large! Choose '
-       || CAST({BLOCK} - max(length) - 1 AS VARCHAR) || ' instead.' END AS error
+@register("length_guard", f"""SELECT batch_id, max(length) AS max_len,
+  CASE WHEN max(length) + {MAX_NEW} >= {BLOCK} THEN 'at most ' || CAST({BLOCK} - max(length) - 1 AS VARCHAR) || ' new tokens fit, not {MAX_NEW}' END AS error
 FROM ({_LEN_SQL}) GROUP BY batch_id""")
 def q_length_guard(spark, sf):
-    b = _length_batches(spark, sf)
     # one verdict per batch: the guard runs before each generation call
-    mx = F.max("length")
-    return b.groupBy("batch_id").agg(mx.alias("max_len"), F.when(mx + MAX_NEW >= BLOCK, F.concat(
-        F.lit(f"max_new_tokens {MAX_NEW} too large! Choose "), (F.lit(BLOCK) - mx - 1).cast("string"),
-        F.lit(" instead."))).alias("error")).drop("batch_id")
+    return AG.length_guard(_length_batches(spark, sf), MAX_NEW, BLOCK, by="batch_id")
 
 
 @register("first_turns", """SELECT conv_id, turn, role, text FROM (
@@ -189,6 +182,13 @@ def q_missing_artifacts(spark, sf):
         "codes": TB.code_artifact(spark, sf)})
 
 
+@register("sample_admission", f"""WITH m AS ({D.MANIFEST}) SELECT key, pos,
+  CASE WHEN key IN (SELECT key FROM ({D.EMB_ART})) THEN NULL ELSE 'missing embedding' END AS reason FROM m""")
+def q_sample_admission(spark, sf):
+    """J1's lenient form: kept rows (null reason) and rejected rows together are the manifest."""
+    return admission(spark, sf).select("key", "pos", "reason")
+
+
 @register("memoized_quality", """SELECT d.doc_id, l.quality, true AS cache_hit FROM documents d JOIN labels l USING (doc_id)
 UNION ALL
 SELECT doc_id, CASE WHEN n_chars >= 1000 THEN 1 ELSE 0 END, false FROM documents

@@ -8,7 +8,7 @@ from tokenloom.functions import requests as R
 from tokenloom.functions import text as X
 from tokenloom.operators.aggregates import distinct_dirs
 from tokenloom.operators.joins import resolve_preset
-from tokenloom.operators.metrics import eval_mean_of_means
+from tokenloom.operators.metrics import eval_mean_of_means, metric_names
 from tokenloom.operators.vectors import check_embedding_dims
 from tokenloom.plans import duck as D
 from tokenloom.plans.catalog import register
@@ -21,7 +21,7 @@ BASE = "data"
 
 @register("normalize_text", f"SELECT doc_id, {D.normalize('text')} AS text_norm FROM documents")
 def q_normalize_text(spark, sf):
-    d = TB.spread(TB.table(spark, sf, "documents").select("doc_id", "text"))
+    d = TB.table(spark, sf, "documents").select("doc_id", "text")
     return d.select("doc_id", X.normalize_text("text").alias("text_norm"))
 
 
@@ -34,7 +34,7 @@ def q_normalize_turns(spark, sf):
 @register("wide_chars", r"""SELECT doc_id,
   list_sort(list_distinct(regexp_extract_all(text, '[^\x{00}-\x{FF}]'))) AS wide_chars FROM documents""")
 def q_wide_chars(spark, sf):
-    d = TB.spread(TB.table(spark, sf, "documents").select("doc_id", "text"))
+    d = TB.table(spark, sf, "documents").select("doc_id", "text")
     return d.select("doc_id", X.wide_chars("text").alias("wide_chars"))
 
 
@@ -134,20 +134,24 @@ FROM conversations""")
 def q_request_knobs(spark, sf):
     c = TB.table(spark, sf, "conversations")
     return c.select("conv_id", "turn",
-                    R.denormalise_top_p(F.pmod("turn", F.lit(11))).alias("top_p"),
-                    R.denormalise_guidance(F.lit(1) + F.pmod("conv_id", F.lit(5))).alias("guidance"))
+                    R.slider_value(F.pmod("turn", F.lit(11)), **R.TOP_P_SLIDER).alias("top_p"),
+                    R.slider_value(F.lit(1) + F.pmod("conv_id", F.lit(5)), **R.GUIDANCE_SLIDER).alias("guidance"))
 
 
 @register("validate_requests", f"""SELECT conv_id, turn,
-  CASE WHEN text IS NULL OR text = '' THEN 'Please provide text to synthesise'
+  CASE WHEN text IS NULL OR text = '' THEN 'empty text'
        WHEN upload_bytes::DOUBLE / 1024 / 1024 >= {R.MAX_UPLOAD_MB}
-       THEN 'Please upload a sample less than 20MB for voice cloning. Provided: '
-            || CAST(round_even(upload_bytes::DOUBLE / 1024 / 1024, 0)::BIGINT AS VARCHAR) || ' MB' END AS error,
+       THEN 'upload too large: ' || CAST(round_even(upload_bytes::DOUBLE / 1024 / 1024, 0)::BIGINT AS VARCHAR)
+            || ' MB of at most {R.MAX_UPLOAD_MB}' END AS error,
   substring(text, 1, {R.MAX_CHARS}) AS text_cut,
   length(text) > {R.MAX_CHARS} AS long_text
-FROM (SELECT conv_id, turn, text, length(text)::BIGINT * 40000 AS upload_bytes FROM ({_REQ_EXPECTED}))""")
+FROM (SELECT conv_id, turn, text, CASE WHEN conv_id % 10 = 3 THEN 55050240 + (conv_id // 10 % 2) * 1048576
+        ELSE length(text)::BIGINT * 40000 END AS upload_bytes FROM ({_REQ_EXPECTED}))""")
 def q_validate_requests(spark, sf):
-    p = _parsed(spark, sf).withColumn("upload_bytes", F.length("text").cast("long") * 40000)
+    # conversations ..3 upload 52.5 or 53.5 MB: ties that round to the even neighbour
+    tie = F.lit(55050240) + F.pmod(F.floor(F.col("conv_id") / 10), F.lit(2)) * 1048576
+    p = _parsed(spark, sf).withColumn("upload_bytes", F.when(F.pmod("conv_id", F.lit(10)) == 3, tie)
+                                      .otherwise(F.length("text").cast("long") * 40000))
     return p.select("conv_id", "turn", R.validation_error("text", "upload_bytes").alias("error"),
                     R.cut_text("text").alias("text_cut"), R.is_long_text("text").alias("long_text"))
 
@@ -198,9 +202,7 @@ def q_archive_list(spark, sf):
 FROM (SELECT event_id AS utt_id, 8000 + (event_id * 377) % 400000 AS n_samples FROM events)
 WHERE n_samples::DOUBLE / 16000 >= 2.0""")
 def q_durations(spark, sf):
-    u = TB.utterances(spark, sf)
-    d = u.withColumn("duration_s", F.col("n_samples") / F.col("sample_rate"))
-    return d.filter(F.col("duration_s") >= 2.0).select(
+    return R.duration_filter(TB.utterances(spark, sf), out="duration_s").select(
         "utt_id", "duration_s", R.cap_samples("n_samples", "sample_rate").alias("capped_samples"),
         (F.col("duration_s") >= 30).alias("long_enough"))
 
@@ -215,11 +217,13 @@ def q_embedding_dims(spark, sf):
 @register("metric_keys", """WITH l AS (SELECT (event_id % 4)::INTEGER AS rank, event_id // 32 AS batch_id,
   event_type AS name, value FROM events),
 pb AS (SELECT name, rank, batch_id, avg(value) AS m FROM l GROUP BY ALL),
-s AS (SELECT name, avg(m) AS value_mean, (SELECT avg(value) FROM l l2 WHERE l2.name = pb.name) AS value_mean_weighted
+s AS (SELECT name, count(*) AS at_step, avg(m) AS value_mean, (SELECT avg(value) FROM l l2 WHERE l2.name = pb.name) AS value_mean_weighted
       FROM pb GROUP BY name)
-SELECT 'val/' || name || '/' || stat AS metric, round(v, 6) AS value FROM s
+SELECT 'val/' || name || '/' || stat AS metric, at_step, round(v, 6) AS value FROM s
 UNPIVOT (v FOR stat IN (value_mean AS 'mean', value_mean_weighted AS 'mean_weighted'))""")
 def q_metric_keys(spark, sf):
     s = eval_mean_of_means(TB.losses(spark, sf))
-    long = s.select("name", F.expr("stack(2, 'mean', value_mean, 'mean_weighted', value_mean_weighted) AS (stat, v)"))
-    return long.select(F.concat_ws("/", F.lit("val"), "name", "stat").alias("metric"), F.round("v", 6).alias("value"))
+    # the step of an evaluation is the number of batches it has seen
+    long = s.select("name", "n_batches", F.expr("stack(2, 'mean', value_mean, 'mean_weighted', value_mean_weighted) AS (stat, v)"))
+    named = metric_names(long.withColumn("name", F.concat_ws("/", "name", "stat")), "val", step="n_batches")
+    return named.select("metric", "at_step", F.round("v", 6).alias("value"))

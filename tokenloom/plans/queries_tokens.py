@@ -113,7 +113,7 @@ _S2 = f"""SELECT doc_id AS pos, [{_fit('txt || c[1] || [1024]')}, {_fit(D.rep('1
 
 
 def _stage2(spark, sf):
-    d = TB.spread(TB.table(spark, sf, "documents").select("doc_id", "text"))
+    d = TB.table(spark, sf, "documents").select("doc_id", "text")
     # tokens in their own projection: the row builder below refers to them several times
     toks = d.select(F.col("doc_id").alias("pos"), TB.codes_of("doc_id").alias("c"),
                     T.byte_tokens(normalize_text("text"), STAGE2).alias("t"))
@@ -138,10 +138,10 @@ _PROMPTS = f"""SELECT key, pos, length, batch_id, max(length) OVER (PARTITION BY
 
 
 def _prompts(spark, sf):
-    m = TB.manifest(spark, sf).select("key", "pos")
-    t = TB.text_token_artifact(spark, sf).withColumn("length", F.size("tokens").cast("long"))
-    b = length_sorted_batches(m.join(t, "key"), BATCH, "length")
-    return b.withColumn("width", F.max("length").over(Window.partitionBy("batch_id")))
+    # batches and widths on the narrow table; tokens are made once, where they are used
+    b = length_sorted_batches(TB.text_lengths(spark, sf), BATCH, "length")
+    b = b.withColumn("width", F.max("length").over(Window.partitionBy("batch_id")))
+    return b.join(TB.text_token_artifact(spark, sf, by_key=True).hint("merge"), "key")
 
 
 @register("prompt_batches", f"""SELECT key, batch_id, length AS seq_len,

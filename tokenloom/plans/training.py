@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tokenloom.operators.collate import collate
-from tokenloom.operators.joins import assemble_samples
+from tokenloom.operators.joins import admit, assemble_samples
 from tokenloom.operators.position import fixed_batches, with_position
 from tokenloom.sources import tables
 
 
+def admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest rows ``(key, pos, reason)``; ``reason`` is null for rows that have all artifacts."""
+    return admit(tables.manifest(spark, sf_dir).select("key", "pos"), {
+        "text": tables.text_token_artifact(spark, sf_dir), "embedding": tables.embedding_artifact(spark, sf_dir),
+        "codes": tables.code_artifact(spark, sf_dir)})
+
+
 def training_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J1 over the derived artifact tables; rows lacking an artifact are left out."""
+    """J1 over the derived artifact tables, of the admitted rows; :func:`admission` shows the others."""
     return assemble_samples(
-        tables.manifest(spark, sf_dir).select("key", "pos"),
+        admission(spark, sf_dir).where("reason is null").drop("reason"),
         tables.text_token_artifact(spark, sf_dir, by_key=True),
         tables.embedding_artifact(spark, sf_dir),
         tables.code_artifact(spark, sf_dir, by_key=True),
@@ -24,21 +31,13 @@ def batched_samples(spark: SparkSession, sf_dir: str, batch_size: int = 16) -> D
     """J1 samples with dense row numbers (O1) and fixed batch ids.
 
     Row numbers and batch ids are computed on a narrow ``(key, pos)`` projection of the
-    rows that have all three artifacts (key-only semi joins); the wide artifacts are then
-    joined once on ``key``, every side hash-partitioned on it.
+    admitted rows, which O1 stores once; the wide artifacts are then joined on ``key``, every side
+    hash-partitioned on it. A missing artifact there is an error.
     """
-    man = tables.manifest(spark, sf_dir).select("key", "pos")
-    txt = tables.text_token_artifact(spark, sf_dir, by_key=True)
-    emb = tables.embedding_artifact(spark, sf_dir)
-    tok = tables.code_artifact(spark, sf_dir, by_key=True)
-    # presence is decided on key-only projections; they are taken from the artifact forms
-    # without the key repartition (that exchange only pays off for the wide join)
-    present = man
-    for keys in (tables.text_token_artifact(spark, sf_dir, spread_rows=False).select("key"), emb.select("key"),
-                 tables.code_artifact(spark, sf_dir).select("key")):
-        present = present.join(keys, "key", "left_semi")
+    present = admission(spark, sf_dir).where("reason is null").drop("reason")
     rows = fixed_batches(with_position(present, ["pos"], out="row"), batch_size, pos="row")
-    return assemble_samples(rows, txt, emb, tok)
+    return assemble_samples(rows, tables.text_token_artifact(spark, sf_dir, by_key=True),
+                            tables.embedding_artifact(spark, sf_dir), tables.code_artifact(spark, sf_dir, by_key=True))
 
 
 def training_batches(spark: SparkSession, sf_dir: str, batch_size: int = 16, max_len: int | None = 2048,

@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 from tokenloom.sources.fsio import open_input, write_atomic
 
+# Bytes of members that a worker gathers before it hands a batch on.
+BATCH_BYTES = 16_000_000
+
 MEMBER_SCHEMA = T.StructType([
     T.StructField("archive", T.StringType()),
     T.StructField("member", T.StringType()),
@@ -35,12 +38,14 @@ def unpack_archives(spark: SparkSession, paths: DataFrame, path: str = "path", d
         todo = todo.withColumn("archive", F.regexp_extract(path, r"([^/]+)\.tar$", 1)) \
             .join(done.select("archive"), "archive", "left_anti").select(path)
 
+    names = [f.name for f in MEMBER_SCHEMA.fields]
+
     def run(batches):
         for pdf in batches:
-            rows = []
             for p in pdf[path]:
                 base = p.rstrip("/").rsplit("/", 1)[-1]
                 name = base[:-4] if base.endswith(".tar") else base
+                rows, held = [], 0
                 try:
                     with open_input(p) as stream, tarfile.open(fileobj=stream, mode="r|*") as tf:
                         for m in tf:
@@ -48,9 +53,14 @@ def unpack_archives(spark: SparkSession, paths: DataFrame, path: str = "path", d
                                 continue
                             data = tf.extractfile(m).read()
                             rows.append((name, m.name, len(data), data, None))
-                except Exception as ex:  # noqa: BLE001
-                    rows.append((name, None, None, None, f"{type(ex).__name__}: {ex}"[:200]))
-            yield pd.DataFrame(rows, columns=[f.name for f in MEMBER_SCHEMA.fields])
+                            held += len(data)
+                            if held >= BATCH_BYTES:
+                                yield pd.DataFrame(rows, columns=names)
+                                rows, held = [], 0
+                except (OSError, EOFError, tarfile.TarError) as ex:  # unreadable from here on: a row says why
+                    rows.append((name, None, None, None, f"{type(ex).__name__}: {ex}"))
+                if rows:
+                    yield pd.DataFrame(rows, columns=names)
 
     return todo.mapInPandas(run, MEMBER_SCHEMA)
 

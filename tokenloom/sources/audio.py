@@ -6,6 +6,7 @@ and rows. Only PCM WAV is decoded (stdlib ``wave``); other codecs are out of sco
 
 from __future__ import annotations
 
+import functools
 import io
 import wave
 from collections.abc import Iterator
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenloom.operators.segments import PARTIAL_FRAMES, SAMPLES_PER_FRAME, frame_step
+from tokenloom.operators.segments import PARTIAL_FRAMES, frame_step, padded_length, window_count
 from tokenloom.sources.fsio import write_atomic
 
 # Fixed values of the speaker-encoder front end: 40 mel bands, 25 ms window, 10 ms hop.
@@ -24,6 +25,10 @@ MEL_BANDS = 40
 MEL_WINDOW = 400
 MEL_HOP = 160
 
+# Samples that a worker gathers before it hands a batch on, and frames it transforms at once.
+BATCH_SAMPLES = 4_000_000
+FRAMES_AT_ONCE = 4096
+
 AUDIO_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("sample_rate", T.IntegerType()),
@@ -42,6 +47,10 @@ def _decode_wav(content: bytes) -> tuple[int, int, np.ndarray]:
         x = np.frombuffer(raw, dtype="<i2").astype(np.float32) / 32768.0
     elif width == 1:
         x = (np.frombuffer(raw, dtype=np.uint8).astype(np.float32) - 128.0) / 128.0
+    elif width == 3:  # 24-bit: place the three bytes above an empty low byte
+        wide = np.zeros((len(raw) // 3, 4), np.uint8)
+        wide[:, 1:] = np.frombuffer(raw[:len(raw) // 3 * 3], np.uint8).reshape(-1, 3)
+        x = wide.view("<i4").ravel().astype(np.float32) / 2147483648.0
     elif width == 4:
         x = np.frombuffer(raw, dtype="<i4").astype(np.float32) / 2147483648.0
     else:
@@ -54,20 +63,26 @@ def read_audio(spark: SparkSession, path: str, glob: str = "*.wav") -> DataFrame
     """WAV files under ``path`` -> ``(path, sample_rate, channels, n_samples, pcm[ch][t], error)``.
 
     A file that cannot be decoded becomes a row with ``error`` set instead of failing the job.
+    Rows leave the worker in batches of about ``BATCH_SAMPLES`` samples.
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(path).select("path", "content"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
+            out, held = [], 0
             for p, content in zip(pdf["path"], pdf["content"]):
                 try:
                     rate, ch, x = _decode_wav(bytes(content))
                     out.append((p, rate, ch, x.shape[1], list(x), None))  # numpy rows: Arrow converts in bulk
-                except Exception as ex:  # noqa: BLE001
-                    out.append((p, None, None, None, None, f"{type(ex).__name__}: {ex}"[:200]))
-            yield pd.DataFrame(out, columns=[f.name for f in AUDIO_SCHEMA.fields])
+                    held += x.size
+                except Exception as ex:  # noqa: BLE001 -- an undecodable file is a row with its reason
+                    out.append((p, None, None, None, None, f"{type(ex).__name__}: {ex}"))
+                if held >= BATCH_SAMPLES:
+                    yield pd.DataFrame(out, columns=[f.name for f in AUDIO_SCHEMA.fields])
+                    out, held = [], 0
+            if out:
+                yield pd.DataFrame(out, columns=[f.name for f in AUDIO_SCHEMA.fields])
 
     return files.mapInPandas(run, AUDIO_SCHEMA)
 
@@ -102,84 +117,97 @@ def write_wavs(df: DataFrame, out_dir: str, key: str = "key", pcm: str = "pcm",
 
 # ---------------------------------------------------------------- signal functions (numpy)
 
+def sinc_kernel(src: int, dst: int, crossings: int = 6) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """``(up, down, first input offset, weights)`` of every output phase.
+
+    Output sample ``j * up + p`` lies at input time ``j * down + p * down / up``. Its weights are a sinc low-pass at the lower
+    of both Nyquist rates under a Hann window of ``crossings`` zero crossings a side, scaled to sum to one.
+    """
+    g = int(np.gcd(src, dst))
+    up, down = dst // g, src // g
+    cutoff = min(1.0, up / down)
+    reach = int(np.ceil(crossings / cutoff))
+    time = np.arange(up) * down / up
+    base = np.floor(time).astype(np.int64) - reach + 1
+    t = base[:, None] + np.arange(2 * reach)[None, :] - time[:, None]
+    shape = np.where(np.abs(t) < reach, np.cos(np.pi * t / (2 * reach)) ** 2, 0.0)
+    weights = np.sinc(cutoff * t) * shape
+    return up, down, base, weights / weights.sum(axis=1, keepdims=True)
+
+
 def resample(x: np.ndarray, src: int, dst: int) -> np.ndarray:
-    """Band-limited (FFT) resampling to ``ceil(n * dst / src)`` samples; identity if equal."""
+    """Windowed-sinc resampling to ``ceil(n * dst / src)`` samples, zeros beyond the ends; identity if equal."""
     if src == dst or len(x) == 0:
         return x.astype(np.float32)
-    n_out = int(np.ceil(len(x) * dst / src))
-    spec = np.fft.rfft(x)
-    keep = min(len(spec), n_out // 2 + 1)
-    out_spec = np.zeros(n_out // 2 + 1, dtype=complex)
-    out_spec[:keep] = spec[:keep]
-    y = np.fft.irfft(out_spec, n_out) * (n_out / len(x))
-    return y.astype(np.float32)
+    up, down, base, weights = sinc_kernel(src, dst)
+    n_out = -(-len(x) * dst // src)
+    steps = -(-n_out // up)
+    lead = -int(base.min())
+    xp = np.zeros(lead + (steps - 1) * down + int(base.max()) + weights.shape[1] + 1)
+    xp[lead:lead + len(x)] = x[:len(xp) - lead]
+    y = np.zeros((steps, up))
+    for p in range(up):
+        for k, w in enumerate(weights[p]):
+            at = lead + int(base[p]) + k
+            y[:, p] += w * xp[at:at + (steps - 1) * down + 1:down]
+    return y.ravel()[:n_out].astype(np.float32)
+
+
+def _frame_chunks(x: np.ndarray, frame: int, hop: int) -> Iterator[np.ndarray]:
+    """Centred frames of a waveform, zeros beyond its ends, at most ``FRAMES_AT_ONCE`` at a time."""
+    xp = np.pad(x.astype(np.float64), (frame // 2, frame // 2))
+    view = np.lib.stride_tricks.sliding_window_view(xp, frame)[::hop]
+    for i in range(0, len(view), FRAMES_AT_ONCE):
+        yield view[i:i + FRAMES_AT_ONCE]
 
 
 def trim_silence(x: np.ndarray, top_db: float = 20.0, frame: int = 2048, hop: int = 512) -> tuple[int, int]:
-    """U4: ``[start, end)`` after dropping leading/trailing frames ``top_db`` below the peak RMS."""
+    """U4: ``[start, end)`` after dropping leading/trailing frames ``top_db`` below the peak RMS.
+
+    Powers are compared above a floor of 1e-10, so a clip that is silent throughout is all as loud
+    as its peak and stays whole.
+    """
     if len(x) == 0:
         return 0, 0
-    pad = frame // 2
-    xp = np.pad(x.astype(np.float64), (pad, pad))
-    n_frames = 1 + (len(xp) - frame) // hop
-    idx = np.arange(frame)[None, :] + hop * np.arange(n_frames)[:, None]
-    rms = np.sqrt(np.mean(xp[idx] ** 2, axis=1))
-    peak = rms.max()
-    if peak <= 0:
-        return 0, 0
-    db = 20.0 * np.log10(np.maximum(rms, 1e-10) / peak)
-    loud = np.nonzero(db > -top_db)[0]
-    if len(loud) == 0:
-        return 0, 0
+    power = np.concatenate([(f * f).mean(axis=1) for f in _frame_chunks(x, frame, hop)])
+    power = np.maximum(power, 1e-10)
+    loud = np.flatnonzero(10.0 * np.log10(power / power.max()) > -top_db)
     return int(loud[0] * hop), int(min(len(x), (loud[-1] + 1) * hop))
 
 
-def _hz_to_mel(f):
-    f = np.asanyarray(f, dtype=np.float64)
-    lin = f / (200.0 / 3)
-    log = 15.0 + np.log(np.maximum(f, 1e-10) / 1000.0) / (np.log(6.4) / 27.0)
-    return np.where(f >= 1000.0, log, lin)
+# Fixed values of the mel scale: linear below 1 kHz at 3 mels per 200 Hz, 27 mels per factor 6.4 above.
+MEL_PER_HZ = 3 / 200
+MEL_BREAK_HZ = 1000.0
+MEL_PER_LOG = 27 / np.log(6.4)
 
 
-def _mel_to_hz(m):
-    m = np.asanyarray(m, dtype=np.float64)
-    lin = m * (200.0 / 3)
-    log = 1000.0 * np.exp((np.log(6.4) / 27.0) * (m - 15.0))
-    return np.where(m >= 15.0, log, lin)
+def _band_edges(sr: int, n_mels: int) -> np.ndarray:
+    """``n_mels + 2`` frequencies, equally spaced in mels from 0 to half the rate."""
+    knee = MEL_PER_HZ * MEL_BREAK_HZ
+    top = sr / 2 * MEL_PER_HZ if sr / 2 < MEL_BREAK_HZ else knee + MEL_PER_LOG * np.log(sr / 2 / MEL_BREAK_HZ)
+    mels = np.linspace(0.0, top, n_mels + 2)
+    return np.where(mels < knee, mels / MEL_PER_HZ, MEL_BREAK_HZ * np.exp(np.maximum(mels - knee, 0) / MEL_PER_LOG))
 
 
+@functools.cache
 def mel_filterbank(sr: int = 16000, n_fft: int = MEL_WINDOW, n_mels: int = MEL_BANDS) -> np.ndarray:
-    """Slaney-style triangular mel filters with area normalisation, ``[n_mels, n_fft//2+1]``."""
-    fft_f = np.linspace(0, sr / 2, n_fft // 2 + 1)
-    mel_f = _mel_to_hz(np.linspace(_hz_to_mel(0.0), _hz_to_mel(sr / 2), n_mels + 2))
-    fdiff = np.diff(mel_f)
-    ramps = mel_f[:, None] - fft_f[None, :]
-    lower = -ramps[:-2] / fdiff[:-1, None]
-    upper = ramps[2:] / fdiff[1:, None]
-    w = np.maximum(0, np.minimum(lower, upper))
-    return w * (2.0 / (mel_f[2:n_mels + 2] - mel_f[:n_mels]))[:, None]
+    """Triangles over neighbouring band edges with unit area in Hz, ``[n_mels, n_fft//2+1]``.
+
+    Each band rises from its left edge to its centre and falls to its right edge: the piecewise linear
+    function through (left, 0), (centre, 2 / width), (right, 0).
+    """
+    edges = _band_edges(sr, n_mels)
+    bins = np.arange(n_fft // 2 + 1) * sr / n_fft
+    return np.stack([np.interp(bins, edges[i:i + 3], [0.0, 2.0 / (edges[i + 2] - edges[i]), 0.0], left=0.0, right=0.0)
+                     for i in range(n_mels)])
 
 
 def mel_frames(x: np.ndarray, sr: int = 16000) -> np.ndarray:
     """Mel power spectrogram (not log), frame-major ``[1 + n // hop, n_mels]`` float32."""
-    pad = MEL_WINDOW // 2
-    xp = np.pad(x.astype(np.float64), (pad, pad))
-    n_frames = 1 + (len(xp) - MEL_WINDOW) // MEL_HOP
-    idx = np.arange(MEL_WINDOW)[None, :] + MEL_HOP * np.arange(n_frames)[:, None]
-    win = np.hanning(MEL_WINDOW + 1)[:-1]
-    power = np.abs(np.fft.rfft(xp[idx] * win, axis=1)) ** 2
-    return (power @ mel_filterbank(sr).T).astype(np.float32)
-
-
-def _window_starts(n: int, rate: float = 1.3, min_coverage: float = 0.75) -> list[int]:
-    step = frame_step(rate)
-    n_frames = int(np.ceil((n + 1) / SAMPLES_PER_FRAME))
-    steps = max(1, n_frames - PARTIAL_FRAMES + step + 1)
-    starts = list(range(0, steps, step))
-    cov = (n - starts[-1] * SAMPLES_PER_FRAME) / (PARTIAL_FRAMES * SAMPLES_PER_FRAME)
-    if cov < min_coverage and len(starts) > 1:
-        starts = starts[:-1]
-    return starts
+    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(MEL_WINDOW) / MEL_WINDOW)
+    bank = mel_filterbank(sr).T
+    return np.concatenate([(np.abs(np.fft.rfft(f * window, axis=1)) ** 2 @ bank).astype(np.float32)
+                           for f in _frame_chunks(x, MEL_WINDOW, MEL_HOP)])
 
 
 # ---------------------------------------------------------------- DataFrame operators
@@ -229,26 +257,27 @@ def trim_audio(df: DataFrame, wave_col: str = "wave", top_db: float = 20.0) -> D
 def partial_mels(df: DataFrame, wave_col: str = "wave", key: str = "key", rate: float = 1.3,
                  min_coverage: float = 0.75) -> DataFrame:
     """T21 + U5 + U6: pad the waveform to the last window stop, compute mel frames once,
-    emit one ``160 x 40`` slice per O12 window as ``(key, win_idx, n_frames, mels)``."""
+    emit one ``160 x 40`` slice per O12 window as ``(key, win_idx, n_frames, padded_samples, mels)``.
+
+    The number of windows and the padded length are columns (see ``operators.segments``).
+    """
     schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("win_idx", T.IntegerType()),
                            T.StructField("n_frames", T.IntegerType()), T.StructField("padded_samples", T.LongType()),
                            T.StructField("mels", T.ArrayType(T.ArrayType(T.FloatType())))])
+    n = F.greatest(F.size(wave_col), F.lit(0)).cast("long")
+    shaped = df.select(key, wave_col, window_count(n, rate, min_coverage).alias("_tl_windows"),
+                       padded_length(n, rate, min_coverage).alias("_tl_padded"))
+    step = frame_step(rate)
 
     def run(batches):
         for pdf in batches:
-            rows = []
-            for k, x in zip(pdf[key], pdf[wave_col]):
+            for k, x, windows, padded in pdf.itertuples(index=False):
                 a = np.asarray(x if x is not None else [], dtype=np.float32)
-                starts = _window_starts(len(a), rate, min_coverage)
-                stop = (starts[-1] + PARTIAL_FRAMES) * SAMPLES_PER_FRAME
-                if stop >= len(a):
-                    a = np.pad(a, (0, stop - len(a)))
-                mel = mel_frames(a)
-                for i, s in enumerate(starts):
-                    rows.append((k, i, int(mel.shape[0]), len(a), list(mel[s:s + PARTIAL_FRAMES])))
-            yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
+                mel = mel_frames(np.pad(a, (0, int(padded) - len(a))))
+                rows = [(k, i, len(mel), int(padded), list(mel[i * step:i * step + PARTIAL_FRAMES])) for i in range(int(windows))]
+                yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
 
-    return df.mapInPandas(run, schema)
+    return shaped.mapInPandas(run, schema)
 
 
 def key_from_path(path_col: str, root: str) -> F.Column:
@@ -268,10 +297,8 @@ def mel_spectrogram(df: DataFrame, wave_col: str = "wave", key: str = "key") ->
 
     def run(batches):
         for pdf in batches:
-            rows = []
             for k, x in zip(pdf[key], pdf[wave_col]):
                 m = mel_frames(np.asarray(x if x is not None else [], dtype=np.float32))
-                rows.append((k, int(m.shape[0]), int(m.shape[1]), list(m)))
-            yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
+                yield pd.DataFrame([(k, int(m.shape[0]), int(m.shape[1]), list(m))], columns=[f.name for f in schema.fields])
 
     return df.mapInPandas(run, schema)

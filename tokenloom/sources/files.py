@@ -22,21 +22,39 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "tokenloom-work", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def read_tsv_manifest(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: evaluated once, lineage cut."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_tsv_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Headerless ``path<TAB>text`` -> ``(key, text)``.
 
-    Double-quote quoting with ``""`` escapes; blank lines skipped; pandas' missing-value
-    tokens become null. Every ``.flac`` in the path is removed, not only a suffix.
-    ``multiline`` allows quoted newlines (the file is then read by one task).
+    Double-quote quoting with ``""`` escapes, also around newlines; blank lines skipped; pandas'
+    missing-value tokens become null. Every ``.flac`` in the path is removed, not only
+    a suffix. A quoted newline belongs to its record, so a file is parsed by one task: the corpus is split
+    into files (as writers do), not one huge file.
     """
     raw = (spark.read.option("sep", "\t").option("quote", '"').option("escape", '"')
-           .option("header", "false").option("multiLine", str(multiline).lower())
+           .option("header", "false").option("multiLine", "true")
            .schema("path string, text string").csv(path))
     text = F.when(F.col("text").isNull() | F.col("text").isin(NA_TOKENS), F.lit(None).cast("string")) \
         .otherwise(F.col("text"))
     return raw.select(F.replace(F.col("path"), F.lit(".flac"), F.lit("")).alias("key"), text.alias("text"))
 
 
+def quarantine(df: DataFrame, text: str = "text", corrupt: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
+    """S1/S2 rows that can go on, and the others with their ``reason``: ``corrupt line`` or ``null text``."""
+    bad = F.lit(None).cast("string")
+    if corrupt in df.columns:
+        bad = F.when(F.col(corrupt).isNotNull(), F.lit("corrupt line"))
+    reason = F.coalesce(bad, F.when(F.col(text).isNull(), F.lit("null text")))
+    tagged = df.withColumn("reason", reason)
+    return tagged.where("reason is null").drop("reason", corrupt), tagged.where("reason is not null")
+
+
 def write_tsv_manifest(df: DataFrame, path: str, path_col: str = "path", text_col: str = "text") -> None:
     """Write ``(path, text)`` as a headerless TSV with the quoting S1 reads."""
     (df.select(path_col, text_col).write.mode("overwrite").option("sep", "\t").option("quote", '"')
@@ -75,29 +93,50 @@ def with_file_order(df: DataFrame, out: str = "pos") -> DataFrame:
 
 
 def write_artifact(df: DataFrame, base: str, kind: str, key: str = "key") -> DataFrame:
-    """Append the rows whose key is not stored yet to the ``kind`` table (idempotent).
+    """Add the rows whose key is not stored yet to the ``kind`` table.
 
-    Returns the rows that were written. The new rows are the J2 anti-join of ``df``
-    against the stored keys; a partially written run is never visible because a
-    Parquet append commits whole files.
+    Returns the rows that were written. Each run writes one folder ``run=<id>`` of its own and
+    moves it into the table only when its job has succeeded, so a failed run leaves
+    nothing in the table and a rerun adds no key twice. Of rows with one key in ``df`` the first
+    by ``pos`` stays if there is such a column. Only a missing table means a
+    first write; any other read failure is raised. One writer per table at a time.
     """
     from tokenloom.operators.joins import pending
+    from tokenloom.operators.position import first_wins
+
+    spark, target = df.sparkSession, os.path.join(base, kind)
+    if path_exists(spark, target):
+        df = pending(df, spark.read.parquet(target).select(key), key)
+    df = first_wins(df, key, "pos") if "pos" in df.columns else df.dropDuplicates([key])
+    run = uuid.uuid4().hex[:12]
+    staged = os.path.join(base, f"_{kind}-{run}")
+    df.write.parquet(staged)
+    move(spark, staged, os.path.join(target, f"run={run}"))
+    return spark.read.schema(df.schema).parquet(os.path.join(target, f"run={run}"))
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop_path(spark, path)
+    return fs.exists(p)
+
 
-    target = os.path.join(base, kind)
-    spark = df.sparkSession
-    try:
-        existing = spark.read.parquet(target).select(key)
-        new = pending(df, existing, key)
-    except Exception:  # noqa: BLE001 -- first write: no table yet
-        new = df
-    new = new.dropDuplicates([key]) if key in new.columns else new
-    new.write.mode("append").parquet(target)
-    return new
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a finished folder into place, on whatever file system holds it."""
+    a, fs = _hadoop_path(spark, source)
+    b, _ = _hadoop_path(spark, target)
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"cannot move {source} to {target}")
 
 
 def read_artifact(spark: SparkSession, base: str, kind: str) -> DataFrame:
     """The stored ``kind`` table."""
-    return spark.read.parquet(os.path.join(base, kind))
+    return spark.read.parquet(os.path.join(base, kind)).drop("run")
 
 
 def write_bucketed_artifact(df: DataFrame, table_name: str, path: str, buckets: int, key: str = "key") -> None:

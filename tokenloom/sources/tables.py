@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import normalize_text
-from tokenloom.functions.tokens import byte_tokens
+from tokenloom.functions.tokens import byte_tokens, token_count
 from tokenloom.layout import STAGE1, STAGE2, TokenLayout
 
 N_CODEBOOKS = 8
@@ -20,16 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Hash-spread rows before CPU-heavy per-row work when the scan yields fewer splits
-    than there are cores (a single-row-group file). Large inputs already have enough
-    splits and are left alone, so no shuffle is added at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *[F.col(c) for c in cols]) if cols else df.repartition(cores)
-
-
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest rows ``(key, text, pos)``: key = source/doc_id, pos = doc_id."""
     d = table(spark, sf_dir, "documents")
@@ -55,6 +45,11 @@ def codes_of(doc_id, n_codebooks: int = N_CODEBOOKS) -> F.Column:
     )
 
 
+def text_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(key, pos, length)``: number of byte tokens of the whole normalised text, without making them."""
+    return manifest(spark, sf_dir).select("key", "pos", token_count(normalize_text("text")).alias("length"))
+
+
 def code_artifact(spark: SparkSession, sf_dir: str, by_key: bool = False) -> DataFrame:
     """``tok`` artifact: ``(key, codes array<array<int>>)``.
 
@@ -69,19 +64,15 @@ def code_artifact(spark: SparkSession, sf_dir: str, by_key: bool = False) -> Dat
 
 
 def text_token_artifact(spark: SparkSession, sf_dir: str, layout: TokenLayout = STAGE1,
-                        by_key: bool = False, spread_rows: bool = True) -> DataFrame:
+                        by_key: bool = False) -> DataFrame:
     """``txt`` artifact: byte tokens of the whole normalised text, ``(key, tokens array<int>)``.
 
     ``by_key=True`` hash-partitions the raw text on ``key`` before tokenising: the shuffle
     a key join needs anyway then carries text (1 byte per token) instead of int arrays.
-    ``spread_rows=False`` skips :func:`spread` (for key-only uses, where there is no
-    per-row work to parallelise).
     """
     m = manifest(spark, sf_dir).select("key", "text")
     if by_key:
         m = m.repartition("key")
-    elif spread_rows:
-        m = spread(m)
     return m.select("key", byte_tokens(normalize_text("text"), layout).alias("tokens"))
 
 
@@ -100,7 +91,7 @@ def generated_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     then ``doc_id % 3`` extra band-0 values so the two bands differ in length."""
     from tokenloom.functions.tokens import interleave, repeat
 
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     txt = byte_tokens(normalize_text("text"), STAGE1)
     extra = repeat(F.pmod(F.col("doc_id"), F.lit(1024)).cast("int"), F.pmod(F.col("doc_id"), F.lit(3)).cast("int"))
     return d.select(
@@ -112,7 +103,7 @@ def generated_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tilted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second-stage hierarchy rows ``(pos, rows)``: row 0 = text ++ c0 ++ [1024], row b = c_b ++ [1024];
     row 1 is shortened by ``doc_id % 4`` so hierarchies differ in length."""
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     txt = byte_tokens(normalize_text("text"), STAGE2)
     c = codes_of("doc_id")
     short = F.pmod(F.col("doc_id"), F.lit(4)).cast("int")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tokenloom.functions.text import normalize_text
 from tokenloom.functions.tokens import byte_tokens
@@ -17,26 +18,39 @@ def tokenise_batch(batch: DataFrame, store: str) -> None:
     write_artifact(tokens, store, "txt")
 
 
-def append_tokens(batch: DataFrame, store: str) -> None:
-    """``foreachBatch`` body for state-deduplicated input: tokenise and append."""
+def append_tokens(batch: DataFrame, batch_id: int, store: str) -> None:
+    """``foreachBatch`` body for state-deduplicated input: tokenise into the batch's own folder,
+    which a replay replaces."""
     tokens = batch.select("key", byte_tokens(normalize_text("text")).alias("tokens"))
-    tokens.write.mode("append").parquet(f"{store.rstrip('/')}/txt")
+    tokens.write.mode("overwrite").parquet(f"{store.rstrip('/')}/txt/run=batch-{batch_id}")
+
+
+def _first_seen(key: tuple, batches, state: GroupState):
+    """The lowest-position row of a key the first time it is seen, nothing later."""
+    best = None
+    for pdf in batches:
+        row = pdf.sort_values("pos", kind="stable").iloc[:1]
+        if best is None or row["pos"].iloc[0] < best["pos"].iloc[0]:
+            best = row
+    if not state.exists and best is not None:
+        state.update((True,))
+        yield best[["key", "text", "pos"]]
 
 
 def stream_text_tokens(spark: SparkSession, manifest_dir: str, store: str, checkpoint: str,
                        dedupe: str = "table") -> None:
     """Tokenise manifest JSON-lines files as they arrive; each file once (checkpoint),
-    each key once.
+    each key once, the first by ``pos`` within a micro-batch.
 
-    ``dedupe="table"``: per micro-batch, first row per key by ``pos``, then an anti join
-    against the stored keys (reads only the key column of the store).
-    ``dedupe="state"``: keys seen so far live in the streaming state store
-    (``dropDuplicates``), so a batch never rescans the store; within one micro-batch the
-    kept duplicate is not chosen by ``pos``.
+    ``dedupe="table"``: an anti join against the stored keys (reads only the key column of the store).
+    ``dedupe="state"``: keys seen so far live in the streaming state store, one flag each, so a batch never
+    rescans the store. The state grows with the number of keys; use the RocksDB state store for large corpora.
     """
     stream = spark.readStream.schema(MANIFEST_SCHEMA).json(manifest_dir)
     if dedupe == "state":
-        w = stream.dropDuplicates(["key"]).writeStream.foreachBatch(lambda b, i: append_tokens(b, store))
+        firsts = stream.groupBy("key").applyInPandasWithState(
+            _first_seen, MANIFEST_SCHEMA, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+        w = firsts.writeStream.outputMode("append").foreachBatch(lambda b, i: append_tokens(b, i, store))
     elif dedupe == "table":
         w = stream.writeStream.foreachBatch(lambda b, i: tokenise_batch(b, store))
     else:

@@ -19,19 +19,21 @@ from tokenloom.sources.requests import PRESET_NAMES
 REQUEST_FILE_SCHEMA = "conv_id long, turn long, payload string"
 
 
-def prepare_requests(df: DataFrame, presets: DataFrame) -> DataFrame:
+def prepare_requests(df: DataFrame, presets: DataFrame, max_chars: int | None = None) -> DataFrame:
     """S8 -> P9 -> P11 -> J6 -> P1 for batch or streaming input ``(conv_id, turn, payload)``.
 
     Requests without a reference path get the preset voice chosen by ``conv_id % 4``.
     ``error`` carries the first failure (parse, then validation); failed rows keep flowing.
+    ``max_chars`` cuts texts as the UI does; the server takes them whole.
     """
+    text = F.col("text") if max_chars is None else R.cut_text("text", max_chars)
     parsed = df.select("conv_id", "turn", R.parse_request("payload").alias("r")).select("conv_id", "turn", "r.*")
     preset = F.element_at(F.array(*[F.lit(n) for n in PRESET_NAMES]), (F.pmod("conv_id", F.lit(4)) + 1).cast("int"))
     tagged = parsed.withColumn("preset", preset)
     joined = resolve_preset(tagged, presets)
     return joined.select(
         "conv_id", "turn",
-        normalize_text(R.cut_text("text")).alias("text"),
+        normalize_text(text).alias("text"),
         "guidance", "top_p", "top_k",
         F.coalesce(F.col("speaker_ref_path"), F.col("url")).alias("reference"),
         F.coalesce(F.col("error"), R.validation_error("text")).alias("error"),
@@ -39,15 +41,14 @@ def prepare_requests(df: DataFrame, presets: DataFrame) -> DataFrame:
 
 
 def split_dead_letters(batch: DataFrame, batch_id: int, out_dir: str) -> None:
-    """R2 (``foreachBatch``): good rows to ``ok``, failed rows to ``err``.
+    """R2 (``foreachBatch``): good rows to ``status=ok``, failed rows to ``status=err``, in one write.
 
     Each micro-batch writes its own ``batch=<id>`` folder in overwrite mode, so a
     replayed batch replaces its earlier output instead of duplicating it.
     """
-    ok = batch.filter(F.col("error").isNull())
-    err = batch.filter(F.col("error").isNotNull())
-    ok.write.mode("overwrite").parquet(os.path.join(out_dir, "ok", f"batch={batch_id}"))
-    err.write.mode("overwrite").parquet(os.path.join(out_dir, "err", f"batch={batch_id}"))
+    status = F.when(F.col("error").isNull(), "ok").otherwise("err")
+    (batch.withColumn("status", status).write.mode("overwrite").partitionBy("status")
+     .parquet(os.path.join(out_dir, f"batch={batch_id}")))
 
 
 def stream_prepare_requests(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str,
@@ -63,4 +64,4 @@ def stream_prepare_requests(spark: SparkSession, src_dir: str, out_dir: str, che
 
 
 def read_outputs(spark: SparkSession, out_dir: str, which: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(out_dir, which))
+    return spark.read.parquet(out_dir).where(F.col("status") == which).drop("status")
