@@ -14,7 +14,7 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     "S5": ("sources.audio.read_audio (+ write_wavs sink)", ["audio_files"]),
     "S6": ("sources.files.write_artifact / read_artifact, write_bucketed_artifact",
            ["artifact_store", "stream_text_tokens", "training_samples_bucketed"]),
-    "S7": ("sources.requests.sidecar_json", ["sidecars"]),
+    "S7": ("sources.requests.sidecar_json / write_sidecars", ["sidecars", "sidecar_files"]),
     "S8": ("functions.requests.parse_request, streaming.requests", ["parse_requests", "stream_requests"]),
     "S9": ("operators.aggregates.distinct_dirs + URL projection", ["archive_list"]),
     # projections and scalars
@@ -49,7 +49,7 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     "A2": ("operators.aggregates.manifest_count", ["manifest_count"]),
     "A3": ("operators.collate.batch_shape", ["batch_shapes"]),
     "A4": ("operators.vectors.utterance_embedding", ["utterance_embeddings"]),
-    "A5": ("operators.vectors.speaker_embedding", ["speaker_embeddings"]),
+    "A5": ("operators.vectors.speaker_embedding, plans.corpus.speaker_vectors", ["speaker_embeddings", "speaker_from_audio"]),
     "A6": ("operators.metrics.eval_mean_of_means", ["eval_loss"]),
     "A7": ("operators.metrics.merge_rank_lists", ["merged_rank_lists"]),
     "A8": ("operators.metrics.reduce_metrics", ["reduced_metrics"]),
@@ -60,7 +60,7 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     # windows and ordered operators
     "O1": ("operators.position.with_position", ["positions_by_length", "fixed_batches"]),
     "O2": ("operators.position.assign_shard / shard_range", ["shards"]),
-    "O3": ("operators.position.tail_split / split_bounds", ["splits_overlap", "splits_disjoint"]),
+    "O3": ("operators.position.tail_split / split_bounds", ["splits_overlap", "splits_disjoint", "prepared_corpus"]),
     "O4": ("operators.position.fixed_batches", ["fixed_batches", "batch_shapes", "training_batches"]),
     "O5": ("operators.position.shuffled_batches", ["shuffled_batches"]),
     "O6": ("operators.position.length_sorted_batches", ["length_sorted_batches", "prompt_batches"]),

@@ -14,11 +14,13 @@ from tokenloom.functions.tokens import utf8_bytes
 from tokenloom.operators import models as U
 from tokenloom.plans import duck as D
 from tokenloom.plans.catalog import register
+from tokenloom.plans.corpus import prepare_corpus, speaker_vectors
 from tokenloom.sources import archives as AR
 from tokenloom.sources import audio as AU
 from tokenloom.sources import files as FS
 from tokenloom.sources import tables as TB
-from tokenloom.sources.requests import PRESET_FILES, PRESET_NAMES, presets, request_payloads
+from tokenloom.sources.requests import (
+    PRESET_FILES, PRESET_NAMES, presets, request_payloads, sidecar_json, write_sidecars)
 from tokenloom.streaming import incremental, requests as SR
 
 
@@ -179,15 +181,28 @@ def q_audio_files(spark, sf):
     return _audio(spark, sf).select("key", "sample_rate", "channels", "n_samples", pcm_sum.alias("pcm_sum"), "error")
 
 
-@register("resampled_audio", f"""SELECT {D.key()} AS key, (strlen(text) * 3 + 1) // 2 AS n_samples,
-  CASE WHEN (strlen(text) * 3 + 1) // 2 < 9600 THEN 'audio shorter than 400 ms' END AS error
-FROM documents""")
+# windowed sinc at output sample o, input time 2 o / 3: weights cos^2(pi t / 12) sinc(t) for |t| < 6, summing to one
+_SINC_SQL = f"""WITH d AS (SELECT {D.key()} AS key, {_PCM16} AS x, (strlen(text) * 3 + 1) // 2 AS m FROM documents),
+o AS (SELECT key, x, m, unnest([0, m // 2, m - 1]) AS o, unnest(['first_value', 'mid_value', 'last_value']) AS name FROM d WHERE m > 0),
+t AS (SELECT key, m, o, name, 2 * o // 3 + j AS k, (2 * o // 3 + j) - 2.0::DOUBLE * o / 3 AS t, x FROM o, range(-5, 7) r(j)),
+w AS (SELECT key, m, o, name, cos(pi() * t / 12) ** 2 * CASE WHEN abs(t) < 1e-9 THEN 1 ELSE sin(pi() * t) / (pi() * t) END AS w,
+        CASE WHEN k BETWEEN 0 AND len(x) - 1 THEN x[k + 1]::DOUBLE / 32768 ELSE 0 END AS v FROM t WHERE abs(t) < 6)
+SELECT key, name, round(sum(w * v) / sum(w), 2) + 0.0 AS y FROM w GROUP BY key, name, o"""
+
+
+@register("resampled_audio", f"""SELECT d.key, d.n_samples, CASE WHEN d.n_samples < 9600 THEN 'audio shorter than 400 ms' END AS error,
+  max(y) FILTER (name = 'first_value') AS first_value, max(y) FILTER (name = 'mid_value') AS mid_value,
+  max(y) FILTER (name = 'last_value') AS last_value
+FROM (SELECT {D.key()} AS key, (strlen(text) * 3 + 1) // 2 AS n_samples FROM documents) d LEFT JOIN ({_SINC_SQL}) s USING (key)
+GROUP BY d.key, d.n_samples""")
 def q_resampled_audio(spark, sf):
     from tokenloom.functions.requests import synthesis_error
 
     r = AU.resample_audio(_audio(spark, sf), 24000, "first")
     n = F.size("wave").cast("long")
-    return r.select("key", n.alias("n_samples"), synthesis_error(n).alias("error"))
+    value = lambda i: F.round(F.get("wave", i.cast("int")).cast("double"), 2) + F.lit(0.0)
+    return r.select("key", n.alias("n_samples"), synthesis_error(n).alias("error"), value(F.lit(0)).alias("first_value"),
+                    value(F.floor(n / 2)).alias("mid_value"), value(n - 1).alias("last_value"))
 
 
 # frames of 2048 samples every 512, centred: frame f covers samples 512 f - 1024 .. 512 f + 1023
@@ -207,20 +222,45 @@ def q_trimmed_audio(spark, sf):
     return r.select("key", "trim_start", "trim_end", F.size("wave").alias("n_samples"))
 
 
+# Summed mel energy of one frame by a direct transform: frame f covers samples 160 f - 200 .. 160 f + 199.
+_BANK = ", ".join(f"({k}, {float(w)!r}::DOUBLE)" for k, w in enumerate(AU.mel_filterbank().sum(axis=0)))
+
+
+_WAVES = f"SELECT {D.key()} AS key, {_PCM16} AS x FROM documents"
+
+
+def _energy_sql(frames: str, waves: str = _WAVES) -> str:
+    """``(key, f, energy)`` of the frames ``(key, f)`` over the waveforms, in tenths of a decade."""
+    return f"""SELECT key, f, round(log10(sum(g * (re * re + im * im)) + 1e-6), 1) + 0.0 AS energy FROM (
+  SELECT key, f, k, sum(v * cos(2 * pi() * k * i / 400)) AS re, sum(v * sin(2 * pi() * k * i / 400)) AS im FROM (
+    SELECT key, f, i, (0.5 - 0.5 * cos(2 * pi() * i / 400))
+      * CASE WHEN 160 * f - 200 + i BETWEEN 0 AND len(x) - 1 THEN x[160 * f - 200 + i + 1]::DOUBLE / 32768 ELSE 0 END AS v
+    FROM (SELECT a.key, b.f, a.x FROM ({waves}) a JOIN ({frames}) b USING (key)),
+      range(400) t(i)), range(201) b(k) GROUP BY key, f, k)
+JOIN (VALUES {_BANK}) bank(k, g) USING (k) GROUP BY key, f"""
+
+
+def _energy(mels) -> F.Column:
+    total = F.aggregate(mels, F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return F.round(F.log10(total + 1e-6), 1) + F.lit(0.0)  # no negative zero
+
+
 _KEPT_DOC = f"""SELECT key, n, CASE WHEN (n - (n_win - 1) * 77 * 160)::DOUBLE / 25600 < 0.75 AND n_win > 1
   THEN n_win - 1 ELSE n_win END AS kept FROM (
   SELECT key, n, (greatest(1, ceil((n + 1) / 160)::BIGINT - 160 + 77 + 1) - 1) // 77 + 1 AS n_win
   FROM (SELECT {D.key()} AS key, strlen(text) AS n FROM documents))"""
 
 
-@register("partial_mels", f"""SELECT key, w::INTEGER AS win_idx, (1 + padded // 160)::INTEGER AS n_frames, padded AS padded_samples,
-  160 AS n_rows, 40 AS n_mels FROM (
-  SELECT key, unnest(range(kept)) AS w, greatest(n, ((kept - 1) * 77 + 160) * 160) AS padded FROM ({_KEPT_DOC}))""")
+@register("partial_mels", f"""WITH w AS (
+  SELECT key, unnest(range(kept)) AS w, greatest(n, ((kept - 1) * 77 + 160) * 160) AS padded FROM ({_KEPT_DOC})),
+e AS ({_energy_sql("SELECT key, w * 77 + 10 AS f FROM w")})
+SELECT key, w::INTEGER AS win_idx, (1 + padded // 160)::INTEGER AS n_frames, padded AS padded_samples,
+  160 AS n_rows, 40 AS n_mels, energy FROM w JOIN e ON e.key = w.key AND e.f = w.w * 77 + 10""".replace("SELECT key, w::INTEGER", "SELECT w.key, w.w::INTEGER"))
 def q_partial_mels(spark, sf):
     w = AU.resample_audio(_audio(spark, sf), 16000, "mean")
     m = AU.partial_mels(w.select("key", "wave"))
     return m.select("key", "win_idx", "n_frames", "padded_samples", F.size("mels").alias("n_rows"),
-                    F.size(F.col("mels")[0]).alias("n_mels"))
+                    F.size(F.col("mels")[0]).alias("n_mels"), _energy(F.col("mels")[10]).alias("energy"))
 
 
 # ---------------------------------------------------------------- R1-R3
@@ -278,11 +318,70 @@ def q_stream_text_tokens(spark, sf):
     return FS.read_artifact(spark, store, "txt")
 
 
-@register("mel_frames", f"""SELECT {D.key()} AS key, (1 + strlen(text) // 160)::INTEGER AS n_frames, 40 AS n_mels FROM documents""")
+def _energy_model():
+    return 1e-6
+
+
+def _mel_energy(floor, pdf):
+    """A stand-in for a speaker model: tenths of a decade of the mel energy of frames 10 and 60, and one."""
+    level = lambda m, i: round(float(np.log10(np.asarray(m[i], np.float64).sum() + floor)), 1)
+    return [[level(m, 10), level(m, 60), 1.0] for m in pdf["mels"]]
+
+
+_TRIMMED = f"SELECT w.key, w.x[t.trim_start + 1:t.trim_end] AS x FROM ({_WAVES}) w JOIN ({_TRIM_SQL}) t USING (key)"
+_UNIT = "list_transform({0}, lambda q: q / sqrt(list_sum(list_transform({0}, lambda r: r * r))))"
+
+
+@register("speaker_from_audio", f"""WITH w AS (SELECT key, len(x) AS n FROM ({_TRIMMED})),
+c AS (SELECT key, n, (greatest(1, ceil((n + 1) / 160)::BIGINT - 160 + 77 + 1) - 1) // 77 + 1 AS n_win FROM w),
+k AS (SELECT key, unnest(range(CASE WHEN (n - (n_win - 1) * 77 * 160)::DOUBLE / 25600 < 0.75 AND n_win > 1 THEN n_win - 1 ELSE n_win END)) AS i FROM c),
+e AS ({_energy_sql("SELECT key, i * 77 + d AS f FROM k, (VALUES (10), (60)) o(d)", _TRIMMED)}),
+p AS (SELECT k.key, a.energy AS v0, b.energy AS v1 FROM k JOIN e a ON a.key = k.key AND a.f = k.i * 77 + 10
+      JOIN e b ON b.key = k.key AND b.f = k.i * 77 + 60),
+u AS (SELECT key, split_part(key, '/', 1) AS speaker, [avg(v0), avg(v1), 1.0] AS m FROM p GROUP BY key),
+n AS (SELECT speaker, {_UNIT.format("m")} AS q FROM u),
+s AS (SELECT speaker, [avg(q[1]), avg(q[2]), avg(q[3])] AS m FROM n GROUP BY speaker)
+SELECT speaker, list_transform({_UNIT.format("m")}, lambda z: round(z, 3)) AS embedding FROM s""")
+def q_speaker_from_audio(spark, sf):
+    """From WAV files to one unit vector per speaker, a source standing for a speaker."""
+    a = _audio(spark, sf).withColumn("speaker", F.split("key", "/")[0])
+    v = speaker_vectors(a, _energy_model, _mel_energy)
+    return v.select("speaker", F.transform("embedding", lambda x: F.round(x, 3)).alias("embedding"))
+
+
+@register("prepared_corpus", f"""WITH r AS (SELECT {D.key()} AS key, t AS text FROM ({_TSV_ROWS}) WHERE t NOT IN ({_NA_SQL})),
+p AS (SELECT *, row_number() OVER (ORDER BY key) - 1 AS pos, count(*) OVER () AS n FROM r)
+SELECT key, pos, CASE WHEN pos < n - 100 THEN 'train' WHEN pos < n - 50 THEN 'val' ELSE 'test' END AS split,
+  {D.byte_tokens(D.normalize('text'))} AS tokens FROM p""")
+def q_prepared_corpus(spark, sf):
+    """TSV manifest to token store and split files, run twice (the second run adds nothing), read back."""
+    out = FS.work_dir(spark, "corpus")
+    tsv = _tsv_files(spark, sf)
+    for _ in range(2):
+        prepare_corpus(spark, tsv, out, val_size=50)
+    rows = spark.read.schema(FS.MANIFEST_SCHEMA + ", split string").json(os.path.join(out, "splits"))
+    return rows.select("key", "pos", "split").join(FS.read_artifact(spark, out, "txt"), "key")
+
+
+@register("sidecar_files", f"""SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS name,
+  '{{"speaker": ' || {D.json_string('role')} || ', "text": ' || {D.json_string('text')} || '}}' AS sidecar FROM conversations""")
+def q_sidecar_files(spark, sf):
+    c = TB.table(spark, sf, "conversations")
+    name = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    out = FS.work_dir(spark, "sidecars")
+    _force(write_sidecars(c.select(name.alias("name"), sidecar_json("role", "text").alias("sidecar")), out))
+    files = spark.read.option("wholetext", "true").text(out)
+    return files.select(F.regexp_extract(F.col("_metadata.file_name"), r"(.+)\.json$", 1).alias("name"), F.col("value").alias("sidecar"))
+
+
+@register("mel_frames", f"""WITH n AS (SELECT {D.key()} AS key, 1 + strlen(text) // 160 AS n FROM documents),
+e AS ({_energy_sql("SELECT key, n // 2 AS f FROM n")})
+SELECT key, n::INTEGER AS n_frames, 40 AS n_mels, energy FROM n JOIN e USING (key)""")
 def q_mel_frames(spark, sf):
     w = AU.resample_audio(_audio(spark, sf), 16000, "mean")
     m = AU.mel_spectrogram(w.select("key", "wave"))
-    return m.select("key", "n_frames", "n_mels")
+    middle = F.element_at("mels", (F.floor(F.col("n_frames") / 2) + 1).cast("int"))
+    return m.select("key", "n_frames", "n_mels", _energy(middle).alias("energy"))
 
 
 @register("training_samples_bucketed", f"""WITH m AS ({D.MANIFEST}), t AS ({D.TEXT_ART}), e AS ({D.EMB_ART}), c AS ({D.CODE_ART})

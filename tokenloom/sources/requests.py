@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.sources.fsio import write_atomic
 from tokenloom.sources.tables import table
 
 # Voice presets: display name -> reference audio URL. The URLs are placeholders for the
@@ -79,3 +81,19 @@ def sidecar_json(speaker, text, enabled: bool = True) -> F.Column:
     if not enabled:
         return F.lit(None).cast("string")
     return F.concat(F.lit('{"speaker": '), json_string(speaker), F.lit(', "text": '), json_string(text), F.lit("}"))
+
+
+def write_sidecars(df: DataFrame, out_dir: str, name: str = "name", sidecar: str = "sidecar") -> DataFrame:
+    """S7 sink: one file ``<name>.json`` per result; returns ``(name, path)``, forced by the caller's action.
+
+    Each task writes its own rows; files are moved into place when complete.
+    """
+    def run(batches):
+        for pdf in batches:
+            paths = []
+            for n, text in zip(pdf[name], pdf[sidecar]):
+                paths.append(f"{out_dir.rstrip('/')}/{n}.json")
+                write_atomic(paths[-1], text.encode())
+            yield pd.DataFrame({"name": pdf[name], "path": paths})
+
+    return df.select(name, sidecar).mapInPandas(run, "name string, path string")
