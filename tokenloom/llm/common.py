@@ -220,3 +220,17 @@ def dense_counts(docs: DataFrame, size: int, count, segments: int = 64) -> np.nd
     for r in d.collect():
         total[r["segment"]] += np.frombuffer(r["counts"], np.int64)
     return total.ravel()[:size]
+
+
+def portions(texts: list, size: int):
+    """Lists of consecutive texts of about ``size`` characters or bytes together; a longer text is alone."""
+    part, total = [], 0
+    for t in texts:
+        n = len(t or "")
+        if part and total + n > size:
+            yield part
+            part, total = [], 0
+        part.append(t)
+        total += n
+    if part:
+        yield part

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenloom.llm.common import id_of, mix64
+from tokenloom.llm.common import id_of, mix64, portions
 
 #: Production parameters.
 SLOTS = 128
@@ -119,25 +119,13 @@ def fingerprint(col) -> F.Column:
     @F.arrow_udf("string")
     def run(text: pa.Array) -> pa.Array:
         out = []
-        for part in _portions([t or "" for t in text.to_pylist()]):
+        for part in portions([t or "" for t in text.to_pylist()], CHARS_AT_ONCE):
             out += [s.tobytes().hex() for s in signatures(part)]
         return pa.array(out, pa.string())
 
     return run(F.col(col) if isinstance(col, str) else col)
 
 
-def _portions(texts: list):
-    part, chars = [], 0
-    for t in texts:
-        if part and chars + len(t) > CHARS_AT_ONCE:
-            yield part
-            part, chars = [], 0
-        part.append(t)
-        chars += len(t)
-    if part:
-        yield part
-
-
 def beside_next(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``(bucket, extra, id, text)`` dealt and sorted so that each document is followed by the next one by id.
 
@@ -184,7 +172,7 @@ def _fingerprint_rows(rows: list) -> pa.RecordBatch:
     # each text's successor is the next row's text, but for the last row and at a range's end
     wanted = list(dict.fromkeys([*texts, *changed, *after]))
     at = {t: i for i, t in enumerate(wanted)}
-    sig = np.concatenate([signatures(part) for part in _portions(wanted)])
+    sig = np.concatenate([signatures(part) for part in portions(wanted, CHARS_AT_ONCE)])
     own, ed, nx = (sig[[at[t] for t in c]] for c in (texts, changed, after))
     return pa.RecordBatch.from_arrays([
         pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()),

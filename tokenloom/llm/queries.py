@@ -102,7 +102,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op6_language_id")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return language_id.identify(spark, docs).select("doc_id", "held_out", "lang_pred", "score")
+    return language_id.identify(spark, docs, spans=False).select("doc_id", "held_out", "lang_pred", "score")
 
 
 @_register("op8_best_fit_packing")
