@@ -54,7 +54,8 @@ def targets(sizes: DataFrame, share: float = SHARE, epochs: int = EPOCHS, weight
     d = d.withColumn("level", (total - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
                      / (F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))))
     # the first source that the level doesn't lift above its cap fixes the level
-    d = d.withColumn("level", F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("ratio", "level"))).over(whole)["level"])
+    d = d.withColumn("place", F.row_number().over(order))
+    d = d.withColumn("level", F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("place", "level"))).over(whole)["level"])
     return d.select("source", "source_size",
                     F.least("cap", F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))).alias("target"))
 

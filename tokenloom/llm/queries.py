@@ -55,10 +55,10 @@ s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight,
         source_size * 2.0::DOUBLE AS cap FROM s),
 r AS (SELECT *, cap / weight AS ratio FROM w),
-v AS (SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE - coalesce(sum(cap) OVER b, 0))
+v AS (SELECT *, row_number() OVER b0 AS place, ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE - coalesce(sum(cap) OVER b, 0))
           / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS level FROM r
-      WINDOW b AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-g AS (SELECT source, source_size, least(cap, coalesce((SELECT arg_min(level, ratio) FROM v WHERE level <= ratio) * weight, cap)) AS target FROM v),
+      WINDOW b0 AS (ORDER BY ratio, source NULLS LAST), b AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+g AS (SELECT source, source_size, least(cap, coalesce((SELECT arg_min(level, place) FROM v WHERE level <= ratio) * weight, cap)) AS target FROM v),
 o AS (SELECT k.*, g.source_size, g.target, floor(g.target)::BIGINT AS budget,
         coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
       FROM k JOIN g ON k.source IS NOT DISTINCT FROM g.source)
