@@ -9,7 +9,7 @@ from tokenloom.llm.lm_scoring import score, score_by_labels
 def test_matches_plain_counts(spark):
     rng = random.Random(0)
     vocab = [f"w{i}" for i in range(12)]
-    docs = [(i, " ".join(rng.choices(vocab, range(1, 13), k=rng.randrange(0, 60)))) for i in range(60)] + [(100, None), (101, "W1 w1 unseen")]
+    docs = [(i, " ".join(rng.choices(vocab, range(1, 13), k=rng.randrange(0, 60)))) for i in range(60)] + [(100, None), (101, "W1 w1 novel")]
     target = docs[:9]
     d, t = (spark.createDataFrame(x, "doc_id long, text string") for x in (docs, target))
 
