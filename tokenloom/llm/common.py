@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import hashlib
 import re
 import uuid
 
@@ -11,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.session import checkpoint_dir
@@ -78,10 +77,14 @@ def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> D
     very many neighbours appears only as a key of a minimum and of a splittable join.
     Ends when a round changes nothing. Nodes without an edge to another node are absent.
     """
-    cur = stage(spark, edges.where("a <> b").select(
-        F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "cc")
-    sig = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-    last = tuple(sig(cur))
+    def keep(df):
+        """The staged edges, their number and a sum of their hashes, taken while they are written."""
+        seen = Observation()
+        out = stage(spark, df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(
+            F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("sum")), "cc")
+        return out, (seen.get["n"], seen.get["sum"])
+
+    cur, last = keep(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
     for _ in range(max_rounds):
         if not last[0]:
             break
@@ -96,12 +99,15 @@ def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> D
         small = (large.withColumnRenamed("hi", "u").join(least, "u")
                  .select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi <> lo")
                  .unionAll(least.select(F.col("u").alias("hi"), F.col("m").alias("lo"))).distinct())
-        nxt = stage(spark, small, "cc")
-        now = tuple(sig(nxt))
+        nxt, now = keep(small)
         unstage(large)
         unstage(cur)
         cur = nxt
-        if now == last:
+        # done when every node hangs on one other that hangs on none
+        tops = cur.select(F.col("lo").alias("top")).distinct()
+        loose = (cur.groupBy("hi").agg(F.count("*").alias("n")).join(tops, F.col("hi") == F.col("top"), "left")
+                 .where("n > 1 or top is not null"))
+        if now == last or not loose.head(1):
             break
         last = now
     else:
@@ -110,21 +116,6 @@ def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> D
         cur.select(F.col("lo").alias("node"), F.col("lo").alias("comp")).distinct())
 
 
-class WordHashes(dict):
-    """64-bit hash of a word (bytes), kept for the words seen last."""
-
-    MOST = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.MOST:
-            self.clear()
-        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
-
-    def of(self, words: list) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 #: Bytes hashed at once; longer texts are taken in portions that end at white space.
 _PORTION = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
