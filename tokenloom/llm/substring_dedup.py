@@ -186,6 +186,7 @@ def repeats(spark: SparkSession, rows: DataFrame, window: int = WINDOW, gram: in
     found = stage(spark, all_spans(rows, window, gram), "spans")
     groups = (found.groupBy("run").agg(F.count("*").alias("n"), F.min("span").alias("lo"), F.max("span").alias("hi"))
               .where("n > 1").select("run", (F.col("lo") == F.col("hi")).alias("single")))
+    groups = stage(spark, groups, "groups")  # a table of its own: the join below can split a frequent run
     shared = stage(spark, found.join(groups, "run"), "spans")
     unstage(found)
     one = shared.where("single").select("rid", "first", "count")
