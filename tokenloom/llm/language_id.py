@@ -34,7 +34,7 @@ MIN_SCRIPT_SHARE = 0.02
 MAX_LANGS = 500
 #: Bytes of text whose n-grams are scored at once, and bytes times languages that share a Viterbi run.
 CHARS_AT_ONCE = 400_000
-NUMBERS_AT_ONCE = 48_000_000
+NUMBERS_AT_ONCE = 16_000_000
 
 UND = "und"
 
