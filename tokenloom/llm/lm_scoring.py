@@ -93,5 +93,6 @@ def score(spark: SparkSession, docs: DataFrame, target: DataFrame, background: D
 
 def score_by_labels(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Score all documents with those of ``labels.quality = 1`` as the target and all of them as background."""
-    good = labels.where("quality = 1").select("doc_id").distinct()
+    # labels grow with the documents: the same shuffle join at every size
+    good = labels.where("quality = 1").select("doc_id").distinct().hint("merge")
     return score(spark, docs, docs.join(good, "doc_id", "left_semi"), docs)
