@@ -46,3 +46,46 @@ def test_prefers_the_target(spark):
     good = [r["score"] for r in out if r["doc_id"] is None or r["doc_id"] % 2]
     assert max(good) < min(r["score"] for r in out if r["doc_id"] is not None and r["doc_id"] % 2 == 0)
     assert score_by_labels(spark, d.limit(0), labels.limit(0)).collect() == []
+
+
+def test_every_word_and_pair_has_its_own_count(spark):
+    from tokenloom.llm.common import word_hashes
+    from tokenloom.llm.lm_scoring import _scores
+
+    rng = random.Random(1)
+    vocab = [f"v{i}" for i in range(3000)]
+    same: dict = {}
+    for v in vocab:
+        same.setdefault(int(word_hashes(v.encode())[0]) % lm_scoring.WORDS, []).append(v)
+    often, never = next(x for x in same.values() if len(x) > 1)[:2]  # one hash class of 2^17
+    docs = [(i, " ".join(rng.choices(vocab, k=rng.randrange(0, 80)))) for i in range(40)] + [
+        (50, f"{often} a " * 300), (51, f"{often} a " * 300), (52, ""), (None, None)]
+    docs = [(i, t and t.replace(never, "x")) for i, t in docs]
+    target, other = docs[:20] + docs[40:42], docs[10:]
+    new = [(60, f"{never} a {never} a"), (61, "unseen words only"), (62, docs[3][1])]
+    d, t, b = (spark.createDataFrame(x, "doc_id long, text string") for x in (docs + new, target, other))
+
+    def model(rows):
+        word, left, pair = Counter(), Counter(), Counter()
+        for _, text in rows:
+            w = ["<s>", *(text or "").split()]
+            word.update(w[1:]), left.update(w[:-1]), pair.update(zip(w, w[1:]))
+        return lambda a, c: -math.log((pair[a, c] + lm_scoring.PRIOR * (word[c] + lm_scoring.ALPHA) / (
+            word.total() + lm_scoring.ALPHA * lm_scoring.WORDS)) / (left[a] + lm_scoring.PRIOR))
+
+    losses = [model(target), model(other)]
+    want = sorted((i or 0, *(sum(f(*p) for p in zip(["<s>", *(x or "").split()], (x or "").split())) / max(1, len((x or "").split()))
+                             for f in losses)) for i, x in docs + new)
+    # all counts where the text is, some there and some in buckets, all in buckets
+    for common, dense in ((lm_scoring.COMMON, lm_scoring.DENSE), (200, 20), (1, 1)):
+        out = _scores(spark, d, [(t, 1), (b, 2), (d, 4)], common, dense, bucket=100).collect()
+        got = sorted((r["doc_id"] or 0, r["target_loss"], r["background_loss"]) for r in out)
+        assert len(got) == len(want)
+        assert all(g[0] == w[0] and max(abs(x - y) for x, y in zip(g, w)) < 1e-9 for g, w in zip(got, want))
+
+
+def test_vocabulary_grows_with_the_corpora(spark):
+    words = spark.range(8).selectExpr("id as doc_id", f"concat_ws(' ', transform(sequence(0, {lm_scoring.WORDS // 8}), x -> concat(id, '-', x))) as text")
+    known = lm_scoring._common(spark, [(words, 6)], 100, 10)
+    assert known.vocabulary == lm_scoring.WORDS + 8 + 1 and known.tokens == (0, lm_scoring.WORDS + 8)
+    assert len(known.word) <= 101
