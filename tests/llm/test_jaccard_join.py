@@ -54,3 +54,9 @@ def test_repeated_and_null_ids(spark):
     rows = [(1, "a b c d"), (1, "q r s t"), (2, "q r s t"), (None, "a b c d"), (None, None)]
     out = jaccard_classes(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(repr, map(tuple, out))) == sorted(map(repr, [(1, 2, 1), (1, 2, 1), (2, 2, 1), (None, 2, 1), (None, 0, None)]))
+
+
+def test_keep_one_keeps_different_texts_of_an_id(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(20)) for c in "ab")
+    d = spark.createDataFrame([(3, a), (7, a), (7, b), (7, b), (8, b)], "doc_id long, text string")
+    assert sorted(map(tuple, keep_one(spark, d).collect())) == [(3, a), (7, b)]

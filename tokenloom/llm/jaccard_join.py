@@ -235,9 +235,16 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE
 def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 5, similarity: tuple = (80, 100)) -> DataFrame:
     """``docs`` without the documents that have an earlier one in their class; rows with a null id stay.
 
-    Of rows that repeat an id, one stays.
+    Of rows that agree in id and text, one stays. Rows that share an id only are documents of their own, in the order of their
+    texts' hashes.
     """
-    kept = jaccard_classes(spark, docs, shingle, similarity).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    d = docs.withColumn("__id", F.col("doc_id").cast("long"))
-    named = d.where("__id is not null").join(kept, "__id", "left_semi").dropDuplicates(["__id"])
-    return named.unionByName(d.where("__id is null")).drop("__id")
+    d = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__text": F.coalesce(F.col("text").cast("string"), F.lit(""))})
+    d = d.withColumn("__rid", F.xxhash64("__id", "__text"))
+    named = d.where("__id is not null").dropDuplicates(["__rid"])
+    nodes = named.select(F.col("__rid").alias("doc_id"), F.col("__text").alias("text"))
+    classes = jaccard_classes(spark, nodes, shingle, similarity).select(F.col("doc_id").alias("__rid"), "component_id")
+    # nodes are hashes: the first of a class is the smallest by id
+    first = (named.select("__rid", "__id").join(classes, "__rid").groupBy("component_id")
+             .agg(F.min(F.struct("__id", "__rid"))["__rid"].alias("__rid")).select("__rid"))
+    kept = named.join(first, "__rid", "left_semi").unionByName(d.where("__id is null"))
+    return kept.drop("__id", "__text", "__rid")
