@@ -18,3 +18,7 @@ def test_every_survey_id_is_covered():
         + [f"G{i}" for i in range(1, 4)] + [f"T{i}" for i in range(1, 23)] + [f"U{i}" for i in range(1, 7)] \
         + [f"R{i}" for i in range(1, 4)]
     assert sorted(ids) == sorted(COVERAGE)
+
+
+def test_sql_queries_stand_for_the_tokeniser():
+    assert COVERAGE["U1"][1][:2] == ["text_tokens", "text_roundtrip"]

@@ -106,7 +106,9 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     "T21": ("operators.segments.padded_length (+ padding in sources.audio.partial_mels)", ["padded_lengths"]),
     "T22": ("operators.sampling.double_batch", ["double_batch"]),
     # Python workers
-    "U1": ("functions.tokens.byte_tokens (SQL), operators.models.bpe_encode / bpe_decode", ["bpe_tokens", "bpe_roundtrip"]),
+    # the SQL form's queries; bpe_tokens and bpe_roundtrip only cross-check them
+    "U1": ("functions.tokens.byte_tokens (SQL), operators.models.bpe_encode / bpe_decode",
+           ["text_tokens", "text_roundtrip", "bpe_tokens", "bpe_roundtrip"]),
     "U2": ("operators.models.map_model", ["model_scores"]),
     "U3": ("sources.audio.resample_audio", ["resampled_audio"]),
     "U4": ("sources.audio.trim_audio", ["trimmed_audio"]),
