@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenloom.session import checkpoint_dir
@@ -225,3 +225,43 @@ def portions(texts: list, size: int):
         total += n
     if part:
         yield part
+
+
+def numbered(spark: SparkSession, df: DataFrame, key: str, order: list, name: str) -> DataFrame:
+    """``df``, staged, with ``pos``: each row's place (from 1) among the rows of its long ``key`` in ``order``.
+
+    Rows are range-partitioned on key and order and numbered as they stream by, so a key with any share of the rows
+    spreads over ranges; rows of a range are numbered on from the counts of the key's earlier ranges. A null key is a key.
+    Rows that agree in ``order`` get different numbers.
+    """
+    d = df.withColumn("__tie", F.monotonically_increasing_id())
+    by = [F.col(key).asc_nulls_first(), *order, F.col("__tie").asc()]
+    d = d.repartitionByRange(*by).sortWithinPartitions(*by).drop("__tie")
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema)}, __range int, __place long"
+
+    def run(batches):
+        at, last = 0, None
+        part = TaskContext.get().partitionId()
+        for b in batches:
+            if not b.num_rows:
+                continue
+            col = b.column(b.schema.get_field_index(key))
+            ids, none = col.fill_null(0).to_numpy(zero_copy_only=False), col.is_null().to_numpy(zero_copy_only=False)
+            new = np.r_[last != (ids[0], none[0]), (ids[1:] != ids[:-1]) | (none[1:] != none[:-1])]
+            idx = np.arange(b.num_rows)
+            start = np.maximum.accumulate(np.where(new, idx, -at))
+            place = idx - start + 1
+            at, last = int(place[-1]), (ids[-1], none[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(np.full(len(idx), part, np.int32)), pa.array(place.astype(np.int64))],
+                names=[*b.schema.names, "__range", "__place"])
+
+    d = stage(spark, d.mapInArrow(run, schema), name)
+    counts = d.groupBy(key, "__range").agg(F.max("__place").alias("n"))
+    earlier = Window.partitionBy(key).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    # at most one row per range: only the keys that go on from one range into the next
+    starts = counts.withColumn("__before", F.sum("n").over(earlier)).where("__before is not null").select(
+        F.col(key).alias("__key"), F.col("__range").alias("__r"), "__before")
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__range") == F.col("__r"))
+    return d.join(starts, same, "left").select(
+        *df.columns, (F.col("__place") + F.coalesce("__before", F.lit(0))).alias("pos"))

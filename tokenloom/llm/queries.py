@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.llm import (
-    embedding_dedup, fingerprints, jaccard_join, language_id, line_dedup, lm_scoring, mixing, packing,
-    substring_dedup, url_filter)
+    conversation_trie, embedding_dedup, fingerprints, jaccard_join, language_id, line_dedup, lm_scoring, mixing, packing,
+    structure_repair, substring_dedup, url_filter, warc)
 from tokenloom.llm.common import table
 
 QUERIES: dict = {}
@@ -151,3 +151,107 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return lm_scoring.score_by_labels(spark, docs.select("doc_id", "text"), labels).select(
         "doc_id", "n_tokens", "target_loss", "background_loss", "score")
+
+
+def _crc_sql(text: str) -> str:
+    """Unsigned crc32 of an ASCII expression; ``tab`` is the table's row from ``_CRC_TABLE``."""
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)), "
+            "lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+_CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab)"""
+
+_TRIE_SQL = f"""
+WITH {_CRC_TABLE},
+t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+      FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT conv_id, list({{'r': role, 't': text}} ORDER BY place) AS turns FROM t GROUP BY conv_id),
+c AS (SELECT conv_id, turns, {_crc_sql("conv_id::VARCHAR")} % 9 AS h FROM l, crc),
+b AS (SELECT c.conv_id, list_concat(coalesce(d.turns[1:c.h], []), c.turns[c.h + 1:]) AS seq
+      FROM c LEFT JOIN l d ON d.conv_id = c.conv_id - c.conv_id % 5),
+p AS (SELECT conv_id, len(seq) AS size, unnest(range(0, len(seq) + 1)) AS depth, seq FROM b),
+q AS (SELECT conv_id, size, depth, seq[1:depth] AS path FROM p),
+n AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = depth), '') AS ends,
+        (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE strlen(path[-1].t) END AS own
+      FROM q GROUP BY path, depth),
+k AS (SELECT path[:-2] AS path, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (path, depth)),
+u AS (SELECT a.path, a.depth, count(*) FILTER (s.n_children = 0) AS n_leaves, sum(s.own) AS saved
+      FROM m a JOIN m s ON s.depth >= a.depth AND s.path[1:a.depth] = a.path GROUP BY ALL)
+SELECT m.conv_id, m.depth, par.conv_id AS parent_conv_id, m.n_convs, m.n_children, u.n_leaves,
+  u.saved::BIGINT AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN u USING (path, depth) LEFT JOIN m par ON par.depth = m.depth - 1 AND par.path = m.path[:-2]
+"""
+
+
+@_register("op11_conversation_trie", _TRIE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.rebuilt_trie(spark, table(spark, sf_dir, "conversations"))
+
+
+_REPAIR_SQL = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+d0 AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc_sql("concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' '))")} % 20 AS hit FROM conversations, crc),
+d1 AS (SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+         CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN hit = 3 THEN [1, 2] ELSE [1] END) AS copy FROM d0 WHERE hit <> 0),
+d2 AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM d1),
+d3 AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY pos) AS before,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) AS nth FROM d2),
+r AS (SELECT *, left(role, 1) AS i, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 1 WHEN nth > 1 THEN 2
+         WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 3 ELSE 0 END AS fault FROM d3),
+ins(p, q, c, a) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 2, 'I'), (1, 2, 2, 'I'), (3, 2, 2, 'I'),
+  (2, 3, 2, 'I'), (0, 3, 4, 'II'), (1, 3, 4, 'II')),
+move(p, q, i) AS (VALUES (0, 1, 's'), (0, 2, 'u'), (1, 2, 'u'), (3, 2, 'u'), (2, 3, 'a')),
+e AS (SELECT conv_id, pos, p, q, 3 AS c, 'D' AS a FROM r, (SELECT DISTINCT p, p AS q FROM ins)
+      UNION ALL SELECT conv_id, pos, p, q, (fault = 3)::INT, 'K' FROM r JOIN move USING (i) WHERE fault NOT IN (1, 2)
+      UNION ALL SELECT conv_id, pos, p, q, 2 + (fault = 3)::INT, 'R' FROM r, move WHERE move.i <> 's' AND fault NOT IN (1, 2)),
+s AS (SELECT DISTINCT conv_id, 0::BIGINT AS pos, 0 AS q, {{'c': 0::BIGINT, 'a': ''}} AS best FROM r
+      UNION ALL
+      SELECT s.conv_id, e.pos, e.q, min({{'c': s.best.c + ins.c + e.c, 'a': s.best.a || ins.a || e.a}})
+      FROM s JOIN ins ON ins.p = s.q JOIN e ON e.conv_id IS NOT DISTINCT FROM s.conv_id AND e.pos = s.pos + 1 AND e.p = ins.q
+      GROUP BY s.conv_id, e.pos, e.q),
+n AS (SELECT conv_id, count(*) AS n, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+        count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (pos > 1 AND left(before, 1) || i NOT IN ('su', 'ua', 'au')) AS illegal,
+        coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps FROM r GROUP BY conv_id),
+f AS (SELECT s.conv_id, min({{'c': s.best.c + ins.c, 'a': s.best.a || ins.a}}) AS best
+      FROM s JOIN n ON n.conv_id IS NOT DISTINCT FROM s.conv_id AND n.n = s.pos JOIN ins ON ins.p = s.q AND ins.q IN (0, 3) GROUP BY s.conv_id),
+x AS (SELECT conv_id, unnest(string_split(best.a, '')) AS a, generate_subscripts(string_split(best.a, ''), 1) AS k FROM f),
+y AS (SELECT conv_id, a, k, sum((a <> 'I')::INT) OVER w AS pos, sum((a <> 'D')::INT) OVER w AS made,
+        sum((a <> 'D')::INT) OVER (PARTITION BY conv_id) AS total FROM x WINDOW w AS (PARTITION BY conv_id ORDER BY k)),
+z AS (SELECT y.conv_id, y.k, CASE WHEN a = 'K' THEN r.role WHEN (made - 1 - total % 2) % 2 = 0 THEN 'user' ELSE 'assistant' END
+        || ':' || CASE WHEN a = 'I' THEN '' ELSE r.text END AS line
+      FROM y JOIN r ON r.conv_id IS NOT DISTINCT FROM y.conv_id AND r.pos = greatest(y.pos, 1) WHERE a <> 'D'),
+g AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY k) AS whole FROM z GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit,
+  sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM o.conv_id
+  LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+@_register("op12_structure_repair", _REPAIR_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair.repair_damaged(spark, table(spark, sf_dir, "conversations"))
+
+
+_WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+m AS (SELECT html, max(page_id) AS keeper FROM p WHERE payload_bytes >= 1000 GROUP BY html HAVING count(*) > 1),
+j AS (SELECT p.*, CASE WHEN keeper IS NOT NULL AND (page_id IS NULL OR page_id < keeper) THEN keeper END AS refers_to FROM p LEFT JOIN m USING (html))
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+  refers_to FROM j
+"""
+
+
+@_register("op13_warc", _WARC_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(spark, table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
