@@ -5,12 +5,14 @@ words of both, ``WORDS`` at least. A token's probability is its bigram count smo
 ``PRIOR``. A document's score is its mean per-token loss under the target model less that under the background: negative is
 closer to the target. Every word and every bigram has its own count, so what is counted grows with the corpora:
 
-1. Word counts are summed by Spark and stored. The ``COMMON`` most frequent words and their counts go to every worker.
+1. Word counts are summed by Spark and stored. The ``COMMON`` most frequent words and all with ``BUCKET`` occurrences or more go to every
+   worker with their counts.
 2. Bigrams of two of the ``DENSE`` most frequent words have a counter each in one array and are scored where the text is, so no
    bigram that is left is frequent enough to make a hot key.
 3. All other bigrams are summed per portion of text and sent, with the documents that hold them, to one of many buckets: by
    both words if the second is common, else by the second alone. A bucket sees every bigram it holds in
-   either corpus, and every occurrence of a word that isn't common, so it has exact counts and returns losses per document.
+   either corpus, and every occurrence of a word that isn't common, so it has exact counts. It returns one row per portion, the sums of
+   losses of the portion's documents packed in arrays; a portion's rows are added up in one small group.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from tokenloom.llm.common import dense_counts, mix64, stage, texts_of, unstage,
 WORDS = 1 << 17
 PRIOR = 200.0
 ALPHA = 0.5
-COMMON = (1 << 16) - 3  # with two marks and the start, a code has 16 bits
+COMMON = (1 << 16) - 3  # with two marks and the start, a code has 16 bits; more words make it longer
 DENSE = 1 << 10
 #: Tokens sent at once by a task, and tokens that a bucket is meant for.
 PORTION = 1 << 19
@@ -37,7 +39,8 @@ BUCKET = 1 << 20
 _START = np.uint64(0x51A27)
 #: In place of the word before: the word ends its document.
 _END = np.uint64(0xE2D)
-_LOSS = "row long, key long, n long, target double, background double"
+_PART = "row long, keys binary, here binary, doc binary, target binary, background binary"
+_LOSS = "key long, n long, target double, background double"
 _SENT = ("bucket long, kind int, row long, words binary, rare_words binary, pairs binary, left binary, rare_left binary, count binary, "
          "posts binary, doc binary, n binary, keys binary, here binary")
 
@@ -234,14 +237,12 @@ def _key():
 
 
 def _judge(held):
-    """Losses per document of a bucket's bigrams."""
+    """Losses of a bucket's bigrams, summed per document: one row per portion."""
 
     def judge(t: pd.DataFrame) -> pd.DataFrame:
-        common, out = held.value, []
+        common = held.value
         local = t["here"].notna().to_numpy()
-        for row, keys, here in zip(t["row"][local], t["keys"][local], t["here"][local]):
-            n, a, b = np.frombuffer(here).reshape(3, -1)
-            out.append((row + np.arange(len(n)), pd.array(np.frombuffer(keys, np.int64), "Int64"), n.astype(np.int64), a, b))
+        out = [(row, keys, here, None, None, None) for row, keys, here in zip(t["row"][local], t["keys"][local], t["here"][local])]
         rows = t[~local]
         if len(rows):
             word = np.concatenate([np.repeat(common.decode(w, r), _unpack(p))
@@ -271,17 +272,29 @@ def _judge(held):
             at = np.cumsum([0, *size])
             for r, a, z in zip(rows.itertuples(), at, at[1:]):
                 if r.kind & 4:
-                    own, doc = np.unique(_unpack(r.doc), return_inverse=True)
-                    of = np.repeat(named[a:z], _unpack(r.posts))
-                    out.append((r.row + own.astype(np.int64), pd.array([pd.NA] * len(own), "Int64"), np.zeros(len(own), np.int64),
-                                *(np.bincount(doc, value[m][of] * _unpack(r.n), len(own)) for m in range(2))))
-        names = ("row", "key", "n", "target", "background")
-        return pd.concat([pd.DataFrame(dict(zip(names, x))) for x in out], ignore_index=True) if out else pd.DataFrame(columns=names)
+                    doc = _unpack(r.doc)
+                    of, n = np.repeat(named[a:z], _unpack(r.posts)), _unpack(r.n)
+                    sums = [np.bincount(doc, value[m][of] * n) for m in range(2)]
+                    own = np.flatnonzero(np.bincount(doc))
+                    out.append((r.row, None, None, _pack(own), *(x[own].tobytes() for x in sums)))
+        return pd.DataFrame(out, columns=[x.split()[0] for x in _PART.split(", ")])
 
     return judge
 
 
-def _common(spark: SparkSession, corpora: list, common: int, dense: int) -> Common:
+def _portion_sums(t: pd.DataFrame) -> pd.DataFrame:
+    """The documents of a portion with what its own row and its buckets give them."""
+    here = t["here"].notna().to_numpy()
+    n, *sums = np.frombuffer(t["here"][here].iloc[0]).reshape(3, -1).copy()
+    for doc, *parts in t.loc[~here, ["doc", "target", "background"]].itertuples(index=False):
+        at = _unpack(doc)
+        for total, part in zip(sums, parts):
+            total[at] += np.frombuffer(part)
+    return pd.DataFrame({"key": np.frombuffer(t["keys"][here].iloc[0], np.int64), "n": n.astype(np.int64),
+                         "target": sums[0], "background": sums[1]})
+
+
+def _common(spark: SparkSession, corpora: list, common: int, dense: int, bucket: int = BUCKET) -> Common:
     """Counts every word of ``[(docs, kind)]``."""
     counts = None
     for docs, kind in corpora:
@@ -290,11 +303,11 @@ def _common(spark: SparkSession, corpora: list, common: int, dense: int) -> Comm
     of = lambda c, m: F.sum(F.when(F.col("kind").bitwiseAND(m + 1) > 0, F.col(c)).otherwise(0)).alias(f"{c}{m}")
     words = stage(spark, counts.groupBy("word").agg(of("n", 0), of("n", 1), of("left", 0), of("left", 1), F.sum("n").alias("seen")), "words")
     total = words.agg(F.sum("n0").alias("a"), F.sum("n1").alias("b"), F.sum((F.col("n0") + F.col("n1") > 0).cast("long")).alias("v")).head()
-    # the lowest count of which all words fit, by eighths of powers of two
+    # the lowest count of which all words fit, by eighths of powers of two; a word that fills a bucket is common in any case
     level = F.floor(F.log2(F.col("seen")) * 8).cast("int")
     room, least = common, None
     for r in words.where("seen > 0").groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
-        if r["count"] > room:
+        if r["count"] > room and r["level"] < 8 * np.log2(bucket):
             break
         room, least = room - r["count"], r["level"]
     start = F.col("word") == int(_START)
@@ -306,7 +319,7 @@ def _common(spark: SparkSession, corpora: list, common: int, dense: int) -> Comm
 
 def _scores(spark: SparkSession, docs: DataFrame, corpora: list, common: int = COMMON, dense: int = DENSE, bucket: int = BUCKET) -> DataFrame:
     """``docs`` with scores; ``corpora`` are ``[(texts, kind)]`` with kinds as in :func:`_send`."""
-    known = _common(spark, corpora, common, dense)
+    known = _common(spark, corpora, common, dense, bucket)
     held = spark.sparkContext.broadcast(known)
     cells = [_dense(d, held) if kind & 3 else None for d, kind in corpora]
     known.dense = [sum((c for c, (_, kind) in zip(cells, corpora) if kind & (m + 1)), np.zeros(max(1, known.width ** 2), np.int64))
@@ -318,7 +331,8 @@ def _scores(spark: SparkSession, docs: DataFrame, corpora: list, common: int = C
         s = _send(d, kind, held, buckets)
         sent = s if sent is None else sent.unionAll(s)
     sums = [F.sum(c).alias(c) for c in ("n", "target", "background")]
-    losses = sent.groupBy("bucket").applyInPandas(_judge(held), _LOSS).groupBy("row").agg(F.max("key").alias("key"), *sums)
+    parts = sent.groupBy("bucket").applyInPandas(_judge(held), _PART)
+    losses = parts.groupBy("row").applyInPandas(_portion_sums, _LOSS)
     losses = losses.groupBy("key").agg(F.count("*").alias("copies"), *sums)
     mean = lambda c: F.when(F.col("n") > 0, F.col(c) / F.col("n")).otherwise(0.0)
     losses = losses.select(F.col("key").alias("__key"), F.struct(
