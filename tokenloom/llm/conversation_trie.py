@@ -26,7 +26,7 @@ from tokenloom.llm.common import numbered, stage
 #: Turns of a band; a conversation of n turns takes n / BAND rounds.
 BAND = 256
 #: Different pieces of one shard at most; a chunk of small shards has at most CHUNK turns before its last shard.
-SHARD = 1024
+SHARD = 128
 CHUNK = 1 << 14
 #: Shared nodes that a task holds before it passes their totals on.
 HELD = 1 << 14
