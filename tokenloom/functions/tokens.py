@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tokenloom.functions.util import col_of
+from tokenloom.functions.util import col_of, once
 from tokenloom.layout import BYTE_EOT, STAGE1, STAGE2, TokenLayout
 
 
@@ -144,7 +144,7 @@ def generation_budget(prompt_len, max_new: int, block: int) -> Column:
 
 def budget_error(budget) -> Column:
     """L4: a prompt that leaves no room to generate is an error."""
-    return F.when(col_of(budget) <= 0, F.lit("Prompt is too long to generate more tokens"))
+    return F.when(col_of(budget) <= 0, F.lit("no room left to generate"))
 
 
 def deinterleave(tokens, eoa: int = STAGE2.eoa) -> tuple[Column, Column]:
@@ -157,13 +157,17 @@ def deinterleave(tokens, eoa: int = STAGE2.eoa) -> tuple[Column, Column]:
     b0 = F.filter(t, lambda v: v < eoa)
     b1 = F.transform(F.filter(t, lambda v: (v >= eoa) & (v < 2 * eoa)), lambda v: v - eoa)
     txt = F.filter(t, lambda v: v > 2 * eoa)
-    m = F.least(F.size(b0), F.size(b1))
-    return drop_last(txt), F.array(F.slice(b0, F.lit(1), m), F.slice(b1, F.lit(1), m))
+    return drop_last(txt), cut_to_shortest(F.array(b0, b1))
+
+
+def cut_to_shortest(rows) -> Column:
+    """Rows of an array of arrays, cut to the shortest; ``rows`` and the length are worked out once per row."""
+    return once(col_of(rows), lambda rs: once(F.array_min(F.transform(rs, lambda r: F.size(r))),
+                                              lambda m: F.transform(rs, lambda r: F.slice(r, F.lit(1), m))))
 
 
 def drop_last(arr) -> Column:
-    a = col_of(arr)
-    return F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0)))
+    return once(col_of(arr), lambda a: F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0))))
 
 
 def untilt(rows, eoa: int = STAGE2.eoa) -> tuple[Column, Column]:
@@ -171,8 +175,7 @@ def untilt(rows, eoa: int = STAGE2.eoa) -> tuple[Column, Column]:
     r = col_of(rows)
     txt = F.filter(r[0], lambda v: v > eoa)
     codes = F.transform(r, lambda row: F.filter(row, lambda v: v < eoa))
-    m = F.array_min(F.transform(codes, lambda row: F.size(row)))
-    return drop_last(txt), F.transform(codes, lambda row: F.slice(row, F.lit(1), m))
+    return drop_last(txt), cut_to_shortest(codes)
 
 
 def fill_codebooks(codes, n: int = 8) -> Column:
@@ -184,10 +187,13 @@ def fill_codebooks(codes, n: int = 8) -> Column:
 def stage2_input(text, codes, ctx: int, pad: int = STAGE2.eoa) -> Column:
     """Two rows ``text ++ c0 ++ [pad]`` and ``pad*len(text) ++ c1 ++ [pad]``, padded/cut to ``ctx``."""
     t, c = col_of(text), col_of(codes)
-    row0 = F.concat(t, c[0], F.array(F.lit(pad)))
-    row1 = F.concat(repeat(pad, F.size(t)), c[1], F.array(F.lit(pad)))
-    fit = lambda r: F.slice(pad_right(r, ctx, pad), 1, ctx)
-    return F.array(fit(row0), fit(row1))
+
+    def fit(lead: Column, row: Column) -> Column:
+        # parts are cut before they are put together, so work is bounded by ctx whatever the text's length
+        rest = repeat(pad, F.least(F.lit(ctx), F.lit(ctx) - F.size(t) - F.size(row)))
+        return F.slice(F.concat(lead, F.slice(row, 1, ctx), F.array(F.lit(pad)), rest), 1, ctx)
+
+    return F.array(fit(F.slice(t, 1, ctx), c[0]), fit(repeat(pad, F.least(F.size(t), F.lit(ctx))), c[1]))
 
 
 def prompt_rows(text, n_hier: int, other: int = STAGE2.eoa) -> Column:

@@ -6,3 +6,12 @@ from pyspark.sql import functions as F
 
 def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
+
+
+def once(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out a single time, however often ``body`` names it.
+
+    A column named several times, or inside the lambda of an array function, is evaluated at each of these places; a lambda's own
+    variable isn't.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)

@@ -29,19 +29,13 @@ def merge_rank_lists(metrics: DataFrame, name: str = "name", rank: str = "rank",
     """Per-rank metric lists concatenated rank after rank, kept in long form.
 
     ``idx`` is the position in the merged list of its name (rank-major, then ``order``):
-    the dense position (O1) in (name, rank, order) less the number of rows of earlier names. Row counts per
-    name are a small partial aggregate; the log itself is never joined on a name.
+    the dense position (O1) in (name, rank, order) less the first position of its name. First positions are one row per
+    name (a partial aggregate) and meet the log in a join, so the plan doesn't grow with the names.
     """
     ranked = with_position(metrics.select(name, rank, order, value), [name, rank, order], out="_tl_g")
-    sizes = sorted(((r[0] is not None, r[0] or ""), r[0], r[1]) for r in metrics.groupBy(name).count().collect())
-    before, start = [], 0
-    for _, n, size in sizes:
-        before.append((n, start))
-        start += size
-    first = F.lit(0)
-    for n, at in before:
-        first = F.when(F.col(name).eqNullSafe(F.lit(n)), at).otherwise(first)
-    return ranked.select(name, rank, order, value, (F.col("_tl_g") - first).cast("long").alias(out))
+    first = ranked.groupBy(F.col(name).alias("_tl_name")).agg(F.min("_tl_g").alias("_tl_first"))
+    return ranked.join(first, F.col(name).eqNullSafe(F.col("_tl_name"))).select(
+        name, rank, order, value, (F.col("_tl_g") - F.col("_tl_first")).cast("long").alias(out))
 
 
 def reduce_metrics(metrics: DataFrame, world_size: int, keys=("name", "batch_id"), value: str = "value",

@@ -31,4 +31,4 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from tokenloom.plans import (  # noqa: F401
-        queries_core, queries_dist, queries_io, queries_order, queries_text, queries_tokens, queries_vectors)
+        queries_core, queries_dist, queries_io, queries_order, queries_store, queries_text, queries_tokens, queries_vectors)

@@ -6,11 +6,11 @@ appears here.
 
 COVERAGE: dict[str, tuple[str, list[str]]] = {
     # sources and sinks
-    "S1": ("sources.files.read_tsv_manifest", ["manifest_from_tsv", "manifest_quarantine"]),
+    "S1": ("sources.files.read_tsv_manifest, sources.splitscan.read_tsv_splits", ["manifest_from_tsv", "manifest_quarantine", "manifest_tsv_splits"]),
     "S2": ("sources.files.read_jsonl (+ with_file_order when no position is stored)",
            ["manifest_jsonl", "stream_text_tokens", "manifest_quarantine", "file_order"]),
     "S3": ("sources.files.write_jsonl", ["manifest_jsonl"]),
-    "S4": ("sources.archives.unpack_archives (+ write_archives)", ["archive_members"]),
+    "S4": ("sources.archives.unpack_archives (+ write_archives), sources.splitscan.index_archives / read_members", ["archive_members", "archive_ranges"]),
     "S5": ("sources.audio.read_audio (+ write_wavs sink)", ["audio_files"]),
     "S6": ("sources.files.write_artifact / read_artifact, write_bucketed_artifact",
            ["artifact_store", "stream_text_tokens", "training_samples_bucketed"]),
@@ -38,8 +38,8 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     "P18": ("operators.metrics.metric_names", ["metric_keys"]),
     # joins
     "J1": ("operators.joins.assemble_samples / admit", ["sample_admission", "training_samples", "training_batches", "training_samples_bucketed"]),
-    "J2": ("operators.joins.pending", ["pending_embeddings", "artifact_store"]),
-    "J3": ("operators.joins.memoize", ["memoized_quality"]),
+    "J2": ("operators.joins.pending, sources.keyindex.KeyedStore.pending", ["pending_embeddings", "artifact_store", "indexed_resume"]),
+    "J3": ("operators.joins.memoize, sources.keyindex.memoize_in", ["memoized_quality", "indexed_memo"]),
     "J4": ("operators.joins.zip_results", ["zip_results"]),
     "J5": ("operators.joins.guide, operators.vocab.guide", ["guided_scores", "guided_arrays", "sampled_tokens_a"]),
     "J6": ("operators.joins.resolve_preset", ["choose_reference", "stream_requests"]),
@@ -58,12 +58,13 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     "A11": ("operators.aggregates.batch_token_len", ["batch_token_len"]),
     "A12": ("operators.aggregates.hierarchy_lengths", ["hierarchy_lengths"]),
     # windows and ordered operators
-    "O1": ("operators.position.with_position", ["positions_by_length", "fixed_batches"]),
+    "O1": ("operators.position.with_position, operators.append.PositionLog", ["positions_by_length", "fixed_batches", "appended_positions"]),
     "O2": ("operators.position.assign_shard / shard_range", ["shards"]),
     "O3": ("operators.position.tail_split / split_bounds", ["splits_overlap", "splits_disjoint", "prepared_corpus"]),
     "O4": ("operators.position.fixed_batches", ["fixed_batches", "batch_shapes", "training_batches"]),
-    "O5": ("operators.position.shuffled_batches", ["shuffled_batches"]),
-    "O6": ("operators.position.length_sorted_batches", ["length_sorted_batches", "prompt_batches"]),
+    "O5": ("operators.position.shuffled_batches, operators.permute.permuted_batches", ["shuffled_batches", "permuted_batches"]),
+    "O6": ("operators.position.length_sorted_batches, operators.budget.budget_batches",
+           ["length_sorted_batches", "prompt_batches", "token_budget_batches"]),
     "O7": ("operators.position.first_wins", ["first_turns", "stream_text_tokens"]),
     "O8": ("operators.sampling.softmax, operators.vocab.softmax", ["softmax_scores", "softmax_arrays"]),
     "O9": ("operators.sampling.top_k_mask, operators.vocab.top_k", ["top_k_scores", "top_k_arrays"]),
@@ -117,6 +118,6 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     # streaming
     "R1": ("streaming.requests.prepare_requests / stream_prepare_requests", ["stream_requests"]),
     "R2": ("streaming.requests.split_dead_letters", ["stream_dead_letters"]),
-    "R3": ("streaming.incremental.stream_text_tokens (table or state dedupe)",
-           ["stream_text_tokens", "stream_text_tokens_state"]),
+    "R3": ("streaming.incremental.stream_text_tokens (table, index or state dedupe)",
+           ["stream_text_tokens", "stream_text_tokens_index", "stream_text_tokens_state"]),
 }

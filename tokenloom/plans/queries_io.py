@@ -44,7 +44,7 @@ def q_manifest_from_tsv(spark, sf):
     return FS.read_tsv_manifest(spark, _tsv_files(spark, sf))
 
 
-def _tsv_files(spark, sf):
+def _tsv_files(spark, sf, one=False):
     d = TB.table(spark, sf, "documents")
     t = F.when(F.pmod("doc_id", F.lit(7)) == 0, F.lit("NA")).when(F.pmod("doc_id", F.lit(7)) == 1, F.lit("")) \
         .when(F.pmod("doc_id", F.lit(7)) == 2, F.lit("null")) \
@@ -53,7 +53,7 @@ def _tsv_files(spark, sf):
     rows = d.select(F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".flac")).alias("path"),
                     t.alias("text"))
     path = FS.work_dir(spark, "tsv")
-    FS.write_tsv_manifest(rows, path)
+    FS.write_tsv_manifest(rows.coalesce(1) if one else rows, path)
     return path
 
 

@@ -183,7 +183,7 @@ def q_cropped_context(spark, sf):
     THEN g.tokens[1:list_position(g.tokens, 2048)] ELSE g.tokens END AS tokens,
   least(len(t.tokens) + {MAX_NEW}, {CTX}) - len(t.tokens) AS budget,
   CASE WHEN least(len(t.tokens) + {MAX_NEW}, {CTX}) - len(t.tokens) <= 0
-       THEN 'Prompt is too long to generate more tokens' END AS budget_error
+       THEN 'no room left to generate' END AS budget_error
 FROM ({_GEN}) g JOIN (SELECT doc_id AS pos, {D.byte_tokens(D.normalize('text'))} AS tokens FROM documents) t USING (pos)""")
 def q_take_until_eoa(spark, sf):
     g = TB.generated_tokens(spark, sf)

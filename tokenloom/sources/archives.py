@@ -1,15 +1,16 @@
-"""Archives: write bounded tar chunks and unpack members in parallel."""
+"""Archives: write tar files and unpack members in parallel (S4); see ``splitscan`` for one archive in many tasks."""
 
 from __future__ import annotations
 
 import io
 import tarfile
+import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tokenloom.sources.fsio import open_input, write_atomic
+from tokenloom.sources.fsio import open_input, resolve
 
 # Bytes of members that a worker gathers before it hands a batch on.
 BATCH_BYTES = 16_000_000
@@ -66,22 +67,46 @@ def unpack_archives(spark: SparkSession, paths: DataFrame, path: str = "path", d
 
 
 def write_archives(df: DataFrame, out_dir: str, archive: str, member: str, content: str) -> DataFrame:
-    """Write one ``<archive>.tar`` per group. Groups must be bounded in size by the caller
-    (e.g. fixed-size chunks of a manifest), because a group is written by one task."""
-    schema = T.StructType([T.StructField("archive", T.StringType()), T.StructField("path", T.StringType()),
-                           T.StructField("n_members", T.LongType())])
-
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        name = str(pdf[archive].iloc[0])
-        p = f"{out_dir.rstrip('/')}/{name}.tar"
-        buf = io.BytesIO()
-        with tarfile.open(fileobj=buf, mode="w") as tf:
-            for m, c in zip(pdf[member], pdf[content]):
+    """Write one ``<archive>.tar`` per value of ``archive``, members in name order; rows ``(archive, path, n_members)``.
+
+    An archive is written by one task as its rows stream by, under a temporary name until it is complete; the task
+    holds one batch of members, not the archive.
+    """
+    schema = "archive string, path string, n_members long"
+
+    def write(batches):
+        tar, name, n = None, None, 0
+
+        def close() -> list:
+            if tar is None:
+                return []
+            tar.close()
+            out.close()
+            fs.move(part, target)
+            p = f"{out_dir.rstrip('/')}/{name}.tar"
+            return [(name, p if "://" in p else "file:" + p, n)]
+
+        for pdf in batches:
+            done = []
+            for a, m, c in zip(pdf[archive], pdf[member], pdf[content]):
+                if tar is None or str(a) != name:
+                    done += close()
+                    name, n = str(a), 0
+                    fs, target = resolve(f"{out_dir.rstrip('/')}/{name}.tar")
+                    fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                    part = f"{target}.{uuid.uuid4().hex}.part"
+                    out = fs.open_output_stream(part)
+                    tar = tarfile.open(fileobj=out, mode="w|")
                 data = bytes(c) if c is not None else b""
                 info = tarfile.TarInfo(name=str(m))
                 info.size = len(data)
-                tf.addfile(info, io.BytesIO(data))
-        write_atomic(p, buf.getvalue())  # moved into place when complete
-        return pd.DataFrame({"archive": [name], "path": [p if "://" in p else "file:" + p], "n_members": [len(pdf)]})
-
-    return df.select(archive, member, content).groupBy(archive).applyInPandas(write, schema)
+                tar.addfile(info, io.BytesIO(data))
+                n += 1
+            if done:
+                yield pd.DataFrame(done, columns=["archive", "path", "n_members"])
+        done = close()
+        if done:
+            yield pd.DataFrame(done, columns=["archive", "path", "n_members"])
+
+    rows = df.select(archive, member, content).repartition(archive).sortWithinPartitions(archive, member)
+    return rows.mapInPandas(write, schema)

@@ -9,6 +9,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tokenloom.functions.text import normalize_text
 from tokenloom.functions.tokens import byte_tokens
 from tokenloom.sources.files import MANIFEST_SCHEMA, write_artifact
+from tokenloom.sources.keyindex import KeyedStore
 
 
 def tokenise_batch(batch: DataFrame, store: str) -> None:
@@ -18,6 +19,13 @@ def tokenise_batch(batch: DataFrame, store: str) -> None:
     write_artifact(tokens, store, "txt")
 
 
+def tokenise_indexed(batch: DataFrame, store: str) -> None:
+    """``foreachBatch`` body over an indexed store: only files that may hold a key of the batch are read."""
+    target = KeyedStore(batch.sparkSession, store, "txt")
+    new = target.pending(batch.groupBy("key").agg(F.min_by(F.col("text"), F.col("pos")).alias("text")))
+    target.add(new.select("key", byte_tokens(normalize_text("text")).alias("tokens")))
+
+
 def append_tokens(batch: DataFrame, batch_id: int, store: str) -> None:
     """``foreachBatch`` body for state-deduplicated input: tokenise into the batch's own folder,
     which a replay replaces."""
@@ -43,6 +51,7 @@ def stream_text_tokens(spark: SparkSession, manifest_dir: str, store: str, check
     each key once, the first by ``pos`` within a micro-batch.
 
     ``dedupe="table"``: an anti join against the stored keys (reads only the key column of the store).
+    ``dedupe="index"``: the same join, over the files of an indexed store whose key ranges and Bloom filters let a key of the batch in.
     ``dedupe="state"``: keys seen so far live in the streaming state store, one flag each, so a batch never
     rescans the store. The state grows with the number of keys; use the RocksDB state store for large corpora.
     """
@@ -53,6 +62,8 @@ def stream_text_tokens(spark: SparkSession, manifest_dir: str, store: str, check
         w = firsts.writeStream.outputMode("append").foreachBatch(lambda b, i: append_tokens(b, i, store))
     elif dedupe == "table":
         w = stream.writeStream.foreachBatch(lambda b, i: tokenise_batch(b, store))
+    elif dedupe == "index":
+        w = stream.writeStream.foreachBatch(lambda b, i: tokenise_indexed(b, store))
     else:
         raise ValueError(f"unknown dedupe mode {dedupe!r}")
     q = w.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
