@@ -32,6 +32,8 @@ from tokenloom.sources.fsio import resolve
 FRAME = 1 << 20
 BUNDLE = 1 << 28
 LEVEL = 3
+#: Frames that a task reads.
+RUN = 16
 #: Payloads below this many bytes are always stored.
 REVISIT_FROM = 1000
 DATE = "1970-01-01T00:00:00Z"
@@ -282,7 +284,9 @@ def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
             yield pa.RecordBatch.from_pylist(held, _RECORD_ARROW)
 
     frames = index.groupBy("bundle", "frame").agg(F.collect_list(F.struct("offset", "length")).alias("places"))
-    return (frames.repartition("bundle", F.floor(F.col("frame") / 64)).sortWithinPartitions("bundle", "frame")
+    # a task reads about RUN frames; without a number, the small index rows would be put together
+    n = -(-index.select("bundle", "frame").distinct().count() // RUN)
+    return (frames.repartition(max(1, n), "bundle", F.floor(F.col("frame") / RUN)).sortWithinPartitions("bundle", "frame")
             .mapInArrow(run, _RECORD))
 
 
@@ -310,7 +314,8 @@ def rebuild_index(spark: SparkSession, bundles: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([x[n] for x in out], k) for n, k in zip(names, kinds)], names=names)
 
     listed = bundles.select("bundle").distinct().mapInArrow(frames, "bundle string, frame int")
-    return listed.repartition("bundle", "frame").mapInArrow(run, _INDEX)
+    listed = stage(spark, listed, "frames")
+    return listed.repartition(max(1, -(-listed.count() // RUN)), "bundle", "frame").mapInArrow(run, _INDEX)
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
