@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 
@@ -74,7 +75,8 @@ def test_few_sequences(spark):
 @settings(max_examples=40, deadline=None)
 @given(st.dictionaries(st.integers(1, 32), st.integers(0, 40), max_size=12))
 def test_solver_holds_everything_once(histogram):
-    plan = solve(histogram, 32, rounds=20)
+    plan, placed = solve(histogram, 32)
+    assert placed <= sum(histogram.values())
     total = {}
     for combo, times in plan:
         assert times > 0 and sum(x * a for x, a in combo.items()) <= 32
@@ -88,3 +90,42 @@ def test_solver_holds_everything_once(histogram):
         places |= {(int(s), int(o) + j) for s, o in zip(seq, off) for j in range(x)}
     assert len(places) == sum(x * n for x, n in total.items())
     assert all(0 <= s < slots.sequences and 0 <= o < 32 for s, o in places)
+
+
+def lognormal(n):
+    rng, out = np.random.default_rng(0), {}
+    for x in np.clip(rng.lognormal(6, 1, n).astype(int), 1, 20000).tolist():
+        first = min(x, x % 2048 or 2048)
+        out[first] = out.get(first, 0) + 1
+        if x > first:
+            out[2048] = out.get(2048, 0) + (x - first) // 2048
+    return out
+
+
+@pytest.mark.parametrize("name", [SF01, "/root/testdata/sf0.1", "lognormal", "three of each"])
+def test_the_program_places_nearly_all(spark, name):
+    if name == "lognormal":
+        h = lognormal(300_000)
+    elif name == "three of each":
+        h = {x: 3 for x in range(1, 2049)}
+    else:
+        p = packing.pieces(table(spark, name, "documents"))
+        h = {r["length"]: r["count"] for r in p.groupBy("length").count().collect()}
+    plan, placed = solve(h)
+    below = sum(h.values()) - h.get(2048, 0)
+    assert placed - h.get(2048, 0) >= 0.95 * below
+    tokens = sum(x * n for x, n in h.items())
+    assert sum(times for _, times in plan) <= -(-tokens // 2048) * 1.005 + 1
+
+
+def test_columns_are_the_dearest():
+    rng = random.Random(4)
+    for _ in range(20):
+        lengths = np.array(sorted(rng.sample(range(1, 20), 4)))
+        left, price = np.array([rng.randrange(1, 4) for _ in lengths]), np.array([rng.random() for _ in lengths])
+        for k, combo in enumerate(packing._columns(lengths, price, left, 20)):
+            beside = {j: a - (j == k) for j, a in combo.items()}
+            assert combo[k] >= 1 and sum(lengths[j] * a for j, a in combo.items()) <= 20
+            best = max(sum(price[j] * a for j, a in enumerate(c)) for c in itertools.product(*(range(n + 1) for n in left))
+                       if sum(lengths[j] * a for j, a in enumerate(c)) <= 20 - lengths[k])
+            assert abs(sum(price[j] * a for j, a in beside.items()) - best) < 1e-9

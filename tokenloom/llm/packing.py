@@ -4,9 +4,9 @@
    piece taking the remainder.
 2. The histogram of piece lengths has at most ``capacity`` entries whatever the corpus size. On it the driver
    solves the configuration LP (which length combinations fill a sequence, and how often) by
-   multiplicative weights: prices rise on lengths that lag behind, a knapsack dynamic program finds the best
-   combination at those prices. The fractional solution is rounded down and what is left is packed by
-   largest-that-fits combinations, again on the histogram.
+   multiplicative weights: prices rise on lengths of which much is left, a knapsack dynamic program finds for each length the
+   dearest combination that holds it. A combination takes a share of what is left, rounded to whole sequences as it is taken, if it fills a
+   sequence up to the round's slack. What no combination holds is packed by largest-that-fits, again on the histogram.
 3. Pieces of one length are interchangeable, so a piece needs only its rank among its length: a local
    row number in one of many hash parts plus prefix sums of the parts' counts. The rank names a slot.
 
@@ -32,8 +32,11 @@ from tokenloom.llm.common import stage, texts_of
 CAPACITY = 2048
 END_ID = 0
 PART_ROWS = 200_000
-ROUNDS = 400
-ETA = 0.25
+#: What a sequence of a round may leave empty, round after round, and the part of what is left that a combination takes at once.
+SLACKS = (0.0, 0.001, 0.002, 0.005, 0.01, 0.02, 0.05)
+SHARE = 4
+#: Taken off the price of a piece, in tokens: of equally full combinations the one with fewer pieces, so that short ones last.
+APIECE = 0.5
 
 _ENCODERS: dict = {}
 
@@ -101,30 +104,35 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocab: str | None = None,
         run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def _best_combination(lengths: np.ndarray, price: np.ndarray, limit: np.ndarray, capacity: int) -> dict:
-    """Knapsack by dynamic programming over the capacity: the dearest multiset of lengths that fits.
+def _columns(lengths: np.ndarray, price: np.ndarray, left: np.ndarray, capacity: int) -> list:
+    """For every length, the dearest combination that holds it: ``[{index: copies}]``.
 
-    Copies beyond what the histogram holds are taken off again.
+    One knapsack by dynamic programming over all capacities, with as many copies of a length as are left (split into powers of two),
+    prices what fits beside each length.
     """
-    value, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    for w in range(1, capacity + 1):
-        n = np.searchsorted(lengths, w, side="right")
-        value[w] = value[w - 1]
-        if n:
-            v = value[w - lengths[:n]] + price[:n]
-            k = int(v.argmax())
-            if v[k] > value[w]:
-                value[w], choice[w] = v[k], k
-    combo: dict = {}
-    w = capacity
-    while w > 0:
-        k = choice[w]
-        if k < 0:
-            w -= 1
-            continue
-        combo[k] = combo.get(k, 0) + 1
-        w -= lengths[k]
-    return {k: min(a, int(limit[k])) for k, a in combo.items()}
+    most = np.minimum(left, capacity // lengths)
+    of, copies = [], []
+    for k, n in enumerate(most):
+        c = 1
+        while n > 0:
+            of.append(k)
+            copies.append(min(c, int(n)))
+            n -= c
+            c *= 2
+    size = [int(lengths[k]) * c for k, c in zip(of, copies)]
+    value, take = np.zeros(capacity + 1), np.zeros((len(of), capacity + 1), bool)
+    for i, (k, c) in enumerate(zip(of, copies)):
+        more = value[:capacity + 1 - size[i]] + price[k] * c
+        np.greater(more, value[size[i]:], out=take[i, size[i]:])
+        np.maximum(more, value[size[i]:], out=value[size[i]:])
+    room = capacity - lengths
+    combos = [{k: 1} for k in range(len(lengths))]
+    for i in range(len(of) - 1, -1, -1):
+        hit = np.flatnonzero(take[i, room])
+        room[hit] -= size[i]
+        for j in hit.tolist():
+            combos[j][of[i]] = combos[j].get(of[i], 0) + copies[i]
+    return combos
 
 
 def _largest_fits(lengths: np.ndarray, left: np.ndarray, capacity: int) -> dict:
@@ -137,39 +145,46 @@ def _largest_fits(lengths: np.ndarray, left: np.ndarray, capacity: int) -> dict:
     return combo
 
 
-def solve(histogram: dict, capacity: int = CAPACITY, rounds: int = ROUNDS, eta: float = ETA) -> list:
-    """``[({length: copies}, sequences)]`` that holds every piece of ``{length: pieces}`` exactly once."""
+def solve(histogram: dict, capacity: int = CAPACITY, slacks: tuple = SLACKS) -> tuple[list, int]:
+    """``([({length: copies}, sequences)], pieces placed by the program)``; the plan holds every piece of ``{length: pieces}`` once.
+
+    The rest is placed by largest-that-fits combinations.
+    """
     plan = [({capacity: 1}, histogram[capacity])] if histogram.get(capacity) else []
-    lengths = np.array(sorted(x for x, n in histogram.items() if n and x < capacity), dtype=np.int64)
-    if not len(lengths):
-        return plan
-    left = np.array([histogram[int(x)] for x in lengths], dtype=np.int64)
-    # multiplicative weights: cover every length's share evenly, dearest combination first
-    covered, amount = np.zeros(len(lengths)), {}
-    for _ in range(rounds):
-        weight = np.exp(-eta * (covered - covered.min())) / left
-        combo = _best_combination(lengths, weight, left, capacity)
-        step = min(left[k] / a for k, a in combo.items())
-        for k, a in combo.items():
-            covered[k] += a * step / left[k]
-        key = tuple(sorted(combo.items()))
-        amount[key] = amount.get(key, 0.0) + step
-    least = covered.min()
-    scale = 1 / least if least > 0 else 1 / max(covered.max(), 1.0)
-    fill = lambda key: sum(int(lengths[k]) * a for k, a in key)
-    for key, x in sorted(amount.items(), key=lambda kv: (-fill(kv[0]), -kv[1])):
-        times = min(int(x * scale), *(int(left[k] // a) for k, a in key))
-        if times > 0:
-            for k, a in key:
-                left[k] -= a * times
-            plan.append(({int(lengths[k]): a for k, a in key}, times))
+    every = np.array(sorted(x for x, n in histogram.items() if n and x < capacity), dtype=np.int64)
+    need = np.array([histogram[int(x)] for x in every], dtype=np.int64)
+    left = need.copy()
+    for slack in slacks:
+        while left.any():
+            on = np.flatnonzero(left)
+            lengths = every[on]
+            # multiplicative weights: a token's price rises where more of a length is left, by as much as the round's slack lets
+            # a dearer combination be less full
+            price = lengths * np.exp(max(slack, 1e-4) * left[on] / need[on]) - APIECE
+            chosen = 0
+            for combo in reversed(_columns(lengths, price, left[on], capacity)):
+                held = {int(on[k]): a for k, a in combo.items()}
+                if sum(int(every[k]) * a for k, a in held.items()) < capacity * (1 - slack):
+                    continue
+                # whole sequences, a share of what is left at a time
+                times = min(int(left[k]) // a for k, a in held.items())
+                times = -(-times // SHARE)
+                if times:
+                    chosen += times
+                    for k, a in held.items():
+                        left[k] -= a * times
+                    plan.append(({int(every[k]): a for k, a in held.items()}, times))
+            if not chosen:
+                break
+    placed = int(need.sum() - left.sum()) + int(histogram.get(capacity) or 0)
+    lengths = every
     while left.any():
         combo = _largest_fits(lengths, left, capacity)
         times = int(min(left[k] // a for k, a in combo.items()))
         for k, a in combo.items():
             left[k] -= a * times
         plan.append(({int(lengths[k]): a for k, a in combo.items()}, times))
-    return plan
+    return plan, placed
 
 
 class Slots:
@@ -211,7 +226,7 @@ def pack(spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY, vocab:
     """
     p = stage(spark, pieces(docs, capacity, vocab, ranks), "pieces")
     histogram = {r["length"]: r["n"] for r in p.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    slots = Slots(solve(histogram, capacity))
+    slots = Slots(solve(histogram, capacity)[0])
     n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(histogram.values()) // PART_ROWS)
     p = p.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(n_parts)).cast("int"))
     counts = p.groupBy("part", "length").agg(F.count("*").alias("n"))
