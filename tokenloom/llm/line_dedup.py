@@ -4,7 +4,7 @@ State of a :class:`LineIndex`, all of it Parquet in the shared folder:
 
 * ``postings (k1, k2, id, n)`` - one row per line key and document (128-bit key hash);
 * ``counts (k1, k2, docs, lines, keeper)`` - exact reference counts of every key;
-* ``filters (shard, chain)`` - one cuckoo filter per shard of the key space.
+* ``filters (shard, room, keys, blob)`` - one cuckoo filter per shard of the key space.
 
 ``insert`` asks the shard's filter about each distinct key of the batch: a miss proves the key
 new, so its counts are stored as they are; only hits are merged with the exact table.
@@ -12,6 +12,10 @@ new, so its counts are stored as they are; only hits are merged with the exact t
 postings and keys without a reference leave their filter. Each call returns a new index
 and leaves the old one readable, so a lost executor or a failed job never damages state.
 
+A filter is one table with room for a known number of keys. A shard that would outgrow it gets a larger one, filled from the exact
+table; when the keys outgrow all shards, their number doubles and all filters are filled anew. So a fingerprint belongs to one table,
+and taking it out never touches a key that isn't its equal.
+
 Memory: a shard holds at most about ``SHARD_KEYS`` distinct keys whatever the table's size, and there
 are at least two shards per shuffle task. A key that
 is in a third of all documents is one row per map task after partial aggregation; postings of hot keys
@@ -23,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import pickle
 import struct
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,111 +42,110 @@ from tokenloom.llm.common import id_of, mix64, stage, texts_of
 #: Production parameters.
 MIN_KEY_CHARS = 10
 SHARD_KEYS = 1 << 20
+#: Batches in which a corpus is loaded: the filters tell which keys of a batch are known from those before.
+BATCHES = 3
 
 _KEYS = "k1 long, k2 long"
 _COUNTS = f"{_KEYS}, docs long, lines long, keeper long"
 
 
 class CuckooFilter:
-    """Chain of cuckoo tables with four 16-bit slots per bucket; a full table gets a larger successor.
+    """One cuckoo table with four 16-bit slots per bucket, for a known number of keys.
 
-    Keys are given as two int64 arrays and must be distinct within a call.
+    Keys are given as two int64 arrays and must be distinct within a call. A key's fingerprint lies in one of two buckets, each of which
+    follows from the other and the fingerprint, so keys with one fingerprint that share a bucket share both and are
+    interchangeable. The few fingerprints that find no slot are kept beside the table.
     """
 
     SLOTS = 4
+    LOAD = 0.8
     KICKS = 200
 
-    def __init__(self, tables: list | None = None):
-        self.tables = tables or []
+    def __init__(self, room: int):
+        buckets = 1 << max(2, int(np.ceil(np.log2(max(1, room) / (self.SLOTS * self.LOAD)))))
+        self.table = np.zeros((buckets, self.SLOTS), np.uint16)
+        self.over = np.zeros((0, 2), np.int64)  # bucket (the lesser of the two), fingerprint
+        self.keys = 0
+
+    @property
+    def room(self) -> int:
+        """Keys that the table is meant for."""
+        return int(self.table.size * self.LOAD)
 
-    @staticmethod
-    def _hash(k1, k2):
+    def _places(self, k1, k2) -> tuple:
+        """Fingerprint and the two buckets, the lesser first."""
         fp = (mix64(k2.view(np.uint64)) & np.uint64(0xFFFF)).astype(np.uint16)
         fp[fp == 0] = 1
-        return fp, mix64(k1.view(np.uint64))
+        mask = np.uint64(len(self.table) - 1)
+        one = (mix64(k1.view(np.uint64)) & mask).astype(np.int64)
+        two = self._other(one, fp)
+        return fp, np.minimum(one, two), np.maximum(one, two)
 
-    @staticmethod
-    def _places(table, fp, h):
-        mask = np.uint64(len(table) - 1)
-        one = (h & mask).astype(np.int64)
-        return one, one ^ (mix64(fp.astype(np.uint64)) & mask).astype(np.int64)
+    def _other(self, bucket, fp):
+        return bucket ^ (mix64(fp.astype(np.uint64)) & np.uint64(len(self.table) - 1)).astype(np.int64)
 
     def contains(self, k1, k2) -> np.ndarray:
-        fp, h = self._hash(k1, k2)
-        hit = np.zeros(len(fp), bool)
-        for t in self.tables:
-            for b in self._places(t, fp, h):
-                hit |= (t[b] == fp[:, None]).any(axis=1)
+        fp, one, two = self._places(k1, k2)
+        hit = (self.table[one] == fp[:, None]).any(axis=1) | (self.table[two] == fp[:, None]).any(axis=1)
+        if len(self.over):
+            hit |= np.isin(one << 16 | fp, self.over[:, 0] << 16 | self.over[:, 1])
         return hit
 
     def insert(self, k1, k2) -> None:
-        fp, h = self._hash(k1, k2)
-        if len(fp) and not self.tables:
-            self._grow(len(fp))
-        while len(fp):
-            left = self._fill(self.tables[-1], fp, h)
-            fp, h = fp[left], h[left]
-            if len(fp):
-                self._grow(max(len(fp), 2 * self.tables[-1].size))
-
-    def _grow(self, keys: int) -> None:
-        buckets = 1 << max(4, int(np.ceil(np.log2(max(1, keys) / (self.SLOTS * 0.8)))))
-        self.tables.append(np.zeros((buckets, self.SLOTS), np.uint16))
-
-    def _fill(self, t, fp, h) -> np.ndarray:
-        """Place what fits; return the positions of what does not."""
-        todo = np.arange(len(fp))
-        one, two = self._places(t, fp, h)
-        for b in (one, two):
-            at = b[todo]
+        fp, one, two = self._places(k1, k2)
+        self.keys += len(fp)
+        at, rng = one, np.random.default_rng(7)
+        for turn in range(self.KICKS):
+            # fill free slots: the r-th of a bucket's comers takes its r-th free slot
             order = np.argsort(at, kind="stable")
-            at, todo = at[order], todo[order]
-            first = np.r_[True, at[1:] != at[:-1]]
-            rank = np.arange(len(at)) - np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
-            taken = t[at] != 0
+            fp, at = fp[order], at[order]
+            rank = np.arange(len(at)) - np.searchsorted(at, at)
+            taken = self.table[at] != 0
             ok = rank < self.SLOTS - taken.sum(axis=1)
             slot = np.argsort(taken, axis=1, kind="stable")[ok, rank[ok]]
-            t[at[ok], slot] = fp[todo[ok]]
-            todo = todo[~ok]
-        rng, lost = np.random.default_rng(7), []
-        for i in todo:
-            if not self._kick(t, fp[i], int(one[i]), rng):
-                lost.append(i)
-        return np.array(lost, dtype=np.int64)
-
-    def _kick(self, t, f, b, rng) -> bool:
-        mask, path = np.uint64(len(t) - 1), []
-        for _ in range(self.KICKS):
-            free = np.flatnonzero(t[b] == 0)
-            if len(free):
-                t[b, free[0]] = f
-                return True
-            s = int(rng.integers(self.SLOTS))
-            path.append((b, s, t[b, s]))
-            t[b, s], f = f, t[b, s]
-            b ^= int(mix64(np.array([f], np.uint64))[0] & mask)
-        for b, s, old in reversed(path):
-            t[b, s] = old
-        return False
+            self.table[at[ok], slot] = fp[ok]
+            fp, at = fp[~ok], at[~ok]
+            if not len(fp):
+                return
+            if turn:
+                # one comer of each full bucket throws out one of its fingerprints, which moves to its other bucket
+                first = np.r_[True, at[1:] != at[:-1]]
+                who, slot = np.flatnonzero(first), rng.integers(self.SLOTS, size=int(first.sum()))
+                out = self.table[at[who], slot]
+                self.table[at[who], slot] = fp[who]
+                fp[who] = out
+            at = self._other(at, fp)
+        self.over = np.r_[self.over, np.stack([np.minimum(at, self._other(at, fp)), fp.astype(np.int64)], axis=1)]
 
     def delete(self, k1, k2) -> None:
         """Remove one entry for each key; the keys must have been inserted."""
-        fp, h = self._hash(k1, k2)
-        places = [self._places(t, fp, h) for t in self.tables]
-        for i in range(len(fp)):
-            for t, (one, two) in zip(self.tables, places):
-                b = next((b for b in (one[i], two[i]) if (t[b] == fp[i]).any()), None)
-                if b is not None:
-                    t[b, np.flatnonzero(t[b] == fp[i])[0]] = 0
-                    break
+        fp, one, two = self._places(k1, k2)
+        self.keys -= len(fp)
+        # of keys that can't be told apart, the r-th takes the r-th entry
+        name = one << 16 | fp
+        order = np.argsort(name, kind="stable")
+        fp, one, two, name = fp[order], one[order], two[order], name[order]
+        rank = np.arange(len(name)) - np.searchsorted(name, name)
+        there = np.concatenate([self.table[one] == fp[:, None], (self.table[two] == fp[:, None]) & (one != two)[:, None]], axis=1)
+        place = there & (there.cumsum(axis=1) == rank[:, None] + 1)
+        has, slot = place.any(axis=1), place.argmax(axis=1)
+        bucket = np.where(slot < self.SLOTS, one, two)
+        self.table[bucket[has], slot[has] % self.SLOTS] = 0
+        for x in name[~has].tolist():
+            at = np.flatnonzero((self.over[:, 0] << 16 | self.over[:, 1]) == x)
+            if not len(at):
+                raise KeyError("a key that was never inserted")
+            self.over = np.delete(self.over, at[0], axis=0)
 
     def dump(self) -> bytes:
-        return pickle.dumps([t.tobytes() for t in self.tables])
+        return pickle.dumps((self.keys, len(self.table), zlib.compress(self.table.tobytes(), 1), self.over))
 
     @classmethod
-    def load(cls, blob: bytes | None) -> CuckooFilter:
-        return cls([np.frombuffer(b, np.uint16).reshape(-1, cls.SLOTS).copy()
-                    for b in (pickle.loads(blob) if blob else [])])
+    def load(cls, blob: bytes) -> CuckooFilter:
+        out = cls.__new__(cls)
+        out.keys, buckets, table, out.over = pickle.loads(blob)
+        out.table = np.frombuffer(zlib.decompress(table), np.uint16).reshape(buckets, cls.SLOTS).copy()
+        return out
 
 
 def line_key(line: bytes) -> bytes:
@@ -188,30 +192,44 @@ def _count(postings: DataFrame) -> DataFrame:
         F.sum("n").alias("lines"), F.min("id").alias("keeper")))
 
 
-def _probe(key, old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
-    """One shard: ask the filter about each new key, put the misses in, return both."""
-    f = CuckooFilter.load(bytes(old["chain"].iloc[0]) if len(old) else None)
-    k1, k2 = new["k1"].to_numpy(np.int64), new["k2"].to_numpy(np.int64)
+_FILTERS = "shard int, room long, keys long, blob binary"
+
+
+def _keys(rows: pd.DataFrame) -> tuple:
+    return rows["k1"].to_numpy(np.int64), rows["k2"].to_numpy(np.int64)
+
+
+def _probe(key, old: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    """One shard: ask the filter about each new key, put the misses in, return both.
+
+    ``rows`` with ``docs`` 0 are the shard's stored keys, given if the filter has to be made anew.
+    """
+    known, new = rows[rows["docs"] == 0], rows[rows["docs"] > 0]
+    if len(old) and not len(known):
+        f = CuckooFilter.load(bytes(old["blob"].iloc[0]))
+    else:
+        f = CuckooFilter(2 * len(rows))
+        f.insert(*_keys(known))
+    k1, k2 = _keys(new)
     seen = f.contains(k1, k2)
     f.insert(k1[~seen], k2[~seen])
     # a hit may be a false positive: the exact table decides, and only then is the key put in
-    out = new.assign(seen=seen, chain=None)
+    out = new.assign(shard=key[0], seen=seen, room=0, keys=0, blob=None)
     row = {"shard": [key[0]], "k1": [0], "k2": [0], "docs": [0], "lines": [0], "keeper": [0], "seen": [False],
-           "chain": [f.dump()]}  # whole numbers: a missing one would turn the key columns into floats
+           "room": [f.room], "keys": [f.keys], "blob": [f.dump()]}  # whole numbers: a missing one would turn the key columns into floats
     return pd.concat([out[list(row)], pd.DataFrame(row)], ignore_index=True) if len(out) else pd.DataFrame(row)
 
 
 def _adjust(key, old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
-    f = CuckooFilter.load(bytes(old["chain"].iloc[0]) if len(old) else None)
+    f = CuckooFilter.load(bytes(old["blob"].iloc[0]))
     for sign, change in ((1, f.insert), (-1, f.delete)):
-        rows = new[new["sign"] == sign]
-        change(rows["k1"].to_numpy(np.int64), rows["k2"].to_numpy(np.int64))
-    return pd.DataFrame({"shard": [key[0]], "chain": [f.dump()]})
+        change(*_keys(new[new["sign"] == sign]))
+    return pd.DataFrame({"shard": [key[0]], "room": [f.room], "keys": [f.keys], "blob": [f.dump()]})
 
 
 @dataclass(frozen=True)
 class LineIndex:
-    """Reversible index of line keys; see the module text. Build with :meth:`empty`."""
+    """Reversible index of line keys; see the module text. Build with :meth:`empty` or :meth:`of`."""
 
     spark: SparkSession
     shards: int
@@ -220,16 +238,19 @@ class LineIndex:
     filters: DataFrame
 
     @classmethod
-    def empty(cls, spark: SparkSession, shards: int) -> LineIndex:
+    def empty(cls, spark: SparkSession, shards: int | None = None) -> LineIndex:
+        shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
         return cls(spark, shards, spark.createDataFrame([], f"{_KEYS}, id long, n long"),
-                   spark.createDataFrame([], _COUNTS), spark.createDataFrame([], "shard int, chain binary"))
+                   spark.createDataFrame([], _COUNTS), spark.createDataFrame([], _FILTERS))
 
     @classmethod
-    def of(cls, spark: SparkSession, docs: DataFrame) -> LineIndex:
-        """Index of a first batch, with shards for its size."""
+    def of(cls, spark: SparkSession, docs: DataFrame, batches: int = 1) -> LineIndex:
+        """Index of ``docs``, loaded in ``batches`` that split the ids."""
         postings = stage(spark, line_postings(docs), "postings")
-        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        return cls.empty(spark, max(2 * tasks, postings.count() // SHARD_KEYS))._insert(postings)
+        index = cls.empty(spark)
+        for i in range(batches):
+            index = index._insert(postings.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == i))
+        return cls(spark, index.shards, postings, index.counts, index.filters)
 
     def insert(self, docs: DataFrame) -> LineIndex:
         """Add documents whose ids are not in the index yet."""
@@ -238,20 +259,40 @@ class LineIndex:
     def _shard(self):
         return F.pmod(F.xxhash64("k1", "k2"), F.lit(self.shards)).cast("int")
 
+    def _grown(self, keys: int) -> LineIndex:
+        """The index with shards for so many keys; if they are more than before, without filters."""
+        shards = self.shards
+        while keys > shards * SHARD_KEYS:
+            shards *= 2
+        if shards == self.shards:
+            return self
+        return LineIndex(self.spark, shards, self.postings, self.counts, self.spark.createDataFrame([], _FILTERS))
+
     def _insert(self, postings: DataFrame) -> LineIndex:
-        new = _count(postings).withColumn("shard", self._shard())
-        probed = stage(self.spark, self.filters.groupBy("shard").cogroup(new.groupBy("shard")).applyInPandas(
-            _probe, f"shard int, {_COUNTS}, seen boolean, chain binary"), "probed")
-        keys, filters = probed.where("chain is null"), probed.where("chain is not null").select("shard", "chain")
+        new = stage(self.spark, _count(postings), "new")
+        held = self.filters.select("shard", "room", "keys").collect()  # one row per shard
+        now = self._grown(sum(r["keys"] for r in held) + new.count())
+        new = new.withColumn("shard", now._shard())
+        # shards whose table is too small, or not there: their keys come from the exact table again
+        held = self.spark.createDataFrame(held if now is self else [], "part int, room long, keys long")
+        small = (new.groupBy(F.col("shard").alias("part")).agg(F.count(F.lit(1)).alias("more")).join(held, "part", "left")
+                 .where("room is null or keys + more > room").select("part"))
+        stored = self.counts.withColumn("shard", now._shard())
+        if now is self:
+            stored = stored.join(small, F.col("shard") == F.col("part"), "left_semi")
+        again = stored.select("k1", "k2", *[F.lit(0).cast("long").alias(c) for c in ("docs", "lines", "keeper")], "shard")
+        rows = new.unionByName(again).select("k1", "k2", "docs", "lines", "keeper", F.col("shard").alias("part"))
+        probed = stage(self.spark, now.filters.groupBy("shard").cogroup(rows.groupBy("part")).applyInPandas(
+            _probe, f"shard int, {_COUNTS}, seen boolean, room long, keys long, blob binary"), "probed")
+        keys, filters = probed.where("blob is null"), probed.where("blob is not null").select("shard", "room", "keys", "blob")
         cols = ["k1", "k2", "docs", "lines", "keeper"]
         fresh, maybe = keys.where("not seen").select(cols), keys.where("seen")
         known = maybe.join(self.counts.select("k1", "k2"), ["k1", "k2"], "left_semi").select("k1", "k2")
         merged = (self.counts.unionByName(maybe.select(cols)).groupBy("k1", "k2")
                   .agg(F.sum("docs").alias("docs"), F.sum("lines").alias("lines"), F.min("keeper").alias("keeper")))
-        wrong = maybe.join(known, ["k1", "k2"], "left_anti").select(F.col("shard").alias("shard"), "k1", "k2", F.lit(1).alias("sign"))
-        filters = filters.groupBy("shard").cogroup(wrong.groupBy("shard")).applyInPandas(
-            _adjust, "shard int, chain binary")
-        return LineIndex(self.spark, self.shards, self.postings.unionByName(postings),
+        wrong = maybe.join(known, ["k1", "k2"], "left_anti").select(F.col("shard").alias("part"), "k1", "k2", F.lit(1).alias("sign"))
+        filters = filters.groupBy("shard").cogroup(wrong.groupBy("part")).applyInPandas(_adjust, _FILTERS)
+        return LineIndex(self.spark, now.shards, self.postings.unionByName(postings),
                          stage(self.spark, fresh.unionByName(merged), "counts"),
                          stage(self.spark, filters, "filters"))
 
@@ -264,8 +305,7 @@ class LineIndex:
         counts = stage(self.spark, self.counts.join(touched, ["k1", "k2"], "left_anti").unionByName(again), "counts")
         out = (touched.join(counts, ["k1", "k2"], "left_anti")
                .select(self._shard().alias("shard"), "k1", "k2", F.lit(-1).alias("sign")))
-        filters = self.filters.groupBy("shard").cogroup(out.groupBy("shard")).applyInPandas(
-            _adjust, "shard int, chain binary")
+        filters = self.filters.groupBy("shard").cogroup(out.groupBy("shard")).applyInPandas(_adjust, _FILTERS)
         return LineIndex(self.spark, self.shards, rest, counts, stage(self.spark, filters, "filters"))
 
     def drops(self) -> DataFrame:
@@ -314,12 +354,12 @@ def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     Lines whose key has fewer than 10 code points always stay. Rows with the same doc_id are one document and do
     not take lines from each other; null ids are one document after all others. Other columns pass through.
     """
-    return LineIndex.of(spark, docs).apply(docs)
+    return LineIndex.of(spark, docs, BATCHES).apply(docs)
 
 
 def rewrite_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` with the kept lines as ``text`` (and ``n_chars`` to match); its columns, no others."""
-    d = LineIndex.of(spark, docs).cut(docs).withColumn("text", F.col("__cut.kept_text"))
+    d = LineIndex.of(spark, docs, BATCHES).cut(docs).withColumn("text", F.col("__cut.kept_text"))
     if "n_chars" in docs.columns:
         d = d.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return d.select(*docs.columns)
