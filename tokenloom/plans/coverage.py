@@ -11,7 +11,7 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
            ["manifest_jsonl", "stream_text_tokens", "manifest_quarantine", "file_order"]),
     "S3": ("sources.files.write_jsonl", ["manifest_jsonl"]),
     "S4": ("sources.archives.unpack_archives (+ write_archives), sources.splitscan.index_archives / read_members", ["archive_members", "archive_ranges"]),
-    "S5": ("sources.audio.read_audio (+ write_wavs sink)", ["audio_files"]),
+    "S5": ("sources.audio.read_audio (+ write_wavs sink), sources.chunks.read_chunks", ["audio_files", "chunked_resample"]),
     "S6": ("sources.files.write_artifact / read_artifact, write_bucketed_artifact",
            ["artifact_store", "stream_text_tokens", "training_samples_bucketed"]),
     "S7": ("sources.requests.sidecar_json / write_sidecars", ["sidecars", "sidecar_files"]),
@@ -111,10 +111,10 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     "U1": ("functions.tokens.byte_tokens (SQL), operators.models.bpe_encode / bpe_decode",
            ["text_tokens", "text_roundtrip", "bpe_tokens", "bpe_roundtrip"]),
     "U2": ("operators.models.map_model", ["model_scores"]),
-    "U3": ("sources.audio.resample_audio", ["resampled_audio"]),
-    "U4": ("sources.audio.trim_audio", ["trimmed_audio"]),
-    "U5": ("sources.audio.mel_spectrogram", ["mel_frames"]),
-    "U6": ("sources.audio.partial_mels", ["partial_mels"]),
+    "U3": ("sources.audio.resample_audio, sources.chunks.resample_chunks", ["resampled_audio", "chunked_resample"]),
+    "U4": ("sources.audio.trim_audio, sources.chunks.trim_chunks", ["trimmed_audio", "chunked_trim"]),
+    "U5": ("sources.audio.mel_spectrogram, sources.chunks.mel_chunks", ["mel_frames", "chunked_mels"]),
+    "U6": ("sources.audio.partial_mels, sources.chunks.partial_chunks", ["partial_mels", "chunked_partials"]),
     # streaming
     "R1": ("streaming.requests.prepare_requests / stream_prepare_requests", ["stream_requests"]),
     "R2": ("streaming.requests.split_dead_letters", ["stream_dead_letters"]),

@@ -11,8 +11,10 @@ from tokenloom.operators.budget import budget_batches
 from tokenloom.operators.permute import ROUNDS, permuted_batches
 from tokenloom.plans import duck as D
 from tokenloom.plans.catalog import ORACLE, register
-from tokenloom.plans.queries_io import _tsv_files
+from tokenloom.plans.queries_io import _energy, _tsv_files, _write_wavs
 from tokenloom.sources import archives as AR
+from tokenloom.sources import audio as AU
+from tokenloom.sources import chunks as CH
 from tokenloom.sources import files as FS
 from tokenloom.sources import tables as TB
 from tokenloom.sources.keyindex import KeyedStore, memoize_in
@@ -139,3 +141,56 @@ def q_appended_positions(spark, sf):
     for part in (0, 1, 1, 2):
         log.append(m.where(F.pmod("line", F.lit(3)) == part), ["line"])
     return log.read().select("key", "pos")
+
+
+# ---------------------------------------------------------------- chunked recordings
+
+SOUND = 30_720  # samples of a chunk: small, so that recordings of the test tables have several
+
+
+def _sound(spark, sf, mode="first"):
+    root = _write_wavs(spark, sf)
+    c = CH.read_chunks(spark, root, SOUND, mode)
+    return c.select(AU.key_from_path("path", root).alias("key"), "n", "chunk", "samples")
+
+
+@register("chunked_resample", ORACLE["resampled_audio"])
+def q_chunked_resample(spark, sf):
+    """S5 and U3 on chunks: the first, middle and last sample of every recording at 24 kHz."""
+    from tokenloom.functions.requests import synthesis_error
+
+    size = SOUND * 3 // 2
+    r = FS.stage(CH.resample_chunks(_sound(spark, sf), 16000, 24000, SOUND), "resampled")
+    at = lambda i: F.max(F.when(F.floor(i / size) == F.col("chunk"), F.get("samples", (i % size).cast("int")))).cast("double")
+    n = F.col("n")
+    v = r.groupBy("key", "n").agg(at(F.lit(0)).alias("a"), at(F.floor(n / 2)).alias("b"), at(n - 1).alias("c"))
+    value = lambda c: F.round(c, 2) + F.lit(0.0)
+    return v.select("key", n.alias("n_samples"), synthesis_error(n).alias("error"), value("a").alias("first_value"),
+                    value("b").alias("mid_value"), value("c").alias("last_value"))
+
+
+@register("chunked_trim", ORACLE["trimmed_audio"])
+def q_chunked_trim(spark, sf):
+    """S5 and U4 on chunks."""
+    t = CH.trim_chunks(_sound(spark, sf, "mean"), SOUND)
+    return t.select("key", "trim_start", "trim_end", (F.col("trim_end") - F.col("trim_start")).cast("int").alias("n_samples"))
+
+
+@register("chunked_mels", ORACLE["mel_frames"])
+def q_chunked_mels(spark, sf):
+    """S5 and U5 on chunks: frames counted and the middle one summed up."""
+    m = FS.stage(CH.mel_chunks(_sound(spark, sf, "mean"), SOUND), "mels")
+    total = 1 + F.floor(F.col("n") / 160)
+    i = F.floor(total / 2) - F.col("first")
+    there = (i >= 0) & (i < F.size("mels"))
+    d = m.groupBy("key", "n").agg(F.sum(F.size("mels")).cast("int").alias("n_frames"),
+                                  F.max(F.when(there, F.get("mels", i.cast("int")))).alias("middle"))
+    return d.select("key", "n_frames", F.size("middle").alias("n_mels"), _energy(F.col("middle")).alias("energy"))
+
+
+@register("chunked_partials", ORACLE["partial_mels"])
+def q_chunked_partials(spark, sf):
+    """S5, T21, U5 and U6 on chunks: the windows of every recording, across chunk edges."""
+    m = CH.partial_chunks(_sound(spark, sf, "mean"), SOUND)
+    return m.select("key", "win_idx", "n_frames", "padded_samples", F.size("mels").alias("n_rows"),
+                    F.size(F.col("mels")[0]).alias("n_mels"), _energy(F.col("mels")[10]).alias("energy"))
