@@ -54,7 +54,7 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     "A7": ("operators.metrics.merge_rank_lists", ["merged_rank_lists"]),
     "A8": ("operators.metrics.reduce_metrics", ["reduced_metrics"]),
     "A9": ("operators.metrics.masked_nll / masked_nll_mean", ["masked_nll"]),
-    "A10": ("operators.metrics.throughput_metrics", ["throughput"]),
+    "A10": ("operators.metrics.throughput_metrics, operators.percentiles.day_sketches / merge_sketches", ["throughput", "throughput_percentiles"]),
     "A11": ("operators.aggregates.batch_token_len", ["batch_token_len"]),
     "A12": ("operators.aggregates.hierarchy_lengths", ["hierarchy_lengths"]),
     # windows and ordered operators
@@ -65,7 +65,7 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     "O5": ("operators.position.shuffled_batches, operators.permute.permuted_batches", ["shuffled_batches", "permuted_batches"]),
     "O6": ("operators.position.length_sorted_batches, operators.budget.budget_batches",
            ["length_sorted_batches", "prompt_batches", "token_budget_batches"]),
-    "O7": ("operators.position.first_wins", ["first_turns", "stream_text_tokens"]),
+    "O7": ("operators.position.first_wins, streaming.firsts.FirstPosition", ["first_turns", "stream_text_tokens", "stream_first_positions"]),
     "O8": ("operators.sampling.softmax, operators.vocab.softmax", ["softmax_scores", "softmax_arrays"]),
     "O9": ("operators.sampling.top_k_mask, operators.vocab.top_k", ["top_k_scores", "top_k_arrays"]),
     "O10": ("operators.sampling.top_p_filter (A, B), operators.vocab.top_p, top_p_b",
@@ -119,5 +119,5 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     "R1": ("streaming.requests.prepare_requests / stream_prepare_requests", ["stream_requests"]),
     "R2": ("streaming.requests.split_dead_letters", ["stream_dead_letters"]),
     "R3": ("streaming.incremental.stream_text_tokens (table, index or state dedupe)",
-           ["stream_text_tokens", "stream_text_tokens_index", "stream_text_tokens_state"]),
+           ["stream_text_tokens", "stream_text_tokens_index", "stream_text_tokens_state", "stream_first_positions"]),
 }

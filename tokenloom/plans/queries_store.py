@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from tokenloom.operators import percentiles as PC
 from tokenloom.operators.append import PositionLog
 from tokenloom.operators.budget import budget_batches
 from tokenloom.operators.permute import ROUNDS, permuted_batches
@@ -19,7 +20,7 @@ from tokenloom.sources import files as FS
 from tokenloom.sources import tables as TB
 from tokenloom.sources.keyindex import KeyedStore, memoize_in
 from tokenloom.sources.splitscan import index_archives, read_members, read_tsv_splits
-from tokenloom.streaming import incremental
+from tokenloom.streaming import firsts, incremental
 
 # ---------------------------------------------------------------- indexed store
 
@@ -194,3 +195,53 @@ def q_chunked_partials(spark, sf):
     m = CH.partial_chunks(_sound(spark, sf, "mean"), SOUND)
     return m.select("key", "win_idx", "n_frames", "padded_samples", F.size("mels").alias("n_rows"),
                     F.size(F.col("mels")[0]).alias("n_mels"), _energy(F.col("mels")[10]).alias("energy"))
+
+
+# ---------------------------------------------------------------- stateful firsts (R3, O7), percentiles (A10)
+
+@register("stream_first_positions", f"""SELECT key, CASE WHEN pos % 2 = 0 THEN pos + 10 ELSE pos END AS pos, 'first' AS kind, NULL AS stored,
+  len(tokens) AS n_tokens FROM ({D.MANIFEST}) JOIN ({D.TEXT_ART}) USING (key)
+UNION ALL SELECT key, pos, 'earlier', pos + 10, len(tokens) FROM ({D.MANIFEST}) JOIN ({D.TEXT_ART}) USING (key) WHERE pos % 2 = 0""")
+def q_stream_first_positions(spark, sf):
+    """R3/O7 in state: half of the keys come with a position ten too high first, then all with their own, twice."""
+    work = FS.work_dir(spark, "firsts")
+    src, store, ckpt = os.path.join(work, "in"), os.path.join(work, "store"), os.path.join(work, "ckpt")
+    m = TB.manifest(spark, sf)
+    FS.write_jsonl(m.where("pos % 2 = 0").withColumn("pos", F.col("pos") + 10), os.path.join(src, "drop0"))
+    firsts.stream_first_positions(spark, os.path.join(src, "*"), store, ckpt)
+    FS.write_jsonl(m.unionAll(m), os.path.join(src, "drop1"))
+    firsts.stream_first_positions(spark, os.path.join(src, "*"), store, ckpt)
+    n = F.size("tokens").alias("n_tokens")
+    one = spark.read.parquet(os.path.join(store, "txt")).select("key", "pos", F.lit("first").alias("kind"), F.lit(None).cast("long").alias("stored"), n)
+    return one.unionAll(spark.read.parquet(os.path.join(store, "earlier")).select("key", "pos", F.lit("earlier").alias("kind"), "stored", n))
+
+
+RANK_ERROR = 0.02
+
+
+@register("throughput_percentiles", """WITH r AS (SELECT l_shipdate AS day FROM lineitem)
+SELECT 'month' AS level, strftime(day, '%Y-%m') AS period, count(*) AS n_runs, true AS tokens_per_s_ok, true AS rtf_ok FROM r GROUP BY 1, 2
+UNION ALL SELECT 'all', 'all', count(*), true, true FROM r""")
+def q_throughput_percentiles(spark, sf):
+    """A10: day sketches stored, merged to months and to the whole log; medians and 95th percentiles of both metrics are held against the
+    exact ranks of the runs (``_ok``: within 2 % of all ranks)."""
+    log = TB.run_log(spark, sf, day=True)
+    days = FS.stage(PC.day_sketches(log), "sketches")
+    month = F.date_format("day", "yyyy-MM")
+    months = FS.stage(PC.merge_sketches(days, month.alias("period")), "months")
+    levels = [("month", months, month), ("all", PC.merge_sketches(months, F.lit("all").alias("period")), F.lit("all"))]
+    out = None
+    for level, sketches, of in levels:
+        picks = sketches.select("period", "n_runs", *[PC.percentile(m, p).alias(f"{m}_{i}") for m in PC.METRICS for i, p in enumerate((0.5, 0.95))])
+        runs = PC.run_metrics(log).select(of.alias("period"), *PC.METRICS).join(picks, "period")
+        checks = []
+        for m in PC.METRICS:
+            ok = []
+            for i, p in enumerate((0.5, 0.95)):
+                below = F.avg((F.col(m) < F.col(f"{m}_{i}")).cast("double"))
+                upto = F.avg((F.col(m) <= F.col(f"{m}_{i}")).cast("double"))
+                ok.append((below <= p + RANK_ERROR) & (upto >= p - RANK_ERROR))
+            checks.append((ok[0] & ok[1]).alias(f"{m}_ok"))
+        d = runs.groupBy("period", "n_runs").agg(*checks).select(F.lit(level).alias("level"), "period", "n_runs", "tokens_per_s_ok", "rtf_ok")
+        out = d if out is None else out.unionAll(d)
+    return out

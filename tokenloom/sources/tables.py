@@ -169,12 +169,13 @@ def token_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
              F.col("logit").cast("double").alias("logit"))
 
 
-def run_log(spark: SparkSession, sf_dir: str, model_bytes: int = 2_400_000_000) -> DataFrame:
-    """Generation run log ``(tokens, seconds, model_bytes, audio_seconds)`` from ``lineitem``."""
+def run_log(spark: SparkSession, sf_dir: str, model_bytes: int = 2_400_000_000, day: bool = False) -> DataFrame:
+    """Generation run log ``(tokens, seconds, model_bytes, audio_seconds)`` from ``lineitem``, with the ``day`` of the run if asked for."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_quantity").cast("long").alias("tokens"),
         (F.lit(1.0) + F.col("l_discount")).alias("seconds"),
         F.lit(model_bytes).cast("long").alias("model_bytes"),
         (F.col("l_quantity") / 75.0).alias("audio_seconds"),
+        *([F.col("l_shipdate").alias("day")] if day else []),
     )
