@@ -7,7 +7,8 @@ met by whole epochs over the source plus a cut of the key order at the exact rem
 document at the cut gives its first words only.
 
 A source with a third of all rows is spread over ``RANGES`` sorts; only range totals (partially
-aggregated) meet in one window. No task sees a whole source.
+aggregated) meet in one window. No task sees a whole source, nor all sources: those are ordered by ranges too, and the driver
+gets one row of totals per range.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenloom.llm.common import WORD, id_of, stage
+from tokenloom.operators.position import with_position
 
 #: Production parameters: weights repeat over the sources in code-point order.
 WEIGHTS = (5, 2, 1)
@@ -43,21 +45,28 @@ def targets(sizes: DataFrame, share: float = SHARE, epochs: int = EPOCHS, weight
     excess is dealt again, until none is above. That end state gives every source min(cap, level * weight)
     for one level, found by one ordered pass over the ratios cap / weight.
     """
-    everything = Window.orderBy(F.col("source").asc_nulls_last())
-    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]),
-                     (F.pmod(F.row_number().over(everything) - 1, F.lit(len(weights))) + 1).cast("int"))
-    d = sizes.withColumn("weight", w).withColumn("cap", F.col("source_size") * float(epochs))
-    d = d.withColumn("ratio", F.col("cap") / F.col("weight"))
-    order = Window.orderBy("ratio", F.col("source").asc_nulls_last())
-    before, whole = order.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
-    total = F.sum("source_size").over(whole) * share
-    d = d.withColumn("level", (total - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
-                     / (F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))))
+    spark, last = sizes.sparkSession, F.col("source").isNull()
+    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.pmod("place", F.lit(len(weights))) + 1).cast("int"))
+    d = with_position(sizes, [last, "source"], out="place").withColumn("weight", w).withColumn("cap", F.col("source_size") * float(epochs))
+    d = d.withColumn("ratio", F.col("cap") / F.col("weight")).withColumn("last", last)
+    # sums over all sources before one, in the order of the ratios: totals of the ranges before its own, and a running sum inside
+    order = ["ratio", "last", "source"]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = stage(spark, d.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id()), "sources")
+    parts = d.groupBy("part").agg(F.sum("cap").alias("part_cap"), F.sum("weight").alias("part_weight"), F.sum("source_size").alias("part_size"))
+    rows = sorted(map(tuple, parts.collect()))  # one row per range
+    starts, cap, weight, size = [], 0.0, 0.0, 0
+    for part, c, v, x in rows:
+        starts.append((part, cap, weight))
+        cap, weight, size = cap + c, weight + v, size + x
+    starts = spark.createDataFrame(starts, "part int, start_cap double, start_weight double")
+    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.col(f"start_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0.0))
+    d = d.join(starts, "part").withColumn("level", (F.lit(size * share) - before("cap")) / (F.lit(weight) - before("weight")))
     # the first source that the level doesn't lift above its cap fixes the level
-    d = d.withColumn("place", F.row_number().over(order))
-    d = d.withColumn("level", F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("place", "level"))).over(whole)["level"])
-    return d.select("source", "source_size",
-                    F.least("cap", F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))).alias("target"))
+    fixed = d.where("level <= ratio").agg(F.min(F.struct(*order, "level"))["level"].alias("level")).first()["level"]
+    level = F.lit(fixed).cast("double")
+    return d.select("source", "source_size", F.least("cap", F.coalesce(level * F.col("weight"), F.col("cap"))).alias("target"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, seed: str = SEED) -> DataFrame:
