@@ -66,3 +66,19 @@ def test_dead_letter_batch_replay_is_idempotent(spark, tmp_path):
     ok, err = SR.read_outputs(spark, out, "ok"), SR.read_outputs(spark, out, "err")
     assert ok.count() + err.count() == batch.count()
     assert err.filter(F.col("error").isNull()).count() == 0 and ok.filter(F.col("error").isNotNull()).count() == 0
+
+
+def test_each_request_once(spark, tmp_path):
+    src, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    row = lambda i, minute, rid=0, payload='{"text": "hi"}': (i, 0, payload, f"r{i}" if rid == 0 else rid, f"2024-01-01 00:{minute:02d}:00")
+    drops = [[row(1, 0), row(2, 50), row(2, 50), row(3, 55, payload="broken")], [row(1, 0), row(2, 50), row(4, 45)],
+             [row(5, 5), row(6, 58), row(1, 0), row(7, 50, None)], [row(5, 5), row(8, 59)]]
+    for i, rows in enumerate(drops):
+        d = spark.createDataFrame(rows, "conv_id long, turn long, payload string, request_id string, event_time string")
+        d.write.json(os.path.join(src, f"d{i}"))
+        SR.stream_requests_once(spark, os.path.join(src, "*"), out, ckpt, presets(spark), delay="20 minutes")
+    got = sorted((r["conv_id"], r["status"]) for r in SR.read_once(spark, out).collect())
+    # request 5 is behind the watermark (00:35), in both drops; 7 has no id
+    assert got == [(1, "ok"), (2, "ok"), (3, "err"), (4, "ok"), (5, "late"), (5, "late"), (6, "ok"), (7, "late"), (8, "ok")]
+    reasons = {r["conv_id"]: r["error"] for r in SR.read_once(spark, out).where("status = 'late'").collect()}
+    assert reasons == {5: SR.LATE, 7: "no request id"}

@@ -116,8 +116,8 @@ COVERAGE: dict[str, tuple[str, list[str]]] = {
     "U5": ("sources.audio.mel_spectrogram, sources.chunks.mel_chunks", ["mel_frames", "chunked_mels"]),
     "U6": ("sources.audio.partial_mels, sources.chunks.partial_chunks", ["partial_mels", "chunked_partials"]),
     # streaming
-    "R1": ("streaming.requests.prepare_requests / stream_prepare_requests", ["stream_requests"]),
-    "R2": ("streaming.requests.split_dead_letters", ["stream_dead_letters"]),
+    "R1": ("streaming.requests.prepare_requests / stream_prepare_requests / stream_requests_once", ["stream_requests", "stream_requests_once"]),
+    "R2": ("streaming.requests.split_dead_letters", ["stream_dead_letters", "stream_requests_once"]),
     "R3": ("streaming.incremental.stream_text_tokens (table, index or state dedupe)",
            ["stream_text_tokens", "stream_text_tokens_index", "stream_text_tokens_state", "stream_first_positions"]),
 }

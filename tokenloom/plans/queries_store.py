@@ -20,7 +20,9 @@ from tokenloom.sources import files as FS
 from tokenloom.sources import tables as TB
 from tokenloom.sources.keyindex import KeyedStore, memoize_in
 from tokenloom.sources.splitscan import index_archives, read_members, read_tsv_splits
+from tokenloom.sources.requests import presets, request_payloads
 from tokenloom.streaming import firsts, incremental
+from tokenloom.streaming import requests as SR
 
 # ---------------------------------------------------------------- indexed store
 
@@ -245,3 +247,23 @@ def q_throughput_percentiles(spark, sf):
         d = runs.groupBy("period", "n_runs").agg(*checks).select(F.lit(level).alias("level"), "period", "n_runs", "tokens_per_s_ok", "rtf_ok")
         out = d if out is None else out.unionAll(d)
     return out
+
+
+# ---------------------------------------------------------------- each request once
+
+@register("stream_requests_once", f"""SELECT conv_id, turn, CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS request_id,
+  CASE WHEN error IS NULL THEN 'ok' ELSE 'err' END AS status, error FROM ({ORACLE["stream_requests"]})
+UNION ALL SELECT conv_id, turn, 'late-' || CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR), 'late', '{SR.LATE}'
+FROM conversations WHERE turn = 0""")
+def q_stream_requests_once(spark, sf):
+    """R1/R2 with event times: the first drop comes twice, the second holds every request again and old ones under new ids."""
+    work = FS.work_dir(spark, "requests-once")
+    src, out, ckpt = os.path.join(work, "in"), os.path.join(work, "out"), os.path.join(work, "ckpt")
+    name = F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("turn") * 60)
+    req = request_payloads(spark, sf).select("conv_id", "turn", "payload", name.alias("request_id"), at.alias("event_time"))
+    old = req.where("turn = 0").withColumns({"request_id": F.concat(F.lit("late-"), name), "event_time": at - F.expr("INTERVAL 30 DAYS")})
+    for i, drop in enumerate((req.where("turn % 2 = 0"), req.where("turn % 2 = 0"), req.unionAll(old))):
+        drop.write.json(os.path.join(src, f"drop{i}"))
+        SR.stream_requests_once(spark, os.path.join(src, "*"), out, ckpt, presets(spark))
+    return SR.read_once(spark, out)
