@@ -26,7 +26,7 @@ def test_cases(spark):
 
 
 def test_hits_and_empty(spark):
-    f = UrlFilter(soft_hits=3)
+    f = UrlFilter(soft_hits=3, soft_weight=3)
     assert f.hits(b"http://cheap.org/free-bets/win") == (["free-bets"], ["bets", "cheap", "free", "win"])
     assert pickle.loads(pickle.dumps(f)).judge(b"http://cheap.org/free")[3] == "allow"
     assert UrlFilter(rules=(), strict=(), soft=()).judge(b"http://porn.org")[3] == "allow"
@@ -37,3 +37,22 @@ def test_size_is_checked(monkeypatch):
     monkeypatch.setattr(url_filter, "MAX_ENTRIES", 10)
     with pytest.raises(ValueError):
         UrlFilter()
+
+
+def test_weights_from_a_versioned_table(spark):
+    rows = [("v1", "porn", "strict", None), ("v2", "Alpha", "soft", 0.5), ("v2", "beta", "soft", 0.5), ("v2", "gamma", "soft", 1.5),
+            ("v2", "delta", "soft", None), ("v2", "bad-word", "strict", 1.0), ("v2", None, "soft", 1.0), ("v2", "", "strict", 1.0), ("v2", "x", "odd", 1.0)]
+    f = UrlFilter.of_table(spark.createDataFrame(rows, "version string, term string, kind string, weight double"), "v2", rules=())
+    verdict = lambda path: f.judge(f"http://h.org/{path}".encode())[3]
+    assert [verdict(x) for x in ("porn", "a/bad-word", "alpha/beta", "gamma", "gamma/gamma", "alpha/gamma", "alpha/beta/delta", "x")] == [
+        "allow", "block", "allow", "allow", "allow", "block", "block", "allow"]
+    assert UrlFilter(rules=(), soft=("a", ("a", 3.0), "b"), soft_weight=4.0).judge(b"http://h.org/a/b")[3] == "block"
+    d = spark.createDataFrame([(1, "http://h.org/alpha/gamma")], "page_id long, url string")
+    assert judge_urls(d, urls=pickle.loads(pickle.dumps(f))).first()["verdict"] == "block"
+
+
+def test_table_size_is_checked(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "MAX_ENTRIES", 3)
+    table = spark.createDataFrame([("v", f"t{i}", "soft", 1.0) for i in range(4)], "version string, term string, kind string, weight double")
+    with pytest.raises(ValueError):
+        UrlFilter.of_table(table, "v", rules=())

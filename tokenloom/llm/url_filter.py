@@ -1,9 +1,10 @@
 """URL filters: domain and path rules, then a weighted URL vocabulary.
 
-The vocabulary has strict and soft terms. One Aho-Corasick automaton finds every term in the
+The vocabulary has strict and soft terms, soft ones with a weight. One Aho-Corasick automaton finds every term in the
 lower-cased URL; an occurrence counts only between boundaries (no ASCII letter or digit on either
-side). A URL is blocked on one strict term or on ``SOFT_HITS`` distinct soft terms. A rule that fits
-the host and path goes before the vocabulary.
+side). A URL is blocked on one strict term, or on ``SOFT_HITS`` distinct soft terms or more whose weights add up to
+``SOFT_WEIGHT``. A rule that fits the host and path goes before the vocabulary. The terms below are a small default; a real
+vocabulary is a table, see :meth:`UrlFilter.of_table`.
 
 Rules and vocabulary are parameters, sent once to each Python worker; together they may hold at most
 ``MAX_ENTRIES`` entries (checked), so what is shipped has a proven bound. Pages are judged in place: no shuffle.
@@ -22,6 +23,7 @@ from tokenloom.llm.common import texts_of
 
 MAX_ENTRIES = 2_000_000
 SOFT_HITS = 2
+SOFT_WEIGHT = 2.0
 
 #: Production vocabulary: whole words or hyphenated phrases of a URL.
 STRICT_TERMS = ("porn", "xxx", "casino", "viagra", "escort", "hentai", "free-bets", "online-casino", "sex-cams", "cheap-pills")
@@ -40,12 +42,16 @@ RULES = (
 
 @dataclass(frozen=True)
 class UrlFilter:
-    """``judge(url bytes or None) -> (host, path, rule, verdict, strict hits, soft hits)``."""
+    """``judge(url bytes or None) -> (host, path, rule, verdict, strict hits, soft hits)``.
+
+    A soft term is a string (weight 1) or ``(term, weight)``; of a term named twice the greater weight counts.
+    """
 
     rules: tuple = RULES
     strict: tuple = STRICT_TERMS
     soft: tuple = SOFT_TERMS
     soft_hits: int = SOFT_HITS
+    soft_weight: float = SOFT_WEIGHT
     _built: dict = field(default_factory=dict, compare=False, repr=False)
 
     def __post_init__(self):
@@ -53,6 +59,19 @@ class UrlFilter:
         if n > MAX_ENTRIES:
             raise ValueError(f"{n} rules and terms; at most {MAX_ENTRIES} are sent to a worker")
 
+    @classmethod
+    def of_table(cls, vocabulary: DataFrame, version: str, rules: tuple = RULES, **limits) -> UrlFilter:
+        """The filter of one ``version`` of ``vocabulary(version, term, kind, weight)``; ``kind`` is strict or soft.
+
+        Null or empty terms and other kinds are left out, a null weight is 1. Its size is checked before it is fetched.
+        """
+        rows = vocabulary.where((F.col("version") == version) & (F.length("term") > 0) & F.col("kind").isin("strict", "soft"))
+        held = rows.select("term", "kind", F.coalesce(F.col("weight").cast("double"), F.lit(1.0)).alias("weight")).limit(MAX_ENTRIES + 1).collect()
+        if len(held) > MAX_ENTRIES:
+            raise ValueError(f"version {version!r} has more than {MAX_ENTRIES} terms")
+        return cls(rules, tuple(r["term"] for r in held if r["kind"] == "strict"),
+                   tuple((r["term"], r["weight"]) for r in held if r["kind"] == "soft"), **limits)
+
     def __getstate__(self):
         return {**self.__dict__, "_built": {}}
 
@@ -63,12 +82,14 @@ class UrlFilter:
                 hosts.setdefault(host.encode(), []).append((path.encode(), action))
             for v in hosts.values():
                 v.sort(key=lambda r: -len(r[0]))
-            auto = ahocorasick.Automaton()
-            for kind, terms in (("soft", self.soft), ("strict", self.strict)):
+            auto, weights = ahocorasick.Automaton(), {}
+            for term, weight in ((x, 1.0) if isinstance(x, str) else x for x in self.soft):
+                weights[term.lower()] = max(weight, weights.get(term.lower(), weight))
+            for kind, terms in (("soft", weights), ("strict", self.strict)):
                 for t in terms:
                     auto.add_word(t.lower(), (kind, t.lower()))
             auto.make_automaton()
-            self._built.update(hosts=hosts, auto=auto)
+            self._built.update(hosts=hosts, auto=auto, weights=weights)
         return self._built["hosts"], self._built["auto"]
 
     @staticmethod
@@ -112,7 +133,8 @@ class UrlFilter:
         host, path = self.split(url)
         rule = self.rule_for(host, path)
         strict, soft = self.hits(url)
-        bad = bool(strict) or len(soft) >= self.soft_hits
+        weight = sum(self._built["weights"][t] for t in soft)
+        bad = bool(strict) or len(soft) >= self.soft_hits and weight >= self.soft_weight
         verdict = rule[1] if rule else ("block" if bad else "allow")
         return host, path, rule and rule[0], verdict, strict, soft
 
