@@ -89,3 +89,30 @@ def test_vocabulary_grows_with_the_corpora(spark):
     known = lm_scoring._common(spark, [(words, 6)], 100, 10)
     assert known.vocabulary == lm_scoring.WORDS + 8 + 1 and known.tokens == (0, lm_scoring.WORDS + 8)
     assert len(known.word) <= 101
+
+
+def test_texts_hashed_at_once(monkeypatch):
+    from tokenloom.llm.common import word_hashes
+
+    rng = random.Random(3)
+    texts = [None, b"", b" ", b"A", b"b a\tB", "É é".encode(), b"a" * 9] + [b" ".join(rng.choices([b"x", b"Y", b"zz"], k=n)) for n in (1, 50)]
+    for some in (texts, texts[::-1], texts[:1], texts[3:4], [*texts, b"not \xff UTF-8"]):
+        each = [word_hashes((t or b"").lower()).tolist() for t in some]
+        size, first, word = lm_scoring.tokens(some)
+        assert size.tolist() == [len(x) for x in each] and word.tolist() == sum(each, [])
+        left = lm_scoring.before(word, first, lm_scoring._START)
+        assert left.tolist() == [y for x in each for y in [int(lm_scoring._START), *x][:len(x)]]
+
+
+def test_common_words_are_found():
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 5, 3000):
+        word = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64) >> np.uint64(0 if n > 5 else 60))
+        rows = pd.DataFrame({"word": word.view(np.int64), **{c: np.ones(len(word), np.int64) for c in ("n0", "n1", "left0", "left1", "seen")}})
+        common = lm_scoring.Common(rows, (1, 1), 10, 4)
+        asked = np.concatenate([word, word + np.uint64(1), rng.integers(0, 1 << 64, 100, dtype=np.uint64)])
+        place = {int(w): i for i, w in enumerate(word)}
+        assert common.find(asked).tolist() == [place.get(int(w), -1) for w in asked]

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import dense_counts, mix64, stage, texts_of, unstage, word_hashes
+from tokenloom.llm.common import dense_counts, mix64, portions, stage, texts_of, unstage, word_hashes
 
 #: Production parameters.
 WORDS = 1 << 17
@@ -45,12 +45,33 @@ _SENT = ("bucket long, kind int, row long, words binary, rare_words binary, pair
          "posts binary, doc binary, n binary, keys binary, here binary")
 
 
-def bigrams(text: bytes | None) -> tuple:
-    """Hash of the word before and of the word, of each token."""
-    h = word_hashes((text or b"").lower())
-    before = np.empty_like(h)
-    before[1:], before[:1] = h[:-1], _START
-    return before, h
+#: Put between texts that are hashed at once: a byte that UTF-8 doesn't have, as a word.
+_BREAK = b" \xff "
+_BREAK_WORD = word_hashes(_BREAK)[0]
+
+
+def tokens(texts: list) -> tuple:
+    """``(size, first, word)``: words per text, where the texts that have words begin, hashes of all words in order."""
+    h = word_hashes(_BREAK.join([t or b"" for t in texts]).lower())
+    at = np.flatnonzero(h == _BREAK_WORD)
+    if len(at) == len(texts) - 1:
+        size, word = np.diff(np.r_[-1, at, len(h)]) - 1, np.delete(h, at)
+    else:  # a text that isn't UTF-8 holds the break
+        parts = [word_hashes((t or b"").lower()) for t in texts]
+        size, word = np.array([len(x) for x in parts], np.int64), np.concatenate(parts)
+    return size, (np.cumsum(size) - size)[size > 0], word
+
+
+def before(x: np.ndarray, first: np.ndarray, start) -> np.ndarray:
+    """The value of the token before each token; ``start`` where a text begins."""
+    out = np.empty_like(x)
+    out[1:] = x[:-1]
+    out[first] = start
+    return out
+
+
+def _both(left: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return left * np.uint64(0x9E3779B97F4A7C15) ^ word
 
 
 def _starts(*cols: np.ndarray) -> np.ndarray:
@@ -71,26 +92,29 @@ def _unpack(b: bytes) -> np.ndarray:
 def word_counts(docs: DataFrame, kind: int) -> DataFrame:
     """``(kind, word, n, left)``: occurrences of each word, and as the word before another, per portion."""
 
-    def sums(left, word):
-        both = np.concatenate([word, left])
-        order = np.argsort(both)
-        at = _starts(both[order])
-        n = np.add.reduceat(order < len(word), at, dtype=np.int64)
-        total = np.diff(np.append(at, len(both)))
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, np.int32)), pa.array(both[order][at].view(np.int64)),
-                                           pa.array(n), pa.array(total - n)], names=["kind", "word", "n", "left"])
+    def sums(texts):
+        size, first, word = tokens(texts)
+        # every token comes before another but a text's last, and the start comes before every text's first
+        last = word[np.cumsum(size)[size > 0] - 1]
+        word.sort()
+        at = _starts(word)
+        name, n = word[at], np.diff(np.append(at, len(word)))
+        left = n - np.bincount(np.searchsorted(name, last), minlength=len(n))
+        name, n, left = np.append(name, _START), np.append(n, 0), np.append(left, len(first))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), pa.array(name.view(np.int64)), pa.array(n),
+                                           pa.array(left)], names=["kind", "word", "n", "left"])
 
     def run(batches):
         held, size = [], 0
         for b in batches:
             for text in texts_of(b.column(0)):
-                held.append(bigrams(text))
-                size += len(held[-1][0])
+                held.append(text)
+                size += len(text or b"") // 6
                 if size >= 4 * PORTION:
-                    yield sums(*map(np.concatenate, zip(*held)))
+                    yield sums(held)
                     held, size = [], 0
-        if size:
-            yield sums(*map(np.concatenate, zip(*held)))
+        if held:
+            yield sums(held)
 
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "kind int, word long, n long, left long")
 
@@ -112,13 +136,25 @@ class Common:
         self.rank[top] = np.arange(len(top))
         self.width = len(top)
         self.dense = None
+        # a word is looked for among those with the same leading bits: four slots or more a word
+        bits = len(self.word).bit_length() + 2
+        self.shift = np.uint64(64 - bits)
+        self.slot = np.searchsorted(self.word >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
 
     def find(self, word: np.ndarray) -> np.ndarray:
         """Place among the common words, -1 for others."""
-        if not len(self.word):
-            return np.full(len(word), -1)
-        at = np.minimum(np.searchsorted(self.word, word), len(self.word) - 1)
-        return np.where(self.word[at] == word, at, -1)
+        out = np.full(len(word), -1)
+        slot = (word >> self.shift).astype(np.int64)
+        at, end = self.slot[slot], self.slot[slot + 1]
+        rest = np.flatnonzero(at < end)
+        while len(rest):
+            here = at[rest]
+            same = self.word[here] == word[rest]
+            out[rest[same]] = here[same]
+            rest = rest[~same]
+            at[rest] += 1
+            rest = rest[at[rest] < end[rest]]
+        return out
 
     def decode(self, codes: bytes, rare: bytes) -> np.ndarray:
         """Words from their places among the common words plus 2; 1 is the end, 0 a word of ``rare``."""
@@ -128,10 +164,14 @@ class Common:
         out[c == 0] = np.frombuffer(rare, np.uint64)
         return out
 
-    def cell(self, left_at: np.ndarray, word_at: np.ndarray) -> np.ndarray:
-        """Place in the dense counts, -1 for other bigrams; arguments are places among the common words."""
-        a, b = (np.where(x >= 0, self.rank[x], -1) if len(self.rank) else x for x in (left_at, word_at))
-        return np.where((a >= 0) & (b >= 0), a * self.width + b, -1)
+    def places(self, first: np.ndarray, word: np.ndarray) -> tuple:
+        """Places of the words before and of the words among the common ones, and of the bigrams in the dense counts, -1 for others."""
+        at, start = self.find(word), self.find(np.array([_START]))[0]
+        # the last of the ranks, -1, is for other words
+        rank = np.append(self.rank, -1)
+        b = rank[at]
+        a = before(b, first, rank[start])
+        return before(at, first, start), at, np.where((a >= 0) & (b >= 0), a * self.width + b, -1)
 
     def gain(self, model: int, pair: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Logarithm of the smoothed bigram count; the loss is that of the word before less this."""
@@ -141,10 +181,9 @@ class Common:
 
 def _dense(docs: DataFrame, held) -> np.ndarray:
     def count(texts, total):
-        common = held.value
-        for text in texts:
-            left, word = bigrams(text)
-            cell = common.cell(common.find(left), common.find(word))
+        for part in portions(texts, 6 * PORTION):
+            _, first, word = tokens(part)
+            cell = held.value.places(first, word)[2]
             np.add.at(total, cell[cell >= 0], 1)
 
     width = held.value.width
@@ -158,12 +197,9 @@ def _send(docs: DataFrame, kind: int, held, buckets: int) -> DataFrame:
         # rows of a portion have numbers of their own
         row = (TaskContext.get().partitionId() << 20 | number) << 22
         common = held.value
-        pairs = [bigrams(t) for t in texts]
-        size = np.array([len(p[0]) for p in pairs], np.int64)
-        left, word = (np.concatenate(x) for x in zip(*pairs))
-        doc = np.repeat(np.arange(len(size)), size)
-        left_at, word_at = common.find(left), common.find(word)
-        cell = common.cell(left_at, word_at)
+        size, first, word = tokens(texts)
+        left, doc = before(word, first, _START), np.repeat(np.arange(len(size)), size)
+        left_at, word_at, cell = common.places(first, word)
         if kind & 4:
             sums, known, inside = [], left_at >= 0, cell >= 0
             for m in range(2):
@@ -179,19 +215,22 @@ def _send(docs: DataFrame, kind: int, held, buckets: int) -> DataFrame:
         go = np.concatenate([np.flatnonzero(cell < 0), last])
         if not len(go):
             return
-        w, d, before = word[go], doc[go], left[go]
+        w, d, lf = word[go], doc[go], left[go]
         rare = word_at[go] < 0
         codes = np.stack([np.where(rare, 0, word_at[go] + 2), np.where(left_at[go] < 0, 0, left_at[go] + 2)])
         mark = len(go) - len(last)
-        before[mark:], codes[1, mark:] = _END, 1
-        name = np.where(rare, w, before * np.uint64(0x9E3779B97F4A7C15) ^ w)
-        bucket = (mix64(name) % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((before, w, bucket))  # stable: documents stay in order
-        w, d, before, bucket, codes = w[order], d[order], before[order], bucket[order], codes[:, order]
-        post = _starts(bucket, w, before, d)
+        lf[mark:], codes[1, mark:] = _END, 1
+        bucket = (mix64(np.where(rare, w, _both(lf, w))) % np.uint64(buckets)).astype(np.int64)
+        # by bucket, then by the leading bits of the words: a bigram that another cuts in two is sent as two. Stable, so documents stay in order
+        free = 64 - buckets.bit_length()
+        half = free // 2
+        order = np.argsort(bucket.astype(np.uint64) << np.uint64(free) | w >> np.uint64(64 - half) << np.uint64(free - half)
+                           | lf >> np.uint64(64 - free + half), kind="stable")
+        w, d, lf, bucket, codes = w[order], d[order], lf[order], bucket[order], codes[:, order]
+        post = _starts(bucket, w, lf, d)
         n = np.diff(np.append(post, len(w)))
-        w, d, before, bucket, codes = w[post], d[post], before[post], bucket[post], codes[:, post]
-        pair = _starts(bucket, w, before)
+        w, d, lf, bucket, codes = w[post], d[post], lf[post], bucket[post], codes[:, post]
+        pair = _starts(bucket, w, lf)
         edge = np.append(pair, len(w))
         posts, count = np.diff(edge), np.add.reduceat(n, pair)
         first = _starts(bucket[pair])
@@ -200,7 +239,7 @@ def _send(docs: DataFrame, kind: int, held, buckets: int) -> DataFrame:
             group = _starts(w[at])
             of, ahead = codes[0, at[group]], codes[1, at]
             out = {"bucket": int(bucket[at[0]]), "kind": kind, "row": row, "words": _pack(of), "rare_words": w[at[group]][of == 0].tobytes(),
-                   "pairs": _pack(np.diff(np.append(group, z - a))), "left": _pack(ahead), "rare_left": before[at][ahead == 0].tobytes(),
+                   "pairs": _pack(np.diff(np.append(group, z - a))), "left": _pack(ahead), "rare_left": lf[at][ahead == 0].tobytes(),
                    "count": _pack(count[a:z])}
             if kind & 4:
                 out |= {"posts": _pack(posts[a:z]), "doc": _pack(d[edge[a]:edge[z]]), "n": _pack(n[edge[a]:edge[z]])}
@@ -251,24 +290,27 @@ def _judge(held):
             left, size = np.concatenate(lefts), [len(x) for x in lefts]
             count = np.concatenate([_unpack(x).astype(np.int64) for x in rows["count"]])
             kind = np.repeat(rows["kind"].to_numpy(), size)
-            order = np.lexsort((left, word))
-            w, lf = word[order], left[order]
-            pair = _starts(w, lf)
-            group = _starts(w[pair])
+            # equal bigrams together, then bigrams by their word
+            name = mix64(_both(left, word))
+            order = np.argsort(name)
+            pair = _starts(name[order])
+            by_word = np.argsort(word[order[pair]])
+            w, lf = word[order[pair]][by_word], left[order[pair]][by_word]
+            group = _starts(w)
             of_word = np.repeat(np.arange(len(group)), np.diff(np.append(group, len(pair))))
-            end, at = lf[pair] == _END, common.find(w[pair][group])
+            end, at = lf == _END, common.find(w[group])
             value = np.empty((2, len(pair)))
             for m in range(2):
-                c = np.add.reduceat(np.where(kind[order] & (m + 1), count[order], 0), pair)
+                c = np.add.reduceat(np.where(kind[order] & (m + 1), count[order], 0), pair)[by_word]
                 n = np.add.reduceat(np.where(end, 0, c), group)
-                before = n - np.add.reduceat(np.where(end, c, 0), group)
+                ahead = n - np.add.reduceat(np.where(end, c, 0), group)
                 if len(common.word):
                     n = np.where(at >= 0, common.n[m][at], n)
                 # the losses of the tokens after a rare word hold this
-                next_ = np.where(at >= 0, 0.0, np.log(before + PRIOR))[of_word]
-                value[m] = np.where(end, -next_, next_ - common.gain(m, c, n[of_word]))
+                next_ = np.where(at >= 0, 0.0, np.log(ahead + PRIOR))[of_word]
+                value[m, by_word] = np.where(end, -next_, next_ - common.gain(m, c, n[of_word]))
             named = np.empty(len(word), np.int64)
-            named[order] = np.repeat(np.arange(len(pair)), np.diff(np.append(pair, len(w))))
+            named[order] = np.repeat(np.arange(len(pair)), np.diff(np.append(pair, len(word))))
             at = np.cumsum([0, *size])
             for r, a, z in zip(rows.itertuples(), at, at[1:]):
                 if r.kind & 4:
