@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from brute import jaccard as brute
@@ -60,3 +61,35 @@ def test_keep_one_keeps_different_texts_of_an_id(spark):
     a, b = (" ".join(f"{c}{i}" for i in range(20)) for c in "ab")
     d = spark.createDataFrame([(3, a), (7, a), (7, b), (7, b), (8, b)], "doc_id long, text string")
     assert sorted(map(tuple, keep_one(spark, d).collect())) == [(3, a), (7, b)]
+
+
+def test_levels_tell_frequent_shingles_in_a_full_sketch():
+    rng = np.random.default_rng(2)
+    total = rng.poisson(1 << 26, 1 << 12)  # what rare shingles put into every counter
+    often = rng.choice(len(total), 40, replace=False)
+    total[often] += 1 << 20  # a 64th of that
+    level = jaccard_join.levels_of(total)
+    others = np.delete(level, often)
+    assert level[often].min() >= 19 and others.max() < 19 and (others == 0).mean() > 0.4
+    assert jaccard_join.levels_of(np.zeros(8, np.int64)).tolist() == [0] * 8
+
+
+def test_sketch_grows_with_the_corpus(spark, monkeypatch):
+    d = spark.createDataFrame([(i, "six by te " * 600) for i in range(64)] + [(99, None)], "doc_id long, text string")
+    monkeypatch.setattr(jaccard_join, "A_COUNTER", 4)
+    sizes = []
+    for least, most in ((1, 1 << 24), (1 << 18, 1 << 24), (1, 256)):
+        monkeypatch.setattr(jaccard_join, "SKETCH", least)
+        monkeypatch.setattr(jaccard_join, "SKETCH_MOST", most)
+        sizes.append(jaccard_join.sketch_size(d))
+    assert sizes == [1 << 14, 1 << 18, 256]
+    assert jaccard_join.sketch_size(d.limit(0)) == 1
+
+
+@pytest.mark.parametrize("size", [1, 64, 1 << 20])
+def test_any_sketch_gives_the_same_classes(spark, monkeypatch, size):
+    monkeypatch.setattr(jaccard_join, "SKETCH", size)
+    monkeypatch.setattr(jaccard_join, "SKETCH_MOST", size)
+    rows = sample()[:120]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    assert classes(jaccard_classes(spark, d, 3, (90, 100))) == brute(rows, 3, 90, 100)

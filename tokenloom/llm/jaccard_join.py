@@ -11,7 +11,9 @@
    could link is verified unless its ends are connected already, and a bucket of thousands of near copies costs a few passes, not all pairs.
 
 Buckets are never gathered: hubs meet the other rows in a join on the bucket that Spark can split.
-The sketch has ``SKETCH`` counters whatever the corpus; a poor estimate costs candidates, never a link.
+The sketch has a counter for every ``A_COUNTER`` words, ``SKETCH`` to ``SKETCH_MOST`` of them. What rare shingles put into any
+counter, its median, is taken off, so a frequent shingle shows by the spread of the counters, also where each of them sums
+very many shingles. A poor estimate costs candidates, never a link.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from tokenloom.llm.common import components, dense_counts, gram_hashes, id_of, m
 SHINGLE = 3
 SIMILARITY = (90, 100)
 SKETCH = 1 << 18
+SKETCH_MOST = 1 << 24
+A_COUNTER = 1 << 10
 MIN_BITS = 512
 #: Buckets of up to ALL_HUBS members are done at once, larger ones by HUBS hubs, then HUB_GROWTH times as many.
 ALL_HUBS = 128
@@ -47,15 +51,27 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(id_of().alias("id"), F.col("text").cast("string").alias("text"))
 
 
+def sketch_size(docs: DataFrame) -> int:
+    """Counters for the corpus: a power of two, by its words at six bytes each."""
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    return min(SKETCH_MOST, max(SKETCH, 1 << (size // (6 * A_COUNTER)).bit_length()))
+
+
+def levels_of(total: np.ndarray) -> np.ndarray:
+    """Binary logarithm of what a counter holds above the median; any order will do, this one puts frequent shingles last."""
+    return np.floor(np.log2(np.maximum(total - int(np.median(total)), 0) + 1)).astype(np.uint8)
+
+
 def frequency_levels(docs: DataFrame, k: int) -> np.ndarray:
-    """Binary logarithm of the number of documents per hash bucket, over all documents; SKETCH small integers."""
+    """Level of each hash bucket by its number of documents, over all documents; ``sketch_size`` small integers."""
+    size = sketch_size(docs)
+
     def count(texts, total):
         for text in texts:
             # the set's hashes are distinct but their buckets needn't be
-            np.add.at(total, (shingle_set(text, k) % np.uint64(SKETCH)).astype(np.int64), 1)
+            np.add.at(total, (shingle_set(text, k) % np.uint64(size)).astype(np.int64), 1)
 
-    total = dense_counts(docs.select(F.col("text").cast("string")), SKETCH, count)
-    return np.floor(np.log2(total + 1)).astype(np.uint8)
+    return levels_of(dense_counts(docs.select(F.col("text").cast("string")), size, count))
 
 
 def _signed(a: np.ndarray) -> pa.Array:
@@ -80,8 +96,8 @@ def prefixes(docs: DataFrame, levels: np.ndarray, k: int, num: int, den: int) ->
                 s1.append(int(m.sum(dtype=np.uint64)))
                 s2.append(int((m * m).sum(dtype=np.uint64)))
                 n.append(len(s))
-                # rare first: the sketch's level, then the hash
-                key = (level[(s % np.uint64(SKETCH)).astype(np.int64)].astype(np.uint64) << np.uint64(58)) | (s >> np.uint64(6))
+                # rare first: the sketch's level, then the hash. Levels are below 64
+                key = (level[(s % np.uint64(len(level))).astype(np.int64)].astype(np.uint64) << np.uint64(58)) | (s >> np.uint64(6))
                 keep = len(s) - -(-num * len(s) // den) + 1 if len(s) else 0
                 at = np.argpartition(key, keep - 1)[:keep] if 0 < keep < len(s) else np.arange(len(s))
                 pre.append(s[at[np.argsort(key[at])]].view(np.int64))
