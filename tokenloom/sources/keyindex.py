@@ -24,7 +24,9 @@ from tokenloom.sources.files import move, path_exists, stage
 PUSHED = 5_000
 #: Files whose ranges a worker holds (about 100 bytes each); a store with more has to be compacted.
 MAX_FILES = 1_000_000
+#: Most rows of a file, and most bytes of it as Parquet: one task sorts and writes a file.
 ROWS_PER_FILE = 1_000_000
+BYTES_PER_FILE = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -56,11 +58,15 @@ class KeyedStore:
         return self.spark.read.parquet(self._rows).drop("run")
 
     def _write(self, df: DataFrame, run: str, n: int) -> None:
+        """Store ``df``, rows read from files, as one run."""
         staged = os.path.join(self.base, f"_{self.kind}-{run}")
-        n_files = max(1, -(-n // ROWS_PER_FILE))
+        size = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")).distinct().agg(F.sum("s")).first()[0] or 0
+        n_files = max(1, -(-n // ROWS_PER_FILE), min(-(-size // BYTES_PER_FILE), n))
+        # as many keys as an even share has, and as many again for a range that comes out larger
+        keys = min(2 * -(-max(n, 1) // n_files), ROWS_PER_FILE) if n_files > 1 else min(max(n, 1), ROWS_PER_FILE)
         (df.repartitionByRange(n_files, self.key).sortWithinPartitions(self.key).write
          .option(f"parquet.bloom.filter.enabled#{self.key}", "true")
-         .option(f"parquet.bloom.filter.expected.ndv#{self.key}", str(min(max(n, 1), ROWS_PER_FILE)))
+         .option(f"parquet.bloom.filter.expected.ndv#{self.key}", str(keys))
          .parquet(staged))
         ranges = (self.spark.read.schema(df.schema).parquet(staged).groupBy(F.col("_metadata.file_name").alias("file"))
                   .agg(F.min(self.key).alias("low"), F.max(self.key).alias("high"), F.count(F.lit(1)).alias("n")))
