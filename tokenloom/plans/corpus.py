@@ -39,7 +39,7 @@ def prepare_corpus(spark: SparkSession, tsv: str, out: str, val_size: int = 500)
 def speaker_vectors(audio: DataFrame, loader: Callable[[], object], fn, speaker: str = "speaker", key: str = "key") -> DataFrame:
     """S5 rows -> mono 16 kHz (U3) -> trim (U4) -> pad (T21) -> mel (U5) -> segments (U6) -> model
     -> utterance mean and unit norm (A4) -> speaker mean and unit norm (A5)."""
-    waves = AU.trim_audio(AU.resample_audio(audio.where("error is null"), 16000, "mean").select(key, "wave"))
-    parts = map_model(AU.partial_mels(waves.select(key, "wave"), key=key), loader, fn, "vec", T.ArrayType(T.DoubleType()))
+    waves = AU.trim_audio(AU.resample_audio(audio.where("error is null"), 16000, "mean", keep=[key]))
+    parts = map_model(AU.partial_mels(waves.select(key, "wave"), key=key), loader, fn, "vec", T.ArrayType(T.DoubleType()), keep=[key])
     utterances = utterance_embedding(parts.where("vec_error is null"), key, "vec")
     return speaker_embedding(utterances.join(audio.select(key, speaker), key), speaker)

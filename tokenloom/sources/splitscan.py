@@ -30,6 +30,9 @@ SPLIT = 64 << 20
 BLOCK = 4 << 20
 PORTION = 256 << 20
 MOST_TASKS = 100_000
+#: Bytes of small splits that one task scans.
+TASK_BYTES = 16 << 20
+LEAST_BLOCK = 1 << 16
 
 # states of a scan: at the start of a record, at the start of another field, in a plain field, inside quotes, behind a quote inside quotes
 _RECORD, _FIELD, _PLAIN, _QUOTED, _CLOSING = range(5)
@@ -75,22 +78,25 @@ def first_record(data: bytes, state: int) -> tuple:
 class _Lines:
     """Text lines of a file from a byte offset on, and the offset behind the last line handed out."""
 
-    def __init__(self, file, at: int):
+    def __init__(self, file, at: int, block: int = BLOCK):
         file.seek(at)
-        self.file, self.at, self.rest, self.over = file, at, b"", False
+        self.file, self.at, self.rest, self.begin, self.block, self.over = file, at, b"", 0, block, False
 
     def __iter__(self):
         return self
 
     def __next__(self) -> str:
+        block, seen = self.block, self.begin
         while True:
-            end = self.rest.find(b"\n")
+            end = self.rest.find(b"\n", seen)
             if end >= 0 or self.over:
                 break
-            more = self.file.read(BLOCK)
+            more = self.file.read(block)
             self.over = not more
-            self.rest += more
-        line, self.rest = (self.rest[:end + 1], self.rest[end + 1:]) if end >= 0 else (self.rest, b"")
+            self.rest, self.begin = self.rest[self.begin:] + more, 0
+            seen, block = len(self.rest) - len(more), 2 * block  # of a long line no byte is searched twice
+        stop = end + 1 if end >= 0 else len(self.rest)
+        line, self.begin = self.rest[self.begin:stop], stop
         if not line:
             raise StopIteration
         self.at += len(line)
@@ -111,6 +117,13 @@ def _spread(rows: DataFrame, *by: str) -> DataFrame:
     return rows.repartition(max(1, min(rows.count(), MOST_TASKS)), *by)
 
 
+def _spread_splits(splits: DataFrame) -> DataFrame:
+    """Splits by the bytes they stand for: one of ``TASK_BYTES`` or more has a task of its own, smaller ones share tasks."""
+    n, size = splits.agg(F.count(F.lit(1)), F.sum(F.col("stop") - F.col("start"))).first()
+    least = int(splits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return splits.repartition(max(1, min(n, max(least, -(-(size or 0) // TASK_BYTES)), MOST_TASKS)), "path", "split")
+
+
 def split_states(splits: DataFrame) -> DataFrame:
     """``splits`` with the scan state at the start of each, from one scan of the bytes."""
     def run(batches):
@@ -137,7 +150,7 @@ def split_states(splits: DataFrame) -> DataFrame:
 
     kind = "path string, split int, start long, stop long"
     # one row of five numbers per split meets the others of its file
-    scanned = _spread(splits, "path", "split").mapInArrow(run, f"{kind}, ends array<int>")
+    scanned = _spread_splits(splits).mapInArrow(run, f"{kind}, ends array<int>")
     return scanned.groupBy("path").applyInPandas(compose, f"{kind}, state int")
 
 
@@ -164,7 +177,7 @@ def read_tsv_splits(spark: SparkSession, path: str, split_bytes: int = SPLIT) ->
                         at += len(data)
                     if at >= r["stop"]:  # no record starts here
                         continue
-                    lines = _Lines(file, at)
+                    lines = _Lines(file, at, min(BLOCK, max(LEAST_BLOCK, r["stop"] - at)))  # not far beyond the split
                     rows, held = [], 0
                     reader = csv.reader(lines, delimiter="\t", quotechar='"', doublequote=True)
                     while lines.at < r["stop"]:
@@ -180,7 +193,7 @@ def read_tsv_splits(spark: SparkSession, path: str, split_bytes: int = SPLIT) ->
                     if rows:
                         yield _pairs(rows)
 
-    raw = _spread(stage(split_states(splits_of(spark, path, split_bytes)), "splits"), "path", "split").mapInArrow(run, "path string, text string")
+    raw = _spread_splits(stage(split_states(splits_of(spark, path, split_bytes)), "splits")).mapInArrow(run, "path string, text string")
     text = F.when(F.col("text").isNull() | F.col("text").isin(NA_TOKENS), F.lit(None).cast("string")).otherwise(F.col("text"))
     return raw.select(F.replace(F.col("path"), F.lit(".flac"), F.lit("")).alias("key"), text.alias("text"))
 
