@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tokenloom.functions.util import col_of
 
@@ -66,13 +71,24 @@ def one_to_many() -> list[tuple[str, str]]:
 
 def normalize_text(text) -> Column:
     """Substitutions, tab/newline/'*' -> space, strip, collapse 2+ whitespace."""
-    c = col_of(text)
-    src, dst = one_to_one()
-    c = F.translate(c, src + SPACE_CHARS, dst + " " * len(SPACE_CHARS))
-    for s, r in one_to_many():
-        c = F.replace(c, F.lit(s), F.lit(r))
-    c = F.btrim(c, F.lit(WHITESPACE_CHARS))  # strip: set-based, no regex scan
-    return F.regexp_replace(c, f"{WHITESPACE_CLASS}{{2,}}", " ")
+    return _normalized(col_of(text).cast("string"))
+
+
+_REPLACED = {**{chr(cp): rep for cp, rep in CHAR_SUBSTITUTIONS.items()}, **dict.fromkeys(SPACE_CHARS, " ")}
+_REPLACE = re.compile("[" + re.escape("".join(_REPLACED)) + "]")
+_RUN = re.compile("[" + re.escape(WHITESPACE_CHARS) + "]{2,}")
+
+
+def normalized(text: str) -> str:
+    """P1 of one text; no replacement holds a character that is replaced, so one pass does for all."""
+    text = _REPLACE.sub(lambda m: _REPLACED[m[0]], text)
+    return _RUN.sub(" ", text.strip(WHITESPACE_CHARS))
+
+
+@F.arrow_udf(StringType())
+def _normalized(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for b in batches:
+        yield pa.array([None if s is None else normalized(s) for s in b.to_pylist()], pa.string())
 
 
 def wide_chars(text) -> Column:

@@ -37,7 +37,7 @@ def _first_seen(key: tuple, batches, state: GroupState):
     """The lowest-position row of a key the first time it is seen, nothing later."""
     best = None
     for pdf in batches:
-        row = pdf.sort_values("pos", kind="stable").iloc[:1]
+        row = pdf if len(pdf) == 1 else pdf.sort_values("pos", kind="stable").iloc[:1]  # most keys come once
         if best is None or row["pos"].iloc[0] < best["pos"].iloc[0]:
             best = row
     if not state.exists and best is not None:
