@@ -124,3 +124,20 @@ def test_utf8_bytes_all_planes(spark):
     df = spark.createDataFrame([(c,) for c in cases], "s string")
     got = [r.b for r in df.select(T.utf8_bytes("s").alias("b")).collect()]
     assert got == [list(c.encode("utf-8")) for c in cases]
+
+
+def test_overlay_and_masks_work_on_batches(spark):
+    """Arrays go through Arrow or are runs: no lambda is called per token; nulls and rows of unequal length as before."""
+    rows = [(1, [1, 2, 3], [7, None, 9], [True, True, False], 2, 3), (2, [1, 2, 3], [7], [None, True], 5, 3), (3, None, [1], [True], None, 2)]
+    d = spark.createDataFrame(rows, "i int, p array<int>, o array<int>, m array<boolean>, n int, w int")
+    out = d.select("i", T.overlay("p", "o", "m").alias("x"), T.prefix_mask("n", "w").alias("k"))
+    assert [tuple(r) for r in out.orderBy("i").collect()] == [
+        (1, [7, None, 3], [True, True, False]), (2, [1, None, 3], [True, True, True]), (3, None, [None, None])]
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_byte_tokens_work_on_batches(spark):
+    d = spark.createDataFrame([(1, "aé"), (2, ""), (3, None), (4, "b")], "i int, t string").coalesce(1)
+    out = d.select("i", T.byte_tokens("t").alias("x"))
+    assert [r["x"] for r in out.orderBy("i").collect()] == [[2049 + b for b in (97, 195, 169, 256)], [2305], None, [2049 + 98, 2305]]
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()

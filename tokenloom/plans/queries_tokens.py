@@ -137,11 +137,15 @@ _PROMPTS = f"""SELECT key, pos, length, batch_id, max(length) OVER (PARTITION BY
   FROM (SELECT key, pos, len(tokens) AS length, tokens FROM ({D.TEXT_ART}) JOIN ({D.MANIFEST}) USING (key)))"""
 
 
-def _prompts(spark, sf):
-    # batches and widths on the narrow table; tokens are made once, where they are used
+def _prompt_texts(spark, sf):
+    # batches and widths on the narrow table; the join sorts texts, not their four times wider tokens
     b = length_sorted_batches(TB.text_lengths(spark, sf), BATCH, "length")
     b = b.withColumn("width", F.max("length").over(Window.partitionBy("batch_id")))
-    return b.join(TB.text_token_artifact(spark, sf, by_key=True).hint("merge"), "key")
+    return b.join(TB.manifest(spark, sf).select("key", "text").hint("merge"), "key")
+
+
+def _prompts(spark, sf):
+    return _prompt_texts(spark, sf).withColumn("tokens", T.byte_tokens(normalize_text("text"))).drop("text")
 
 
 @register("prompt_batches", f"""SELECT key, batch_id, length AS seq_len,
@@ -165,9 +169,10 @@ FROM (SELECT p.key, p.width, p.length, p.tokens || {D.rep('0', 'p.width - p.leng
         list_slice(g.tokens || {D.rep('0', 'p.width - len(g.tokens)')}, 1, p.width) AS pred
       FROM ({_PROMPTS}) p JOIN ({_GEN}) g USING (pos))""")
 def q_overlays(spark, sf):
-    p = _prompts(spark, sf)
-    g = TB.generated_tokens(spark, sf).withColumnRenamed("tokens", "gen")
-    j = p.join(g, "pos")
+    g = TB.table(spark, sf, "documents").select(F.col("doc_id").alias("pos"), F.col("text").alias("gen_text"))
+    # both joins carry texts; prompt and generated tokens are made from the joined rows
+    j = _prompt_texts(spark, sf).join(g, "pos").select(
+        "key", "length", "width", T.byte_tokens(normalize_text("text")).alias("tokens"), TB.generated_of("pos", "gen_text").alias("gen"))
     orig = T.pad_right("tokens", F.col("width"), 0)
     pred = F.slice(T.pad_right("gen", F.col("width"), 0), F.lit(1), F.col("width"))
     return j.select("key", T.overlay(pred, orig, T.prefix_mask("length", "width")).alias("merged"))
