@@ -5,6 +5,7 @@ import tarfile
 import wave
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tokenloom.sources import archives as AR
@@ -143,3 +144,11 @@ def test_file_order_positions_across_files_and_splits(spark, tmp_path):
     by_pos = sorted(got, key=lambda r: r.pos)
     assert [r.pos for r in by_pos] == list(range(len(expected)))
     assert [r.key for r in by_pos] == expected
+
+
+def test_unique_rows_are_stored_without_an_aggregate(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([("a", [1]), ("b", [2])], "key string, tokens array<int>")
+    monkeypatch.setattr(type(df), "dropDuplicates", lambda *a: pytest.fail("rows are unique already"))
+    FS.write_artifact(df, str(tmp_path), "txt", unique=True)
+    FS.write_artifact(df.unionAll(spark.createDataFrame([("c", [3])], df.schema)), str(tmp_path), "txt", unique=True)
+    assert sorted((r.key, r.tokens) for r in FS.read_artifact(spark, str(tmp_path), "txt").collect()) == [("a", [1]), ("b", [2]), ("c", [3])]

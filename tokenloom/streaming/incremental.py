@@ -16,7 +16,7 @@ def tokenise_batch(batch: DataFrame, store: str) -> None:
     """``foreachBatch`` body: first row per key wins (O7), keys already stored are skipped."""
     firsts = batch.groupBy("key").agg(F.min_by(F.col("text"), F.col("pos")).alias("text"))
     tokens = firsts.select("key", byte_tokens(normalize_text("text")).alias("tokens"))
-    write_artifact(tokens, store, "txt")
+    write_artifact(tokens, store, "txt", unique=True)  # the groups have made keys unique
 
 
 def tokenise_indexed(batch: DataFrame, store: str) -> None:
