@@ -42,3 +42,25 @@ def test_memoize_by_content_and_write_back(spark, tmp_path):
     store = read_artifact(spark, str(tmp_path), "cache")
     twice = run(store.unionAll(store))
     assert twice.count() == 3 and twice.where("not cache_hit").count() == 0
+
+
+def test_batch_shapes_join_sizes_not_arrays(spark):
+    from conftest import SF001
+
+    from tokenloom.operators.collate import batch_shape
+    from tokenloom.plans.catalog import QUERIES, load_all
+    from tokenloom.plans.training import batched_samples
+
+    load_all()
+    out = QUERIES["batch_shapes"](spark, SF001)
+    want = batch_shape(batched_samples(spark, SF001, 16))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect())) and out.schema == want.schema
+    # the joins of the samples read sizes in place of arrays
+    joins, plans = 0, [out._jdf.queryExecution().optimizedPlan()]
+    while plans:
+        node = plans.pop()
+        plans += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Join":
+            joins += 1
+            assert "tokens:array" not in node.schema().simpleString() and "codes:array" not in node.schema().simpleString()
+    assert joins >= 3

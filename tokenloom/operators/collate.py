@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from tokenloom.functions.tokens import interleave, pad_codes, pad_right, stage1_input, stage1_target
 from tokenloom.layout import STAGE1, TokenLayout
 
 
+def text_size(text: str) -> Column:
+    return F.when(F.col(text).isNotNull(), F.size(text)).cast("long")
+
+
+def frame_size(codes: str) -> Column:
+    return F.when(F.col(codes)[0].isNotNull(), F.size(F.col(codes)[0])).cast("long")
+
+
 def batch_shape(samples: DataFrame, batch: str = "batch_id", text: str = "text_tokens",
                 codes: str = "codes") -> DataFrame:
-    """A3: per batch the longest text, the most frames and the longest ``text + 2T``."""
-    t, c = F.size(text).cast("long"), F.size(F.col(codes)[0]).cast("long")
+    """A3: per batch the longest text, the most frames and the longest ``text + 2T``.
+
+    ``samples`` may hold :func:`text_size` and :func:`frame_size` in place of the arrays.
+    """
+    array = lambda c: isinstance(samples.schema[c].dataType, ArrayType)
+    t = text_size(text) if array(text) else F.col(text)
+    c = frame_size(codes) if array(codes) else F.col(codes)
     return samples.groupBy(batch).agg(
         F.max(t).alias("max_text"), F.max(c).alias("max_frames"), F.max(t + 2 * c).alias("max_seq"),
         F.count(F.lit(1)).alias("n_rows"))

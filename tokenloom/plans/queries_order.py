@@ -12,7 +12,7 @@ from tokenloom.operators import sets as G
 from tokenloom.operators.collate import batch_shape
 from tokenloom.plans import duck as D
 from tokenloom.plans.catalog import register
-from tokenloom.plans.training import admission, batched_samples, training_samples
+from tokenloom.plans.training import admission, sized_samples, training_samples
 from tokenloom.sources import tables as TB
 
 N_SHARDS = 7
@@ -151,7 +151,7 @@ b AS (SELECT *, (row_number() OVER (ORDER BY pos) - 1) // {BATCH} AS batch_id FR
 SELECT batch_id, max(len(text_tokens)) AS max_text, max(len(codes[1])) AS max_frames,
   max(len(text_tokens) + 2 * len(codes[1])) AS max_seq, count(*) AS n_rows FROM b GROUP BY batch_id""")
 def q_batch_shapes(spark, sf):
-    return batch_shape(batched_samples(spark, sf, BATCH))
+    return batch_shape(sized_samples(spark, sf, BATCH))
 
 
 @register("repeated_samples", f"SELECT key, unnest(range(3)) AS sample_id FROM ({D.MANIFEST})")
