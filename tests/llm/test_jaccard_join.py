@@ -63,6 +63,20 @@ def test_keep_one_keeps_different_texts_of_an_id(spark):
     assert sorted(map(tuple, keep_one(spark, d).collect())) == [(3, a), (7, b)]
 
 
+def test_keep_one_moves_no_text_before_the_join(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(jaccard_join, "jaccard_classes", lambda sp, nodes, *a: seen.append(nodes) or jaccard_classes(sp, nodes, *a))
+    d = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (3, "x")], "doc_id long, text string")
+    assert sorted(map(tuple, keep_one(spark, d).collect())) == [(1, "a b c d e f"), (3, "x")]
+    assert "Exchange" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeated_rows_make_one_set(spark):
+    d = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (1, "e f g")], "doc_id long, text string")
+    wanted = spark.createDataFrame([(1,)], "id long")
+    assert sorted(len(r["set"]) for r in jaccard_join._sets(d, wanted, 3).collect()) == [1, 2]
+
+
 def test_levels_tell_frequent_shingles_in_a_full_sketch():
     rng = np.random.default_rng(2)
     total = rng.poisson(1 << 26, 1 << 12)  # what rare shingles put into every counter

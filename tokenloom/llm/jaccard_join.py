@@ -113,14 +113,14 @@ def prefixes(docs: DataFrame, levels: np.ndarray, k: int, num: int, den: int) ->
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """``(node, set array<long>)`` of the wanted documents."""
+    """``(node, set array<long>)`` of the wanted documents; rows that agree in id and text make one."""
 
     def run(batches):
         for b in batches:
             sets = [shingle_set(t, k).view(np.int64) for t in texts_of(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "set"])
 
-    return _texts(docs).join(wanted, "id", "left_semi").mapInArrow(run, "node long, set array<long>")
+    return _texts(docs).join(wanted, "id", "left_semi").dropDuplicates(["id", "text"]).mapInArrow(run, "node long, set array<long>")
 
 
 def _verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, nodes: DataFrame, have: DataFrame | None,
@@ -256,11 +256,12 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 5, similarity:
     """
     d = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__text": F.coalesce(F.col("text").cast("string"), F.lit(""))})
     d = d.withColumn("__rid", F.xxhash64("__id", "__text"))
-    named = d.where("__id is not null").dropDuplicates(["__rid"])
+    named = d.where("__id is not null")
+    # rows that agree in id and text are one node to the join: no text is moved before it to tell them apart
     nodes = named.select(F.col("__rid").alias("doc_id"), F.col("__text").alias("text"))
-    classes = jaccard_classes(spark, nodes, shingle, similarity).select(F.col("doc_id").alias("__rid"), "component_id")
+    classes = jaccard_classes(spark, nodes, shingle, similarity).select(F.col("doc_id").alias("__rid"), "component_id").distinct()
     # nodes are hashes: the first of a class is the smallest by id
-    first = (named.select("__rid", "__id").join(classes, "__rid").groupBy("component_id")
+    first = (named.select("__rid", "__id").distinct().join(classes, "__rid").groupBy("component_id")
              .agg(F.min(F.struct("__id", "__rid"))["__rid"].alias("__rid")).select("__rid"))
-    kept = named.join(first, "__rid", "left_semi").unionByName(d.where("__id is null"))
+    kept = named.dropDuplicates(["__rid"]).join(first, "__rid", "left_semi").unionByName(d.where("__id is null"))
     return kept.drop("__id", "__text", "__rid")
