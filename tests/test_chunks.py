@@ -75,6 +75,38 @@ def test_partials(spark, chunks, sounds):
         assert np.allclose(np.array(r["mels"]), np.array(w["mels"]), rtol=1e-5, atol=1e-7), k
 
 
+def test_partials_move_samples_once(spark):
+    """No recording is joined, nor gathered for a broadcast: the windows of a recording come with its chunks."""
+    d = spark.range(4).selectExpr("cast(id AS string) AS key", "25600L AS n", "0L AS chunk", "array_repeat(cast(0.5 AS float), 25600) AS samples")
+    plan = C.partial_chunks(d, SIZE)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Broadcast" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_partials_of_repeated_and_missing_keys(spark):
+    x = np.random.default_rng(5).normal(0, .2, SIZE + 30_000).astype(np.float32)
+    rows = [(k, len(x), c, x[c * SIZE:(c + 1) * SIZE].tolist()) for k in ("a", "a", "b", None) for c in (0, 1)]
+    got = C.partial_chunks(spark.createDataFrame(rows, "key string, n long, chunk long, samples array<float>"), SIZE).collect()
+    want = A.partial_mels(spark.createDataFrame([("a", x.tolist())], "key string, wave array<float>")).collect()
+    assert sorted((r["key"], r["win_idx"]) for r in got) == sorted((k, r["win_idx"]) for k in ("a", "a", "b") for r in want)
+    by = {r["win_idx"]: np.array(r["mels"]) for r in want}
+    assert all(np.allclose(np.array(r["mels"]), by[r["win_idx"]], rtol=1e-5, atol=1e-7) for r in got)
+
+
+@pytest.mark.parametrize("size, rate, coverage", [(25_600, 1.3, 0.75), (25_760, 0.5, 0.2), (32_000, 4.0, 0.9)])
+def test_partials_at_the_least_chunk(spark, size, rate, coverage):
+    rng = np.random.default_rng(7)
+    waves = {f"w{n}": rng.normal(0, .2, n).astype(np.float32) for n in (size - 1, size, 2 * size + 1, 3 * size - 161, 4 * size + 12_000)}
+    rows = [(k, len(x), c, x[c * size:(c + 1) * size].tolist()) for k, x in waves.items() for c in range(-(-len(x) // size))]
+    got = C.partial_chunks(spark.createDataFrame(rows, "key string, n long, chunk long, samples array<float>"), size, "key", rate, coverage).collect()
+    want = A.partial_mels(spark.createDataFrame([(k, x.tolist()) for k, x in waves.items()], "key string, wave array<float>"), rate=rate, min_coverage=coverage)
+    want = {(r["key"], r["win_idx"]): r for r in want.collect()}
+    assert {(r["key"], r["win_idx"]) for r in got} == set(want) and len(got) == len(want)
+    for r in got:
+        w = want[r["key"], r["win_idx"]]
+        assert (r["n_frames"], r["padded_samples"]) == (w["n_frames"], w["padded_samples"])
+        assert np.allclose(np.array(r["mels"]), np.array(w["mels"]), rtol=1e-5, atol=1e-7)
+
+
 def test_sizes_are_checked(spark, chunks):
     for f in (lambda: C.with_halo(chunks, 9, 0, 8), lambda: C.mel_chunks(chunks, 100), lambda: C.trim_chunks(chunks, 100),
               lambda: C.resample_chunks(chunks, 16000, 24000, 25), lambda: C.partial_chunks(chunks, 1600)):
