@@ -107,6 +107,21 @@ def test_partials_at_the_least_chunk(spark, size, rate, coverage):
         assert np.allclose(np.array(r["mels"]), np.array(w["mels"]), rtol=1e-5, atol=1e-7)
 
 
+def test_resampled_chunks_are_not_stored(spark, tmp_path):
+    """One and a half times the samples in four bytes each, to read three of them: they go on to the aggregate as they are made."""
+    import glob
+
+    from conftest import SF001
+    from tokenloom.plans.catalog import QUERIES, load_all
+    from tokenloom.session import checkpoint_dir
+
+    load_all()
+    root = checkpoint_dir(spark).removeprefix("file://") + "/tokenloom-work/resampled-*"
+    before = glob.glob(root)
+    d = QUERIES["chunked_resample"](spark, SF001)
+    assert glob.glob(root) == before and d.count() == spark.read.parquet(f"{SF001}/documents.parquet").count()
+
+
 def test_sizes_are_checked(spark, chunks):
     for f in (lambda: C.with_halo(chunks, 9, 0, 8), lambda: C.mel_chunks(chunks, 100), lambda: C.trim_chunks(chunks, 100),
               lambda: C.resample_chunks(chunks, 16000, 24000, 25), lambda: C.partial_chunks(chunks, 1600)):
