@@ -1,8 +1,11 @@
 """Golden values for the token-sequence functions (T1-T14, L2-L4, O13, U1 bytes)."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tokenloom.functions import text as X
 from tokenloom.functions import tokens as T
+from tokenloom.functions.text import normalize_text
 from tokenloom.layout import STAGE1, STAGE2
 
 
@@ -141,3 +144,58 @@ def test_byte_tokens_work_on_batches(spark):
     out = d.select("i", T.byte_tokens("t").alias("x"))
     assert [r["x"] for r in out.orderBy("i").collect()] == [[2049 + b for b in (97, 195, 169, 256)], [2305], None, [2049 + 98, 2305]]
     assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tokens_of_normalised_text_need_one_python_step(spark):
+    """A step more is a worker more in every task, each with batches of its own."""
+    d = spark.createDataFrame([(1, "a\u2019 b"), (2, None), (3, "")], "i int, t string").coalesce(1)
+    out = d.select("i", T.byte_tokens(normalize_text("t")).alias("x"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
+    assert [r["x"] for r in out.orderBy("i").collect()] == [[2049 + b for b in (*b"a' b", 256)], None, [2305]]
+
+
+def test_byte_tokens_of_broken_utf8(spark):
+    d = spark.sql("SELECT cast(X'61FF62' AS string) AS t, 65 AS n")
+    r = d.select(T.byte_tokens("t").alias("x"), T.byte_tokens("n").alias("y")).first()
+    assert r.x == [2049 + b for b in (97, 0xEF, 0xBF, 0xBD, 98, 256)] and r.y == [2049 + b for b in (*b"65", 256)]
+
+
+def test_overlay_and_normalisation_work_in_pieces(spark, monkeypatch):
+    """However large an Arrow batch is, what is made of it at once is bounded."""
+    monkeypatch.setattr(T, "IDS_AT_ONCE", 10)
+    seen, one = [], T._overlaid_rows
+    monkeypatch.setattr(T, "_overlaid_rows", lambda rows: seen.append(len(rows[0])) or one(rows))
+    pred = [[i] * (6 if i % 3 else 2) for i in range(9)]
+    orig, mask = [[-1] * 6] * 9, [[True] + [False] * 5] * 9
+    f = T._overlaid.func
+    got = f(pa.array(pred, pa.list_(pa.int32())), pa.array(orig, pa.list_(pa.int32())), pa.array(mask, pa.list_(pa.bool_())))
+    assert got.to_pylist() == [[-1, *p[1:], *[None] * (6 - len(p))] for p in pred] and seen == [1] * 9
+    empty = pa.array([], pa.list_(pa.int32()))
+    assert len(f(empty, empty, pa.array([], pa.list_(pa.bool_())))) == 0
+    monkeypatch.setattr(X, "BYTES_AT_ONCE", 4)
+    texts = [*X._normalized.func(iter([pa.array(["a  b", None, "*c", "\u2122", "", "long enough"])]))]
+    assert [x for t in texts for x in t.to_pylist()] == ["a b", None, "c", "\u2122", "", "long enough"] and len(texts) > 2
+
+
+def test_overlays_start_few_workers(spark):
+    """The last stage of the query has two Python steps, not five."""
+    import __spark_entry__ as E
+    from conftest import SF001
+
+    plan = E.queries()["overlays"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Join [pos#")[0].count("ArrowEvalPython [") == 2
+
+
+def test_tokens_of_several_texts(spark, monkeypatch):
+    rows = [(1, ["a\u2019 b", None, ""]), (2, None), (3, []), (4, ["  c*d"]), (5, ["x" * 50, "\u2122"])]
+    d = spark.createDataFrame(rows, "i int, t array<string>").coalesce(1)
+    out = d.select("i", T.byte_tokens_of_all(X.normalize_texts("t")).alias("x"), F.transform("t", lambda t: t).alias("t"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
+    one = d.select("i", F.posexplode("t").alias("k", "s")).select("i", "k", T.byte_tokens(normalize_text("s")).alias("x"))
+    want = {(r["i"], r["k"]): r["x"] for r in one.collect()}
+    got = {r["i"]: r["x"] for r in out.collect()}
+    assert {(i, k): x for i, v in got.items() for k, x in enumerate(v or [])} == want and got[2] is None and got[3] == []
+    b = pa.array([t for _, t in rows], pa.list_(pa.string())).slice(1)
+    assert [r for part, _, _ in X.text_lists(b, 4) for r in part.to_pylist()] == [t for _, t in rows[1:]]
+    monkeypatch.setattr(T, "IDS_AT_ONCE", 4)
+    assert len([*T._tokens_of_all(5).func(iter([b]))]) > 1

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions import tokens as T
-from tokenloom.functions.text import normalize_text
+from tokenloom.functions.text import normalize_text, normalize_texts
 from tokenloom.layout import STAGE1, STAGE2
 from tokenloom.operators.aggregates import hierarchy_lengths
 from tokenloom.operators.collate import collate
@@ -170,9 +170,10 @@ FROM (SELECT p.key, p.width, p.length, p.tokens || {D.rep('0', 'p.width - p.leng
       FROM ({_PROMPTS}) p JOIN ({_GEN}) g USING (pos))""")
 def q_overlays(spark, sf):
     g = TB.table(spark, sf, "documents").select(F.col("doc_id").alias("pos"), F.col("text").alias("gen_text"))
-    # both joins carry texts; prompt and generated tokens are made from the joined rows
+    # both joins carry texts; prompt and generated tokens are made from the joined rows, by one Python worker a task
     j = _prompt_texts(spark, sf).join(g, "pos").select(
-        "key", "length", "width", T.byte_tokens(normalize_text("text")).alias("tokens"), TB.generated_of("pos", "gen_text").alias("gen"))
+        "key", "pos", "length", "width", T.byte_tokens_of_all(normalize_texts(F.array("text", "gen_text"))).alias("both"))
+    j = j.select("key", "length", "width", F.col("both")[0].alias("tokens"), TB.generated_from("pos", F.col("both")[1]).alias("gen"))
     orig = T.pad_right("tokens", F.col("width"), 0)
     pred = F.slice(T.pad_right("gen", F.col("width"), 0), F.lit(1), F.col("width"))
     return j.select("key", T.overlay(pred, orig, T.prefix_mask("length", "width")).alias("merged"))
